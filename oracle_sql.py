@@ -560,6 +560,7 @@ Q["src_provenance"] = "\nUNION ALL\n".join(
     f"SELECT '{t}' AS source, COUNT(*) AS \"rows\", CAST(3 AS BIGINT) AS files FROM {v}"
     for t, v in [("customers", "b_customers"), ("sellers", "b_sellers"), ("orders", "b_orders"),
                  ("order_items", "b_items")])
+Q["stream_ingest"] = "SELECT * FROM s_orders"
 Q["src_manifest"] = "SELECT 'geolocation.parquet' AS file_name"
 Q["sink_overwrite"] = "SELECT * FROM s_sellers"
 

@@ -12,11 +12,11 @@ only recomputes from the last written layer.
 from __future__ import annotations
 
 import os
-from functools import cached_property
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.landing import landing, state_region_map
+from ..sources.landing import LANDING_TABLES, landing_table, state_region_map
 from ..sources.tables import TableSet
 from . import gold as G
 from . import silver as S
@@ -26,64 +26,77 @@ SILVER_TABLES = ("customers", "sellers", "orders", "order_items", "order_payment
 GOLD_TABLES = ("dim_customer", "dim_seller", "dim_product", "dim_date", "fact_order_items", "fact_payments")
 
 
+class LazyFrames(Mapping):
+    """name -> DataFrame, each built on first access only, so a report
+    that needs two tables does not pay for analysing all of them."""
+
+    def __init__(self, factories: dict):
+        self._factories = factories
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._factories[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._factories)
+
+    def __len__(self):
+        return len(self._factories)
+
+
 class Medallion:
     def __init__(self, spark: SparkSession, data_dir: str, region_map=None,
-                 silver: dict | None = None, gold: dict | None = None):
+                 silver: Mapping | None = None, gold: Mapping | None = None):
         self.spark = spark
         self.tables = TableSet(spark, data_dir)
         self.region_map = region_map if region_map is not None else state_region_map()
-        self._silver_override = silver
-        self._gold_override = gold
+        self.bronze: Mapping[str, DataFrame] = LazyFrames(
+            {name: (lambda n=name: landing_table(spark, self.tables, n)) for name in LANDING_TABLES})
+        self.silver: Mapping[str, DataFrame] = silver if silver is not None else self._silver()
+        self.gold: Mapping[str, DataFrame] = gold if gold is not None else self._gold()
 
-    @cached_property
-    def bronze(self) -> dict[str, DataFrame]:
-        return landing(self.spark, self.tables)
-
-    @cached_property
-    def silver(self) -> dict[str, DataFrame]:
-        if self._silver_override is not None:
-            return self._silver_override
+    def _silver(self) -> LazyFrames:
         b = self.bronze
-        translation = S.category_translation(b["category_translation"])
-        return {
-            "customers": S.customers(b["customers"]),
-            "sellers": S.sellers(b["sellers"]),
-            "orders": S.orders(b["orders"]),
-            "order_items": S.order_items(b["order_items"]),
-            "order_payments": S.order_payments(b["order_payments"]),
-            "order_reviews": S.order_reviews(b["order_reviews"]),
-            "category_translation": translation,
-            "products": S.products(b["products"], translation),
-        }
-
-    @cached_property
-    def gold(self) -> dict[str, DataFrame]:
-        if self._gold_override is not None:
-            return self._gold_override
+        s: LazyFrames = LazyFrames({
+            "customers": lambda: S.customers(b["customers"]),
+            "sellers": lambda: S.sellers(b["sellers"]),
+            "orders": lambda: S.orders(b["orders"]),
+            "order_items": lambda: S.order_items(b["order_items"]),
+            "order_payments": lambda: S.order_payments(b["order_payments"]),
+            "order_reviews": lambda: S.order_reviews(b["order_reviews"]),
+            "category_translation": lambda: S.category_translation(b["category_translation"]),
+            "products": lambda: S.products(b["products"], s["category_translation"]),
+        })
+        return s
+
+    def _gold(self) -> LazyFrames:
         s = self.silver
-        return {
-            "dim_customer": G.dim_customer(s["customers"], self.region_map),
-            "dim_seller": G.dim_seller(s["sellers"], self.region_map),
-            "dim_product": G.dim_product(s["products"]),
-            "dim_date": G.dim_date(s["orders"]),
-            "fact_order_items": G.fact_order_items(s["order_items"], s["orders"], s["order_reviews"]),
-            "fact_payments": G.fact_payments(s["order_payments"], s["orders"]),
-        }
+        return LazyFrames({
+            "dim_customer": lambda: G.dim_customer(s["customers"], self.region_map),
+            "dim_seller": lambda: G.dim_seller(s["sellers"], self.region_map),
+            "dim_product": lambda: G.dim_product(s["products"]),
+            "dim_date": lambda: G.dim_date(s["orders"]),
+            "fact_order_items": lambda: G.fact_order_items(s["order_items"], s["orders"], s["order_reviews"]),
+            "fact_payments": lambda: G.fact_payments(s["order_payments"], s["orders"]),
+        })
 
     def materialize(self, path: str) -> "Medallion":
-        """Write silver and gold as parquet under ``path`` (a shared folder)
-        and return a pipeline that reads the written tables."""
-        silver, gold = {}, {}
-        for layer, names, out in (("silver", SILVER_TABLES, silver), ("gold", GOLD_TABLES, gold)):
-            for name in names:
-                loc = os.path.join(path, layer, name)
-                getattr(self, layer)[name].write.mode("overwrite").parquet(loc)
-                out[name] = self.spark.read.parquet(loc)
-            if layer == "silver":
-                # gold is rebuilt from the written silver copies
-                self._silver_override = silver
-                self.__dict__.pop("silver", None)
-                self.__dict__.pop("gold", None)
-        m = Medallion(self.spark, self.tables.root, self.region_map, silver=silver, gold=gold)
-        m.__dict__["bronze"] = self.bronze
-        return m
+        """Write silver, then gold built from the written silver, as parquet
+        under ``path`` (a shared folder); return a pipeline reading the
+        written tables. Each layer's lineage then starts at its files."""
+        silver = {}
+        for name in SILVER_TABLES:
+            loc = os.path.join(path, "silver", name)
+            self.silver[name].write.mode("overwrite").parquet(loc)
+            silver[name] = self.spark.read.parquet(loc)
+        staged = Medallion(self.spark, self.tables.root, self.region_map, silver=silver)
+        gold = {}
+        for name in GOLD_TABLES:
+            loc = os.path.join(path, "gold", name)
+            staged.gold[name].write.mode("overwrite").parquet(loc)
+            gold[name] = self.spark.read.parquet(loc)
+        out = Medallion(self.spark, self.tables.root, self.region_map, silver=silver, gold=gold)
+        out.bronze = self.bronze
+        return out

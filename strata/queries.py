@@ -325,6 +325,25 @@ def src_provenance(spark, d):
     return out
 
 
+def stream_ingest(spark, d):
+    """Landing orders arrive as CSV files in two waves; each wave is loaded
+    by an incremental streaming run (file source -> parquet sink with a
+    checkpoint). The loaded rows, typed, must equal the silver orders."""
+    from .streaming.ingest import ingest_available
+
+    orders = _m(spark, d).bronze["orders"]
+    root = scratch_path(spark, "stream-orders")
+    landing, target, ckpt = (os.path.join(root, p) for p in ("landing", "table", "checkpoint"))
+    delivered = F.coalesce(F.col("order_status") == "delivered", F.lit(False))
+    first, rest = orders.filter(delivered), orders.filter(~delivered)
+    write_text_csv(first, os.path.join(landing, "wave=1"), files=2)
+    ingest_available(spark, landing, target, ckpt, columns=orders.columns)
+    write_text_csv(rest, os.path.join(landing, "wave=2"), files=2)
+    ingest_available(spark, landing, target, ckpt, columns=orders.columns)
+    raw = spark.read.parquet(target).drop(PROVENANCE, "_ingestion_ts")
+    return S.orders(raw.select(*orders.columns))
+
+
 MANIFEST_EXTRA = "geolocation.parquet"
 
 
@@ -406,6 +425,7 @@ QUERIES: dict[str, Query] = {
     "src_csv_roundtrip": src_csv_roundtrip,
     "src_provenance": src_provenance,
     "src_manifest": src_manifest,
+    "stream_ingest": stream_ingest,
     "sink_overwrite": sink_overwrite,
     "catalog_dictionary": catalog_dictionary,
 }

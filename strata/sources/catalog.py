@@ -59,7 +59,7 @@ def describe_dictionary(spark: SparkSession, schema: str, tables: list[str] | No
     names = tables or [t.name for t in spark.catalog.listTables(schema)]
     rows = []
     for t in sorted(names):
-        for pos, c in enumerate(spark.catalog.listColumns(t, schema)):
+        for pos, c in enumerate(spark.catalog.listColumns(f"{schema}.{t}")):
             rows.append((t, pos + 1, c.name, c.dataType, c.description))
     return spark.createDataFrame(rows, "table string, position int, column string, data_type string, comment string")
 
