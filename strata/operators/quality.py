@@ -125,31 +125,66 @@ def _meta(rule: Rule, occurrences: Column) -> Column:
 
 def _one_rule(rule: Rule, tables: Mapping[str, DataFrame]) -> DataFrame:
     df = tables[rule.table]
-    if rule.kind == "surplus":
-        res, col = duplicate_surplus(df, rule.keys, rule.null_safe), "surplus"
-    elif rule.kind == "duplicate_keys":
+    if rule.kind == "duplicate_keys":
         res, col = duplicate_keys(df, rule.keys), "keys_with_duplicates"
     elif rule.kind == "missing_reference":
         res, col = missing_reference(df, rule.column, tables[rule.ref_table], rule.ref_column), "missing"
-    elif rule.kind == "iqr_upper":
-        res, col = iqr_outliers(df, rule.column, rule.fence), "outliers"
     else:
         raise ValueError(f"unknown rule kind {rule.kind!r}")
     return res.select(F.inline(F.array(_meta(rule, F.col(col)))))
 
 
+_PASS_KINDS = ("predicate", "surplus", "iqr_upper")
+
+
+def _table_pass(df: DataFrame, rules: Sequence[Rule]) -> list[DataFrame]:
+    """All row-level rules of one table in one aggregation pass; IQR rules
+    add a second pass that counts rows above the fences, which are scalar
+    subqueries over the first pass."""
+    exprs, plain, iqr = [], [], []
+    for i, r in enumerate(rules):
+        if r.kind == "predicate":
+            exprs.append(count_where(r.predicate).alias(f"__r{i}"))
+            plain.append((i, r))
+        elif r.kind == "surplus":
+            cols = [F.col(k) for k in r.keys]
+            distinct = F.count_distinct(F.struct(*cols)) if r.null_safe else F.count_distinct(*cols)
+            exprs.append((F.count(F.lit(1)) - distinct).alias(f"__r{i}"))
+            plain.append((i, r))
+        else:
+            v = to_double(F.col(r.column).cast("string"))
+            exprs.append(F.percentile_approx(v, [0.25, 0.75], QUANTILE_ACCURACY).alias(f"__q{i}"))
+            iqr.append((i, r))
+    first = df.agg(*exprs)
+    out = []
+    if plain:
+        out.append(first.select(F.inline(F.array(*[_meta(r, F.col(f"__r{i}")) for i, r in plain]))))
+    if iqr:
+        counts = []
+        for i, r in iqr:
+            q = F.col(f"__q{i}")
+            fence = first.select(q[1] + F.lit(r.fence) * (q[1] - q[0])).scalar()
+            counts.append(count_where(to_double(F.col(r.column).cast("string")) > fence).alias(f"__o{i}"))
+        second = df.agg(*counts)
+        out.append(second.select(F.inline(F.array(*[_meta(r, F.col(f"__o{i}")) for i, r in iqr]))))
+    return out
+
+
 def run_rules(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
-    """Evaluate ``rules`` -> (dimension, table, check, occurrences, treatment)."""
+    """Evaluate ``rules`` -> (dimension, table, check, occurrences, treatment).
+
+    Row-level rules (predicates, key surplus, IQR fences) of one table
+    share one scan and one aggregate (plus one scan for outlier counts);
+    duplicate-key and reference rules get their own small plan."""
     frames: list[DataFrame] = []
     by_table: dict[str, list[Rule]] = {}
     for r in rules:
-        if r.kind == "predicate":
+        if r.kind in _PASS_KINDS:
             by_table.setdefault(r.table, []).append(r)
         else:
             frames.append(_one_rule(r, tables))
     for table, rs in by_table.items():
-        one = tables[table].agg(*[count_where(r.predicate).alias(f"__r{i}") for i, r in enumerate(rs)])
-        frames.append(one.select(F.inline(F.array(*[_meta(r, F.col(f"__r{i}")) for i, r in enumerate(rs)]))))
+        frames.extend(_table_pass(tables[table], rs))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

@@ -69,3 +69,14 @@ def table_comment(spark: SparkSession, table: str) -> str | None:
         if r["col_name"] == "Comment":
             return r["data_type"]
     return None
+
+
+def list_tables(spark: SparkSession, schema: str) -> DataFrame:
+    """Tables of ``schema`` (SHOW TABLES)."""
+    return spark.sql(f"SHOW TABLES IN {schema}")
+
+
+def use_catalog(spark: SparkSession, name: str) -> None:
+    """Make ``name`` the current catalogue (the session catalogue is
+    ``spark_catalog``)."""
+    spark.catalog.setCurrentCatalog(name)

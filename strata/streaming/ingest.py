@@ -36,7 +36,9 @@ def landing_stream(spark: SparkSession, landing_dir: str, columns: list[str],
                    multiline: bool = True, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming DataFrame over the CSV files of ``landing_dir``: text
     columns with clean names, source file and load time."""
+    # files may sit in nested folders (one per delivery); pick them all up
     reader = (spark.readStream.schema(text_schema(columns)).option("header", True)
+              .option("recursiveFileLookup", True)
               .option("multiLine", multiline).option("escape", '"').option("encoding", "UTF-8"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -21,3 +21,22 @@ def test_dictionary_and_overwrite_keep_comments(spark):
 
 def test_sql_string():
     assert sql_string("it's") == "'it\\'s'"
+
+
+def test_list_tables_and_catalog(spark):
+    from strata.sources.catalog import list_tables, use_catalog
+    create_schema(spark, "strata_unit2")
+    overwrite_table(spark.range(3), "strata_unit2.x", scratch_path(spark, "cat2"))
+    assert [r.tableName for r in list_tables(spark, "strata_unit2").collect()] == ["x"]
+    use_catalog(spark, "spark_catalog")
+    assert spark.catalog.currentCatalog() == "spark_catalog"
+
+
+def test_materialize_cuts_lineage(spark, small_dir):
+    from strata.plans.medallion import Medallion
+    m = Medallion(spark, small_dir)
+    out = m.materialize(scratch_path(spark, "mat"))
+    assert "_silver_ts" in out.silver["orders"].columns
+    assert out.gold["fact_order_items"].count() == m.gold["fact_order_items"].count()
+    plan = out.gold["fact_order_items"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan          # reads the written table, not the dedup lineage
