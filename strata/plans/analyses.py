@@ -60,8 +60,14 @@ def monthly_top_categories(fact: DataFrame, products: DataFrame, dates: DataFram
     best = top_k(ranked, k, [F.col("total").desc(), F.col("category").asc()]).select("category")
     window = dates.filter(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))) \
                   .select("date_key", "year_month")
-    m = daily.join(best, "category", "left_semi") \
-             .join(window, daily["purchase_date_key"] == window["date_key"])
+    # ``best`` holds each category once and ``date_key`` is never NULL, so
+    # these inner joins on null-safe keys keep exactly the wanted rows. A
+    # semi join, or the not-NULL filters the optimizer infers from plain
+    # equality, would be pushed below ``daily`` on this branch only; the two
+    # uses of ``daily`` would then differ and the facts be scanned twice.
+    best = best.withColumnRenamed("category", "__best")
+    m = daily.join(best, daily["category"].eqNullSafe(best["__best"])).drop("__best") \
+             .join(window, daily["purchase_date_key"].eqNullSafe(window["date_key"]))
     out = m.groupBy("year_month", "category").agg(F.sum("revenue").alias("revenue"))
     return out.select("year_month", "category", F.col("revenue").cast("decimal(22,2)").alias("revenue"))
 
