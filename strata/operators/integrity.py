@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import all_of
+from .skew import salted_join
 
 REPORT_COLUMNS = ["table", "check", "violations", "severity"]
 
@@ -35,11 +36,11 @@ def check_unique(df: DataFrame, keys: Sequence[str], table: str, severity: str =
 def check_orphans(child: DataFrame, parent: DataFrame, key: str, table: str, parent_table: str,
                   severity: str = "warn") -> DataFrame:
     """Child rows whose ``key`` has no parent row (NULL keys are orphans).
-    The parent side is reduced to distinct keys first; AQE turns the anti
-    join into a broadcast when that side is measured small, and splits
-    skewed child partitions otherwise."""
+    The parent side is reduced to distinct keys first; the anti join is
+    salted, so a child key holding a large share of the rows is split over
+    several tasks (AQE still broadcasts a parent side measured small)."""
     parents = parent.select(key).distinct()
-    n = child.select(key).join(parents, key, "left_anti").agg(F.count(F.lit(1)).alias("violations"))
+    n = salted_join(child.select(key), parents, [key], "left_anti").agg(F.count(F.lit(1)).alias("violations"))
     return n.select(F.lit(table).alias("table"),
                     F.lit(f"rows without match in {parent_table} ({key})").alias("check"),
                     F.col("violations").cast("long").alias("violations"), F.lit(severity).alias("severity"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.aggregates import avg_rounded, pct_where, quantile, ratio_pct, safe_corr
 from ..functions.columns import bucketize, round_half_up
 from ..operators.metrics import frequency, share_of_total, top_k
+from ..operators.skew import salted_join
 
 # Fixed values of the retail model.
 EXCLUDED_STATUSES = ("canceled", "unavailable")
@@ -35,8 +36,8 @@ def _sold(fact: DataFrame) -> DataFrame:
 def revenue_by_category(fact: DataFrame, products: DataFrame, k: int = 10) -> DataFrame:
     """Top-k categories by revenue (item price, no freight): revenue,
     distinct orders and share of the revenue of *all* categories."""
-    j = _sold(fact).select("product_id", "order_id", "item_price") \
-        .join(products.select("product_id", "category"), "product_id")
+    j = salted_join(_sold(fact).select("product_id", "order_id", "item_price"),
+                    products.select("product_id", "category"), ["product_id"])
     g = j.groupBy("category").agg(F.sum("item_price").alias("revenue"),
                                   F.count_distinct("order_id").alias("orders"))
     g = share_of_total(g, "revenue", "pct_revenue", 2)
@@ -53,8 +54,8 @@ def monthly_top_categories(fact: DataFrame, products: DataFrame, dates: DataFram
     The facts are scanned and shuffled once: revenue per (category, day)
     is a small intermediate (categories x days) that feeds both the
     ranking and the monthly series, and its shuffle is reused."""
-    j = _sold(fact).select("product_id", "purchase_date_key", "item_price") \
-        .join(products.select("product_id", "category"), "product_id")
+    j = salted_join(_sold(fact).select("product_id", "purchase_date_key", "item_price"),
+                    products.select("product_id", "category"), ["product_id"])
     daily = j.groupBy("category", "purchase_date_key").agg(F.sum("item_price").alias("revenue"))
     ranked = daily.groupBy("category").agg(F.sum("revenue").alias("total"))
     best = top_k(ranked, k, [F.col("total").desc(), F.col("category").asc()]).select("category")
@@ -102,14 +103,15 @@ def delivery_by_state(fact: DataFrame, customers: DataFrame) -> DataFrame:
     lead time, % late, freight as % of goods value.
 
     Items are first reduced to orders (grouped by order and customer),
-    then the customer dimension is joined to the much smaller order set."""
+    then the customer dimension is joined to the much smaller order set
+    (salted, so a customer with a large share of the orders is split)."""
     delivered = fact.filter((F.col("order_status") == DELIVERED) & F.col("delivered_at").isNotNull())
     per_order = delivered.groupBy("order_id", "customer_id").agg(
         F.max("lead_time_days").alias("lead_time_days"),
         F.max(F.when(F.col("is_late"), F.lit(1)).otherwise(F.lit(0))).alias("late"),
         F.sum("item_price").alias("goods_value"),
         F.sum("freight_value").alias("freight_value"))
-    j = per_order.join(customers.select("customer_id", "state", "region"), "customer_id")
+    j = salted_join(per_order, customers.select("customer_id", "state", "region"), ["customer_id"])
     return j.groupBy("state", "region").agg(
         F.count(F.lit(1)).alias("orders"),
         avg_rounded("lead_time_days", 1).alias("mean_lead_days"),
