@@ -85,21 +85,31 @@ class Medallion:
             "fact_payments": lambda: G.fact_payments(s["order_payments"], s["orders"]),
         })
 
-    def materialize(self, path: str, audit: bool = True, parallel: int = 4) -> "Medallion":
-        """Write silver, then gold built from the written silver, as parquet
-        under ``path`` (a shared folder); return a pipeline reading the
-        written tables, so each layer's lineage starts at its files.
+    def materialize(self, path: str, audit: bool = True, parallel: int = 4,
+                    bronze: bool = False) -> "Medallion":
+        """Write the layers as parquet under ``path`` (a shared folder), each
+        built from the written copy of the layer before it: landing
+        (bronze, with ``bronze``), silver, gold. Return a pipeline reading
+        the written tables, so each layer's lineage starts at its files and
+        a lost executor recomputes from the last written layer only.
 
         Tables of one layer do not depend on each other, so their write
         jobs are submitted concurrently (``parallel`` driver threads) and
         share the cluster. With ``audit`` the silver tables carry the
         ``_silver_ts`` load timestamp."""
-        silver = self._write_layer(path, "silver", {n: self.silver[n] for n in SILVER_TABLES}, audit, parallel)
+        source = self
+        if bronze:
+            written = self._write_layer(path, "bronze", {n: self.bronze[n] for n in LANDING_TABLES}, False, parallel)
+            source = Medallion(self.spark, self.tables.root, self.region_map)
+            source.bronze = written
+            source.silver = source._silver()
+            source.gold = source._gold()
+        silver = self._write_layer(path, "silver", {n: source.silver[n] for n in SILVER_TABLES}, audit, parallel)
         staged = Medallion(self.spark, self.tables.root, self.region_map,
                            silver={n: df.drop(AUDIT_COLUMN) for n, df in silver.items()})
         gold = self._write_layer(path, "gold", {n: staged.gold[n] for n in GOLD_TABLES}, False, parallel)
         out = Medallion(self.spark, self.tables.root, self.region_map, silver=silver, gold=gold)
-        out.bronze = self.bronze
+        out.bronze = source.bronze
         return out
 
     def _write_layer(self, path: str, layer: str, frames: dict, audit: bool, parallel: int) -> dict:

@@ -45,3 +45,15 @@ def test_manifest_and_provenance(spark, small_dir):
     assert [(r.s, r["count"]) for r in got] == [("tbl", 10)]
     rc = row_counts({"x": df, "y": df.limit(3)}).collect()
     assert sorted((r.table, r.rows) for r in rc) == [("x", 10), ("y", 3)]
+
+
+def test_ingest_all_manifest_load(spark):
+    from strata.sources.csv_text import ingest_all
+    landing = scratch_path(spark, "landing")
+    os.makedirs(landing)
+    with open(os.path.join(landing, "a.csv"), "w", encoding="utf-8") as f:
+        f.write("id,name\n1,x\n2,y\n")
+    with open(os.path.join(landing, "b.csv"), "w", encoding="utf-8") as f:
+        f.write("﻿k\n9\n")
+    summary = ingest_all(spark, landing, {"ta": "a.csv", "tb": "b.csv"}, scratch_path(spark, "bronze"))
+    assert sorted((r.table, r.rows, r.source) for r in summary.collect()) == [("ta", 2, "a.csv"), ("tb", 1, "b.csv")]
