@@ -557,7 +557,7 @@ Q["load_summary"] = "\nUNION ALL\n".join(f"SELECT '{t}' AS \"table\", COUNT(*) A
                                          for t, v in _PROFILED.items())
 Q["src_csv_roundtrip"] = "SELECT * FROM s_orders"
 Q["src_provenance"] = "\nUNION ALL\n".join(
-    f"SELECT '{t}' AS source, COUNT(*) AS \"rows\", CAST(3 AS BIGINT) AS files FROM {v}"
+    f"SELECT '{t}' AS source, COUNT(*) AS \"rows\" FROM {v}"
     for t, v in [("customers", "b_customers"), ("sellers", "b_sellers"), ("orders", "b_orders"),
                  ("order_items", "b_items")])
 Q["stream_ingest"] = "SELECT * FROM s_orders"

@@ -306,7 +306,7 @@ def src_csv_roundtrip(spark, d):
     """Landing orders written as CSV text, read back text-first, then typed:
     must equal the silver orders built straight from the landing data."""
     path = scratch_path(spark, "csv-orders")
-    write_text_csv(_m(spark, d).bronze["orders"], path, files=4)
+    write_text_csv(_m(spark, d).bronze["orders"], path)
     raw = read_text_csv(spark, path).drop(PROVENANCE, "_ingestion_ts")
     return S.orders(raw)
 
@@ -317,10 +317,9 @@ def src_provenance(spark, d):
     root = scratch_path(spark, "csv-landing")
     out = None
     for table in ("customers", "sellers", "orders", "order_items"):
-        write_text_csv(b[table], os.path.join(root, table), files=3)
+        write_text_csv(b[table], os.path.join(root, table))
         df = read_text_csv(spark, os.path.join(root, table))
-        one = df.groupBy(source_name().alias("source")).agg(F.count(F.lit(1)).alias("rows"),
-                                                            F.count_distinct(PROVENANCE).alias("files"))
+        one = df.groupBy(source_name().alias("source")).agg(F.count(F.lit(1)).alias("rows"))
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -336,9 +335,9 @@ def stream_ingest(spark, d):
     landing, target, ckpt = (os.path.join(root, p) for p in ("landing", "table", "checkpoint"))
     delivered = F.coalesce(F.col("order_status") == "delivered", F.lit(False))
     first, rest = orders.filter(delivered), orders.filter(~delivered)
-    write_text_csv(first, os.path.join(landing, "wave=1"), files=2)
+    write_text_csv(first, os.path.join(landing, "wave=1"))
     ingest_available(spark, landing, target, ckpt, columns=orders.columns)
-    write_text_csv(rest, os.path.join(landing, "wave=2"), files=2)
+    write_text_csv(rest, os.path.join(landing, "wave=2"))
     ingest_available(spark, landing, target, ckpt, columns=orders.columns)
     raw = spark.read.parquet(target).drop(PROVENANCE, "_ingestion_ts")
     return S.orders(raw.select(*orders.columns))
