@@ -8,14 +8,6 @@ from pyspark.sql import functions as F
 
 from .columns import ColumnOrName, _c, round_half_up
 
-# Quantiles use percentile_approx with a high accuracy: its sketch is
-# mergeable and bounded in size per group (unlike an exact percentile,
-# which buffers every value of the group in one task), and at this accuracy
-# it returns an element of the input equal to the exact lower quantile on
-# the data sizes tested.
-QUANTILE_ACCURACY = 1_000_000
-
-
 def count_where(cond: Column) -> Column:
     """Number of rows where ``cond`` is true (NULL counts as false)."""
     return F.count_if(F.coalesce(cond, F.lit(False)))
@@ -47,9 +39,5 @@ def safe_corr(x: ColumnOrName, y: ColumnOrName) -> Column:
     return F.covar_pop(xs, ys) / F.nullif(den, F.lit(0.0))
 
 
-def quantile(c: ColumnOrName, p: float, accuracy: int = QUANTILE_ACCURACY) -> Column:
-    return F.percentile_approx(_c(c), p, accuracy)
-
-
 def avg_rounded(c: ColumnOrName, digits: int) -> Column:
     return round_half_up(F.avg(_c(c).cast("double")), digits)

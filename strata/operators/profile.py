@@ -13,8 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.aggregates import QUANTILE_ACCURACY
 from ..functions.columns import is_blank, round_half_up, to_double
+from .quantiles import KLL_K, sketch_quantile, sketch_row
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -58,20 +58,24 @@ def column_profile(tables: Mapping[str, DataFrame], exact: bool = False) -> Data
     return _union([profile_table(df, name, exact=exact) for name, df in tables.items()])
 
 
-def numeric_distribution(fields: Sequence[tuple[str, DataFrame, str]],
-                         accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
+def numeric_distribution(fields: Sequence[tuple[str, DataFrame, str]], k: int = KLL_K) -> DataFrame:
     """(field, min_value, median_value, mean_value, max_value) of text or
     numeric columns read tolerantly as double; fields of the same DataFrame
-    share one aggregation pass. Mean is rounded to 2 decimals."""
+    share one aggregation pass and one sketch pass. Mean is rounded to 2
+    decimals; the median comes from a tree-merged KLL sketch (exact lower
+    median up to k values)."""
     groups: dict[int, tuple[DataFrame, list[tuple[str, str]]]] = {}
     for label, df, col in fields:
         groups.setdefault(id(df), (df, []))[1].append((label, col))
     frames = []
     for df, items in groups.values():
+        vals = {f"__v{i}": to_double(F.col(col).cast("string")) for i, (_, col) in enumerate(items)}
+        sketches, kinds = sketch_row(df, vals, k)
         exprs = []
-        for i, (_, col) in enumerate(items):
-            v = to_double(F.col(col).cast("string"))
-            exprs += [F.min(v).alias(f"__mn{i}"), F.percentile_approx(v, 0.5, accuracy).alias(f"__md{i}"),
+        for i, _ in enumerate(items):
+            v = vals[f"__v{i}"]
+            median = sketches.select(sketch_quantile(f"__v{i}", 0.5, kinds[f"__v{i}"])).scalar()
+            exprs += [F.min(v).alias(f"__mn{i}"), median.alias(f"__md{i}"),
                       F.avg(v).alias(f"__av{i}"), F.max(v).alias(f"__mx{i}")]
         rows = F.array(*[
             F.struct(F.lit(label).alias("field"), F.col(f"__mn{i}").alias("min_value"),
@@ -84,15 +88,18 @@ def numeric_distribution(fields: Sequence[tuple[str, DataFrame, str]],
     return _union(frames)
 
 
-def numeric_summary(df: DataFrame, columns: Sequence[str], accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
+def numeric_summary(df: DataFrame, columns: Sequence[str], k: int = KLL_K) -> DataFrame:
     """Typed long form of ``DataFrame.summary('count', 'min', '50%', 'max')``:
-    (column, count, min_value, median_value, max_value) as doubles, one
-    aggregation pass."""
+    (column, count, min_value, median_value, max_value) as doubles; one
+    aggregation pass plus one sketch pass for the medians."""
+    vals = {f"__v{i}": F.col(c).cast("double") for i, c in enumerate(columns)}
+    sketches, kinds = sketch_row(df, vals, k)
     exprs = []
     for i, c in enumerate(columns):
-        v = F.col(c).cast("double")
-        exprs += [F.count(v).alias(f"__c{i}"), F.min(v).alias(f"__mn{i}"),
-                  F.percentile_approx(v, 0.5, accuracy).alias(f"__md{i}"), F.max(v).alias(f"__mx{i}")]
+        v = vals[f"__v{i}"]
+        median = sketches.select(sketch_quantile(f"__v{i}", 0.5, kinds[f"__v{i}"])).scalar()
+        exprs += [F.count(v).alias(f"__c{i}"), F.min(v).alias(f"__mn{i}"), median.alias(f"__md{i}"),
+                  F.max(v).alias(f"__mx{i}")]
     rows = F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"__c{i}").alias("count"),
                  F.col(f"__mn{i}").alias("min_value"), F.col(f"__md{i}").alias("median_value"),

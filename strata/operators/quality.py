@@ -19,8 +19,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.aggregates import QUANTILE_ACCURACY, count_where
+from ..functions.aggregates import count_where
 from ..functions.columns import all_of, to_double
+from .quantiles import KLL_K, sketch_quantile, sketch_row
 
 RESULT_COLUMNS = ["dimension", "table", "check", "occurrences", "treatment"]
 
@@ -94,22 +95,23 @@ def missing_reference(df: DataFrame, column: str, ref: DataFrame, ref_column: st
     return values.join(known, "__v", "left_anti").agg(F.count(F.lit(1)).alias("missing"))
 
 
-def iqr_fence(df: DataFrame, column: str, fence: float = 1.5, accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
+def iqr_fence(df: DataFrame, column: str, fence: float = 1.5, k: int = KLL_K) -> DataFrame:
     """One row: q1, q3 and the upper fence q3 + fence * (q3 - q1) of a
-    column read tolerantly as double."""
+    column read tolerantly as double (quartiles from a tree-merged KLL
+    sketch)."""
     v = to_double(F.col(column).cast("string"))
-    q = df.agg(F.percentile_approx(v, [0.25, 0.75], accuracy).alias("__q"))
-    return q.select(F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("q3")) \
-            .withColumn("upper_fence", F.col("q3") + F.lit(fence) * (F.col("q3") - F.col("q1")))
+    sk, kinds = sketch_row(df, {"__v": v}, k)
+    q = sk.select(sketch_quantile("__v", 0.25, kinds["__v"]).alias("q1"),
+                  sketch_quantile("__v", 0.75, kinds["__v"]).alias("q3"))
+    return q.withColumn("upper_fence", F.col("q3") + F.lit(fence) * (F.col("q3") - F.col("q1")))
 
 
-def iqr_outliers(df: DataFrame, column: str, fence: float = 1.5,
-                 accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
+def iqr_outliers(df: DataFrame, column: str, fence: float = 1.5, k: int = KLL_K) -> DataFrame:
     """One row: q1, q3, fence and the number of rows strictly above it.
 
     The fence is a scalar subquery evaluated once and pushed into the scan
     filter; no join against the statistics row is needed."""
-    stats = iqr_fence(df, column, fence, accuracy)
+    stats = iqr_fence(df, column, fence, k)
     v = to_double(F.col(column).cast("string"))
     above = df.filter(v > stats.select("upper_fence").scalar()).agg(F.count(F.lit(1)))
     return stats.select("*", above.scalar().alias("outliers"))
@@ -152,20 +154,24 @@ def _table_pass(df: DataFrame, rules: Sequence[Rule]) -> list[DataFrame]:
             exprs.append((F.count(F.lit(1)) - distinct).alias(f"__r{i}"))
             plain.append((i, r))
         else:
-            v = to_double(F.col(r.column).cast("string"))
-            exprs.append(F.percentile_approx(v, [0.25, 0.75], QUANTILE_ACCURACY).alias(f"__q{i}"))
             iqr.append((i, r))
-    first = df.agg(*exprs)
     out = []
     if plain:
+        first = df.agg(*exprs)
         out.append(first.select(F.inline(F.array(*[_meta(r, F.col(f"__r{i}")) for i, r in plain]))))
     if iqr:
-        counts = []
+        # one sketch pass for the quartiles of every IQR column of the table
+        vals = {f"__q{i}": to_double(F.col(r.column).cast("string")) for i, r in iqr}
+        sketches, kinds = sketch_row(df, vals)
+        flags = []
         for i, r in iqr:
-            q = F.col(f"__q{i}")
-            fence = first.select(q[1] + F.lit(r.fence) * (q[1] - q[0])).scalar()
-            counts.append(count_where(to_double(F.col(r.column).cast("string")) > fence).alias(f"__o{i}"))
-        second = df.agg(*counts)
+            name = f"__q{i}"
+            q1, q3 = (sketch_quantile(name, p, kinds[name]) for p in (0.25, 0.75))
+            fence = sketches.select(q3 + F.lit(r.fence) * (q3 - q1)).scalar()
+            flags.append((vals[name] > fence).alias(f"__f{i}"))
+        # flags are projected first: the fence subquery is not allowed inside
+        # an aggregate argument (its sketch buckets use the partition id)
+        second = df.select(*flags).agg(*[count_where(F.col(f"__f{i}")).alias(f"__o{i}") for i, _ in iqr])
         out.append(second.select(F.inline(F.array(*[_meta(r, F.col(f"__o{i}")) for i, r in iqr]))))
     return out
 
