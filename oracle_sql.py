@@ -561,6 +561,20 @@ Q["src_provenance"] = "\nUNION ALL\n".join(
     for t, v in [("customers", "b_customers"), ("sellers", "b_sellers"), ("orders", "b_orders"),
                  ("order_items", "b_items")])
 Q["stream_ingest"] = "SELECT * FROM s_orders"
+_RUN_TABLES = (
+    [("bronze", n, v) for n, v in [("customers", "b_customers"), ("sellers", "b_sellers"), ("orders", "b_orders"),
+                                   ("order_items", "b_items"), ("order_payments", "b_payments"),
+                                   ("order_reviews", "b_reviews"), ("products", "b_products"),
+                                   ("geolocation", "b_geolocation"), ("category_translation", "b_translation")]]
+    + [("silver", n, v) for n, v in [("customers", "s_customers"), ("sellers", "s_sellers"), ("orders", "s_orders"),
+                                     ("order_items", "s_items"), ("order_payments", "s_payments"),
+                                     ("order_reviews", "s_reviews"), ("category_translation", "s_translation"),
+                                     ("products", "s_products")]]
+    + [("gold", n, v) for n, v in [("dim_customer", "g_dim_customer"), ("dim_seller", "g_dim_seller"),
+                                   ("dim_product", "g_dim_product"), ("dim_date", "g_dim_date"),
+                                   ("fact_order_items", "g_fact_items"), ("fact_payments", "g_fact_payments")]])
+Q["medallion_run"] = "\nUNION ALL\n".join(
+    f"SELECT 'strata_{layer}.{name}' AS \"table\", COUNT(*) AS \"rows\" FROM {view}" for layer, name, view in _RUN_TABLES)
 Q["src_manifest"] = "SELECT 'geolocation.parquet' AS file_name"
 Q["sink_overwrite"] = "SELECT * FROM s_sellers"
 

@@ -343,6 +343,14 @@ def stream_ingest(spark, d):
     return S.orders(raw.select(*orders.columns))
 
 
+def medallion_run(spark, d):
+    """The whole job as documented catalogue tables (landing, DQ, silver,
+    integrity enforcement, gold, dictionary, reports); returns the load
+    summary (table, rows) of every layer table."""
+    from .plans.medallion_job import run_medallion
+    return run_medallion(spark, d, scratch_path(spark, "medallion-run"), prefix="strata_")
+
+
 MANIFEST_EXTRA = "geolocation.parquet"
 
 
@@ -425,6 +433,7 @@ QUERIES: dict[str, Query] = {
     "src_provenance": src_provenance,
     "src_manifest": src_manifest,
     "stream_ingest": stream_ingest,
+    "medallion_run": medallion_run,
     "sink_overwrite": sink_overwrite,
     "catalog_dictionary": catalog_dictionary,
 }

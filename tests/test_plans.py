@@ -11,7 +11,8 @@ from strata.session import scratch_path
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
 # keys whose work is catalogue or file I/O done while building the DataFrame
-SIDE_EFFECT_KEYS = {"sink_overwrite", "catalog_dictionary", "src_csv_roundtrip", "src_provenance", "stream_ingest"}
+SIDE_EFFECT_KEYS = {"sink_overwrite", "catalog_dictionary", "src_csv_roundtrip", "src_provenance", "stream_ingest",
+                    "medallion_run"}
 
 
 def physical(df):
