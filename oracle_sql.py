@@ -15,7 +15,6 @@ Spark semantics that DuckDB does not share are spelled out:
 
 from __future__ import annotations
 
-from strata.operators.quality import RESULT_COLUMNS  # noqa: F401  (documentation of the shape)
 from strata.plans.dictionary import GOLD_DICTIONARY
 from strata.plans.quality_rules import landing_rules
 from strata.sources.landing import LANDING_SQL, state_region_map, translation_rows

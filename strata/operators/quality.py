@@ -13,7 +13,7 @@ downstream. ``run_rules`` compiles a rule list into few Spark plans:
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -33,7 +33,7 @@ class Rule:
     check: str
     kind: str                      # predicate | surplus | duplicate_keys | missing_reference | iqr_upper
     treatment: str = ""
-    predicate: Column | None = None
+    predicate: Column | Callable[[], Column] | None = None
     keys: tuple[str, ...] = ()
     null_safe: bool = False
     column: str | None = None
@@ -146,7 +146,8 @@ def _table_pass(df: DataFrame, rules: Sequence[Rule]) -> list[DataFrame]:
     exprs, plain, iqr = [], [], []
     for i, r in enumerate(rules):
         if r.kind == "predicate":
-            exprs.append(count_where(r.predicate).alias(f"__r{i}"))
+            pred = r.predicate if isinstance(r.predicate, Column) else r.predicate()
+            exprs.append(count_where(pred).alias(f"__r{i}"))
             plain.append((i, r))
         elif r.kind == "surplus":
             cols = [F.col(k) for k in r.keys]

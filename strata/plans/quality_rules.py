@@ -16,8 +16,14 @@ LNG_RANGE = (-74, -34)
 
 
 def landing_rules() -> list[Rule]:
+    """The rule set. Predicates are built lazily (zero-argument callables),
+    so the rule metadata can be listed without a Spark session."""
     c = F.col
-    lat, lng = to_double("geolocation_lat"), to_double("geolocation_lng")
+
+    def box():
+        lat, lng = to_double("geolocation_lat"), to_double("geolocation_lng")
+        return ~(lat.between(*LAT_RANGE) & lng.between(*LNG_RANGE))
+
     return [
         surplus_rule("uniqueness", "orders", "duplicate order_id", ["order_id"], "deduplicated by order_id"),
         surplus_rule("uniqueness", "customers", "duplicate customer_id", ["customer_id"],
@@ -33,37 +39,37 @@ def landing_rules() -> list[Rule]:
                      ["geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng",
                       "geolocation_city", "geolocation_state"], "table not used downstream"),
         predicate_rule("completeness", "orders", "delivered order without delivery date",
-                       (c("order_status") == "delivered") & c("order_delivered_customer_date").isNull(),
+                       lambda: (c("order_status") == "delivered") & c("order_delivered_customer_date").isNull(),
                        "lead time and delay stay NULL; excluded from delivery metrics"),
         predicate_rule("completeness", "products", "product without category",
-                       c("product_category_name").isNull(), "category set to the unknown-category value"),
+                       lambda: c("product_category_name").isNull(), "category set to the unknown-category value"),
         predicate_rule("completeness", "order_reviews", "review without comment text",
-                       c("review_comment_message").isNull(), "none: text not analysed"),
+                       lambda: c("review_comment_message").isNull(), "none: text not analysed"),
         predicate_rule("consistency", "orders", "purchase timestamp not parsable",
-                       c("order_purchase_timestamp").isNotNull()
+                       lambda: c("order_purchase_timestamp").isNotNull()
                        & to_timestamp("order_purchase_timestamp").isNull(), "tolerant cast to timestamp"),
         predicate_rule("consistency", "orders", "delivery before purchase",
-                       to_timestamp("order_delivered_customer_date") < to_timestamp("order_purchase_timestamp"),
+                       lambda: to_timestamp("order_delivered_customer_date") < to_timestamp("order_purchase_timestamp"),
                        "delivery date set to NULL"),
         predicate_rule("consistency", "customers", "zip prefix length differs from 5",
-                       F.length(F.trim(c("customer_zip_code_prefix"))) != 5, "left-padded with zeros"),
+                       lambda: F.length(F.trim(c("customer_zip_code_prefix"))) != 5, "left-padded with zeros"),
         missing_reference_rule("consistency", "products", "categories without translation",
                                "product_category_name", "category_translation", "product_category_name",
                                "English name falls back to the original name"),
         predicate_rule("accuracy", "order_items", "price less than or equal to zero",
-                       to_double("price") <= 0, "none (sanity check)"),
-        predicate_rule("accuracy", "order_items", "negative freight", to_double("freight_value") < 0,
+                       lambda: to_double("price") <= 0, "none (sanity check)"),
+        predicate_rule("accuracy", "order_items", "negative freight", lambda: to_double("freight_value") < 0,
                        "none (sanity check)"),
         predicate_rule("accuracy", "order_reviews", "score outside 1..5 or invalid",
-                       ~F.coalesce(to_int("review_score"), F.lit(0)).between(1, 5), "rows dropped"),
+                       lambda: ~F.coalesce(to_int("review_score"), F.lit(0)).between(1, 5), "rows dropped"),
         predicate_rule("accuracy", "order_payments", "payment with 0 instalments",
-                       to_int("payment_installments") == 0, "raised to 1 instalment"),
+                       lambda: to_int("payment_installments") == 0, "raised to 1 instalment"),
         predicate_rule("accuracy", "order_payments", "payment type not_defined",
-                       c("payment_type") == "not_defined", "kept; filtered in the reports"),
-        predicate_rule("accuracy", "products", "product weight equal to zero", to_double("product_weight_g") == 0,
-                       "weight set to NULL"),
-        predicate_rule("accuracy", "geolocation", "coordinates outside the bounding box",
-                       ~(lat.between(*LAT_RANGE) & lng.between(*LNG_RANGE)), "table not used downstream"),
+                       lambda: c("payment_type") == "not_defined", "kept; filtered in the reports"),
+        predicate_rule("accuracy", "products", "product weight equal to zero",
+                       lambda: to_double("product_weight_g") == 0, "weight set to NULL"),
+        predicate_rule("accuracy", "geolocation", "coordinates outside the bounding box", box,
+                       "table not used downstream"),
         iqr_rule("outliers", "order_items", "price above Q3 + 1.5 x IQR", "price", "kept: real sales"),
         iqr_rule("outliers", "order_items", "freight above Q3 + 1.5 x IQR", "freight_value",
                  "kept: analysed as share of value"),

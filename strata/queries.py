@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.columns import (clamp_min, clean_text, lower_text, map_lookup, null_nonpositive,
+from .functions.columns import (clean_text, lower_text, map_lookup, null_nonpositive,
                                 pad_code, to_decimal, to_int, to_timestamp, upper_text)
 from .operators.dedup import dedup
 from .operators.integrity import check_orphans, check_unique, integrity_report, row_conservation

@@ -46,3 +46,14 @@ def test_query_matches_oracle(spark, small_dir, con, key):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and df.columns == ["category", "revenue", "orders", "pct_revenue"]
+
+
+def test_oracle_needs_no_spark_session():
+    """The oracle SQL is plain text: building it must not touch Spark."""
+    import subprocess
+    code = ("import __spark_entry__ as E; from pyspark import SparkContext; "
+            "o = E.oracle_sql(); assert SparkContext._active_spark_context is None; print(len(o))")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert int(out.stdout.strip().splitlines()[-1]) == len(E.queries()) - len(E.ROWS_ONLY)
