@@ -44,8 +44,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in
     ``spark.checkpoint.dir``. Only when it is unset (local tests) a folder
     of our own is created and registered."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote (Connect) sessions expose no SparkContext
+        sc = None
+    if sc is None:
+        if configured:
+            return configured
+        local = tempfile.mkdtemp(prefix="strata-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", local)
+        return local
+    current = sc.getCheckpointDir() or configured
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
