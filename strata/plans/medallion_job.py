@@ -104,3 +104,20 @@ def run_medallion(spark: SparkSession, data_dir: str, root: str, prefix: str = "
     frames.update({f"{schemas['silver']}.{n}": df for n, df in silver.items()})
     frames.update({f"{schemas['gold']}.{n}": df for n, df in gold.items()})
     return row_counts(frames)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """spark-submit entry: ``python -m strata.plans.medallion_job DATA_DIR OUT_DIR [PREFIX]``."""
+    import sys
+
+    from ..session import build_session
+
+    args = list(sys.argv[1:] if argv is None else argv)
+    if len(args) < 2:
+        raise SystemExit("usage: medallion_job DATA_DIR OUT_DIR [SCHEMA_PREFIX]")
+    spark = build_session(app_name="strata-medallion")
+    run_medallion(spark, args[0], args[1], args[2] if len(args) > 2 else "").show(100, truncate=False)
+
+
+if __name__ == "__main__":
+    main()
