@@ -58,6 +58,14 @@ def column_profile(tables: Mapping[str, DataFrame], exact: bool = False) -> Data
     return _union([profile_table(df, name, exact=exact) for name, df in tables.items()])
 
 
+def _medians(df: DataFrame, vals: dict, k: int):
+    """One scalar subquery (a struct with the median of every value
+    column, from one sketch pass); the same Column is referenced for every
+    field, so Spark evaluates it once."""
+    sketches, kinds = sketch_row(df, vals, k)
+    return sketches.select(F.struct(*[sketch_quantile(n, 0.5, kinds[n]).alias(n) for n in vals])).scalar()
+
+
 def numeric_distribution(fields: Sequence[tuple[str, DataFrame, str]], k: int = KLL_K) -> DataFrame:
     """(field, min_value, median_value, mean_value, max_value) of text or
     numeric columns read tolerantly as double; fields of the same DataFrame
@@ -70,12 +78,11 @@ def numeric_distribution(fields: Sequence[tuple[str, DataFrame, str]], k: int =
     frames = []
     for df, items in groups.values():
         vals = {f"__v{i}": to_double(F.col(col).cast("string")) for i, (_, col) in enumerate(items)}
-        sketches, kinds = sketch_row(df, vals, k)
+        medians = _medians(df, vals, k)
         exprs = []
         for i, _ in enumerate(items):
             v = vals[f"__v{i}"]
-            median = sketches.select(sketch_quantile(f"__v{i}", 0.5, kinds[f"__v{i}"])).scalar()
-            exprs += [F.min(v).alias(f"__mn{i}"), median.alias(f"__md{i}"),
+            exprs += [F.min(v).alias(f"__mn{i}"), medians[f"__v{i}"].alias(f"__md{i}"),
                       F.avg(v).alias(f"__av{i}"), F.max(v).alias(f"__mx{i}")]
         rows = F.array(*[
             F.struct(F.lit(label).alias("field"), F.col(f"__mn{i}").alias("min_value"),
@@ -93,12 +100,11 @@ def numeric_summary(df: DataFrame, columns: Sequence[str], k: int = KLL_K) -> Da
     (column, count, min_value, median_value, max_value) as doubles; one
     aggregation pass plus one sketch pass for the medians."""
     vals = {f"__v{i}": F.col(c).cast("double") for i, c in enumerate(columns)}
-    sketches, kinds = sketch_row(df, vals, k)
+    medians = _medians(df, vals, k)
     exprs = []
     for i, c in enumerate(columns):
         v = vals[f"__v{i}"]
-        median = sketches.select(sketch_quantile(f"__v{i}", 0.5, kinds[f"__v{i}"])).scalar()
-        exprs += [F.count(v).alias(f"__c{i}"), F.min(v).alias(f"__mn{i}"), median.alias(f"__md{i}"),
+        exprs += [F.count(v).alias(f"__c{i}"), F.min(v).alias(f"__mn{i}"), medians[f"__v{i}"].alias(f"__md{i}"),
                   F.max(v).alias(f"__mx{i}")]
     rows = F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"__c{i}").alias("count"),

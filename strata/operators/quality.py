@@ -95,26 +95,31 @@ def missing_reference(df: DataFrame, column: str, ref: DataFrame, ref_column: st
     return values.join(known, "__v", "left_anti").agg(F.count(F.lit(1)).alias("missing"))
 
 
+def _fence_stats(df: DataFrame, column: str, fence: float, k: int) -> DataFrame:
+    v = to_double(F.col(column).cast("string"))
+    sk, kinds = sketch_row(df, {"__v": v}, k)
+    q1, q3 = (sketch_quantile("__v", p, kinds["__v"]) for p in (0.25, 0.75))
+    return sk.select(q1.alias("q1"), q3.alias("q3"), (q3 + F.lit(fence) * (q3 - q1)).alias("upper_fence"))
+
+
 def iqr_fence(df: DataFrame, column: str, fence: float = 1.5, k: int = KLL_K) -> DataFrame:
     """One row: q1, q3 and the upper fence q3 + fence * (q3 - q1) of a
     column read tolerantly as double (quartiles from a tree-merged KLL
     sketch)."""
-    v = to_double(F.col(column).cast("string"))
-    sk, kinds = sketch_row(df, {"__v": v}, k)
-    q = sk.select(sketch_quantile("__v", 0.25, kinds["__v"]).alias("q1"),
-                  sketch_quantile("__v", 0.75, kinds["__v"]).alias("q3"))
-    return q.withColumn("upper_fence", F.col("q3") + F.lit(fence) * (F.col("q3") - F.col("q1")))
+    return _fence_stats(df, column, fence, k)
 
 
 def iqr_outliers(df: DataFrame, column: str, fence: float = 1.5, k: int = KLL_K) -> DataFrame:
     """One row: q1, q3, fence and the number of rows strictly above it.
 
-    The fence is a scalar subquery evaluated once and pushed into the scan
-    filter; no join against the statistics row is needed."""
-    stats = iqr_fence(df, column, fence, k)
+    The statistics are one scalar subquery (a struct) evaluated once; the
+    fence is pushed into the scan filter, with no join against the
+    statistics row."""
+    st = _fence_stats(df, column, fence, k).select(F.struct("q1", "q3", "upper_fence")).scalar()
     v = to_double(F.col(column).cast("string"))
-    above = df.filter(v > stats.select("upper_fence").scalar()).agg(F.count(F.lit(1)))
-    return stats.select("*", above.scalar().alias("outliers"))
+    above = df.filter(v > st["upper_fence"]).agg(F.count(F.lit(1)).alias("outliers"))
+    return above.select(st["q1"].alias("q1"), st["q3"].alias("q3"), st["upper_fence"].alias("upper_fence"),
+                        "outliers")
 
 
 # ---------------------------------------------------------------- compiler
@@ -164,12 +169,14 @@ def _table_pass(df: DataFrame, rules: Sequence[Rule]) -> list[DataFrame]:
         # one sketch pass for the quartiles of every IQR column of the table
         vals = {f"__q{i}": to_double(F.col(r.column).cast("string")) for i, r in iqr}
         sketches, kinds = sketch_row(df, vals)
-        flags = []
+        fences = []
         for i, r in iqr:
             name = f"__q{i}"
             q1, q3 = (sketch_quantile(name, p, kinds[name]) for p in (0.25, 0.75))
-            fence = sketches.select(q3 + F.lit(r.fence) * (q3 - q1)).scalar()
-            flags.append((vals[name] > fence).alias(f"__f{i}"))
+            fences.append((q3 + F.lit(r.fence) * (q3 - q1)).alias(name))
+        # every fence from one scalar subquery (a struct), evaluated once
+        fence = sketches.select(F.struct(*fences)).scalar()
+        flags = [(vals[f"__q{i}"] > fence[f"__q{i}"]).alias(f"__f{i}") for i, _ in iqr]
         # flags are projected first: the fence subquery is not allowed inside
         # an aggregate argument (its sketch buckets use the partition id)
         second = df.select(*flags).agg(*[count_where(F.col(f"__f{i}")).alias(f"__o{i}") for i, _ in iqr])
