@@ -58,58 +58,47 @@ def column_profile(tables: Mapping[str, DataFrame], exact: bool = False) -> Data
     return _union([profile_table(df, name, exact=exact) for name, df in tables.items()])
 
 
-def _medians(df: DataFrame, vals: dict, k: int):
-    """One scalar subquery (a struct with the median of every value
-    column, from one sketch pass); the same Column is referenced for every
-    field, so Spark evaluates it once."""
-    sketches, kinds = sketch_row(df, vals, k)
-    return sketches.select(F.struct(*[sketch_quantile(n, 0.5, kinds[n]).alias(n) for n in vals])).scalar()
+def _summary_rows(df: DataFrame, vals: dict, k: int) -> tuple[DataFrame, dict]:
+    """One pass: per value column its sketch, count, min, max and sum,
+    merged in two levels (see ``operators.quantiles``)."""
+    return sketch_row(df, vals, k, moments=True)
 
 
 def numeric_distribution(fields: Sequence[tuple[str, DataFrame, str]], k: int = KLL_K) -> DataFrame:
     """(field, min_value, median_value, mean_value, max_value) of text or
-    numeric columns read tolerantly as double; fields of the same DataFrame
-    share one aggregation pass and one sketch pass. Mean is rounded to 2
-    decimals; the median comes from a tree-merged KLL sketch (exact lower
-    median up to k values)."""
+    numeric columns read tolerantly as double. Fields of the same DataFrame
+    share one scan: min, max, sum, count and a KLL sketch are aggregated
+    together in a two-level tree. Mean is rounded to 2 decimals; the median
+    is exact (lower median) up to k values."""
     groups: dict[int, tuple[DataFrame, list[tuple[str, str]]]] = {}
     for label, df, col in fields:
         groups.setdefault(id(df), (df, []))[1].append((label, col))
     frames = []
     for df, items in groups.values():
         vals = {f"__v{i}": to_double(F.col(col).cast("string")) for i, (_, col) in enumerate(items)}
-        medians = _medians(df, vals, k)
-        exprs = []
-        for i, _ in enumerate(items):
-            v = vals[f"__v{i}"]
-            exprs += [F.min(v).alias(f"__mn{i}"), medians[f"__v{i}"].alias(f"__md{i}"),
-                      F.avg(v).alias(f"__av{i}"), F.max(v).alias(f"__mx{i}")]
+        row, kinds = _summary_rows(df, vals, k)
         rows = F.array(*[
-            F.struct(F.lit(label).alias("field"), F.col(f"__mn{i}").alias("min_value"),
-                     F.col(f"__md{i}").alias("median_value"),
-                     round_half_up(F.col(f"__av{i}"), 2).alias("mean_value"),
-                     F.col(f"__mx{i}").alias("max_value"))
+            F.struct(F.lit(label).alias("field"), F.col(f"__v{i}__min").alias("min_value"),
+                     sketch_quantile(f"__v{i}", 0.5, kinds[f"__v{i}"]).cast("double").alias("median_value"),
+                     round_half_up(F.col(f"__v{i}__sum") / F.nullif(F.col(f"__v{i}__n"), F.lit(0)), 2).alias("mean_value"),
+                     F.col(f"__v{i}__max").alias("max_value"))
             for i, (label, _) in enumerate(items)
         ])
-        frames.append(df.agg(*exprs).select(F.inline(rows)))
+        frames.append(row.select(F.inline(rows)))
     return _union(frames)
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str], k: int = KLL_K) -> DataFrame:
     """Typed long form of ``DataFrame.summary('count', 'min', '50%', 'max')``:
-    (column, count, min_value, median_value, max_value) as doubles; one
-    aggregation pass plus one sketch pass for the medians."""
+    (column, count, min_value, median_value, max_value) as doubles, in one
+    scan (count, min, max and a KLL sketch merged in a two-level tree)."""
     vals = {f"__v{i}": F.col(c).cast("double") for i, c in enumerate(columns)}
-    medians = _medians(df, vals, k)
-    exprs = []
-    for i, c in enumerate(columns):
-        v = vals[f"__v{i}"]
-        exprs += [F.count(v).alias(f"__c{i}"), F.min(v).alias(f"__mn{i}"), medians[f"__v{i}"].alias(f"__md{i}"),
-                  F.max(v).alias(f"__mx{i}")]
+    row, kinds = _summary_rows(df, vals, k)
     rows = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"__c{i}").alias("count"),
-                 F.col(f"__mn{i}").alias("min_value"), F.col(f"__md{i}").alias("median_value"),
-                 F.col(f"__mx{i}").alias("max_value"))
+        F.struct(F.lit(c).alias("column"), F.coalesce(F.col(f"__v{i}__n"), F.lit(0)).cast("long").alias("count"),
+                 F.col(f"__v{i}__min").alias("min_value"),
+                 sketch_quantile(f"__v{i}", 0.5, kinds[f"__v{i}"]).cast("double").alias("median_value"),
+                 F.col(f"__v{i}__max").alias("max_value"))
         for i, c in enumerate(columns)
     ])
-    return df.agg(*exprs).select(F.inline(rows))
+    return row.select(F.inline(rows))

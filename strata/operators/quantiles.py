@@ -75,17 +75,24 @@ def quantiles(df: DataFrame, value: Column | str, probs: Sequence[float], group_
     return sk.select(*group_by, *cols)
 
 
-def sketch_row(df: DataFrame, values: dict[str, Column], k: int = KLL_K,
-               fan_in: int = DEFAULT_FAN_IN) -> tuple[DataFrame, dict[str, str]]:
-    """One row with one merged sketch per named value column (plus its
-    non-NULL count, ``<name>__n``); all columns share one scan and the same
-    two-level merge."""
+def sketch_row(df: DataFrame, values: dict[str, Column], k: int = KLL_K, fan_in: int = DEFAULT_FAN_IN,
+               moments: bool = False) -> tuple[DataFrame, dict[str, str]]:
+    """One row with one merged sketch per named value column plus its
+    non-NULL count (``<name>__n``); all columns share one scan and the same
+    two-level merge. With ``moments`` the same pass also yields
+    ``<name>__min``, ``<name>__max`` and ``<name>__sum`` (as doubles)."""
     kinds = {n: _kind(df, c) for n, c in values.items()}
     cols = [(c.cast("bigint") if kinds[n] == "bigint" else c.cast("double")).alias(n) for n, c in values.items()]
     tagged = df.select(F.pmod(F.spark_partition_id(), F.lit(fan_in)).alias(_B), *cols)
     agg = {"bigint": F.kll_sketch_agg_bigint, "double": F.kll_sketch_agg_double}
     merge = {"bigint": F.kll_merge_agg_bigint, "double": F.kll_merge_agg_double}
-    level1 = tagged.groupBy(_B).agg(*[agg[kinds[n]](n, k).alias(n) for n in values],
-                                    *[F.count(n).alias(n + _N) for n in values])
-    return level1.agg(*[merge[kinds[n]](n, k).alias(n) for n in values],
-                      *[F.sum(n + _N).alias(n + _N) for n in values]), kinds
+    first = [agg[kinds[n]](n, k).alias(n) for n in values] + [F.count(n).alias(n + _N) for n in values]
+    second = [merge[kinds[n]](n, k).alias(n) for n in values] + [F.sum(n + _N).alias(n + _N) for n in values]
+    if moments:
+        for n in values:
+            d = F.col(n).cast("double")
+            first += [F.min(d).alias(n + "__min"), F.max(d).alias(n + "__max"), F.sum(d).alias(n + "__sum")]
+            second += [F.min(n + "__min").alias(n + "__min"), F.max(n + "__max").alias(n + "__max"),
+                       F.sum(n + "__sum").alias(n + "__sum")]
+    level1 = tagged.groupBy(_B).agg(*first)
+    return level1.agg(*second), kinds

@@ -30,3 +30,13 @@ def test_global_sketch_row_doubles(spark):
     r = sk.select(sketch_quantile("a", 0.5, kinds["a"]).alias("a"), sketch_quantile("b", 0.9, kinds["b"]).alias("b")).first()
     assert kinds == {"a": "double", "b": "double"}
     assert r.a == lower_quantile(vals, 0.5) and r.b == lower_quantile(vals, 0.9)
+
+
+def test_summaries_on_empty_and_all_null_input(spark):
+    from strata.operators.profile import numeric_distribution, numeric_summary
+    empty = spark.createDataFrame([], "x double, t string")
+    r = numeric_summary(empty, ["x"]).first()
+    assert (r["count"], r.min_value, r.median_value, r.max_value) == (0, None, None, None)
+    nulls = spark.createDataFrame([(None, None)], "x double, t string")
+    d = numeric_distribution([("t", nulls, "t")]).first()
+    assert (d.min_value, d.median_value, d.mean_value, d.max_value) == (None, None, None, None)
