@@ -14,7 +14,7 @@ downstream. ``run_rules`` compiles a rule list into few Spark plans:
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,10 +40,9 @@ class Rule:
     ref_table: str | None = None
     ref_column: str | None = None
     fence: float = 1.5
-    extra: dict = field(default_factory=dict)
 
 
-def predicate_rule(dimension, table, check, predicate: Column, treatment="") -> Rule:
+def predicate_rule(dimension, table, check, predicate: Column | Callable[[], Column], treatment="") -> Rule:
     return Rule(dimension, table, check, "predicate", treatment, predicate=predicate)
 
 
@@ -205,6 +204,6 @@ def run_rules(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFra
     return out.select(*RESULT_COLUMNS)
 
 
-__all__ = ["Rule", "all_of", "duplicate_keys", "duplicate_keys_rule", "duplicate_surplus", "iqr_fence",
+__all__ = ["Rule", "duplicate_keys", "duplicate_keys_rule", "duplicate_surplus", "iqr_fence",
            "iqr_outliers", "iqr_rule", "missing_reference", "missing_reference_rule", "predicate_rule",
            "run_rules", "surplus_rule"]
