@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.aggregates import count_where
-from ..functions.columns import all_of, to_double
+from ..functions.columns import to_double
 from .quantiles import KLL_K, sketch_quantile, sketch_row
 
 RESULT_COLUMNS = ["dimension", "table", "check", "occurrences", "treatment"]
