@@ -62,3 +62,9 @@ def test_iqr_fence_is_a_scalar_subquery(spark, small_dir):
     from strata.operators.quality import iqr_outliers
     plan = physical(iqr_outliers(spark.read.parquet(f"{small_dir}/events.parquet"), "value"))
     assert "Subquery" in plan and "Join" not in plan
+
+
+def test_monthly_top_reuses_the_fact_aggregate(gold):
+    df = A.monthly_top_categories(gold["fact_order_items"], gold["dim_product"], gold["dim_date"])
+    df.collect()                     # AQE final plan of this execution
+    assert "ReusedExchange" in physical(df)
