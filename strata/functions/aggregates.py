@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .columns import ColumnOrName, _c, round_half_up
 
+
 def count_where(cond: Column) -> Column:
     """Number of rows where ``cond`` is true (NULL counts as false)."""
     return F.count_if(F.coalesce(cond, F.lit(False)))
