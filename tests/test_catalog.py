@@ -40,3 +40,13 @@ def test_materialize_cuts_lineage(spark, small_dir):
     assert out.gold["fact_order_items"].count() == m.gold["fact_order_items"].count()
     plan = out.gold["fact_order_items"]._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan          # reads the written table, not the dedup lineage
+
+
+def test_materialize_with_landing_layer(spark, small_dir):
+    from strata.plans.medallion import Medallion
+    m = Medallion(spark, small_dir)
+    out = m.materialize(scratch_path(spark, "mat-bronze"), bronze=True)
+    plan = out.bronze["order_items"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "lineitem" not in plan                      # landing read back from its written copy
+    assert out.silver["order_items"].count() == m.silver["order_items"].count()
+    assert out.gold["fact_payments"].count() == m.gold["fact_payments"].count()
