@@ -77,6 +77,17 @@ def duplicate_surplus(df: DataFrame, keys: Sequence[str], null_safe: bool = Fals
              .withColumn("surplus", F.col("rows") - F.col("distinct_keys"))
 
 
+def duplicate_surplus_modes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Two rows (null_safe false / true) of ``duplicate_surplus`` from one
+    scan: both distinct counts share one aggregate."""
+    cols = [F.col(k) for k in keys]
+    one = df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(*cols).alias("__sql"),
+                 F.count_distinct(F.struct(*cols)).alias("__safe"))
+    modes = F.array(F.struct(F.lit(False).alias("null_safe"), F.col("__sql").alias("distinct_keys")),
+                    F.struct(F.lit(True).alias("null_safe"), F.col("__safe").alias("distinct_keys")))
+    return one.select("rows", F.inline(modes)).withColumn("surplus", F.col("rows") - F.col("distinct_keys"))
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: number of keys that occur more than once. The per-key count
     is a partial + final hash aggregate, so a hot key costs one counter per
@@ -204,6 +215,6 @@ def run_rules(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFra
     return out.select(*RESULT_COLUMNS)
 
 
-__all__ = ["Rule", "duplicate_keys", "duplicate_keys_rule", "duplicate_surplus", "iqr_fence",
+__all__ = ["Rule", "duplicate_keys", "duplicate_keys_rule", "duplicate_surplus", "duplicate_surplus_modes", "iqr_fence",
            "iqr_outliers", "iqr_rule", "missing_reference", "missing_reference_rule", "predicate_rule",
            "run_rules", "surplus_rule"]

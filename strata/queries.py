@@ -15,7 +15,8 @@ from .functions.columns import (clean_text, lower_text, map_lookup, null_nonposi
 from .operators.dedup import dedup
 from .operators.integrity import check_orphans, check_unique, integrity_report, row_conservation
 from .operators.profile import column_profile, numeric_distribution, numeric_summary
-from .operators.quality import duplicate_keys, duplicate_surplus, iqr_outliers, missing_reference, run_rules
+from .operators.quality import (duplicate_keys, duplicate_surplus_modes, iqr_outliers, missing_reference,
+                               run_rules)
 from .plans import analyses as A
 from .plans import silver as S
 from .plans.dictionary import GOLD_DICTIONARY
@@ -165,11 +166,10 @@ def duplicate_surplus_q(spark, d):
     b = _m(spark, d).bronze
     out = None
     for table, keys in _SURPLUS_SPECS:
-        for null_safe in (False, True):
-            one = duplicate_surplus(b[table], keys, null_safe).select(
-                F.lit(table).alias("table"), F.lit(",".join(keys)).alias("keys"),
-                F.lit(null_safe).alias("null_safe"), "rows", "distinct_keys", "surplus")
-            out = one if out is None else out.unionByName(one)
+        one = duplicate_surplus_modes(b[table], keys).select(
+            F.lit(table).alias("table"), F.lit(",".join(keys)).alias("keys"),
+            "null_safe", "rows", "distinct_keys", "surplus")
+        out = one if out is None else out.unionByName(one)
     return out
 
 

@@ -54,3 +54,11 @@ def test_run_rules_shape_and_single_pass(spark):
     # both predicate rules share one aggregation over the table
     plan = out._jdf.queryExecution().analyzed().toString()
     assert plan.count("count_if") >= 2
+
+
+def test_duplicate_surplus_modes_one_scan(spark):
+    from strata.operators.quality import duplicate_surplus_modes
+    rows = [("a", "x"), ("a", "x"), ("a", None), (None, "y"), (None, None), ("b", "z")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    got = {r.null_safe: (r.rows, r.distinct_keys, r.surplus) for r in duplicate_surplus_modes(df, ["a", "b"]).collect()}
+    assert got == {False: (6, 2, 4), True: (6, 5, 1)}
