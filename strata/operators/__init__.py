@@ -5,8 +5,8 @@ from .integrity import (IntegrityError, check_orphans, check_unique, enforce, in
                         row_conservation)
 from .metrics import frequency, share_of_total, top_k
 from .profile import column_profile, numeric_distribution, numeric_summary, profile_table
-from .quality import (Rule, duplicate_keys, duplicate_keys_rule, duplicate_surplus, iqr_fence, iqr_outliers,
-                      iqr_rule, missing_reference, missing_reference_rule, predicate_rule, run_rules,
+from .quality import (Rule, duplicate_keys, duplicate_keys_rule, duplicate_surplus, duplicate_surplus_modes,
+                      iqr_fence, iqr_outliers, iqr_report, iqr_rule, missing_reference, missing_reference_rule, predicate_rule, run_rules,
                       surplus_rule)
 from .quantiles import quantile_sketches, quantiles, sketch_quantile, sketch_row
 from .skew import hot_keys, salted_join
@@ -14,8 +14,8 @@ from .star import calendar_dimension
 
 __all__ = [
     "IntegrityError", "Rule", "calendar_dimension", "check_orphans", "check_unique", "column_profile", "dedup",
-    "duplicate_keys", "duplicate_keys_rule", "duplicate_surplus", "enforce", "frequency", "hot_keys",
-    "integrity_report", "iqr_fence", "iqr_outliers", "iqr_rule", "latest_per_key", "missing_reference",
+    "duplicate_keys", "duplicate_keys_rule", "duplicate_surplus", "duplicate_surplus_modes", "enforce", "frequency", "hot_keys",
+    "integrity_report", "iqr_fence", "iqr_outliers", "iqr_report", "iqr_rule", "latest_per_key", "missing_reference",
     "missing_reference_rule", "numeric_distribution", "numeric_summary", "predicate_rule", "profile_table",
     "quantile_sketches", "quantiles", "row_conservation", "run_rules", "salted_join", "share_of_total",
     "sketch_quantile", "sketch_row", "surplus_rule", "top_k",

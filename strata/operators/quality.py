@@ -132,6 +132,27 @@ def iqr_outliers(df: DataFrame, column: str, fence: float = 1.5, k: int = KLL_K)
                         "outliers")
 
 
+def iqr_report(df: DataFrame, columns: Sequence[str], fence: float = 1.5, k: int = KLL_K) -> DataFrame:
+    """(column, q1, q3, upper_fence, outliers) for several columns of one
+    table: one sketch pass for every quartile (returned as one struct
+    subquery, evaluated once) and one pass counting the rows above each
+    fence."""
+    vals = {f"__c{i}": to_double(F.col(c).cast("string")) for i, c in enumerate(columns)}
+    sk, kinds = sketch_row(df, vals, k)
+    stats = []
+    for n in vals:
+        q1, q3 = (sketch_quantile(n, p, kinds[n]) for p in (0.25, 0.75))
+        stats.append(F.struct(q1.alias("q1"), q3.alias("q3"),
+                              (q3 + F.lit(fence) * (q3 - q1)).alias("upper_fence")).alias(n))
+    st = sk.select(F.struct(*stats)).scalar()
+    flags = df.select(*[(vals[n] > st[n]["upper_fence"]).alias(n) for n in vals])
+    counts = flags.agg(*[count_where(F.col(n)).alias(n) for n in vals])
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), st[n]["q1"].alias("q1"), st[n]["q3"].alias("q3"),
+                              st[n]["upper_fence"].alias("upper_fence"), F.col(n).alias("outliers"))
+                     for n, c in zip(vals, columns)])
+    return counts.select(F.inline(rows))
+
+
 # ---------------------------------------------------------------- compiler
 
 def _meta(rule: Rule, occurrences: Column) -> Column:
@@ -216,5 +237,5 @@ def run_rules(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFra
 
 
 __all__ = ["Rule", "duplicate_keys", "duplicate_keys_rule", "duplicate_surplus", "duplicate_surplus_modes", "iqr_fence",
-           "iqr_outliers", "iqr_rule", "missing_reference", "missing_reference_rule", "predicate_rule",
+           "iqr_outliers", "iqr_report", "iqr_rule", "missing_reference", "missing_reference_rule", "predicate_rule",
            "run_rules", "surplus_rule"]

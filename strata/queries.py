@@ -15,7 +15,7 @@ from .functions.columns import (clean_text, lower_text, map_lookup, null_nonposi
 from .operators.dedup import dedup
 from .operators.integrity import check_orphans, check_unique, integrity_report, row_conservation
 from .operators.profile import column_profile, numeric_distribution, numeric_summary
-from .operators.quality import (duplicate_keys, duplicate_surplus_modes, iqr_outliers, missing_reference,
+from .operators.quality import (duplicate_keys, duplicate_surplus_modes, iqr_report, missing_reference,
                                run_rules)
 from .plans import analyses as A
 from .plans import silver as S
@@ -273,11 +273,11 @@ def numeric_summary_q(spark, d):
 def iqr_outliers_q(spark, d):
     m = _m(spark, d)
     b, t = m.bronze, m.tables
-    parts = [("order_items", "price", b["order_items"]), ("order_items", "freight_value", b["order_items"]),
-             ("order_payments", "payment_value", b["order_payments"]), ("events", "value", t["events"])]
+    parts = [("order_items", b["order_items"], ["price", "freight_value"]),
+             ("order_payments", b["order_payments"], ["payment_value"]), ("events", t["events"], ["value"])]
     out = None
-    for table, col, df in parts:
-        one = iqr_outliers(df, col).select(F.lit(table).alias("table"), F.lit(col).alias("column"), "*")
+    for table, df, cols in parts:
+        one = iqr_report(df, cols).select(F.lit(table).alias("table"), "*")
         out = one if out is None else out.unionByName(one)
     return out
 

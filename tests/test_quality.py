@@ -62,3 +62,12 @@ def test_duplicate_surplus_modes_one_scan(spark):
     df = spark.createDataFrame(rows, "a string, b string")
     got = {r.null_safe: (r.rows, r.distinct_keys, r.surplus) for r in duplicate_surplus_modes(df, ["a", "b"]).collect()}
     assert got == {False: (6, 2, 4), True: (6, 5, 1)}
+
+
+def test_iqr_report_matches_single_column(spark):
+    from strata.operators.quality import iqr_report
+    df = spark.createDataFrame([(str(v), str(v * 3 % 17)) for v in [1, 2, 3, 4, 5, 6, 7, 8, 100, 200]], "x string, y string")
+    rep = {r.column: (r.q1, r.q3, r.upper_fence, r.outliers) for r in iqr_report(df, ["x", "y"]).collect()}
+    for c in ("x", "y"):
+        one = iqr_outliers(df, c).first()
+        assert rep[c] == (one.q1, one.q3, one.upper_fence, one.outliers)
