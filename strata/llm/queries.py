@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.session import scratch_path
 
-from .common import stage, table
+from .common import table
 from .tokens import tokenizer_path
 
 
@@ -24,4 +24,9 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op8_token_files)}
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import decontaminate
+    return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op2_packing, op8_token_files, op10_decontaminate)}
