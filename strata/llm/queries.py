@@ -17,6 +17,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digest(packing.pieces(tokens, 1024))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import toxicity
+    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import near_dup
     return near_dup.digest(table(spark, sf_dir, "documents"))
@@ -34,4 +39,4 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op6_near_duplicates, op8_token_files, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op2_packing, op5_toxicity, op6_near_duplicates, op8_token_files, op10_decontaminate)}

@@ -66,18 +66,21 @@ def _spans(buf: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
 
-def _hash_piece(buf: np.ndarray, word: np.ndarray, values: np.ndarray):
+def _hash_piece(buf: np.ndarray, word: np.ndarray, values: np.ndarray, prefix: int | None):
     starts, ends = _spans(buf, word)
+    all_ends = ends
+    if prefix:
+        ends = np.minimum(ends, starts + prefix)
     up, down = _Powers.of(len(buf) + 1)
     sums = np.zeros(len(buf) + 1, dtype=np.uint64)
     np.cumsum(values[buf] * up[:-1], out=sums[1:])
-    return starts, ends, mix((sums[ends] - sums[starts]) * down[starts])
+    return starts, all_ends, mix((sums[ends] - sums[starts]) * down[starts])
 
 
-def hash_words(texts: list[bytes | None], word: np.ndarray, lower: bool):
+def hash_words(texts: list[bytes | None], word: np.ndarray, lower: bool, prefix: int | None = None):
     """(hashes, first, starts, ends) of the words of all texts in order:
     ``first[i]:first[i + 1]`` are text i's words; starts and ends are byte
-    places in text i. Memory is bounded by a few times the texts plus the
+    places in text i. With ``prefix``, only a word's first bytes are hashed. Memory is bounded by a few times the texts plus the
     temporaries of one piece of about a megabyte (or of one longer word)."""
     values = _BYTE_LOWER if lower else _BYTE
     parts, place, joined, size = [], [], [], 0
@@ -87,7 +90,7 @@ def hash_words(texts: list[bytes | None], word: np.ndarray, lower: bool):
         if not joined:
             return
         buf = np.frombuffer(b"\n".join(t for _, _, t in joined), dtype=np.uint8)
-        s, e, h = _hash_piece(buf, word, values)
+        s, e, h = _hash_piece(buf, word, values, prefix)
         at = np.cumsum([0] + [len(t) + 1 for _, _, t in joined])
         k = np.searchsorted(at, s, side="right") - 1
         shift = np.array([o for _, o, _ in joined]) - at[:-1]
