@@ -11,6 +11,11 @@ from .common import table
 from .tokens import tokenizer_path
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import secrets_scan
+    return secrets_scan.digest(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import packing
     tokens = packing.tokenize(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), 0)
@@ -39,4 +44,4 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op5_toxicity, op6_near_duplicates, op8_token_files, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_secrets, op2_packing, op5_toxicity, op6_near_duplicates, op8_token_files, op10_decontaminate)}
