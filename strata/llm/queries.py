@@ -32,6 +32,11 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.digest(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import substring_dedup
+    return substring_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import token_files
     path = token_files.write_tokens(table(spark, sf_dir, "documents"), scratch_path(spark, "token-files"),
@@ -44,4 +49,4 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op2_packing, op5_toxicity, op6_near_duplicates, op8_token_files, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_secrets, op2_packing, op5_toxicity, op6_near_duplicates, op7_substring_dedup, op8_token_files, op10_decontaminate)}
