@@ -11,6 +11,8 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
+from itertools import chain
 
 import numpy as np
 
@@ -24,17 +26,19 @@ _DROP_SPACE = re.compile(f"{_BEFORE_MARK}|[^{_WS}]+")
 class Encoder:
     """Encodes lists of texts to little-endian unsigned 32-bit ids.
 
-    ``cache_entries`` bounds the remembered pieces (about 250 bytes each);
-    when full, the cache starts anew. Special-token strings in a text are
-    ordinary text. NULL counts as the empty text.
+    The ids of pieces are remembered in two generations of at most
+    ``cache_entries`` each (about 200 bytes a piece): when the younger is full
+    it becomes the older one, and pieces met again move back. Special-token
+    strings in a text are ordinary text. NULL counts as the empty text.
     """
 
-    def __init__(self, path: str, cache_entries: int = 400_000):
+    def __init__(self, path: str, cache_entries: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.cache: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.cache_entries = cache_entries
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -42,16 +46,46 @@ class Encoder:
         steps = [s.get("type") for s in norm.get("normalizers", [])]
         split = (pre.get("pretokenizers") or [{}])[0]
         self.lower = "Lowercase" in steps
+        self.pieces = self.word = None
         if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not norm:
-            self.pieces = _KEEP_SPACE
+            self.pieces, self.word, self.glue = _KEEP_SPACE, re.compile(f" [{_LETTERS}]+").fullmatch, ""
+            self.begins, self.ends = self._ids(lambda t: t.startswith("\u0120")), None  # a space, as this kind spells it
         elif split.get("type") == "Split" and split.get("behavior") == "Removed" and split.get("invert"):
-            self.pieces = _DROP_SPACE
-        else:
-            self.pieces = None
+            self.pieces, self.word, self.glue = _DROP_SPACE, re.compile(f"[{_LETTERS}]+").fullmatch, " "
+            suffix = spec["model"].get("end_of_word_suffix") or ""
+            self.begins, self.ends = None, self._ids(lambda t: bool(suffix) and t.endswith(suffix))
+
+    def _ids(self, wanted) -> np.ndarray:
+        vocab = self.tokenizer.get_vocab()
+        flags = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        flags[[i for t, i in vocab.items() if wanted(t)]] = True
+        return flags
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of single words, encoded together and cut where the ids show
+        that a word begins or ends."""
+        ids = np.array(self.tokenizer.encode(self.glue.join(words), add_special_tokens=False).ids, dtype="<u4")
+        cuts = np.flatnonzero(self.begins[ids]) if self.begins is not None else np.flatnonzero(self.ends[ids]) + 1
+        at = [*(cuts * 4).tolist(), len(ids) * 4] if self.begins is not None else [0, *(cuts * 4).tolist()]
+        if len(at) != len(words) + 1:
+            return self._encode(words)
+        raw = ids.tobytes()
+        return [raw[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
+
+    def _learn(self, pieces: set[str]) -> None:
+        if len(self.young) > self.cache_entries:
+            self.old, self.young = self.young, {}
+        known = pieces & self.old.keys()
+        self.young.update((x, self.old[x]) for x in known)
+        words, others = [], []
+        for x in pieces - known:
+            (words if self.word(x) else others).append(x)
+        for i in range(0, len(words), 512):
+            self.young.update(zip(words[i:i + 512], self._encode_words(words[i:i + 512]), strict=True))
+        self.young.update(zip(others, self._encode(others), strict=True))
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         if self.pieces is None:
@@ -59,12 +93,18 @@ class Encoder:
         if self.lower:  # ASCII only: other letters are the tokenizer's business
             texts = [(t or "").encode().lower().decode() for t in texts]
         split = [self.pieces.findall(t or "") for t in texts]
-        if len(self.cache) > self.cache_entries:
-            self.cache = {}
-        new = list(set().union(*split) - self.cache.keys())
-        self.cache.update(zip(new, self._encode(new), strict=True))
-        get = self.cache.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+        flat = list(chain.from_iterable(split))
+        coded = list(map(self.young.get, flat))
+        missing = [i for i, c in enumerate(coded) if c is None]
+        if missing:
+            self._learn({flat[i] for i in missing})
+            for i in missing:
+                coded[i] = self.young[flat[i]]
+        out, at = [], 0
+        for s in split:
+            out.append(b"".join(coded[at:at + len(s)]))
+            at += len(s)
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
