@@ -49,9 +49,14 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(spark, path)
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import topk
+    return topk.digest(table(spark, sf_dir, "embeddings"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import decontaminate
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op2_packing, op4_sharding, op5_toxicity, op6_near_duplicates, op7_substring_dedup, op8_token_files, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_secrets, op2_packing, op4_sharding, op5_toxicity, op6_near_duplicates, op7_substring_dedup, op8_token_files, op9_topk, op10_decontaminate)}
