@@ -22,6 +22,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digest(packing.pieces(tokens, 1024))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import warc
+    return warc.digest(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import sharding
     return sharding.digest(table(spark, sf_dir, "documents"))
@@ -59,4 +64,4 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op2_packing, op4_sharding, op5_toxicity, op6_near_duplicates, op7_substring_dedup, op8_token_files, op9_topk, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_secrets, op2_packing, op3_warc, op4_sharding, op5_toxicity, op6_near_duplicates, op7_substring_dedup, op8_token_files, op9_topk, op10_decontaminate)}
