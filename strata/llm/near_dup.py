@@ -11,12 +11,13 @@
 4. Components of the verified links.
 
 A group of m near copies must not become m^2 pairs, and no link between
-different texts may be lost. Each round therefore links a document only to the
-smallest surviving partner it has in a bucket, among documents not yet in its
-component and not yet tried; after verification, components are updated and
-buckets that lie in one component are closed. After ``forest_rounds`` such
-rounds, what is left is compared in full, so every surviving pair of different
-components is verified in the end.
+different texts may be lost. A round links each document only to its most
+similar surviving partner in a bucket, among documents not yet in its component
+and not yet tried; after verification, components are updated and buckets that
+lie in one component are closed. After ``forest_rounds`` such rounds, the open
+buckets are finished in full: the documents that still have a surviving partner
+in another component meet there with their texts, every such pair is verified
+inside the task, and only links that join components leave it.
 
 Band keys miss a pair at the threshold (0.85) with a chance of about 1e-6, the
 Bayesian pruning with at most ``miss`` per batch.
@@ -123,15 +124,17 @@ def sketch(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
 def _buckets(reps: DataFrame) -> DataFrame:
     """Written table (bucket, chunks, id) of the buckets with two or more
     classes; buckets with the same members are kept once."""
-    keys = stage(reps.select(F.col("doc_id").alias("id"), F.posexplode("bands").alias("band", "key")).select(
-        "id", F.xxhash64("band", "key").alias("bucket")), "near-bands")
-    member = F.xxhash64(F.lit(7), "id")
-    size = keys.groupBy("bucket").agg(
-        F.count("*").alias("m"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(member).alias("y"),
-        F.min("id").alias("lo")).where("m > 1")
-    distinct = stage(size.groupBy("m", "x", "y", "lo").agg(F.min("bucket").alias("bucket")).select(
+    keys = reps.select(F.col("rep").alias("id"), F.posexplode("bands").alias("band", "key")).select(
+        "id", F.xxhash64("band", "key").alias("bucket"))
+    keys = stage(keys, "near-bands")
+    shared = stage(keys.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1"), "near-shared")
+    keys = stage(keys.join(shared, "bucket"), "near-members")
+    same = keys.groupBy("bucket").agg(F.min("m").alias("m"), F.min("id").alias("lo"),
+                                      F.bit_xor(F.xxhash64("id")).alias("x"),
+                                      F.bit_xor(F.xxhash64(F.lit(7), "id")).alias("y"))
+    distinct = stage(same.groupBy("m", "x", "y", "lo").agg(F.min("bucket").alias("bucket")).select(
         "bucket", F.ceil(F.col("m") / CHUNK).cast("int").alias("chunks")), "near-distinct")
-    return stage(keys.join(distinct, "bucket"), "near-buckets")
+    return stage(keys.select("bucket", "id").join(distinct, "bucket"), "near-buckets")
 
 
 def _blocks(buckets: DataFrame, state: DataFrame) -> DataFrame:
@@ -149,73 +152,126 @@ def _blocks(buckets: DataFrame, state: DataFrame) -> DataFrame:
                     (F.col("chunk") >= F.col("other")).alias("right"), "id", "component", "sig", "tried")
 
 
-def _survivors(sig: np.ndarray, left: np.ndarray, right: np.ndarray, ok: np.ndarray, least: list[int]) -> np.ndarray:
-    """Index pairs (rows of left, rows of right) that no step drops."""
+def _survivors(sig, ids, comp, left, right, least: list[int]):
+    """(rows, rows, equal values) of the pairs of different components that no
+    step drops, the smaller id first."""
+    l, r = np.flatnonzero(left), np.flatnonzero(right)
+    ok = comp[l][:, None] != comp[r][None, :]
+    if len(l) == len(ids) and len(r) == len(ids):  # a chunk with itself
+        ok &= ids[l][:, None] < ids[r][None, :]
     x, y = np.nonzero(ok)
+    x, y = l[x], r[y]
     done, same = 0, np.zeros(len(x), dtype=np.int32)
     for n, need in zip(STEPS, least, strict=True):
         for a in range(0, len(x), 1 << 16):  # bounds the gathered signatures
             part = slice(a, a + (1 << 16))
-            same[part] += (sig[left[x[part]], done:n] == sig[right[y[part]], done:n]).sum(axis=1, dtype=np.int32)
+            same[part] += (sig[x[part], done:n] == sig[y[part], done:n]).sum(axis=1, dtype=np.int32)
         keep = same >= need
         x, y, same, done = x[keep], y[keep], same[keep], n
-    return np.stack([x, y], axis=1)
+    swap = ids[x] > ids[y]
+    return np.where(swap, y, x), np.where(swap, x, y), same
 
 
-def _pairs(ids, comp, sig, left, right, tried, least, everything):
-    """Candidate pairs (a < b) of one block."""
-    l, r = np.flatnonzero(left), np.flatnonzero(right)
-    a, b = ids[l][:, None], ids[r][None, :]
-    same_side = len(l) == len(ids) and len(r) == len(ids)
-    ok = (comp[l][:, None] != comp[r][None, :]) & ((a < b) if same_side else True)
-    if not ok.any():
-        return []
-    found = _survivors(sig, l, r, ok, least)
-    lo = np.minimum(ids[l[found[:, 0]]], ids[r[found[:, 1]]])
-    hi = np.maximum(ids[l[found[:, 0]]], ids[r[found[:, 1]]])
-    order = np.lexsort((lo, hi))
-    past = {int(i): set(t) for i, t in zip(ids, tried, strict=True) if t is not None and len(t)}
+def _best_partners(t: pa.Table, least: list[int]) -> list[tuple[int, int]]:
+    """(a, b), a < b: for each document the most similar survivor before it
+    that it hasn't been tried with."""
+    ids, tried = t["id"].to_numpy(), t["tried"].to_pylist()
+    lo, hi, same = _survivors(_sig(t), ids, t["component"].to_numpy(), t["left"].to_numpy(), t["right"].to_numpy(), least)
+    order = np.lexsort((ids[lo], -same, ids[hi]))
+    past = {int(i): set(x) for i, x in zip(ids, tried, strict=True) if x}
     out, last = [], None
-    for p, q in zip(lo[order].tolist(), hi[order].tolist(), strict=True):
-        if p in past.get(q, ()) or (not everything and q == last):
-            continue
-        out.append((p, q))
-        last = q
+    for p, q in zip(ids[lo[order]].tolist(), ids[hi[order]].tolist(), strict=True):
+        if q != last and p not in past.get(q, ()):
+            out.append((p, q))
+            last = q
+    return out
+
+
+def _sig(t: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(t["sig"].to_pylist()), "<u2").reshape(-1, HASHES)
+
+
+def _undecided(t: pa.Table, least: list[int]) -> list[tuple[int, int]]:
+    """(block, id) of the documents with a survivor in another component."""
+    ids = t["id"].to_numpy()
+    lo, hi, _ = _survivors(_sig(t), ids, t["component"].to_numpy(), t["left"].to_numpy(), t["right"].to_numpy(), least)
+    return [(t["block"][0].as_py(), int(i)) for i in ids[np.unique(np.concatenate([lo, hi]))]]
+
+
+def intersections(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sizes of sets[x] & sets[y]: pair by pair, or for many pairs by products
+    of 0/1 rows over slices of the shingles that two sets or more hold."""
+    if len(x) < 4 * len(sets):
+        return np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for i, j in zip(x, y, strict=True)],
+                        dtype=np.int64)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, col, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    new = np.cumsum(n > 1) - 1
+    row, col = row[n[col] > 1], new[col[n[col] > 1]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    both = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    for a in range(0, int(new[-1]) + 1, 2048):
+        i, j = np.searchsorted(col, (a, a + 2048))
+        m = np.zeros((len(sets), 2048), dtype=np.float32)
+        m[row[i:j], col[i:j] - a] = 1
+        both += m @ m.T
+    return both[x, y].astype(np.int64)
+
+
+def _joining_links(t: pa.Table, least: list[int], k: int, percent: int) -> list[tuple[int, int]]:
+    """The verified links of a block, of those only a forest over components."""
+    ids, comp = t["id"].to_numpy(), t["component"].to_numpy()
+    lo, hi, _ = _survivors(_sig(t), ids, comp, t["left"].to_numpy(), t["right"].to_numpy(), least)
+    sets = shingle_sets(utf8(t["text"].combine_chunks()), k)
+    size = np.array([len(s) for s in sets])
+    both = intersections(sets, lo, hi)
+    linked = 100 * both >= percent * (size[lo] + size[hi] - both)
+    parent: dict[int, int] = {}
+
+    def find(c: int) -> int:
+        while parent.get(c, c) != c:
+            parent[c] = c = parent.get(parent[c], parent[c])
+        return c
+    out = []
+    for p, q in zip(lo[linked].tolist(), hi[linked].tolist(), strict=True):
+        a, b = find(int(comp[p])), find(int(comp[q]))
+        if a != b:
+            parent[a] = b
+            out.append((int(ids[p]), int(ids[q])))
     return out
 
 
-def _candidates(blocks: DataFrame, least: list[int], everything: bool) -> DataFrame:
-    rows = blocks.repartition(F.col("block")).sortWithinPartitions("block", "id")
-    kind = [("a", pa.int64()), ("b", pa.int64())]
+def _per_block(rows: DataFrame, work, names: str) -> DataFrame:
+    """``work`` on each block's rows, whole and sorted by id; it returns pairs
+    of longs called ``names``. A task holds one block at a time: two chunks."""
+    rows = rows.repartition(F.col("block")).sortWithinPartitions("block", "id")
+    a, b = names.split()
 
-    def one(t: pa.Table):
-        sig = np.frombuffer(b"".join(t["sig"].to_pylist()), "<u2").reshape(-1, HASHES)
-        return _pairs(t["id"].to_numpy(), t["component"].to_numpy(), sig, t["left"].to_numpy(),
-                      t["right"].to_numpy(), t["tried"].to_pylist(), least, everything)
+    def batch(out):
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=[a, b])
 
     def run(batches):
-        held: list[pa.RecordBatch] = []  # an unfinished block: two chunks at most
+        held: list[pa.RecordBatch] = []
         for b in batches:
             block = b.column(0).to_numpy()
             cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
             out = []
             for i, j in zip(cuts[:-1], cuts[1:], strict=True):
                 if held and i == 0 and held[-1].column(0)[0].as_py() != block[0]:
-                    out += one(pa.Table.from_batches(held))
+                    out += work(pa.Table.from_batches(held))
                     held = []
                 if j == len(block):
                     held.append(b.slice(i, j - i))
                 else:
-                    out += one(pa.Table.from_batches([*held, b.slice(i, j - i)]))
+                    out += work(pa.Table.from_batches([*held, b.slice(i, j - i)]))
                     held = []
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)],
-                                                 schema=pa.schema(kind))
-        if held and (out := one(pa.Table.from_batches(held))):
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)],
-                                             schema=pa.schema(kind))
+                yield batch(out)
+        if held and (out := work(pa.Table.from_batches(held))):
+            yield batch(out)
 
-    return rows.mapInArrow(run, "a long, b long").distinct()
+    return rows.mapInArrow(run, f"{a} long, {b} long").distinct()
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int, per_group: int = 256) -> DataFrame:
@@ -251,48 +307,51 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int, per_grou
     return stage(rows.mapInArrow(run, "a long, b long, linked boolean"), "near-verified")
 
 
-def components(docs: DataFrame, percent: int = 85, k: int = 5, miss: float = 1e-6, forest_rounds: int = 3,
+def components(docs: DataFrame, percent: int = 85, k: int = 5, miss: float = 1e-6, forest_rounds: int = 2,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id): components of the links between
     documents whose shingle sets have 100 * intersection >= percent * union."""
     least = least_matches(percent / 100, miss)
     sketches = sketch(docs, k, id_col, text_col)
-    full = sketches.where(F.col("set_key").isNotNull())
-    classes = stage(full.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "near-classes")
-    reps = full.join(classes, "set_key").where(F.col("doc_id") == F.col("rep"))
-    reps = reps.groupBy("doc_id").agg(F.min_by(F.struct("sig", "bands"), "set_key").alias("s")).select(
-        "doc_id", "s.sig", "s.bands")
-    reps = stage(reps, "near-reps")
+    full = sketches.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
+    reps = stage(full.groupBy("set_key").agg(F.min(F.struct("doc_id", "sig", "bands")).alias("r")).select(
+        "set_key", F.col("r.doc_id").alias("rep"), "r.sig", "r.bands"), "near-reps")
+    classes = reps.select("set_key", "rep")
     buckets = _buckets(reps)
-    ids = buckets.select("id").distinct()
+    ids = stage(buckets.select("id").distinct(), "near-ids")
     known = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    texts = stage(known.join(ids, "id").groupBy("id").agg(F.min("text").alias("text")), "near-texts")
-    signatures = reps.select(F.col("doc_id").alias("id"), "sig")
-    links: DataFrame | None = None
+    # the merge hint keeps the plan the same at every size
+    texts = stage(known.hint("merge").join(ids, "id").groupBy("id").agg(F.min("text").alias("text")), "near-texts")
+    signatures = stage(reps.select(F.col("rep").alias("id"), "sig").join(ids, "id"), "near-signatures")
     tested: DataFrame | None = None
+    links: DataFrame | None = None
     reach: DataFrame | None = None
-    turn = 0
-    while True:
-        state = ids.join(signatures, "id")
+    for turn in range(forest_rounds + 1):
         if reach is None:
-            state = state.withColumn("component", F.col("id")).withColumn("tried", F.lit(None).cast("array<long>"))
+            state = signatures.withColumn("component", F.col("id")).withColumn("tried", F.lit(None).cast("array<long>"))
         else:
             past = tested.where(~F.col("linked")).groupBy(F.col("b").alias("id")).agg(
                 F.collect_set("a").alias("tried"))
-            state = state.join(reach, "id", "left").join(past, "id", "left").withColumn(
+            state = signatures.join(reach, "id", "left").join(past, "id", "left").withColumn(
                 "component", F.coalesce("component", "id"))
-        everything = turn >= forest_rounds
         blocks = _blocks(buckets, stage(state, "near-state"))
-        pairs = stage(_candidates(blocks, least, everything), "near-pairs")
-        if pairs.isEmpty():
-            break
-        checked = _verified(pairs, texts, k, percent)
-        tested = checked if tested is None else stage(tested.unionByName(checked), "near-tested")
-        links = tested.where("linked")
+        if turn < forest_rounds:
+            pairs = stage(_per_block(blocks, lambda t: _best_partners(t, least), "a b"), "near-pairs")
+            if pairs.isEmpty():
+                break
+            checked = _verified(pairs, texts, k, percent)
+            tested = checked if tested is None else stage(tested.unionByName(checked), "near-tested")
+            links = tested.where("linked").select("a", "b")
+        else:
+            blocks = stage(blocks, "near-blocks")
+            rest = stage(_per_block(blocks, lambda t: _undecided(t, least), "block id"), "near-undecided")
+            if rest.isEmpty():
+                break
+            rows = blocks.join(rest, ["block", "id"]).join(texts, "id").select(
+                "block", "left", "right", "id", "component", "sig", "text")
+            last = _per_block(rows, lambda t: _joining_links(t, least, k, percent), "a b")
+            links = stage(last if links is None else links.unionByName(last), "near-links")
         reach = connected(links)
-        turn += 1
-        if everything:
-            break
     out = sketches.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
     if reach is None:
         return out.select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("component_id"))

@@ -84,6 +84,28 @@ def test_repeated_rows_and_keep_one(spark, docs):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 4, 5, 6, 9, 11]
 
 
+@pytest.mark.parametrize("rounds", [0, 1])
+def test_finishing_in_full(spark, monkeypatch, rounds):
+    """Texts of all similarities around the threshold, decided in the blocks."""
+    rng = random.Random(rounds)
+    base = [f"b{i}" for i in range(150)]
+    rows = [(i * 7 % 1009, edited(rng, base, rng.randrange(8))) for i in range(120)]
+    monkeypatch.setattr(N, "CHUNK", 32)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = N.components(df, forest_rounds=rounds).collect()
+    want = brute(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {d: v[:2] for d, v in want.items()}
+
+
+def test_intersections():
+    import numpy as np
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 3000, 200).astype(np.uint64)) for _ in range(40)]
+    x, y = np.triu_indices(40, 1)
+    want = [len(np.intersect1d(sets[i], sets[j])) for i, j in zip(x, y, strict=True)]
+    assert N.intersections(sets, x, y).tolist() == want and N.intersections(sets, x[:9], y[:9]).tolist() == want[:9]
+
+
 def test_least_matches_keeps_true_pairs():
     need = N.least_matches(0.85, 1e-6)
     assert all(n < 0.85 * s for n, s in zip(need, N.STEPS)) and need[-1] > 0.6 * N.HASHES
