@@ -8,7 +8,7 @@ from .profile import column_profile, numeric_distribution, numeric_summary, prof
 from .quality import (Rule, duplicate_keys, duplicate_keys_rule, duplicate_surplus, duplicate_surplus_modes,
                       iqr_fence, iqr_outliers, iqr_report, iqr_rule, missing_reference, missing_reference_rule, predicate_rule, run_rules,
                       surplus_rule)
-from .quantiles import quantile_sketches, quantiles, sketch_quantile, sketch_row
+from .quantiles import quantile_stats, quantiles
 from .skew import hot_keys, salted_join
 from .star import calendar_dimension
 
@@ -17,6 +17,6 @@ __all__ = [
     "duplicate_keys", "duplicate_keys_rule", "duplicate_surplus", "duplicate_surplus_modes", "enforce", "frequency", "hot_keys",
     "integrity_report", "iqr_fence", "iqr_outliers", "iqr_report", "iqr_rule", "latest_per_key", "missing_reference",
     "missing_reference_rule", "numeric_distribution", "numeric_summary", "predicate_rule", "profile_table",
-    "quantile_sketches", "quantiles", "row_conservation", "run_rules", "salted_join", "share_of_total",
-    "sketch_quantile", "sketch_row", "surplus_rule", "top_k",
+    "quantile_stats", "quantiles", "row_conservation", "run_rules", "salted_join", "share_of_total",
+    "surplus_rule", "top_k",
 ]

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import all_of
-from .skew import salted_join
 
 REPORT_COLUMNS = ["table", "check", "violations", "severity"]
 
@@ -22,28 +21,29 @@ class IntegrityError(AssertionError):
     pass
 
 
+def _check(counted: DataFrame, table: str, check: str, severity: str) -> DataFrame:
+    return counted.select(F.lit(table).alias("table"), F.lit(check).alias("check"),
+                          F.coalesce("violations", F.lit(0)).cast("long").alias("violations"),
+                          F.lit(severity).alias("severity"))
+
+
 def check_unique(df: DataFrame, keys: Sequence[str], table: str, severity: str = "error") -> DataFrame:
     """Rows beyond the first per key tuple (NULL keys form one group, as in
-    ``dropDuplicates``). Counted with COUNT(DISTINCT struct) - a two-phase
-    aggregate - instead of materialising a deduplicated copy."""
+    ``dropDuplicates``), from one count of the rows per key."""
     keys = list(keys)
-    distinct = F.count_distinct(F.struct(*[F.col(k) for k in keys]))
-    return df.agg((F.count(F.lit(1)) - distinct).alias("violations")).select(
-        F.lit(table).alias("table"), F.lit("unique " + ",".join(keys)).alias("check"),
-        F.col("violations").cast("long").alias("violations"), F.lit(severity).alias("severity"))
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    return _check(per_key.agg(F.sum(F.col("__n") - 1).alias("violations")), table, "unique " + ",".join(keys), severity)
 
 
 def check_orphans(child: DataFrame, parent: DataFrame, key: str, table: str, parent_table: str,
                   severity: str = "warn") -> DataFrame:
     """Child rows whose ``key`` has no parent row (NULL keys are orphans).
-    The parent side is reduced to distinct keys first; the anti join is
-    salted, so a child key holding a large share of the rows is split over
-    several tasks (AQE still broadcasts a parent side measured small)."""
-    parents = parent.select(key).distinct()
-    n = salted_join(child.select(key), parents, [key], "left_anti").agg(F.count(F.lit(1)).alias("violations"))
-    return n.select(F.lit(table).alias("table"),
-                    F.lit(f"rows without match in {parent_table} ({key})").alias("check"),
-                    F.col("violations").cast("long").alias("violations"), F.lit(severity).alias("severity"))
+    The child is reduced to one counted row per key, the parent to distinct
+    keys; one anti join of these is left, in which no key is hot."""
+    per_key = child.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    lost = per_key.join(parent.select(key).distinct(), key, "left_anti")
+    return _check(lost.agg(F.sum("__n").alias("violations")), table, f"rows without match in {parent_table} ({key})",
+                  severity)
 
 
 def integrity_report(checks: Sequence[DataFrame]) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.columns import round_half_up
 
@@ -13,11 +14,11 @@ from ..functions.columns import round_half_up
 def share_of_total(grouped: DataFrame, measure: str, alias: str, digits: int | None = None) -> DataFrame:
     """Add ``alias`` = 100 * measure / sum of measure over all rows.
 
-    The total is a scalar subquery (a partial + final global sum, taken in
-    the measure's own type so decimals stay exact) evaluated once and used
-    as a constant; unlike ``SUM(...) OVER ()`` it never moves the rows into
-    a single partition, so any number of groups is fine."""
-    total = grouped.agg(F.sum(F.col(measure))).scalar().cast("double")
+    The total is a window over the rows of ``grouped``, one per group, so the
+    facts behind them are read once. The groups meet in one task: meant for
+    report-sized groupings (``Sum`` in the measure's own type, so decimals stay
+    exact)."""
+    total = F.sum(F.col(measure)).over(Window.partitionBy(F.lit(0))).cast("double")
     value = F.lit(100.0) * F.col(measure).cast("double") / F.nullif(total, F.lit(0.0))
     return grouped.withColumn(alias, value if digits is None else round_half_up(value, digits))
 

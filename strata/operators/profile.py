@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import is_blank, round_half_up, to_double
-from .quantiles import KLL_K, sketch_quantile, sketch_row
+from .quantiles import quantile_stats
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -31,16 +31,20 @@ def profile_table(df: DataFrame, table: str, exact: bool = False,
     ``null_or_blank`` counts NULL or all-space values; ``pct_null`` is its
     share in percent (2 decimals, 0 for an empty table). Distinct counts are
     HyperLogLog++ sketches by default (fixed-size, mergeable); ``exact``
-    uses COUNT(DISTINCT), which Catalyst plans as an expand + two-phase
-    aggregation."""
+    counts the values of each column with its own partial and final
+    aggregate, so no row is copied once per column."""
     df = df.drop(*drop)
     cols = df.columns
     exprs = [F.count(F.lit(1)).alias("__total")]
     for i, c in enumerate(cols):
         exprs.append(F.count_if(is_blank(F.col(c).cast("string"))).alias(f"__n{i}"))
-        distinct = F.count_distinct(F.col(c)) if exact else F.approx_count_distinct(F.col(c))
-        exprs.append(distinct.alias(f"__d{i}"))
+        if not exact:
+            exprs.append(F.approx_count_distinct(F.col(c)).alias(f"__d{i}"))
     one = df.agg(*exprs)
+    if exact:
+        distinct = [df.groupBy(F.col(c).alias("v")).agg(F.lit(1).alias("one")).agg(F.count("v").alias("n")).scalar()
+                    for c in cols]
+        one = one.select("*", *[d.alias(f"__d{i}") for i, d in enumerate(distinct)])
     rows = F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"__n{i}").alias("null_or_blank"),
                  F.col(f"__d{i}").cast("long").alias("distinct_values"))
@@ -55,50 +59,42 @@ def profile_table(df: DataFrame, table: str, exact: bool = False,
 
 
 def column_profile(tables: Mapping[str, DataFrame], exact: bool = False) -> DataFrame:
-    return _union([profile_table(df, name, exact=exact) for name, df in tables.items()])
+    """``profile_table`` of several tables, emptiest columns first."""
+    rows = _union([profile_table(df, name, exact=exact) for name, df in tables.items()])
+    return rows.orderBy(F.col("pct_null").desc(), "table", "column")
 
 
-def _summary_rows(df: DataFrame, vals: dict, k: int) -> tuple[DataFrame, dict]:
-    """One pass: per value column its sketch, count, min, max and sum,
-    merged in two levels (see ``operators.quantiles``)."""
-    return sketch_row(df, vals, k, moments=True)
-
-
-def numeric_distribution(fields: Sequence[tuple[str, DataFrame, str]], k: int = KLL_K) -> DataFrame:
+def numeric_distribution(fields: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
     """(field, min_value, median_value, mean_value, max_value) of text or
     numeric columns read tolerantly as double. Fields of the same DataFrame
-    share one scan: min, max, sum, count and a KLL sketch are aggregated
-    together in a two-level tree. Mean is rounded to 2 decimals; the median
-    is exact (lower median) up to k values."""
+    share one pass over it. Mean is rounded to 2 decimals; the median is the
+    exact lower median."""
     groups: dict[int, tuple[DataFrame, list[tuple[str, str]]]] = {}
     for label, df, col in fields:
         groups.setdefault(id(df), (df, []))[1].append((label, col))
     frames = []
     for df, items in groups.values():
         vals = {f"__v{i}": to_double(F.col(col).cast("string")) for i, (_, col) in enumerate(items)}
-        row, kinds = _summary_rows(df, vals, k)
         rows = F.array(*[
             F.struct(F.lit(label).alias("field"), F.col(f"__v{i}__min").alias("min_value"),
-                     sketch_quantile(f"__v{i}", 0.5, kinds[f"__v{i}"]).cast("double").alias("median_value"),
+                     F.col(f"__v{i}__q0").alias("median_value"),
                      round_half_up(F.col(f"__v{i}__sum") / F.nullif(F.col(f"__v{i}__n"), F.lit(0)), 2).alias("mean_value"),
                      F.col(f"__v{i}__max").alias("max_value"))
             for i, (label, _) in enumerate(items)
         ])
-        frames.append(row.select(F.inline(rows)))
+        frames.append(quantile_stats(df, vals, [0.5]).select(F.inline(rows)))
     return _union(frames)
 
 
-def numeric_summary(df: DataFrame, columns: Sequence[str], k: int = KLL_K) -> DataFrame:
+def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Typed long form of ``DataFrame.summary('count', 'min', '50%', 'max')``:
     (column, count, min_value, median_value, max_value) as doubles, in one
-    scan (count, min, max and a KLL sketch merged in a two-level tree)."""
+    pass (exact lower median)."""
     vals = {f"__v{i}": F.col(c).cast("double") for i, c in enumerate(columns)}
-    row, kinds = _summary_rows(df, vals, k)
     rows = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.coalesce(F.col(f"__v{i}__n"), F.lit(0)).cast("long").alias("count"),
-                 F.col(f"__v{i}__min").alias("min_value"),
-                 sketch_quantile(f"__v{i}", 0.5, kinds[f"__v{i}"]).cast("double").alias("median_value"),
+        F.struct(F.lit(c).alias("column"), F.col(f"__v{i}__n").cast("long").alias("count"),
+                 F.col(f"__v{i}__min").alias("min_value"), F.col(f"__v{i}__q0").alias("median_value"),
                  F.col(f"__v{i}__max").alias("max_value"))
         for i, c in enumerate(columns)
     ])
-    return row.select(F.inline(rows))
+    return quantile_stats(df, vals, [0.5]).select(F.inline(rows))

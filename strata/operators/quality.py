@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.aggregates import count_where
 from ..functions.columns import to_double
-from .quantiles import KLL_K, sketch_quantile, sketch_row
+from .quantiles import quantile_stats
 
 RESULT_COLUMNS = ["dimension", "table", "check", "occurrences", "treatment"]
 
@@ -65,24 +65,32 @@ def iqr_rule(dimension, table, check, column, treatment="", fence=1.5) -> Rule:
 
 # ---------------------------------------------------------------- measurements
 
+def _per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys..., __n, __whole): rows per key tuple and whether no part is
+    NULL. One partial and one final hash aggregate."""
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).withColumn("__whole", whole)
+
+
 def duplicate_surplus(df: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
     """One row: rows, distinct key tuples, surplus = rows - distinct.
 
     SQL semantics by default: tuples with a NULL part are not counted as
     distinct values, so they all count as surplus. ``null_safe`` counts
     each distinct tuple, NULLs included, once."""
-    cols = [F.col(k) for k in keys]
-    distinct = F.count_distinct(F.struct(*cols)) if null_safe else F.count_distinct(*cols)
-    return df.agg(F.count(F.lit(1)).alias("rows"), distinct.alias("distinct_keys")) \
-             .withColumn("surplus", F.col("rows") - F.col("distinct_keys"))
+    distinct = F.count(F.lit(1)) if null_safe else F.count_if("__whole")
+    return _per_key(df, keys).agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("rows"),
+                                  distinct.alias("distinct_keys")) \
+                             .withColumn("surplus", F.col("rows") - F.col("distinct_keys"))
 
 
 def duplicate_surplus_modes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Two rows (null_safe false / true) of ``duplicate_surplus`` from one
-    scan: both distinct counts share one aggregate."""
-    cols = [F.col(k) for k in keys]
-    one = df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(*cols).alias("__sql"),
-                 F.count_distinct(F.struct(*cols)).alias("__safe"))
+    scan and one shuffle: both distinct counts follow from the rows per key."""
+    one = _per_key(df, keys).agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("rows"),
+                                 F.count_if("__whole").alias("__sql"), F.count(F.lit(1)).alias("__safe"))
     modes = F.array(F.struct(F.lit(False).alias("null_safe"), F.col("__sql").alias("distinct_keys")),
                     F.struct(F.lit(True).alias("null_safe"), F.col("__safe").alias("distinct_keys")))
     return one.select("rows", F.inline(modes)).withColumn("surplus", F.col("rows") - F.col("distinct_keys"))
@@ -105,46 +113,39 @@ def missing_reference(df: DataFrame, column: str, ref: DataFrame, ref_column: st
     return values.join(known, "__v", "left_anti").agg(F.count(F.lit(1)).alias("missing"))
 
 
-def _fence_stats(df: DataFrame, column: str, fence: float, k: int) -> DataFrame:
-    v = to_double(F.col(column).cast("string"))
-    sk, kinds = sketch_row(df, {"__v": v}, k)
-    q1, q3 = (sketch_quantile("__v", p, kinds["__v"]) for p in (0.25, 0.75))
-    return sk.select(q1.alias("q1"), q3.alias("q3"), (q3 + F.lit(fence) * (q3 - q1)).alias("upper_fence"))
+def _fences(df: DataFrame, columns: Mapping[str, Column], fences: Mapping[str, float]) -> DataFrame:
+    """One row with a struct (q1, q3, upper_fence) per named column; all
+    quartiles come from one pass over the data."""
+    stats = quantile_stats(df, columns, [0.25, 0.75])
+    out = []
+    for n in columns:
+        q1, q3 = F.col(f"{n}__q0"), F.col(f"{n}__q1")
+        out.append(F.struct(q1.alias("q1"), q3.alias("q3"),
+                            (q3 + F.lit(fences[n]) * (q3 - q1)).alias("upper_fence")).alias(n))
+    return stats.select(*out)
 
 
-def iqr_fence(df: DataFrame, column: str, fence: float = 1.5, k: int = KLL_K) -> DataFrame:
-    """One row: q1, q3 and the upper fence q3 + fence * (q3 - q1) of a
-    column read tolerantly as double (quartiles from a tree-merged KLL
-    sketch)."""
-    return _fence_stats(df, column, fence, k)
+def _as_double(column: str) -> Column:
+    return to_double(F.col(column).cast("string"))
 
 
-def iqr_outliers(df: DataFrame, column: str, fence: float = 1.5, k: int = KLL_K) -> DataFrame:
-    """One row: q1, q3, fence and the number of rows strictly above it.
+def iqr_fence(df: DataFrame, column: str, fence: float = 1.5) -> DataFrame:
+    """One row: q1, q3 and the upper fence q3 + fence * (q3 - q1) of a
+    column read tolerantly as double (exact lower quartiles)."""
+    return _fences(df, {"__v": _as_double(column)}, {"__v": fence}).select("__v.*")
 
-    The statistics are one scalar subquery (a struct) evaluated once; the
-    fence is pushed into the scan filter, with no join against the
-    statistics row."""
-    st = _fence_stats(df, column, fence, k).select(F.struct("q1", "q3", "upper_fence")).scalar()
-    v = to_double(F.col(column).cast("string"))
-    above = df.filter(v > st["upper_fence"]).agg(F.count(F.lit(1)).alias("outliers"))
-    return above.select(st["q1"].alias("q1"), st["q3"].alias("q3"), st["upper_fence"].alias("upper_fence"),
-                        "outliers")
 
+def iqr_outliers(df: DataFrame, column: str, fence: float = 1.5) -> DataFrame:
+    """One row: q1, q3, fence and the number of rows strictly above it."""
+    return iqr_report(df, [column], fence).drop("column")
 
-def iqr_report(df: DataFrame, columns: Sequence[str], fence: float = 1.5, k: int = KLL_K) -> DataFrame:
+
+def iqr_report(df: DataFrame, columns: Sequence[str], fence: float = 1.5) -> DataFrame:
     """(column, q1, q3, upper_fence, outliers) for several columns of one
-    table: one sketch pass for every quartile (returned as one struct
-    subquery, evaluated once) and one pass counting the rows above each
-    fence."""
-    vals = {f"__c{i}": to_double(F.col(c).cast("string")) for i, c in enumerate(columns)}
-    sk, kinds = sketch_row(df, vals, k)
-    stats = []
-    for n in vals:
-        q1, q3 = (sketch_quantile(n, p, kinds[n]) for p in (0.25, 0.75))
-        stats.append(F.struct(q1.alias("q1"), q3.alias("q3"),
-                              (q3 + F.lit(fence) * (q3 - q1)).alias("upper_fence")).alias(n))
-    st = sk.select(F.struct(*stats)).scalar()
+    table: one pass for every quartile (returned as one struct subquery,
+    evaluated once) and one pass counting the rows above each fence."""
+    vals = {f"__c{i}": _as_double(c) for i, c in enumerate(columns)}
+    st = _fences(df, vals, dict.fromkeys(vals, fence)).select(F.struct(*vals)).scalar()
     flags = df.select(*[(vals[n] > st[n]["upper_fence"]).alias(n) for n in vals])
     counts = flags.agg(*[count_where(F.col(n)).alias(n) for n in vals])
     rows = F.array(*[F.struct(F.lit(c).alias("column"), st[n]["q1"].alias("q1"), st[n]["q3"].alias("q3"),
@@ -161,75 +162,65 @@ def _meta(rule: Rule, occurrences: Column) -> Column:
                     F.lit(rule.treatment).alias("treatment"))
 
 
-def _one_rule(rule: Rule, tables: Mapping[str, DataFrame]) -> DataFrame:
-    df = tables[rule.table]
-    if rule.kind == "duplicate_keys":
-        res, col = duplicate_keys(df, rule.keys), "keys_with_duplicates"
-    elif rule.kind == "missing_reference":
-        res, col = missing_reference(df, rule.column, tables[rule.ref_table], rule.ref_column), "missing"
-    else:
-        raise ValueError(f"unknown rule kind {rule.kind!r}")
-    return res.select(F.inline(F.array(_meta(rule, F.col(col)))))
+def _reference_rule(rule: Rule, tables: Mapping[str, DataFrame]) -> DataFrame:
+    res = missing_reference(tables[rule.table], rule.column, tables[rule.ref_table], rule.ref_column)
+    return res.select(F.inline(F.array(_meta(rule, F.col("missing")))))
 
 
-_PASS_KINDS = ("predicate", "surplus", "iqr_upper")
+_PASS_KINDS = ("predicate", "iqr_upper")
 
 
 def _table_pass(df: DataFrame, rules: Sequence[Rule]) -> list[DataFrame]:
-    """All row-level rules of one table in one aggregation pass; IQR rules
-    add a second pass that counts rows above the fences, which are scalar
-    subqueries over the first pass."""
-    exprs, plain, iqr = [], [], []
-    for i, r in enumerate(rules):
-        if r.kind == "predicate":
-            pred = r.predicate if isinstance(r.predicate, Column) else r.predicate()
-            exprs.append(count_where(pred).alias(f"__r{i}"))
-            plain.append((i, r))
-        elif r.kind == "surplus":
-            cols = [F.col(k) for k in r.keys]
-            distinct = F.count_distinct(F.struct(*cols)) if r.null_safe else F.count_distinct(*cols)
-            exprs.append((F.count(F.lit(1)) - distinct).alias(f"__r{i}"))
-            plain.append((i, r))
-        else:
-            iqr.append((i, r))
+    """All predicate rules of one table in one aggregation pass; IQR rules add
+    a pass for the quartiles of every IQR column and one that counts rows above
+    the fences, which are one scalar subquery."""
+    plain = [(i, r) for i, r in enumerate(rules) if r.kind == "predicate"]
+    iqr = [(i, r) for i, r in enumerate(rules) if r.kind == "iqr_upper"]
     out = []
     if plain:
-        first = df.agg(*exprs)
-        out.append(first.select(F.inline(F.array(*[_meta(r, F.col(f"__r{i}")) for i, r in plain]))))
+        exprs = [count_where(r.predicate if isinstance(r.predicate, Column) else r.predicate()).alias(f"__r{i}")
+                 for i, r in plain]
+        out.append(df.agg(*exprs).select(F.inline(F.array(*[_meta(r, F.col(f"__r{i}")) for i, r in plain]))))
     if iqr:
-        # one sketch pass for the quartiles of every IQR column of the table
-        vals = {f"__q{i}": to_double(F.col(r.column).cast("string")) for i, r in iqr}
-        sketches, kinds = sketch_row(df, vals)
-        fences = []
-        for i, r in iqr:
-            name = f"__q{i}"
-            q1, q3 = (sketch_quantile(name, p, kinds[name]) for p in (0.25, 0.75))
-            fences.append((q3 + F.lit(r.fence) * (q3 - q1)).alias(name))
-        # every fence from one scalar subquery (a struct), evaluated once
-        fence = sketches.select(F.struct(*fences)).scalar()
-        flags = [(vals[f"__q{i}"] > fence[f"__q{i}"]).alias(f"__f{i}") for i, _ in iqr]
-        # flags are projected first: the fence subquery is not allowed inside
-        # an aggregate argument (its sketch buckets use the partition id)
-        second = df.select(*flags).agg(*[count_where(F.col(f"__f{i}")).alias(f"__o{i}") for i, _ in iqr])
-        out.append(second.select(F.inline(F.array(*[_meta(r, F.col(f"__o{i}")) for i, r in iqr]))))
+        vals = {f"__q{i}": _as_double(r.column) for i, r in iqr}
+        st = _fences(df, vals, {f"__q{i}": r.fence for i, r in iqr}).select(F.struct(*vals)).scalar()
+        flags = [(vals[n] > st[n]["upper_fence"]).alias(n) for n in vals]
+        above = df.select(*flags).agg(*[count_where(F.col(n)).alias(n) for n in vals])
+        out.append(above.select(F.inline(F.array(*[_meta(r, F.col(f"__q{i}")) for i, r in iqr]))))
     return out
 
 
+def _key_pass(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Surplus and duplicate-key rules over the same keys of one table, from
+    one count of the rows per key."""
+    measures = {"duplicate_keys": F.count_if(F.col("__n") > 1),
+                "surplus": F.coalesce(F.sum("__n"), F.lit(0)) - F.count_if("__whole"),
+                "surplus_safe": F.coalesce(F.sum("__n"), F.lit(0)) - F.count(F.lit(1))}
+    which = [r.kind + "_safe" * (r.kind == "surplus" and r.null_safe) for r in rules]
+    one = _per_key(df, rules[0].keys).agg(*[measures[w].alias(w) for w in dict.fromkeys(which)])
+    return one.select(F.inline(F.array(*[_meta(r, F.col(w)) for r, w in zip(rules, which)])))
+
+
 def run_rules(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
     """Evaluate ``rules`` -> (dimension, table, check, occurrences, treatment).
 
-    Row-level rules (predicates, key surplus, IQR fences) of one table
-    share one scan and one aggregate (plus one scan for outlier counts);
-    duplicate-key and reference rules get their own small plan."""
+    Predicates and IQR fences of one table share passes, key rules share one
+    count per key tuple, reference rules get their own small plan."""
     frames: list[DataFrame] = []
     by_table: dict[str, list[Rule]] = {}
+    by_key: dict[tuple, list[Rule]] = {}
     for r in rules:
         if r.kind in _PASS_KINDS:
             by_table.setdefault(r.table, []).append(r)
+        elif r.kind in ("surplus", "duplicate_keys"):
+            by_key.setdefault((r.table, r.keys), []).append(r)
+        elif r.kind == "missing_reference":
+            frames.append(_reference_rule(r, tables))
         else:
-            frames.append(_one_rule(r, tables))
+            raise ValueError(f"unknown rule kind {r.kind!r}")
     for table, rs in by_table.items():
         frames.extend(_table_pass(tables[table], rs))
+    frames += [_key_pass(tables[table], rs) for (table, _), rs in by_key.items()]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

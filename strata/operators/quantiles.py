@@ -1,98 +1,107 @@
-"""Quantiles per group with KLL sketches merged in a two-level tree.
-
-``percentile_approx`` is mergeable, but its final step merges the partial
-sketch of every map partition in one task per group; for a global (or a
-hot) group on a large table that is thousands of large sketches in one
-task. Here:
-
-1. every map partition builds one KLL sketch per group, tagged with a
-   bucket ``spark_partition_id() mod fan_in`` (partial + final
-   ``kll_sketch_agg`` per (group, bucket));
-2. the bucket sketches of a group are merged (``kll_merge_agg``): at most
-   ``fan_in`` small sketches per group.
-
-A KLL sketch holds O(k) items whatever the input size (at k = 65535 about
-1-2 MB), and while a sketch has seen at most k items it stores them all,
-so the quantile is exact (the smallest value whose cumulative share is at
-least p, the lower quantile) on inputs of up to k rows per group. Integral
-columns keep their type (bigint sketches), other columns use doubles.
+"""Exact, repeatable quantiles from counts of distinct values.
+
+1. Rows per (group, column, value): a partial and a final hash aggregate, so
+   a value or group holding a large share of the rows costs one counter per
+   map partition. All columns of a call share this one pass over the data.
+2. Coarse buckets that keep the order of the values (steps of 1/4096 of an
+   octave) are counted per group; a running sum over the buckets finds the
+   bucket that holds each wanted rank. There are at most a few thousand
+   buckets per octave of values, whatever the number of rows.
+3. Inside that bucket only, a running sum over the distinct values gives the
+   smallest value whose cumulative share is at least p (the lower quantile).
+
+No step depends on the order of rows or partitions, so two runs agree. Count,
+minimum, maximum and sum of each column come from the same buckets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
+from pyspark.sql.window import Window
 
-KLL_K = 65535
-DEFAULT_FAN_IN = 256
-_B, _S, _V, _N = "__bucket", "__sketch", "__value", "__n"
+_KEY, _NAME, _V, _N, _K = "__key", "__name", "__value", "__n", "__bucket"
 _INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
-
-
-def _kind(df: DataFrame, value: Column) -> str:
-    dtype = df.select(value.alias(_V)).schema[_V].dataType
-    return "bigint" if isinstance(dtype, _INTEGRAL) else "double"
-
-
-def quantile_sketches(df: DataFrame, value: Column | str, group_by: Sequence[str] = (), k: int = KLL_K,
-                      fan_in: int = DEFAULT_FAN_IN) -> tuple[DataFrame, str]:
-    """(group_by..., __sketch) with one merged KLL sketch per group, and the
-    sketch kind ('bigint' or 'double'). NULL values are ignored."""
-    v = F.col(value) if isinstance(value, str) else value
-    kind = _kind(df, v)
-    v = v.cast("bigint") if kind == "bigint" else v.cast("double")
-    agg = F.kll_sketch_agg_bigint if kind == "bigint" else F.kll_sketch_agg_double
-    merge = F.kll_merge_agg_bigint if kind == "bigint" else F.kll_merge_agg_double
-    keys = list(group_by)
-    tagged = df.select(*keys, F.pmod(F.spark_partition_id(), F.lit(fan_in)).alias(_B), v.alias(_V))
-    level1 = tagged.groupBy(*keys, _B).agg(agg(_V, k).alias(_S), F.count(_V).alias(_S + _N))
-    merged = level1.groupBy(*keys).agg(merge(_S, k).alias(_S), F.sum(_S + _N).alias(_S + _N))
-    return merged, kind
-
-
-def sketch_quantile(sketch: str, p: float, kind: str) -> Column:
-    """Quantile ``p`` of the sketch column ``sketch``; NULL when the sketch
-    saw no value (its companion count column is 0)."""
-    s = F.col(sketch)
-    q = (F.kll_sketch_get_quantile_bigint if kind == "bigint" else F.kll_sketch_get_quantile_double)(s, F.lit(p))
-    return F.when(F.col(sketch + _N) > 0, q)
+_STEPS = 4096
+#: beyond every bucket of a finite double
+_FAR = 1 << 40
+
+
+def _coarse(v: Column) -> Column:
+    """A long that never decreases as the double ``v`` grows."""
+    size = F.abs(v)
+    step = F.floor(F.log2(size) * _STEPS) + 2048 * _STEPS
+    bounded = F.when(size == float("inf"), F.lit(_FAR)).otherwise(step)
+    return (F.when(F.isnan(v), F.lit(2 * _FAR)).when(v == 0, F.lit(0))
+            .when(v > 0, bounded).otherwise(-bounded)).cast("long")
+
+
+def _counts(df: DataFrame, values: Mapping[str, Column], group_by: Sequence[str]) -> DataFrame:
+    key = F.struct(*[F.col(g) for g in group_by]) if group_by else F.lit(0)
+    # adding 0.0 makes -0.0 and 0.0 one value
+    pairs = F.array(*[F.struct(F.lit(n).alias(_NAME), (c.cast("double") + F.lit(0.0)).alias(_V))
+                      for n, c in values.items()])
+    long = df.select(key.alias(_KEY), F.inline(pairs)).filter(F.col(_V).isNotNull())
+    per_value = long.groupBy(_KEY, _NAME, _V).agg(F.count(F.lit(1)).alias(_N))
+    return per_value.withColumn(_K, _coarse(F.col(_V)))
+
+
+def _long_quantiles(counts: DataFrame, buckets: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """(key, name, p, value)."""
+    group = Window.partitionBy(_KEY, _NAME)
+    running = group.orderBy(_K).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranks = F.array(*[F.struct(F.lit(i).alias("p"), F.lit(str(p)).cast("decimal(20,18)").alias("share"))
+                      for i, p in enumerate(probs)])
+    b = buckets.select(_KEY, _NAME, _K, _N, F.sum(_N).over(running).alias("upto"), F.sum(_N).over(group).alias("total"))
+    b = b.select("*", F.inline(ranks)).withColumn(
+        "rank", F.greatest(F.ceil(F.col("share") * F.col("total")).cast("long"), F.lit(1).cast("long")))
+    wanted = b.filter((F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col(_N))).select(
+        F.col(_KEY).alias("__k"), F.col(_NAME).alias("__m"), F.col(_K).alias("__b"), "p",
+        (F.col("rank") - F.col("upto") + F.col(_N)).alias("rank"))
+    # null-safe keys keep both uses of the counts alike, so their shuffle is reused
+    inside = counts.join(wanted, counts[_KEY].eqNullSafe(wanted["__k"]) & counts[_NAME].eqNullSafe(wanted["__m"])
+                         & counts[_K].eqNullSafe(wanted["__b"]))
+    running = Window.partitionBy(_KEY, _NAME, "p").orderBy(_V).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = inside.select(_KEY, _NAME, "p", "rank", _V, F.sum(_N).over(running).alias("upto"))
+    return inside.filter("upto >= rank").groupBy(_KEY, _NAME, "p").agg(F.min(_V).alias("value"))
+
+
+def quantile_stats(df: DataFrame, values: Mapping[str, Column], probs: Sequence[float],
+                   group_by: Sequence[str] = ()) -> DataFrame:
+    """One row per group (one row in all without ``group_by``) and, per named
+    column, ``<name>__n``, ``__min``, ``__max``, ``__sum`` and ``__q0``,
+    ``__q1``, ... as doubles; NULL values are ignored. A group without any
+    value is left out, the single row without groups is always there."""
+    counts = _counts(df, values, group_by)
+    buckets = counts.groupBy(_KEY, _NAME, _K).agg(
+        F.sum(_N).alias(_N), F.min(_V).alias("lo"), F.max(_V).alias("hi"), F.sum(F.col(_V) * F.col(_N)).alias("sum"))
+    parts = []
+    for n in values:
+        mine = F.col(_NAME) == n
+        parts += [F.coalesce(F.sum(F.when(mine, F.col(_N))), F.lit(0)).alias(f"{n}__n"),
+                  F.min(F.when(mine, F.col("lo"))).alias(f"{n}__min"), F.max(F.when(mine, F.col("hi"))).alias(f"{n}__max"),
+                  F.sum(F.when(mine, F.col("sum"))).alias(f"{n}__sum")]
+    found = _long_quantiles(counts, buckets, probs)
+    picks = [F.max(F.when((F.col(_NAME) == n) & (F.col("p") == i), F.col("value"))).alias(f"{n}__q{i}")
+             for n in values for i in range(len(probs))]
+    if not group_by:
+        q = found.agg(F.struct(*picks).alias("q")).scalar()
+        one = buckets.agg(*parts)
+        return one.select("*", *[q[f"{n}__q{i}"].alias(f"{n}__q{i}") for n in values for i in range(len(probs))])
+    moments, quant = buckets.groupBy(_KEY).agg(*parts), found.groupBy(F.col(_KEY).alias("__k")).agg(*picks)
+    return moments.join(quant, moments[_KEY].eqNullSafe(quant["__k"])).drop("__k").select(f"{_KEY}.*", *[
+        c for c in (*moments.columns, *quant.columns) if c not in (_KEY, "__k")])
 
 
 def quantiles(df: DataFrame, value: Column | str, probs: Sequence[float], group_by: Sequence[str] = (),
-              names: Sequence[str] | None = None, k: int = KLL_K, fan_in: int = DEFAULT_FAN_IN,
-              cast: str | None = None) -> DataFrame:
-    """(group_by..., one column per probability) from a two-level sketch
-    merge. ``cast`` sets the output type (e.g. the input's own type)."""
-    sk, kind = quantile_sketches(df, value, group_by, k, fan_in)
+              names: Sequence[str] | None = None, cast: str | None = None) -> DataFrame:
+    """(group_by..., one column per probability). Integral columns give longs;
+    ``cast`` sets another output type. Groups without values are left out."""
+    v = F.col(value) if isinstance(value, str) else value
+    kind = cast or ("long" if isinstance(df.select(v.alias(_V)).schema[_V].dataType, _INTEGRAL) else "double")
     names = list(names) if names else [f"q{p}" for p in probs]
-    cols = []
-    for p, name in zip(probs, names):
-        q = sketch_quantile(_S, p, kind)
-        cols.append((q.cast(cast) if cast else q).alias(name))
-    return sk.select(*group_by, *cols)
-
-
-def sketch_row(df: DataFrame, values: dict[str, Column], k: int = KLL_K, fan_in: int = DEFAULT_FAN_IN,
-               moments: bool = False) -> tuple[DataFrame, dict[str, str]]:
-    """One row with one merged sketch per named value column plus its
-    non-NULL count (``<name>__n``); all columns share one scan and the same
-    two-level merge. With ``moments`` the same pass also yields
-    ``<name>__min``, ``<name>__max`` and ``<name>__sum`` (as doubles)."""
-    kinds = {n: _kind(df, c) for n, c in values.items()}
-    cols = [(c.cast("bigint") if kinds[n] == "bigint" else c.cast("double")).alias(n) for n, c in values.items()]
-    tagged = df.select(F.pmod(F.spark_partition_id(), F.lit(fan_in)).alias(_B), *cols)
-    agg = {"bigint": F.kll_sketch_agg_bigint, "double": F.kll_sketch_agg_double}
-    merge = {"bigint": F.kll_merge_agg_bigint, "double": F.kll_merge_agg_double}
-    first = [agg[kinds[n]](n, k).alias(n) for n in values] + [F.count(n).alias(n + _N) for n in values]
-    second = [merge[kinds[n]](n, k).alias(n) for n in values] + [F.sum(n + _N).alias(n + _N) for n in values]
-    if moments:
-        for n in values:
-            d = F.col(n).cast("double")
-            first += [F.min(d).alias(n + "__min"), F.max(d).alias(n + "__max"), F.sum(d).alias(n + "__sum")]
-            second += [F.min(n + "__min").alias(n + "__min"), F.max(n + "__max").alias(n + "__max"),
-                       F.sum(n + "__sum").alias(n + "__sum")]
-    level1 = tagged.groupBy(_B).agg(*first)
-    return level1.agg(*second), kinds
+    stats = quantile_stats(df, {"__x": v}, probs, group_by)
+    return stats.select(*group_by, *[F.col(f"__x__q{i}").cast(kind).alias(n) for i, n in enumerate(names)])

@@ -10,12 +10,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.aggregates import avg_rounded, pct_where, ratio_pct, safe_corr
 from ..functions.columns import bucketize, round_half_up
 from ..operators.metrics import frequency, share_of_total, top_k
-from ..operators.quantiles import quantiles
-from ..operators.skew import salted_join
 
 # Fixed values of the retail model.
 EXCLUDED_STATUSES = ("canceled", "unavailable")
@@ -36,11 +35,13 @@ def _sold(fact: DataFrame) -> DataFrame:
 
 def revenue_by_category(fact: DataFrame, products: DataFrame, k: int = 10) -> DataFrame:
     """Top-k categories by revenue (item price, no freight): revenue,
-    distinct orders and share of the revenue of *all* categories."""
-    j = salted_join(_sold(fact).select("product_id", "order_id", "item_price"),
-                    products.select("product_id", "category"), ["product_id"])
-    g = j.groupBy("category").agg(F.sum("item_price").alias("revenue"),
-                                  F.count_distinct("order_id").alias("orders"))
+    distinct orders and share of the revenue of *all* categories, largest
+    first."""
+    j = _sold(fact).select("product_id", "order_id", "item_price").join(
+        products.select("product_id", "category"), "product_id")
+    # one row per (category, order), from which both measures follow
+    per_order = j.groupBy("category", "order_id").agg(F.sum("item_price").alias("value"))
+    g = per_order.groupBy("category").agg(F.sum("value").alias("revenue"), F.count("order_id").alias("orders"))
     g = share_of_total(g, "revenue", "pct_revenue", 2)
     best = top_k(g, k, [F.col("revenue").desc(), F.col("category").asc()])
     return best.select("category", F.col("revenue").cast("decimal(22,2)").alias("revenue"),
@@ -50,14 +51,14 @@ def revenue_by_category(fact: DataFrame, products: DataFrame, k: int = 10) -> Da
 def monthly_top_categories(fact: DataFrame, products: DataFrame, dates: DataFrame, k: int = 5,
                            start: str = "1996-01-01", end: str = "1999-12-31") -> DataFrame:
     """Monthly revenue of the top-k categories (ranked over all time)
-    between ``start`` and ``end``.
+    between ``start`` and ``end``, ordered by month, then revenue.
 
-    The facts are scanned and shuffled once: revenue per (category, day)
-    is a small intermediate (categories x days) that feeds both the
+    The facts are reduced to (product, day) before they meet the products, so
+    no product is hot in that join. Revenue per (category, day) feeds both the
     ranking and the monthly series, and its shuffle is reused."""
-    j = salted_join(_sold(fact).select("product_id", "purchase_date_key", "item_price"),
-                    products.select("product_id", "category"), ["product_id"])
-    daily = j.groupBy("category", "purchase_date_key").agg(F.sum("item_price").alias("revenue"))
+    per_day = _sold(fact).groupBy("product_id", "purchase_date_key").agg(F.sum("item_price").alias("value"))
+    j = per_day.join(products.select("product_id", "category"), "product_id")
+    daily = j.groupBy("category", "purchase_date_key").agg(F.sum("value").alias("revenue"))
     ranked = daily.groupBy("category").agg(F.sum("revenue").alias("total"))
     best = top_k(ranked, k, [F.col("total").desc(), F.col("category").asc()]).select("category")
     window = dates.filter(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))) \
@@ -71,7 +72,8 @@ def monthly_top_categories(fact: DataFrame, products: DataFrame, dates: DataFram
     m = daily.join(best, daily["category"].eqNullSafe(best["__best"])).drop("__best") \
              .join(window, daily["purchase_date_key"].eqNullSafe(window["date_key"]))
     out = m.groupBy("year_month", "category").agg(F.sum("revenue").alias("revenue"))
-    return out.select("year_month", "category", F.col("revenue").cast("decimal(22,2)").alias("revenue"))
+    return out.select("year_month", "category", F.col("revenue").cast("decimal(22,2)").alias("revenue")) \
+              .orderBy("year_month", F.col("revenue").desc(), "category")
 
 
 def _delivered_reviewed_orders(fact: DataFrame) -> DataFrame:
@@ -90,7 +92,7 @@ def delay_vs_score(fact: DataFrame) -> DataFrame:
     return o.groupBy(band.alias("delay_band")).agg(
         F.count(F.lit(1)).alias("orders"),
         avg_rounded("review_score", 2).alias("mean_score"),
-        pct_where(F.col("review_score") <= 2, 1).alias("pct_low_scores"))
+        pct_where(F.col("review_score") <= 2, 1).alias("pct_low_scores")).orderBy("delay_band")
 
 
 def delay_score_corr(fact: DataFrame) -> DataFrame:
@@ -103,37 +105,47 @@ def delivery_by_state(fact: DataFrame, customers: DataFrame) -> DataFrame:
     """Per customer state and region: delivered orders, mean and median
     lead time, % late, freight as % of goods value.
 
-    Items are first reduced to orders (grouped by order and customer),
-    then the customer dimension is joined to the much smaller order set
-    (salted, so a customer with a large share of the orders is split)."""
+    Items are first reduced to orders (grouped by order and customer), then
+    orders to (customer, lead time): one counted row for each, so no customer
+    is hot in the join with the customer dimension. Means, shares and the
+    median all follow from counted rows. Slowest states come first."""
     delivered = fact.filter((F.col("order_status") == DELIVERED) & F.col("delivered_at").isNotNull())
     per_order = delivered.groupBy("order_id", "customer_id").agg(
         F.max("lead_time_days").alias("lead_time_days"),
         F.max(F.when(F.col("is_late"), F.lit(1)).otherwise(F.lit(0))).alias("late"),
         F.sum("item_price").alias("goods_value"),
         F.sum("freight_value").alias("freight_value"))
-    j = salted_join(per_order, customers.select("customer_id", "state", "region"), ["customer_id"])
-    g = j.groupBy("state", "region").agg(
-        F.count(F.lit(1)).alias("orders"),
-        avg_rounded("lead_time_days", 1).alias("mean_lead_days"),
-        round_half_up(F.avg(F.col("late").cast("double")) * 100.0, 1).alias("pct_late"),
+    per_customer = per_order.groupBy("customer_id", "lead_time_days").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("late").alias("late"), F.sum("goods_value").alias("goods_value"),
+        F.sum("freight_value").alias("freight_value"))
+    j = per_customer.join(customers.select("customer_id", "state", "region"), "customer_id")
+    per_lead = j.groupBy("state", "region", "lead_time_days").agg(
+        F.sum("n").alias("n"), F.sum("late").alias("late"), F.sum("goods_value").alias("goods_value"),
+        F.sum("freight_value").alias("freight_value"))
+    # the lead times of a state, with their counts: a row per day of delay
+    by_state = Window.partitionBy("state", "region")
+    upto = F.sum(F.when(F.col("lead_time_days").isNotNull(), F.col("n"))).over(
+        by_state.orderBy(F.col("lead_time_days").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0))
+    known = F.sum(F.when(F.col("lead_time_days").isNotNull(), F.col("n"))).over(by_state)
+    per_lead = per_lead.withColumn("middle", F.when(upto * 2 >= known, F.col("lead_time_days")))
+    days = F.col("lead_time_days") * F.col("n")
+    g = per_lead.groupBy("state", "region").agg(
+        F.sum("n").alias("orders"),
+        round_half_up(F.sum(days) / F.sum(F.when(F.col("lead_time_days").isNotNull(), F.col("n"))), 1).alias("mean_lead_days"),
+        F.min("middle").cast("int").alias("median_lead_days"),
+        round_half_up(F.sum("late") * F.lit(100.0) / F.sum("n"), 1).alias("pct_late"),
         ratio_pct("freight_value", "goods_value", 1).alias("freight_pct_of_value"))
-    # medians from tree-merged sketches: a state with a large share of the
-    # orders never merges every partition's sketch in one task
-    med = quantiles(j, "lead_time_days", [0.5], ["state", "region"], ["median_lead_days"], cast="int") \
-        .withColumnRenamed("state", "__st").withColumnRenamed("region", "__rg")
-    cond = g["state"].eqNullSafe(med["__st"]) & g["region"].eqNullSafe(med["__rg"])
-    return g.join(med, cond, "left").select("state", "region", "orders", "mean_lead_days", "median_lead_days",
-                                            "pct_late", "freight_pct_of_value")
+    return g.select("state", "region", "orders", "mean_lead_days", "median_lead_days", "pct_late",
+                    "freight_pct_of_value").orderBy(F.col("mean_lead_days").desc(), "state", "region")
 
 
 def payment_mix(payments: DataFrame) -> DataFrame:
-    g = payments.filter(F.col("payment_type") != UNDEFINED_PAYMENT).groupBy("payment_type").agg(
-        F.count_distinct("order_id").alias("orders"),
-        F.sum("payment_value").alias("total_value"))
+    per_order = payments.filter(F.col("payment_type") != UNDEFINED_PAYMENT).groupBy("payment_type", "order_id").agg(
+        F.sum("payment_value").alias("value"))
+    g = per_order.groupBy("payment_type").agg(F.count("order_id").alias("orders"), F.sum("value").alias("total_value"))
     g = share_of_total(g, "total_value", "pct_of_value", 1)
     return g.select("payment_type", "orders", F.col("total_value").cast("decimal(22,2)").alias("total_value"),
-                    "pct_of_value")
+                    "pct_of_value").orderBy(F.col("total_value").desc(), "payment_type")
 
 
 def instalments_by_value_band(payments: DataFrame) -> DataFrame:
@@ -147,11 +159,13 @@ def instalments_by_value_band(payments: DataFrame) -> DataFrame:
     return card.groupBy(band.alias("value_band")).agg(
         F.count(F.lit(1)).alias("card_orders"),
         avg_rounded("card_installments", 1).alias("mean_installments"),
-        pct_where(F.col("card_installments") > 1, 1).alias("pct_in_installments"))
+        pct_where(F.col("card_installments") > 1, 1).alias("pct_in_installments")).orderBy("value_band")
 
 
 def domain_frequency(orders_raw: DataFrame, payments_raw: DataFrame, customers_raw: DataFrame) -> DataFrame:
-    """Observed domain of the categorical landing columns."""
+    """Observed domains of the categorical landing columns, each by
+    descending frequency."""
     return frequency(orders_raw, "order_status") \
         .unionByName(frequency(payments_raw, "payment_type")) \
-        .unionByName(frequency(customers_raw, "customer_state"))
+        .unionByName(frequency(customers_raw, "customer_state")) \
+        .orderBy("domain", F.col("n").desc(), "value")
