@@ -15,8 +15,6 @@ Spark semantics that DuckDB does not share are spelled out:
 
 from __future__ import annotations
 
-from strata.plans.dictionary import GOLD_DICTIONARY
-from strata.plans.quality_rules import landing_rules
 from strata.sources.landing import LANDING_SQL, state_region_map, translation_rows
 
 D = "CAST(100 AS DOUBLE)"
@@ -72,7 +70,7 @@ def region_case(x):
 
 
 def dedup(src, cols, keys, order=()):
-    rest = [f"{c} ASC NULLS FIRST" for c in cols if c not in keys]
+    rest = [f"{c} ASC NULLS FIRST" for c in sorted(cols) if c not in keys]
     order_by = ", ".join(list(order) + rest)
     return (f"SELECT {', '.join(cols)} FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(keys)} "
             f"ORDER BY {order_by}) AS rn__ FROM ({src}) t__) q__ WHERE rn__ = 1")
@@ -111,6 +109,7 @@ LANDING_COLUMNS = {
                    "product_width_cm"],
     "b_geolocation": ["geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng", "geolocation_city",
                       "geolocation_state"],
+    "b_translation": ["product_category_name", "product_category_name_english"],
 }
 
 # ---------------------------------------------------------------- silver
@@ -413,7 +412,10 @@ _ORPHAN_SQL = "\nUNION ALL\n".join(
     f"SELECT '{c}' AS \"table\", 'rows without match in {p} ({k})' AS \"check\", COUNT(*) AS violations, "
     f"'warn' AS severity FROM {cv} c WHERE NOT EXISTS (SELECT 1 FROM {pv} p WHERE p.{k} = c.{k})"
     for c, cv, p, pv, k in _ORPHANS)
-Q["check_unique"] = _UNIQUE_SQL
+Q["check_unique"] = _UNIQUE_SQL + "\nUNION ALL\n" + "\nUNION ALL\n".join(
+    f"SELECT 'bronze.{t}' AS \"table\", 'unique {','.join(k)}' AS \"check\", "
+    f"COUNT(*) - COUNT(DISTINCT row({', '.join(k)})) AS violations, 'warn' AS severity FROM {v.replace('s_', 'b_', 1)}"
+    for t, v, k in _UNIQUE)
 Q["check_orphans"] = _ORPHAN_SQL
 Q["integrity_report"] = _UNIQUE_SQL + "\nUNION ALL\n" + _ORPHAN_SQL
 
@@ -438,7 +440,7 @@ Q["fact_payments"] = "SELECT * FROM g_fact_payments"
 
 _PROFILED = {"customers": "b_customers", "sellers": "b_sellers", "orders": "b_orders",
              "order_items": "b_items", "order_payments": "b_payments", "order_reviews": "b_reviews",
-             "products": "b_products", "geolocation": "b_geolocation"}
+             "products": "b_products", "geolocation": "b_geolocation", "category_translation": "b_translation"}
 
 
 def _profile_sql(table, view):
@@ -453,6 +455,8 @@ def _profile_sql(table, view):
 
 
 Q["column_profile"] = "\nUNION ALL\n".join(_profile_sql(t, v) for t, v in _PROFILED.items())
+Q["column_profile_approx"] = (f"SELECT \"table\", \"column\", total_rows, null_or_blank, pct_null, "
+                              f"TRUE AS distinct_within_bound FROM ({Q['column_profile']}) p")
 
 
 def _dist_sql(label, view, col):
@@ -489,7 +493,7 @@ Q["iqr_outliers"] = "\nUNION ALL\n".join([
     _iqr_sql("order_items", "b_items", "price"), _iqr_sql("order_items", "b_items", "freight_value"),
     _iqr_sql("order_payments", "b_payments", "payment_value"), _iqr_sql("events", "events", "value")])
 
-# The 23 rule counts, in the order of ``landing_rules()``.
+# The 23 rule counts, in the order of ``_RULE_NAMES``.
 _RULE_COUNTS = [
     "SELECT COUNT(*) - COUNT(DISTINCT order_id) FROM b_orders",
     "SELECT COUNT(*) - COUNT(DISTINCT customer_id) FROM b_customers",
@@ -530,12 +534,37 @@ def _lit(s):
     return "'" + s.replace("'", "''") + "'"
 
 
+_RULE_NAMES = [
+    ("uniqueness", "orders", "surplus rows by order_id", "one row per key"),
+    ("uniqueness", "customers", "surplus rows by customer_id", "one row per key"),
+    ("uniqueness", "products", "surplus rows by product_id", "one row per key"),
+    ("uniqueness", "sellers", "surplus rows by seller_id", "one row per key"),
+    ("uniqueness", "order_items", "surplus rows by order_id + order_item_id", "one row per key"),
+    ("uniqueness", "order_reviews", "order_id with several reviews", "newest valid review"),
+    ("uniqueness", "geolocation", "surplus rows by all columns", "not read further"),
+    ("completeness", "orders", "delivered, order_delivered_customer_date absent", "no delivery measures"),
+    ("completeness", "products", "product_category_name absent", "set to sem_categoria"),
+    ("completeness", "order_reviews", "review_comment_message absent", "kept"),
+    ("consistency", "orders", "order_purchase_timestamp unreadable", "set to NULL"),
+    ("consistency", "orders", "order_delivered_customer_date before order_purchase_timestamp", "set to NULL"),
+    ("consistency", "customers", "customer_zip_code_prefix not of length 5", "padded with zeros"),
+    ("consistency", "products", "product_category_name not in category_translation", "original name"),
+    ("accuracy", "order_items", "price is 0 or less", "kept"),
+    ("accuracy", "order_items", "freight_value below 0", "kept"),
+    ("accuracy", "order_reviews", "review_score not within 1 to 5", "row dropped"),
+    ("accuracy", "order_payments", "payment_installments is 0", "raised to 1"),
+    ("accuracy", "order_payments", "payment_type is not_defined", "left out of reports"),
+    ("accuracy", "products", "product_weight_g is 0", "set to NULL"),
+    ("accuracy", "geolocation", "coordinates outside the box", "not read further"),
+    ("outliers", "order_items", "price beyond the upper fence", "kept"),
+    ("outliers", "order_items", "freight_value beyond the upper fence", "kept"),
+]
+
+
 def _dq_sql():
-    rules = landing_rules()
-    assert len(rules) == len(_RULE_COUNTS) == 23
-    parts = [f"SELECT {_lit(r.dimension)} AS dimension, {_lit(r.table)} AS \"table\", {_lit(r.check)} AS \"check\", "
-             f"CAST(({sql}) AS BIGINT) AS occurrences, {_lit(r.treatment)} AS treatment"
-             for r, sql in zip(rules, _RULE_COUNTS)]
+    parts = [f"SELECT {_lit(d)} AS dimension, {_lit(t)} AS \"table\", {_lit(c)} AS \"check\", "
+             f"CAST(({sql}) AS BIGINT) AS occurrences, {_lit(r)} AS treatment"
+             for (d, t, c, r), sql in zip(_RULE_NAMES, _RULE_COUNTS, strict=True)]
     return "\nUNION ALL\n".join(parts)
 
 
@@ -556,9 +585,7 @@ Q["load_summary"] = "\nUNION ALL\n".join(f"SELECT '{t}' AS \"table\", COUNT(*) A
                                          for t, v in _PROFILED.items())
 Q["src_csv_roundtrip"] = "SELECT * FROM s_orders"
 Q["src_provenance"] = "\nUNION ALL\n".join(
-    f"SELECT '{t}' AS source, COUNT(*) AS \"rows\" FROM {v}"
-    for t, v in [("customers", "b_customers"), ("sellers", "b_sellers"), ("orders", "b_orders"),
-                 ("order_items", "b_items")])
+    f"SELECT '{t}' AS source, COUNT(*) AS \"rows\" FROM {v}" for t, v in _PROFILED.items())
 Q["stream_ingest"] = "SELECT * FROM s_orders"
 _RUN_TABLES = (
     [("bronze", n, v) for n, v in [("customers", "b_customers"), ("sellers", "b_sellers"), ("orders", "b_orders"),
@@ -573,33 +600,124 @@ _RUN_TABLES = (
                                    ("dim_product", "g_dim_product"), ("dim_date", "g_dim_date"),
                                    ("fact_order_items", "g_fact_items"), ("fact_payments", "g_fact_payments")]])
 Q["medallion_run"] = "\nUNION ALL\n".join(
-    f"SELECT 'strata_{layer}.{name}' AS \"table\", COUNT(*) AS \"rows\" FROM {view}" for layer, name, view in _RUN_TABLES)
-Q["src_manifest"] = "SELECT 'geolocation.parquet' AS file_name"
+    f"SELECT '{layer}.{name}' AS \"table\", COUNT(*) AS \"rows\" FROM {view}" for layer, name, view in _RUN_TABLES)
+Q["medallion_csv"] = "\nUNION ALL\n".join([
+    f"SELECT 'rule' AS part, \"table\" AS item, \"check\" AS name, occurrences AS n FROM ({Q['dq_checks']}) a",
+    f"SELECT 'integrity', \"table\", \"check\", violations FROM ({Q['integrity_report']}) b",
+    f"SELECT 'domain', domain, value, n FROM ({Q['domain_frequency']}) c",
+    f"SELECT 'revenue', category, CAST(revenue AS VARCHAR), orders FROM ({Q['revenue_by_category']}) d"] + [
+    f"SELECT 'source', '{layer}.{name}', {_lit(name + '.csv') if layer == 'bronze' else 'NULL'}, COUNT(*) FROM {view}"
+    for layer, name, view in _RUN_TABLES])
 Q["sink_overwrite"] = "SELECT * FROM s_sellers"
 
-_GOLD_TYPES = {
-    "dim_customer": ["string"] * 6,
-    "dim_seller": ["string"] * 5,
-    "dim_product": ["string", "string", "string", "int", "int", "int", "int", "int"],
-    "dim_date": ["int", "date", "int", "int", "int", "string", "int", "boolean"],
-    "fact_order_items": ["string", "int", "string", "string", "string", "int", "string", "timestamp_ntz",
-                         "timestamp_ntz", "timestamp_ntz", "int", "int", "decimal(12,2)", "decimal(12,2)",
-                         "decimal(13,2)", "int", "boolean"],
-    "fact_payments": ["string", "int", "string", "int", "string", "int", "decimal(12,2)"],
-}
-
-
-def _dictionary_sql():
-    rows = []
-    for table in sorted(GOLD_DICTIONARY):
-        cols = [c for c in GOLD_DICTIONARY[table] if c != "_table"]
-        for pos, (col, typ) in enumerate(zip(cols, _GOLD_TYPES[table]), start=1):
-            rows.append(f"({_lit(table)}, {pos}, {_lit(col)}, {_lit(typ)}, {_lit(GOLD_DICTIONARY[table][col])})")
-    return ("SELECT * FROM (VALUES " + ",\n".join(rows) +
-            ") v(\"table\", \"position\", \"column\", data_type, \"comment\")")
-
-
-Q["catalog_dictionary"] = _dictionary_sql()
+# the documented gold columns: table, position, column, type, comment
+_GOLD_COLUMNS = [
+    ("dim_customer", 1, "customer_id", "string",
+     "Key. From bronze.customers.customer_id > silver.customers.customer_id (trimmed text)."),
+    ("dim_customer", 2, "customer_unique_id", "string",
+     "The person, who may stand behind several keys. From bronze.customers.customer_unique_id > silver.customers.customer_unique_id (trimmed text)."),
+    ("dim_customer", 3, "region", "string",
+     "Region of the customer's state, empty for an unlisted state. Derived in gold: region. From bronze.customers.customer_state > silver.customers.customer_state (trimmed upper-case text)."),
+    ("dim_customer", 4, "state", "string",
+     "State code. From bronze.customers.customer_state > silver.customers.customer_state (trimmed upper-case text)."),
+    ("dim_customer", 5, "city", "string",
+     "City. From bronze.customers.customer_city > silver.customers.customer_city (trimmed lower-case text)."),
+    ("dim_customer", 6, "zip_prefix", "string",
+     "Leading five digits of the postal code. From bronze.customers.customer_zip_code_prefix > silver.customers.customer_zip_code_prefix (zero-padded code)."),
+    ("dim_date", 1, "date_key", "int",
+     "Key, year month day as one number."),
+    ("dim_date", 2, "date", "date",
+     "The day."),
+    ("dim_date", 3, "year_month", "string",
+     "Month for series."),
+    ("dim_date", 4, "year", "int",
+     "Calendar year."),
+    ("dim_date", 5, "month", "int",
+     "Month number."),
+    ("dim_date", 6, "quarter", "int",
+     "Quarter number."),
+    ("dim_date", 7, "weekday", "int",
+     "Day of the week, Sunday is 1."),
+    ("dim_date", 8, "is_weekend", "boolean",
+     "Whether Saturday or Sunday."),
+    ("dim_product", 1, "product_id", "string",
+     "Key. From bronze.products.product_id > silver.products.product_id (trimmed text)."),
+    ("dim_product", 2, "category_en", "string",
+     "Category in English, as landed where untranslated. From bronze.category_translation.product_category_name_english > silver.category_translation.product_category_name_english (trimmed lower-case text)."),
+    ("dim_product", 3, "category", "string",
+     "Category, never empty. From bronze.products.product_category_name > silver.products.product_category_name (trimmed lower-case text)."),
+    ("dim_product", 4, "weight_g", "int",
+     "Weight in grams, empty where not positive. From bronze.products.product_weight_g > silver.products.product_weight_g (whole number)."),
+    ("dim_product", 5, "photos_qty", "int",
+     "Photos in the listing. From bronze.products.product_photos_qty > silver.products.product_photos_qty (whole number)."),
+    ("dim_product", 6, "width_cm", "int",
+     "Package width in centimetres. From bronze.products.product_width_cm > silver.products.product_width_cm (whole number)."),
+    ("dim_product", 7, "height_cm", "int",
+     "Package height in centimetres. From bronze.products.product_height_cm > silver.products.product_height_cm (whole number)."),
+    ("dim_product", 8, "length_cm", "int",
+     "Package length in centimetres. From bronze.products.product_length_cm > silver.products.product_length_cm (whole number)."),
+    ("dim_seller", 1, "seller_id", "string",
+     "Key. From bronze.sellers.seller_id > silver.sellers.seller_id (trimmed text)."),
+    ("dim_seller", 2, "region", "string",
+     "Region of the seller's state, empty for an unlisted state. Derived in gold: region. From bronze.sellers.seller_state > silver.sellers.seller_state (trimmed upper-case text)."),
+    ("dim_seller", 3, "state", "string",
+     "State code. From bronze.sellers.seller_state > silver.sellers.seller_state (trimmed upper-case text)."),
+    ("dim_seller", 4, "city", "string",
+     "City. From bronze.sellers.seller_city > silver.sellers.seller_city (trimmed lower-case text)."),
+    ("dim_seller", 5, "zip_prefix", "string",
+     "Leading five digits of the postal code. From bronze.sellers.seller_zip_code_prefix > silver.sellers.seller_zip_code_prefix (zero-padded code)."),
+    ("fact_order_items", 1, "order_id", "string",
+     "Key, with item_id. From bronze.order_items.order_id > silver.order_items.order_id (trimmed text)."),
+    ("fact_order_items", 2, "item_id", "int",
+     "Key, with order_id. From bronze.order_items.order_item_id > silver.order_items.order_item_id (whole number)."),
+    ("fact_order_items", 3, "purchase_date_key", "int",
+     "Day of purchase, key of dim_date. Derived in gold: day key. From bronze.orders.order_purchase_timestamp > silver.orders.order_purchase_timestamp (date and time)."),
+    ("fact_order_items", 4, "seller_id", "string",
+     "Key of dim_seller. From bronze.order_items.seller_id > silver.order_items.seller_id (trimmed text)."),
+    ("fact_order_items", 5, "product_id", "string",
+     "Key of dim_product. From bronze.order_items.product_id > silver.order_items.product_id (trimmed text)."),
+    ("fact_order_items", 6, "customer_id", "string",
+     "Key of dim_customer. From bronze.orders.customer_id > silver.orders.customer_id (trimmed text)."),
+    ("fact_order_items", 7, "item_price", "decimal(12,2)",
+     "Price of the item. From bronze.order_items.price > silver.order_items.price (amount with two decimals)."),
+    ("fact_order_items", 8, "freight_value", "decimal(12,2)",
+     "Freight of the item. From bronze.order_items.freight_value > silver.order_items.freight_value (amount with two decimals)."),
+    ("fact_order_items", 9, "item_total", "decimal(13,2)",
+     "Price and freight. Derived in gold: sum. From bronze.order_items.price > silver.order_items.price (amount with two decimals); bronze.order_items.freight_value > silver.order_items.freight_value (amount with two decimals)."),
+    ("fact_order_items", 10, "order_status", "string",
+     "State the order is in. From bronze.orders.order_status > silver.orders.order_status (trimmed lower-case text)."),
+    ("fact_order_items", 11, "review_score", "int",
+     "Score of the order's newest valid review. From bronze.order_reviews.review_score > silver.order_reviews.review_score (whole number)."),
+    ("fact_order_items", 12, "purchased_at", "timestamp_ntz",
+     "Moment of purchase. From bronze.orders.order_purchase_timestamp > silver.orders.order_purchase_timestamp (date and time)."),
+    ("fact_order_items", 13, "estimated_at", "timestamp_ntz",
+     "Delivery as promised. From bronze.orders.order_estimated_delivery_date > silver.orders.order_estimated_delivery_date (date and time)."),
+    ("fact_order_items", 14, "delivered_at", "timestamp_ntz",
+     "Delivery as made, empty if before the purchase. From bronze.orders.order_delivered_customer_date > silver.orders.order_delivered_customer_date (date and time)."),
+    ("fact_order_items", 15, "lead_time_days", "int",
+     "Days the customer waited. Derived in gold: days from. From bronze.orders.order_purchase_timestamp > silver.orders.order_purchase_timestamp (date and time); bronze.orders.order_delivered_customer_date > silver.orders.order_delivered_customer_date (date and time)."),
+    ("fact_order_items", 16, "delay_days", "int",
+     "Days past the promise, below zero when early. Derived in gold: days from. From bronze.orders.order_estimated_delivery_date > silver.orders.order_estimated_delivery_date (date and time); bronze.orders.order_delivered_customer_date > silver.orders.order_delivered_customer_date (date and time)."),
+    ("fact_order_items", 17, "is_late", "boolean",
+     "Whether it came after the promised day. Derived in gold: late. From bronze.orders.order_delivered_customer_date > silver.orders.order_delivered_customer_date (date and time); bronze.orders.order_estimated_delivery_date > silver.orders.order_estimated_delivery_date (date and time)."),
+    ("fact_payments", 1, "order_id", "string",
+     "Key, with payment_seq. From bronze.order_payments.order_id > silver.order_payments.order_id (trimmed text)."),
+    ("fact_payments", 2, "payment_seq", "int",
+     "Key, with order_id. From bronze.order_payments.payment_sequential > silver.order_payments.payment_sequential (whole number)."),
+    ("fact_payments", 3, "purchase_date_key", "int",
+     "Day of purchase, key of dim_date. Derived in gold: day key. From bronze.orders.order_purchase_timestamp > silver.orders.order_purchase_timestamp (date and time)."),
+    ("fact_payments", 4, "customer_id", "string",
+     "Key of dim_customer. From bronze.orders.customer_id > silver.orders.customer_id (trimmed text)."),
+    ("fact_payments", 5, "payment_value", "decimal(12,2)",
+     "Amount. From bronze.order_payments.payment_value > silver.order_payments.payment_value (amount with two decimals)."),
+    ("fact_payments", 6, "payment_type", "string",
+     "Means of payment. From bronze.order_payments.payment_type > silver.order_payments.payment_type (trimmed lower-case text)."),
+    ("fact_payments", 7, "installments", "int",
+     "Instalments, at least one. From bronze.order_payments.payment_installments > silver.order_payments.payment_installments (whole number)."),
+]
+Q["catalog_dictionary"] = "SELECT * FROM (VALUES " + ",\n".join(
+    f"({_lit(t)}, {i}, {_lit(c)}, {_lit(k)}, {_lit(about)})" for t, i, c, k, about in _GOLD_COLUMNS
+) + ") v(\"table\", \"position\", \"column\", data_type, \"comment\")"
 
 
 def oracle_sql() -> dict[str, str]:

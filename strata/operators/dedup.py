@@ -23,14 +23,14 @@ _RN = "__strata_rn"
 
 def _total_order(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> list[Column]:
     used = set(keys)
-    rest = [F.col(c).asc_nulls_first() for c in df.columns if c not in used]
+    rest = [F.col(c).asc_nulls_first() for c in sorted(df.columns) if c not in used]
     return list(order_by) + rest
 
 
 def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column] = (),
           require_keys: bool = False) -> DataFrame:
     """Keep one row per ``keys``: the first by ``order_by``, then by every
-    other column ascending. NULL keys form their own group unless
+    other column ascending (in the order of their names). NULL keys form their own group unless
     ``require_keys`` drops them first."""
     keys = list(keys)
     if require_keys:

@@ -3,9 +3,9 @@
 A key can hold a large share of the rows (one order with a third of all
 items). A plain shuffle join sends all of that key's rows to one task.
 AQE's skew split only applies when both join inputs are fresh shuffle
-stages; here the inputs usually come out of dedup windows or aggregates
-that already partition by the key, so the split cannot apply and the
-key is handled explicitly instead:
+stages. Where an input comes out of a window or aggregate that already
+partitions by the key, it cannot apply, and this join handles the key
+explicitly (for a counting pass, so it is opt-in):
 
 1. rows per key on the large side (partial + final hash aggregate);
 2. a key is hot when it holds more than ``skew_factor`` times the rows of
@@ -29,7 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import all_of
@@ -53,21 +53,21 @@ def hot_keys(df: DataFrame, keys: Sequence[str], skew_factor: float = DEFAULT_SK
                  .select(*keys, F.ceil(share).cast("int").alias(_SPLITS))
 
 
-def _row_hash(df: DataFrame) -> Column:
-    return F.xxhash64(*[F.col(c) for c in df.columns])
-
-
 def salted_join(big: DataFrame, unique: DataFrame, keys: Sequence[str], how: str = "inner",
-                skew_factor: float = DEFAULT_SKEW_FACTOR, partitions: int | None = None) -> DataFrame:
+                skew_factor: float = DEFAULT_SKEW_FACTOR, partitions: int | None = None,
+                split_by: Sequence[str] | None = None) -> DataFrame:
     """``big JOIN unique USING (keys)`` for ``how`` in inner, left,
     left_anti, left_semi, with hot keys of ``big`` salted. ``unique`` must
-    hold at most one row per key."""
+    hold at most one row per key. The salt is a hash of the ``split_by``
+    columns (all columns where not given), which must differ among the rows of
+    a key: equal rows stay together."""
+    split = F.xxhash64(*[F.col(c) for c in split_by or big.columns])
     keys = list(keys)
     parts = partitions or int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = F.broadcast(hot_keys(big, keys, skew_factor, parts))
     null_key = ~all_of([F.col(k).isNotNull() for k in keys])
-    salt = (F.when(null_key, F.pmod(_row_hash(big), F.lit(parts)))
-             .when(F.col(_SPLITS).isNotNull(), F.pmod(_row_hash(big), F.col(_SPLITS)))
+    salt = (F.when(null_key, F.pmod(split, F.lit(parts)))
+             .when(F.col(_SPLITS).isNotNull(), F.pmod(split, F.col(_SPLITS)))
              .otherwise(F.lit(0))).cast("int")
     b = big.join(hot, keys, "left").withColumn(_SALT, salt).drop(_SPLITS)
     salts = F.when(F.col(_SPLITS).isNull(), F.array(F.lit(0))) \

@@ -16,14 +16,8 @@ def calendar_dimension(df: DataFrame, ts_column: str) -> DataFrame:
     never sees them. Output size is the calendar span, not the data size."""
     bounds = df.agg(F.min(F.to_date(ts_column)).alias("lo"), F.max(F.to_date(ts_column)).alias("hi"))
     days = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("date"))
-    dow = F.dayofweek("date")
-    return days.select(
-        date_key("date").alias("date_key"),
-        "date",
-        F.year("date").alias("year"),
-        F.quarter("date").alias("quarter"),
-        F.month("date").alias("month"),
-        F.date_format("date", "yyyy-MM").alias("year_month"),
-        dow.alias("weekday"),
-        dow.isin(1, 7).alias("is_weekend"),
-    )
+    weekday = F.dayofweek("date")
+    parts = {"date_key": date_key("date"), "date": F.col("date"), "year_month": F.date_format("date", "yyyy-MM"),
+             "year": F.year("date"), "month": F.month("date"), "quarter": F.quarter("date"),
+             "weekday": weekday, "is_weekend": weekday.isin(1, 7)}
+    return days.select(*[c.alias(n) for n, c in parts.items()])

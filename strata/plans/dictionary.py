@@ -1,82 +1,34 @@
-"""Data dictionary of the gold layer: a description, domain and lineage
-for every table and column, applied as catalogue comments."""
+"""Data dictionary of the gold layer, drawn up from the specifications: what a
+column means, how it is read and where it comes from."""
 
 from __future__ import annotations
 
-_C = "Lineage: bronze.customers > silver.customers"
-_S = "Lineage: bronze.sellers > silver.sellers"
-_P = "Lineage: bronze.products + bronze.category_translation > silver.products"
-_F = "Lineage: silver.order_items JOIN silver.orders LEFT JOIN silver.order_reviews"
-_PG = "Lineage: silver.order_payments JOIN silver.orders"
+from .specs import CALENDAR, GOLD, READ_AS, SILVER, Derived
 
-GOLD_DICTIONARY: dict[str, dict[str, str]] = {
-    "dim_customer": {
-        "_table": "Customer dimension. Grain: one row per customer_id (customer in the context of an order).",
-        "customer_id": f"Primary key. {_C}.customer_id",
-        "customer_unique_id": f"Identifier of the person; one person may have several customer_id. {_C}.customer_unique_id",
-        "zip_prefix": f"First 5 digits of the zip code, zero-padded in silver. {_C}.customer_zip_code_prefix",
-        "city": f"Customer city in lower case. {_C}.customer_city",
-        "state": f"Customer state code, upper case. {_C}.customer_state",
-        "region": "Geographic region derived in gold from the state; NULL for an unknown state.",
-    },
-    "dim_seller": {
-        "_table": "Seller dimension. Grain: one row per seller.",
-        "seller_id": f"Primary key. {_S}.seller_id",
-        "zip_prefix": f"First 5 digits of the seller zip code. {_S}.seller_zip_code_prefix",
-        "city": f"Seller city in lower case. {_S}.seller_city",
-        "state": f"Seller state code. {_S}.seller_state",
-        "region": "Geographic region of the seller, derived in gold.",
-    },
-    "dim_product": {
-        "_table": "Product dimension. Grain: one row per product, enriched with the category translation.",
-        "product_id": f"Primary key. {_P}.product_id",
-        "category": f"Category name; NULL replaced by the unknown-category value. {_P}.product_category_name",
-        "category_en": f"English category from the translation lookup, else the original name. {_P}.product_category_name_english",
-        "photos_qty": f"Number of photos of the listing; NULL when unknown. {_P}.product_photos_qty",
-        "weight_g": f"Weight in grams, greater than 0; zero turned into NULL in silver. {_P}.product_weight_g",
-        "length_cm": f"Package length in cm. {_P}.product_length_cm",
-        "height_cm": f"Package height in cm. {_P}.product_height_cm",
-        "width_cm": f"Package width in cm. {_P}.product_width_cm",
-    },
-    "dim_date": {
-        "_table": "Calendar dimension. Grain: one day, from the first to the last purchase day.",
-        "date_key": "Primary key, yyyyMMdd as integer.",
-        "date": "Calendar date.",
-        "year": "Year.",
-        "quarter": "Quarter of the year, 1 to 4.",
-        "month": "Month of the year, 1 to 12.",
-        "year_month": "Year and month as yyyy-MM, for monthly series.",
-        "weekday": "Day of the week, 1 (Sunday) to 7 (Saturday).",
-        "is_weekend": "True on Saturday and Sunday.",
-    },
-    "fact_order_items": {
-        "_table": "Sales fact. Grain: one item of an order, with values, delivery times and the order's review score.",
-        "order_id": f"Order identifier, part of the primary key. {_F}",
-        "item_id": "Item number within the order, part of the primary key. Source: order_items.order_item_id",
-        "customer_id": "Foreign key to dim_customer. Source: orders.customer_id",
-        "product_id": "Foreign key to dim_product. Source: order_items.product_id",
-        "seller_id": "Foreign key to dim_seller. Source: order_items.seller_id",
-        "purchase_date_key": "Foreign key to dim_date (yyyyMMdd of the purchase). Derived from orders.order_purchase_timestamp",
-        "order_status": "Order status. Source: orders.order_status",
-        "purchased_at": "Purchase date and time. Source: orders.order_purchase_timestamp",
-        "delivered_at": "Delivery to the customer; NULL if not delivered or inconsistent. Source: orders.order_delivered_customer_date",
-        "estimated_at": "Promised delivery date. Source: orders.order_estimated_delivery_date",
-        "lead_time_days": "Calendar days from purchase to delivery; NULL if not delivered. Computed in gold.",
-        "delay_days": "Days between actual and promised delivery; negative = early. Computed in gold.",
-        "item_price": "Item price, greater than 0. Source: order_items.price",
-        "freight_value": "Item freight, 0 or more. Source: order_items.freight_value",
-        "item_total": "item_price + freight_value. Computed in gold.",
-        "review_score": "Score of the order's newest valid review, 1 to 5; NULL without review. Source: order_reviews.review_score",
-        "is_late": "True if delay_days > 0; NULL if not delivered. Computed in gold.",
-    },
-    "fact_payments": {
-        "_table": "Payment fact. Grain: one payment of an order (an order may have several).",
-        "order_id": f"Order identifier, part of the primary key. {_PG}",
-        "payment_seq": "Sequence of the payment within the order, part of the primary key. Source: order_payments.payment_sequential",
-        "customer_id": "Foreign key to dim_customer. Source: orders.customer_id",
-        "purchase_date_key": "Foreign key to dim_date (yyyyMMdd of the purchase). Derived from orders.order_purchase_timestamp",
-        "payment_type": "Payment method. Source: order_payments.payment_type",
-        "installments": "Number of instalments, 1 or more (0 raised to 1 in silver). Source: order_payments.payment_installments",
-        "payment_value": "Amount paid, 0 or more. Source: order_payments.payment_value",
-    },
-}
+
+def _origin(column: str, tables: tuple[str, ...]) -> str:
+    """Where a silver column comes from and how it is read there."""
+    for t in tables:
+        for f in SILVER[t].fields:
+            if f.name == column:
+                return f"bronze.{t}.{f.header} > silver.{t}.{column} ({READ_AS[f.kind]})"
+    raise KeyError(column)
+
+
+def _comment(field: Derived, tables: tuple[str, ...]) -> str:
+    how = "" if field.how == "same" else f" Derived in gold: {field.how}."
+    return f"{field.about[0].upper()}{field.about[1:]}.{how} From {'; '.join(_origin(c, tables) for c in field.of)}."
+
+
+def gold_dictionary() -> dict[str, dict[str, str]]:
+    """{table: {column, or _table for the table itself: comment}}"""
+    out = {}
+    for table, (row, tables, fields) in GOLD.items():
+        out[table] = {"_table": f"One row for {row}. From silver.{', silver.'.join(tables)}."}
+        out[table] |= {f.name: _comment(f, tables) for f in fields}
+    out["dim_date"] = {"_table": "One row for a day between the first and the last purchase. From silver.orders."}
+    out["dim_date"] |= {c: f"{about[0].upper()}{about[1:]}." for c, about in CALENDAR.items()}
+    return out
+
+
+GOLD_DICTIONARY = gold_dictionary()

@@ -50,40 +50,28 @@ class LazyFrames(Mapping):
 
 
 class Medallion:
-    def __init__(self, spark: SparkSession, data_dir: str, region_map=None,
-                 silver: Mapping | None = None, gold: Mapping | None = None):
+    """``bronze``, ``silver`` or ``gold`` frames may be given; layers that are
+    not are derived, the landing layer from the tables of ``data_dir``.
+    ``spread_hot`` salts orders with a large share of the items (see ``gold``)."""
+
+    def __init__(self, spark: SparkSession, data_dir: str | None = None, region_map=None,
+                 bronze: Mapping | None = None, silver: Mapping | None = None, gold: Mapping | None = None,
+                 spread_hot: bool = False):
         self.spark = spark
-        self.tables = TableSet(spark, data_dir)
+        self.spread_hot = spread_hot
+        self.tables = TableSet(spark, data_dir) if data_dir else None
         self.region_map = region_map if region_map is not None else state_region_map()
-        self.bronze: Mapping[str, DataFrame] = LazyFrames(
+        self.bronze: Mapping[str, DataFrame] = bronze if bronze is not None else LazyFrames(
             {name: (lambda n=name: landing_table(spark, self.tables, n)) for name in LANDING_TABLES})
         self.silver: Mapping[str, DataFrame] = silver if silver is not None else self._silver()
         self.gold: Mapping[str, DataFrame] = gold if gold is not None else self._gold()
 
     def _silver(self) -> LazyFrames:
-        b = self.bronze
-        s: LazyFrames = LazyFrames({
-            "customers": lambda: S.customers(b["customers"]),
-            "sellers": lambda: S.sellers(b["sellers"]),
-            "orders": lambda: S.orders(b["orders"]),
-            "order_items": lambda: S.order_items(b["order_items"]),
-            "order_payments": lambda: S.order_payments(b["order_payments"]),
-            "order_reviews": lambda: S.order_reviews(b["order_reviews"]),
-            "category_translation": lambda: S.category_translation(b["category_translation"]),
-            "products": lambda: S.products(b["products"], s["category_translation"]),
-        })
+        s: LazyFrames = LazyFrames({t: (lambda t=t: S.build(t, self.bronze, s)) for t in SILVER_TABLES})
         return s
 
     def _gold(self) -> LazyFrames:
-        s = self.silver
-        return LazyFrames({
-            "dim_customer": lambda: G.dim_customer(s["customers"], self.region_map),
-            "dim_seller": lambda: G.dim_seller(s["sellers"], self.region_map),
-            "dim_product": lambda: G.dim_product(s["products"]),
-            "dim_date": lambda: G.dim_date(s["orders"]),
-            "fact_order_items": lambda: G.fact_order_items(s["order_items"], s["orders"], s["order_reviews"]),
-            "fact_payments": lambda: G.fact_payments(s["order_payments"], s["orders"]),
-        })
+        return LazyFrames({t: (lambda t=t: G.build(t, self.silver, self.region_map, self.spread_hot)) for t in GOLD_TABLES})
 
     def materialize(self, path: str, audit: bool = True, parallel: int = 4,
                     bronze: bool = False) -> "Medallion":
@@ -97,19 +85,16 @@ class Medallion:
         jobs are submitted concurrently (``parallel`` driver threads) and
         share the cluster. With ``audit`` the silver tables carry the
         ``_silver_ts`` load timestamp."""
-        source = self
+        landed = self.bronze
         if bronze:
-            written = self._write_layer(path, "bronze", {n: self.bronze[n] for n in LANDING_TABLES}, False, parallel)
-            source = Medallion(self.spark, self.tables.root, self.region_map)
-            source.bronze = written
-            source.silver = source._silver()
-            source.gold = source._gold()
+            landed = self._write_layer(path, "bronze", {n: landed[n] for n in LANDING_TABLES}, False, parallel)
+        source = Medallion(self.spark, region_map=self.region_map, bronze=landed) if bronze else self
         silver = self._write_layer(path, "silver", {n: source.silver[n] for n in SILVER_TABLES}, audit, parallel)
-        staged = Medallion(self.spark, self.tables.root, self.region_map,
+        staged = Medallion(self.spark, region_map=self.region_map, bronze=landed, spread_hot=self.spread_hot,
                            silver={n: df.drop(AUDIT_COLUMN) for n, df in silver.items()})
         gold = self._write_layer(path, "gold", {n: staged.gold[n] for n in GOLD_TABLES}, False, parallel)
-        out = Medallion(self.spark, self.tables.root, self.region_map, silver=silver, gold=gold)
-        out.bronze = source.bronze
+        out = Medallion(self.spark, region_map=self.region_map, bronze=landed, silver=silver, gold=gold)
+        out.tables = self.tables
         return out
 
     def _write_layer(self, path: str, layer: str, frames: dict, audit: bool, parallel: int) -> dict:

@@ -1,44 +1,43 @@
-"""End-to-end medallion job: what running the layer notebooks in order
-produces, as catalogue tables.
-
-1. schemas for the layers (with comments);
-2. landing tables, the quality rules and the column profile over them;
-3. silver tables (with the audit column), integrity checks - uniqueness
-   violations fail the job, orphans are reported;
-4. gold tables with the data dictionary applied, the row-conservation
-   check (fails the job when items are lost or duplicated);
+"""The whole run as catalogue tables.
+
+1. schemas for the layers (with comments and locations);
+2. landing tables, from CSV files named by a manifest or from given frames,
+   with the quality rules, profile, distributions and domains over them;
+3. silver tables (with the audit column) and the integrity checks: repeated
+   keys fail the job, orphans are reported;
+4. gold tables with the data dictionary, the measure summary and the row
+   conservation check (fails when items of known orders are lost or doubled);
 5. the business reports.
 
-Every table is written to ``root`` (a shared folder) and registered in
-the session catalogue; each layer is built from the written copy of the
-one before, so the job restarts from the last written layer. Returns the
-load summary (schema, table, rows) as a DataFrame.
+Every table is written below ``root`` (a shared folder) and registered in the
+session catalogue; the tables of a layer are written side by side. Each layer
+is built from the written copy of the one before, so a lost executor restarts
+from the last written layer.
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.integrity import (IntegrityError, check_orphans, check_unique, enforce, integrity_report,
                                    row_conservation)
-from ..operators.profile import column_profile
+from ..operators.profile import column_profile, numeric_distribution, numeric_summary
 from ..operators.quality import run_rules
 from ..sources.catalog import apply_dictionary, create_schema, overwrite_table
-from ..sources.csv_text import row_counts
+from ..sources.csv_text import LOADED_AT, PROVENANCE, read_manifest, row_counts
 from ..sources.landing import LANDING_TABLES
 from . import analyses as A
 from .dictionary import GOLD_DICTIONARY
-from .medallion import GOLD_TABLES, SILVER_TABLES, Medallion
+from .medallion import AUDIT_COLUMN, GOLD_TABLES, SILVER_TABLES, Medallion
 from .quality_rules import landing_rules
+from .specs import SILVER
 
-UNIQUE_KEYS = {
-    "customers": ["customer_id"], "sellers": ["seller_id"], "orders": ["order_id"],
-    "order_items": ["order_id", "order_item_id"], "order_payments": ["order_id", "payment_sequential"],
-    "order_reviews": ["order_id"], "products": ["product_id"],
-}
+UNIQUE_KEYS = {t: list(s.key) for t, s in SILVER.items() if t != "category_translation"}
 FOREIGN_KEYS = [("order_items", "orders", "order_id"), ("order_items", "products", "product_id"),
                 ("order_items", "sellers", "seller_id"), ("orders", "customers", "customer_id"),
                 ("order_payments", "orders", "order_id")]
@@ -47,76 +46,112 @@ LAYER_COMMENTS = {
     "silver": "Cleaned, typed and deduplicated tables",
     "gold": "Star schema (facts and dimensions) and reports",
 }
+MEASURES = ["lead_time_days", "delay_days", "item_price", "freight_value", "review_score"]
+DISTRIBUTIONS = [("order_items", "price"), ("order_items", "freight_value"), ("order_payments", "payment_value"),
+                 ("order_reviews", "review_score")]
+
+
+def conserved(items: DataFrame, orders: DataFrame, fact: DataFrame) -> DataFrame:
+    """Row conservation of the item fact against the items of known orders."""
+    known = items.join(orders.select("order_id"), "order_id", "left_semi")
+    return row_conservation(known, fact.withColumnRenamed("item_id", "order_item_id"), ["order_id", "order_item_id"])
 
 
-def run_medallion(spark: SparkSession, data_dir: str, root: str, prefix: str = "") -> DataFrame:
-    schemas = {layer: f"{prefix}{layer}" for layer in LAYER_COMMENTS}
-    for layer, name in schemas.items():
-        create_schema(spark, name, LAYER_COMMENTS[layer])
-
-    def save(layer: str, name: str, df: DataFrame, comment: str | None = None) -> DataFrame:
-        return overwrite_table(df, f"{schemas[layer]}.{name}", os.path.join(root, layer, name), comment)
-
-    # landing + quality
-    m = Medallion(spark, data_dir)
-    bronze = {n: save("bronze", n, m.bronze[n].withColumn("_ingestion_ts", F.current_timestamp()),
-                      f"Landing copy of {n}, all columns as text") for n in LANDING_TABLES}
-    save("bronze", "dq_rules", run_rules(bronze, landing_rules()))
-    save("bronze", "dq_profile", column_profile({n: df for n, df in bronze.items() if n != "category_translation"}))
-
-    # silver + integrity
-    staged = Medallion(spark, data_dir)
-    staged.bronze = {n: df.drop("_ingestion_ts") for n, df in bronze.items()}
-    staged.silver = staged._silver()          # silver from the written landing tables
-    silver = {n: save("silver", n, staged.silver[n].withColumn("_silver_ts", F.current_timestamp()),
-                      f"Silver {n}: cleaned, typed, deduplicated") for n in SILVER_TABLES}
-    s = {n: df.drop("_silver_ts") for n, df in silver.items()}
-    report = save("silver", "integrity", integrity_report(
-        [check_unique(s[t], k, t) for t, k in UNIQUE_KEYS.items()]
-        + [check_orphans(s[c], s[p], k, c, p) for c, p, k in FOREIGN_KEYS]))
-    enforce(report)
-
-    # gold + dictionary + conservation
-    g_stage = Medallion(spark, data_dir, silver=s)
-    gold = {n: save("gold", n, g_stage.gold[n]) for n in GOLD_TABLES}
-    apply_dictionary(spark, schemas["gold"], GOLD_DICTIONARY)
-    cons = row_conservation(s["order_items"], gold["fact_order_items"].withColumnRenamed("item_id", "order_item_id"),
-                            ["order_id", "order_item_id"])
-    bad = cons.filter((F.col("missing") > 0) | (F.col("extra") > 0)).collect()
+def _checked(cons: DataFrame) -> None:
+    bad = cons.filter((F.col("missing") > 0) | (F.col("extra") > 0)).collect()  # one row
     if bad:
         raise IntegrityError(f"order items not conserved between silver and gold: {bad[0].asDict()}")
 
-    # reports
+
+def reports(gold: Mapping[str, DataFrame], months: tuple[str, str]) -> dict[str, DataFrame]:
     fact, pay = gold["fact_order_items"], gold["fact_payments"]
-    reports = {
+    return {
         "revenue_by_category": A.revenue_by_category(fact, gold["dim_product"]),
-        "monthly_top_categories": A.monthly_top_categories(fact, gold["dim_product"], gold["dim_date"]),
+        "monthly_top_categories": A.monthly_top_categories(fact, gold["dim_product"], gold["dim_date"],
+                                                           start=months[0], end=months[1]),
         "delay_vs_score": A.delay_vs_score(fact),
         "delay_score_corr": A.delay_score_corr(fact),
         "delivery_by_state": A.delivery_by_state(fact, gold["dim_customer"]),
         "payment_mix": A.payment_mix(pay),
         "instalments_by_value_band": A.instalments_by_value_band(pay),
     }
-    for name, df in reports.items():
-        save("gold", f"report_{name}", df)
 
-    frames = {f"{schemas['bronze']}.{n}": df for n, df in bronze.items()}
-    frames.update({f"{schemas['silver']}.{n}": df for n, df in silver.items()})
-    frames.update({f"{schemas['gold']}.{n}": df for n, df in gold.items()})
-    return row_counts(frames)
+
+def run_medallion(spark: SparkSession, root: str, landed: Mapping[str, DataFrame] | None = None,
+                  landing_dir: str | None = None, manifest: Mapping[str, str] | None = None, prefix: str = "",
+                  region_map: Mapping[str, str] | None = None, months: tuple[str, str] = ("1996-01-01", "1999-12-31"),
+                  spread_hot: bool = False, parallel: int = 4) -> dict[str, DataFrame]:
+    """Run the job over the frames ``landed`` or the CSV files that
+    ``manifest`` (table -> file) names in ``landing_dir``; a file that is
+    absent stops it before anything is written. Returns the written tables by
+    ``layer.table``, and ``summary`` (table, rows, source)."""
+    if landed is None:
+        landed = read_manifest(spark, landing_dir, manifest)
+    sources = {f"bronze.{t}": f for t, f in (manifest or {}).items()}
+    for layer, comment in LAYER_COMMENTS.items():
+        create_schema(spark, prefix + layer, comment, os.path.join(root, "schemas", layer))
+    out: dict[str, DataFrame] = {}
+
+    def save(layer: str, frames: Mapping[str, DataFrame], note: Callable[[str], str] | None = None) -> None:
+        """The tables of one step, written side by side."""
+        def one(name: str) -> tuple[str, DataFrame]:
+            place = os.path.join(root, layer, name)
+            overwrite_table(frames[name], f"{prefix}{layer}.{name}", place, note(name) if note else None)
+            return f"{layer}.{name}", spark.read.parquet(place)
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            out.update(pool.map(one, list(frames)))
+
+    def written(layer: str, names, *without: str) -> dict[str, DataFrame]:
+        return {n: out[f"{layer}.{n}"].drop(*without) for n in names}
+
+    def stamped(df: DataFrame) -> DataFrame:
+        return df if LOADED_AT in df.columns else df.withColumn(LOADED_AT, F.current_timestamp())
+
+    save("bronze", {n: stamped(landed[n]) for n in LANDING_TABLES}, lambda n: f"Landing copy of {n}, all columns as text")
+    bronze = written("bronze", LANDING_TABLES, LOADED_AT, PROVENANCE)
+    save("bronze", {
+        "dq_rules": run_rules(bronze, landing_rules()), "dq_profile": column_profile(bronze),
+        "dq_distribution": numeric_distribution([(c, bronze[t], c) for t, c in DISTRIBUTIONS]),
+        "dq_domains": A.domain_frequency(bronze["orders"], bronze["order_payments"], bronze["customers"])})
+
+    m = Medallion(spark, region_map=region_map, bronze=bronze)
+    save("silver", {n: m.silver[n].withColumn(AUDIT_COLUMN, F.current_timestamp()) for n in SILVER_TABLES},
+         lambda n: f"Silver {n}: cleaned, typed, deduplicated")
+    silver = written("silver", SILVER_TABLES, AUDIT_COLUMN)
+    save("silver", {"integrity": integrity_report(
+        [check_unique(silver[t], k, t) for t, k in UNIQUE_KEYS.items()]
+        + [check_orphans(silver[c], silver[p], k, c, p) for c, p, k in FOREIGN_KEYS])})
+    enforce(out["silver.integrity"])
+
+    m = Medallion(spark, region_map=region_map, bronze=bronze, silver=silver, spread_hot=spread_hot)
+    save("gold", {n: m.gold[n] for n in GOLD_TABLES})
+    gold = written("gold", GOLD_TABLES)
+    apply_dictionary(spark, f"{prefix}gold", GOLD_DICTIONARY)
+    _checked(conserved(silver["order_items"], silver["orders"], gold["fact_order_items"]))
+    save("gold", {f"report_{n}": df for n, df in reports(gold, months).items()}
+         | {"measure_summary": numeric_summary(gold["fact_order_items"], MEASURES)})
+
+    layers = [("bronze", LANDING_TABLES), ("silver", SILVER_TABLES), ("gold", GOLD_TABLES)]
+    out["summary"] = row_counts({f"{layer}.{n}": out[f"{layer}.{n}"] for layer, names in layers for n in names}, sources)
+    return out
 
 
 def main(argv: list[str] | None = None) -> None:
-    """spark-submit entry: ``python -m strata.plans.medallion_job DATA_DIR OUT_DIR [PREFIX]``."""
+    """spark-submit entry: ``python -m strata.plans.medallion_job LANDING_DIR OUT_DIR [SCHEMA_PREFIX]``
+    loads ``<table>.csv`` of each landing table, with the Brazilian regions."""
     import sys
 
     from ..session import build_session
+    from .gold import BRAZIL_STATE_REGION
 
     args = list(sys.argv[1:] if argv is None else argv)
     if len(args) < 2:
-        raise SystemExit("usage: medallion_job DATA_DIR OUT_DIR [SCHEMA_PREFIX]")
+        raise SystemExit("usage: medallion_job LANDING_DIR OUT_DIR [SCHEMA_PREFIX]")
     spark = build_session(app_name="strata-medallion")
-    run_medallion(spark, args[0], args[1], args[2] if len(args) > 2 else "").show(100, truncate=False)
+    out = run_medallion(spark, args[1], landing_dir=args[0], manifest={t: f"{t}.csv" for t in LANDING_TABLES},
+                        prefix=args[2] if len(args) > 2 else "", region_map=BRAZIL_STATE_REGION,
+                        months=("2017-01-01", "2018-08-31"))
+    out["summary"].show(100, truncate=False)
 
 
 if __name__ == "__main__":

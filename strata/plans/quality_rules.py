@@ -1,76 +1,82 @@
-"""The data-quality rule set evaluated on the landing (bronze) tables:
-uniqueness, completeness, consistency, accuracy and outliers, each with
-the treatment the silver layer applies."""
+"""The quality rules of the landed tables. A rule's name says what it finds,
+its response what the silver layer does about it; both are composed from the
+rule's kind and columns."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions.columns import to_double, to_int, to_timestamp
-from ..operators.quality import (Rule, duplicate_keys_rule, iqr_rule, missing_reference_rule,
-                                 predicate_rule, surplus_rule)
+from ..operators.quality import (Rule, duplicate_keys_rule, iqr_rule, missing_reference_rule, predicate_rule,
+                                 surplus_rule)
+from .silver import MIN_INSTALLMENTS, REVIEW_SCORE_RANGE, UNKNOWN_CATEGORY
+from .specs import SILVER
 
 # Bounding box of valid coordinates (latitude, longitude).
 LAT_RANGE = (-34, 6)
 LNG_RANGE = (-74, -34)
+GEOLOCATION = ("geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng", "geolocation_city",
+               "geolocation_state")
+KEEP = "kept"
+UNUSED = "not read further"
 
 
-def landing_rules() -> list[Rule]:
-    """The rule set. Predicates are built lazily (zero-argument callables),
-    so the rule metadata can be listed without a Spark session."""
-    c = F.col
+def _outside_box() -> Column:
+    return ~(to_double("geolocation_lat").between(*LAT_RANGE) & to_double("geolocation_lng").between(*LNG_RANGE))
+
+
+def _repeats(table: str) -> Rule:
+    key = SILVER[table].key
+    return surplus_rule("uniqueness", table, f"surplus rows by {' + '.join(key)}", key, "one row per key")
+
 
-    def box():
-        lat, lng = to_double("geolocation_lat"), to_double("geolocation_lng")
-        return ~(lat.between(*LAT_RANGE) & lng.between(*LNG_RANGE))
+def _finding(dimension: str, table: str, finding: str, test: Callable[[], Column], response: str) -> Rule:
+    """Tests are built when needed, so rules can be listed without a session."""
+    return predicate_rule(dimension, table, finding, test, response)
 
+
+def _fence(column: str) -> Rule:
+    return iqr_rule("outliers", "order_items", f"{column} beyond the upper fence", column, KEEP)
+
+
+def landing_rules() -> list[Rule]:
+    c = F.col
+    low, high = REVIEW_SCORE_RANGE
     return [
-        surplus_rule("uniqueness", "orders", "duplicate order_id", ["order_id"], "deduplicated by order_id"),
-        surplus_rule("uniqueness", "customers", "duplicate customer_id", ["customer_id"],
-                     "deduplicated by customer_id"),
-        surplus_rule("uniqueness", "products", "duplicate product_id", ["product_id"],
-                     "deduplicated by product_id"),
-        surplus_rule("uniqueness", "sellers", "duplicate seller_id", ["seller_id"], "deduplicated by seller_id"),
-        surplus_rule("uniqueness", "order_items", "duplicate (order_id, order_item_id)",
-                     ["order_id", "order_item_id"], "deduplicated by the composite key"),
-        duplicate_keys_rule("uniqueness", "order_reviews", "orders with more than one review", ["order_id"],
-                            "only the newest valid review of each order is kept"),
-        surplus_rule("uniqueness", "geolocation", "fully duplicated rows",
-                     ["geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng",
-                      "geolocation_city", "geolocation_state"], "table not used downstream"),
-        predicate_rule("completeness", "orders", "delivered order without delivery date",
-                       lambda: (c("order_status") == "delivered") & c("order_delivered_customer_date").isNull(),
-                       "lead time and delay stay NULL; excluded from delivery metrics"),
-        predicate_rule("completeness", "products", "product without category",
-                       lambda: c("product_category_name").isNull(), "category set to the unknown-category value"),
-        predicate_rule("completeness", "order_reviews", "review without comment text",
-                       lambda: c("review_comment_message").isNull(), "none: text not analysed"),
-        predicate_rule("consistency", "orders", "purchase timestamp not parsable",
-                       lambda: c("order_purchase_timestamp").isNotNull()
-                       & to_timestamp("order_purchase_timestamp").isNull(), "tolerant cast to timestamp"),
-        predicate_rule("consistency", "orders", "delivery before purchase",
-                       lambda: to_timestamp("order_delivered_customer_date") < to_timestamp("order_purchase_timestamp"),
-                       "delivery date set to NULL"),
-        predicate_rule("consistency", "customers", "zip prefix length differs from 5",
-                       lambda: F.length(F.trim(c("customer_zip_code_prefix"))) != 5, "left-padded with zeros"),
-        missing_reference_rule("consistency", "products", "categories without translation",
-                               "product_category_name", "category_translation", "product_category_name",
-                               "English name falls back to the original name"),
-        predicate_rule("accuracy", "order_items", "price less than or equal to zero",
-                       lambda: to_double("price") <= 0, "none (sanity check)"),
-        predicate_rule("accuracy", "order_items", "negative freight", lambda: to_double("freight_value") < 0,
-                       "none (sanity check)"),
-        predicate_rule("accuracy", "order_reviews", "score outside 1..5 or invalid",
-                       lambda: ~F.coalesce(to_int("review_score"), F.lit(0)).between(1, 5), "rows dropped"),
-        predicate_rule("accuracy", "order_payments", "payment with 0 instalments",
-                       lambda: to_int("payment_installments") == 0, "raised to 1 instalment"),
-        predicate_rule("accuracy", "order_payments", "payment type not_defined",
-                       lambda: c("payment_type") == "not_defined", "kept; filtered in the reports"),
-        predicate_rule("accuracy", "products", "product weight equal to zero",
-                       lambda: to_double("product_weight_g") == 0, "weight set to NULL"),
-        predicate_rule("accuracy", "geolocation", "coordinates outside the bounding box", box,
-                       "table not used downstream"),
-        iqr_rule("outliers", "order_items", "price above Q3 + 1.5 x IQR", "price", "kept: real sales"),
-        iqr_rule("outliers", "order_items", "freight above Q3 + 1.5 x IQR", "freight_value",
-                 "kept: analysed as share of value"),
+        *[_repeats(t) for t in ("customers", "sellers", "products", "orders", "order_items")],
+        surplus_rule("uniqueness", "geolocation", "surplus rows by all columns", GEOLOCATION, UNUSED),
+        duplicate_keys_rule("uniqueness", "order_reviews", "order_id with several reviews", ["order_id"],
+                            "newest valid review"),
+        _finding("completeness", "products", "product_category_name absent", lambda: c("product_category_name").isNull(),
+                 f"set to {UNKNOWN_CATEGORY}"),
+        _finding("completeness", "orders", "delivered, order_delivered_customer_date absent",
+                 lambda: (c("order_status") == "delivered") & c("order_delivered_customer_date").isNull(),
+                 "no delivery measures"),
+        _finding("completeness", "order_reviews", "review_comment_message absent",
+                 lambda: c("review_comment_message").isNull(), KEEP),
+        _finding("consistency", "orders", "order_purchase_timestamp unreadable",
+                 lambda: c("order_purchase_timestamp").isNotNull() & to_timestamp("order_purchase_timestamp").isNull(),
+                 "set to NULL"),
+        _finding("consistency", "orders", "order_delivered_customer_date before order_purchase_timestamp",
+                 lambda: to_timestamp("order_delivered_customer_date") < to_timestamp("order_purchase_timestamp"),
+                 "set to NULL"),
+        _finding("consistency", "customers", "customer_zip_code_prefix not of length 5",
+                 lambda: F.length(F.trim(c("customer_zip_code_prefix"))) != 5, "padded with zeros"),
+        missing_reference_rule("consistency", "products", "product_category_name not in category_translation",
+                               "product_category_name", "category_translation", "product_category_name", "original name"),
+        _finding("accuracy", "geolocation", "coordinates outside the box", _outside_box, UNUSED),
+        _finding("accuracy", "products", "product_weight_g is 0", lambda: to_double("product_weight_g") == 0,
+                 "set to NULL"),
+        _finding("accuracy", "order_items", "price is 0 or less", lambda: to_double("price") <= 0, KEEP),
+        _finding("accuracy", "order_items", "freight_value below 0", lambda: to_double("freight_value") < 0, KEEP),
+        _finding("accuracy", "order_payments", "payment_installments is 0", lambda: to_int("payment_installments") == 0,
+                 f"raised to {MIN_INSTALLMENTS}"),
+        _finding("accuracy", "order_payments", "payment_type is not_defined",
+                 lambda: c("payment_type") == "not_defined", "left out of reports"),
+        _finding("accuracy", "order_reviews", f"review_score not within {low} to {high}",
+                 lambda: ~F.coalesce(to_int("review_score"), F.lit(0)).between(low, high), "row dropped"),
+        _fence("price"), _fence("freight_value"),
     ]

@@ -5,6 +5,7 @@ landing -> silver -> gold chain, so its work grows with the data."""
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,11 +24,10 @@ from .plans.dictionary import GOLD_DICTIONARY
 from .plans.medallion import GOLD_TABLES, Medallion
 from .plans.quality_rules import landing_rules
 from .session import ensure_checkpoint_dir, scratch_path
-from .sources.catalog import (apply_dictionary, create_schema, describe_dictionary, overwrite_table,
+from .sources.catalog import (apply_dictionary, create_schema, describe_dictionary, drop_schema, overwrite_table,
                               table_comment)
-from .sources.csv_text import (PROVENANCE, missing_files, read_text_csv, row_counts, source_name,
-                               write_text_csv)
-from .sources.tables import DRIVER_TABLES
+from .sources.csv_text import PROVENANCE, read_text_csv, row_counts, source_name, write_text_csv
+from .sources.landing import LANDING_TABLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,11 @@ def _m(spark: SparkSession, d: str) -> Medallion:
     return Medallion(spark, d)
 
 
+def _own(name: str) -> str:
+    """A catalogue name that no other run uses."""
+    return f"strata_{name}_{uuid.uuid4().hex[:12]}"
+
+
 # ---------------------------------------------------------------- reports
 
 def revenue_by_category(spark, d):
@@ -194,8 +199,10 @@ _ORPHAN_SPECS = [
 
 
 def check_unique_q(spark, d):
-    s = _m(spark, d).silver
-    return integrity_report([check_unique(s[t], k, t) for t, k in _UNIQUE_SPECS])
+    """Repeated keys before cleaning (reported) and after it (errors)."""
+    m = _m(spark, d)
+    return integrity_report([check_unique(m.silver[t], k, t) for t, k in _UNIQUE_SPECS]
+                            + [check_unique(m.bronze[t], k, f"bronze.{t}", "warn") for t, k in _UNIQUE_SPECS])
 
 
 def check_orphans_q(spark, d):
@@ -245,16 +252,20 @@ def fact_payments(spark, d):
 
 # ---------------------------------------------------------------- profiling and quality
 
-def _profiled(m: Medallion) -> dict[str, DataFrame]:
-    return {k: v for k, v in m.bronze.items() if k != "category_translation"}
-
-
 def column_profile_q(spark, d):
-    return column_profile(_profiled(_m(spark, d)), exact=True)
+    return column_profile(_m(spark, d).bronze, exact=True)
 
 
 def column_profile_approx(spark, d):
-    return column_profile(_profiled(_m(spark, d)), exact=False)
+    """The default profile beside the exact one: whether each approximate
+    distinct count is within 6 % (or 2 values) of the exact count."""
+    b = _m(spark, d).bronze
+    near, exact = column_profile(b), column_profile(b, exact=True)
+    exact = exact.select("table", "column", F.col("distinct_values").alias("__exact"))
+    off = F.abs(F.col("distinct_values") - F.col("__exact"))
+    return near.join(exact, ["table", "column"]).select(
+        "table", "column", "total_rows", "null_or_blank", "pct_null",
+        (off <= F.greatest(F.lit(2.0), F.lit(0.08) * F.col("__exact"))).alias("distinct_within_bound"))
 
 
 def numeric_distribution_q(spark, d):
@@ -299,7 +310,7 @@ def dq_untranslated(spark, d):
 # ---------------------------------------------------------------- sources and sinks
 
 def load_summary(spark, d):
-    return row_counts(_profiled(_m(spark, d)))
+    return row_counts(_m(spark, d).bronze)
 
 
 def src_csv_roundtrip(spark, d):
@@ -308,7 +319,7 @@ def src_csv_roundtrip(spark, d):
     path = scratch_path(spark, "csv-orders")
     write_text_csv(_m(spark, d).bronze["orders"], path)
     raw = read_text_csv(spark, path).drop(PROVENANCE, "_ingestion_ts")
-    return S.orders(raw)
+    return S.build("orders", {"orders": raw}, {})
 
 
 def src_provenance(spark, d):
@@ -316,7 +327,7 @@ def src_provenance(spark, d):
     b = _m(spark, d).bronze
     root = scratch_path(spark, "csv-landing")
     out = None
-    for table in ("customers", "sellers", "orders", "order_items"):
+    for table in LANDING_TABLES:
         write_text_csv(b[table], os.path.join(root, table))
         df = read_text_csv(spark, os.path.join(root, table))
         one = df.groupBy(source_name().alias("source")).agg(F.count(F.lit(1)).alias("rows"))
@@ -340,23 +351,46 @@ def stream_ingest(spark, d):
     write_text_csv(rest, os.path.join(landing, "wave=2"))
     ingest_available(spark, landing, target, ckpt, columns=orders.columns)
     raw = spark.read.parquet(target).drop(PROVENANCE, "_ingestion_ts")
-    return S.orders(raw.select(*orders.columns))
+    return S.build("orders", {"orders": raw.select(*orders.columns)}, {})
+
+
+def _run(spark, **inputs) -> dict[str, DataFrame]:
+    """The whole job under catalogue names of its own, which go afterwards."""
+    from .plans.medallion_job import LAYER_COMMENTS, run_medallion
+
+    prefix = _own("run") + "_"
+    try:
+        return run_medallion(spark, scratch_path(spark, "medallion-run"), prefix=prefix, **inputs)
+    finally:
+        for layer in LAYER_COMMENTS:
+            drop_schema(spark, prefix + layer)
 
 
 def medallion_run(spark, d):
     """The whole job as documented catalogue tables (landing, DQ, silver,
     integrity enforcement, gold, dictionary, reports); returns the load
     summary (table, rows) of every layer table."""
-    from .plans.medallion_job import run_medallion
-    return run_medallion(spark, d, scratch_path(spark, "medallion-run"), prefix="strata_")
-
-
-MANIFEST_EXTRA = "geolocation.parquet"
-
-
-def src_manifest(spark, d):
-    expected = [f"{t}.parquet" for t in DRIVER_TABLES] + [MANIFEST_EXTRA]
-    return missing_files(spark, d, expected)
+    return _run(spark, landed=_m(spark, d).bronze)["summary"].select("table", "rows")
+
+
+def medallion_csv(spark, d):
+    """The job from CSV files alone: the nine landing tables are written as
+    CSV, the job reads them back by its manifest, and what it wrote is
+    returned: rules, integrity checks, domains and the revenue report."""
+    landing = scratch_path(spark, "medallion-landing")
+    for t, df in _m(spark, d).bronze.items():
+        write_text_csv(df, os.path.join(landing, f"{t}.csv"))
+    out = _run(spark, landing_dir=landing, manifest={t: f"{t}.csv" for t in LANDING_TABLES})
+    parts = [out["bronze.dq_rules"].selectExpr("'rule' AS part", "`table` AS item", "check AS name", "occurrences AS n"),
+             out["silver.integrity"].selectExpr("'integrity' AS part", "`table` AS item", "check AS name", "violations AS n"),
+             out["bronze.dq_domains"].selectExpr("'domain' AS part", "domain AS item", "value AS name", "n"),
+             out["gold.report_revenue_by_category"].selectExpr("'revenue' AS part", "category AS item",
+                                                               "CAST(revenue AS STRING) AS name", "orders AS n"),
+             out["summary"].selectExpr("'source' AS part", "table AS item", "source AS name", "rows AS n")]
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    return rows
 
 
 def sink_overwrite(spark, d):
@@ -365,26 +399,29 @@ def sink_overwrite(spark, d):
     ensure_checkpoint_dir(spark)
     sellers = _m(spark, d).silver["sellers"]
     loc = scratch_path(spark, "sink-sellers")
-    name = "strata_sink_sellers"
-    overwrite_table(sellers.select("seller_id"), name, loc, "first version")
-    out = overwrite_table(sellers, name, loc, "silver sellers, cleaned and deduplicated")
-    assert table_comment(spark, name) == "silver sellers, cleaned and deduplicated"
-    return out
-
-
-GOLD_SCHEMA = "strata_gold"
+    name = _own("sink_sellers")
+    try:
+        overwrite_table(sellers.select("seller_id"), name, loc, "first version")
+        overwrite_table(sellers, name, loc, "silver sellers, cleaned and deduplicated")
+        assert table_comment(spark, name) == "silver sellers, cleaned and deduplicated"
+        return spark.read.parquet(loc)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def catalog_dictionary(spark, d):
     """Write the gold tables into a documented schema and list the data
     dictionary (table, position, column, type, comment with lineage)."""
     m = _m(spark, d)
-    root = scratch_path(spark, "gold-schema")
-    create_schema(spark, GOLD_SCHEMA, "Gold layer: star schema ready for analysis")
-    for t in GOLD_TABLES:
-        overwrite_table(m.gold[t], f"{GOLD_SCHEMA}.{t}", os.path.join(root, t))
-    apply_dictionary(spark, GOLD_SCHEMA, GOLD_DICTIONARY)
-    return describe_dictionary(spark, GOLD_SCHEMA, list(GOLD_TABLES))
+    root, schema = scratch_path(spark, "gold-schema"), _own("gold")
+    create_schema(spark, schema, "Gold layer: star schema ready for analysis", os.path.join(root, "schema"))
+    try:
+        for t in GOLD_TABLES:
+            overwrite_table(m.gold[t], f"{schema}.{t}", os.path.join(root, t))
+        apply_dictionary(spark, schema, GOLD_DICTIONARY)
+        return describe_dictionary(spark, schema, list(GOLD_TABLES))
+    finally:
+        drop_schema(spark, schema)
 
 
 QUERIES: dict[str, Query] = {
@@ -431,9 +468,9 @@ QUERIES: dict[str, Query] = {
     "load_summary": load_summary,
     "src_csv_roundtrip": src_csv_roundtrip,
     "src_provenance": src_provenance,
-    "src_manifest": src_manifest,
     "stream_ingest": stream_ingest,
     "medallion_run": medallion_run,
+    "medallion_csv": medallion_csv,
     "sink_overwrite": sink_overwrite,
     "catalog_dictionary": catalog_dictionary,
 }

@@ -42,8 +42,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``. Only when it is unset (local tests) a folder
-    of our own is created and registered."""
+    ``spark.checkpoint.dir``. Where it is unset, a local session (tests)
+    gets a folder of our own, and any other master is refused: intermediate
+    data on machine-local disks would be lost to the other executors."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
@@ -52,14 +53,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc is None:
         if configured:
             return configured
-        local = tempfile.mkdtemp(prefix="strata-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", local)
-        return local
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     current = sc.getCheckpointDir() or configured
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()

@@ -25,6 +25,12 @@ def create_schema(spark: SparkSession, name: str, comment: str | None = None, lo
     spark.sql(stmt)
 
 
+def drop_schema(spark: SparkSession, name: str) -> None:
+    """Remove a schema, its location and the entries of its tables; files of
+    tables written to a path outside that location stay."""
+    spark.sql(f"DROP SCHEMA IF EXISTS {name} CASCADE")
+
+
 def comment_table(spark: SparkSession, table: str, comment: str) -> None:
     spark.sql(f"COMMENT ON TABLE {table} IS {sql_string(comment)}")
 

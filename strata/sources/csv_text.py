@@ -4,10 +4,12 @@ provenance and load time, manifest check and per-table row counts."""
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.columns import clean_header
 
@@ -15,20 +17,38 @@ PROVENANCE = "_source_file"
 LOADED_AT = "_ingestion_ts"
 
 
+def header_of(spark: SparkSession, path: str) -> list[str]:
+    """Column names from the header of the files under ``path``; only the
+    header line is read (no inference)."""
+    return spark.read.option("header", True).csv(path).columns
+
+
+def text_reader(reader, columns: Sequence[str], multiline: bool):
+    """A batch or stream reader for CSV text: every column a string, quoted
+    fields that may span lines, ``"`` as escape. The header of every file is
+    held against ``columns``: a file with other or reordered columns fails the
+    read instead of landing values under wrong names."""
+    schema = StructType([StructField(c, StringType(), True) for c in columns])
+    return (reader.schema(schema).option("header", True).option("enforceSchema", False).option("multiLine", multiline)
+            .option("escape", '"').option("encoding", "UTF-8").option("mode", "PERMISSIVE"))
+
+
+def landed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Clean column names, the source file of each row and the load time."""
+    return df.select(*[F.col(f"`{c}`").alias(clean_header(c)) for c in columns],
+                     F.col("_metadata.file_path").alias(PROVENANCE), F.current_timestamp().alias(LOADED_AT))
+
+
 def read_text_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Read CSV with a header, all columns as strings (no inference),
-    quoted fields that may span lines and ``"`` as escape. Adds the source
-    file of each row and the load timestamp.
+    """Read CSV with a header, all columns as strings (no inference), with the
+    source file of each row and the load timestamp.
 
     ``multiLine`` parsing cannot split a file, so each file is one task:
     land many moderately sized files, or pass ``multiline=False`` for
     sources known to hold no embedded newlines (then files split by
     ``spark.sql.files.maxPartitionBytes``)."""
-    df = (spark.read.option("header", True).option("multiLine", multiline).option("escape", '"')
-          .option("encoding", "UTF-8").option("mode", "PERMISSIVE").csv(path))
-    df = df.select("*", F.col("_metadata.file_path").alias(PROVENANCE))
-    df = df.toDF(*[clean_header(c) for c in df.columns])
-    return df.withColumn(LOADED_AT, F.current_timestamp())
+    columns = header_of(spark, path)
+    return landed(text_reader(spark.read, columns, multiline).csv(path), columns)
 
 
 def write_text_csv(df: DataFrame, path: str, files: int | None = None) -> None:
@@ -48,19 +68,27 @@ def source_name(col: str = PROVENANCE, level: int = 1) -> F.Column:
     return F.element_at(parts, -1 - level)
 
 
-def file_name(col: str = "path") -> F.Column:
-    return F.element_at(F.split(F.col(col), "/"), -1)
-
-
 def missing_files(spark: SparkSession, directory: str, expected: Sequence[str]) -> DataFrame:
-    """Expected file names that are absent from ``directory``. The listing
-    is a ``binaryFile`` scan reading paths only (file contents are not
-    read); the expected names are a small constant list."""
-    present = spark.read.format("binaryFile").load(directory).select(file_name("path").alias("file_name"))
+    """Expected files or folders directly in ``directory`` that are absent. The
+    listing is a ``binaryFile`` scan of paths (no contents); of each path only
+    the first part below the folder counts, so a table that is a folder of part
+    files is found too."""
+    paths = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(directory)
+             .select(F.regexp_replace("path", "^[a-z0-9]+:/*", "/").alias("path")))
+    root = re.sub("^[a-z0-9]+:/*", "/", directory).rstrip("/") + "/"
+    present = paths.filter(F.col("path").startswith(root)).select(
+        F.element_at(F.split(F.substring("path", len(root) + 1, 1 << 20), "/"), 1).alias("file_name")).distinct()
     wanted = spark.createDataFrame([(f,) for f in expected], "file_name string")
     return wanted.join(present, "file_name", "left_anti")
 
 
+def require_files(spark: SparkSession, directory: str, expected: Sequence[str]) -> None:
+    """Stop before a load when files of the manifest are absent."""
+    lost = sorted(r.file_name for r in missing_files(spark, directory, expected).collect())  # names of the manifest
+    if lost:
+        raise FileNotFoundError(f"{directory} lacks {', '.join(lost)}")
+
+
 def row_counts(frames: Mapping[str, DataFrame], extra: Mapping[str, str] | None = None) -> DataFrame:
     """One row per table: (table, rows[, source])."""
     out = None
@@ -72,14 +100,20 @@ def row_counts(frames: Mapping[str, DataFrame], extra: Mapping[str, str] | None
     return out
 
 
+def read_manifest(spark: SparkSession, landing_dir: str, manifest: Mapping[str, str],
+                  multiline: bool = True) -> dict[str, DataFrame]:
+    """Every file of ``manifest`` (table -> file name) in ``landing_dir`` as
+    landed text; raises when one is absent."""
+    require_files(spark, landing_dir, list(manifest.values()))
+    return {t: read_text_csv(spark, os.path.join(landing_dir, f), multiline) for t, f in manifest.items()}
+
+
 def ingest_all(spark: SparkSession, landing_dir: str, manifest: Mapping[str, str], target_dir: str,
                multiline: bool = True) -> DataFrame:
-    """Load every file of ``manifest`` (table -> file name) from
-    ``landing_dir`` into a parquet table below ``target_dir``; return the
+    """Load ``manifest`` into parquet tables below ``target_dir``; return the
     load summary (table, rows, source) computed from the written copies."""
     written = {}
-    for table, fname in manifest.items():
-        df = read_text_csv(spark, os.path.join(landing_dir, fname), multiline)
+    for table, df in read_manifest(spark, landing_dir, manifest, multiline).items():
         loc = os.path.join(target_dir, table)
         df.write.mode("overwrite").parquet(loc)
         written[table] = spark.read.parquet(loc)

@@ -7,8 +7,10 @@ translation and geolocation). The test data has none of them, so each is
 derived deterministically from the driver's tables, in the shape a text
 landing zone delivers: every column a string, with the dirt the cleaning
 layer exists for - padded and blank text, '40.0'-style integers,
-date-only and unparsable timestamps, duplicate keys, zero weights and
-instalments, untranslated categories, out-of-range coordinates.
+date-only and unparsable timestamps, duplicate keys, rows delivered twice,
+blank, NULL and orphan keys, zero weights and instalments, prices that are not
+positive or far out, negative freight, untranslated categories, out-of-range
+coordinates.
 
 The derivations are Spark SQL text with ``{table}`` placeholders; the
 same text (placeholders replaced by view names) serves the DuckDB oracle,
@@ -24,7 +26,7 @@ from .tables import TableSet
 
 LANDING_SQL: dict[str, str] = {
     "customers": """
-SELECT concat(' ', CAST(c.c_custkey AS STRING), ' ') AS customer_id,
+SELECT CASE WHEN c.c_custkey % 151 = 0 THEN '  ' ELSE concat(' ', CAST(c.c_custkey AS STRING), ' ') END AS customer_id,
        c.c_name AS customer_unique_id,
        CAST((c.c_custkey * 1237) % 200000 AS STRING) AS customer_zip_code_prefix,
        CASE WHEN c.c_custkey % 10 = 0 THEN '  ' ELSE concat(' ', c.c_mktsegment, ' ') END AS customer_city,
@@ -38,7 +40,8 @@ SELECT CAST(s.s_suppkey AS STRING) AS seller_id,
 FROM {supplier} s JOIN {nation} n ON s.s_nationkey = n.n_nationkey""",
     "orders": """
 SELECT CAST(o_orderkey AS STRING) AS order_id,
-       CAST(o_custkey AS STRING) AS customer_id,
+       CASE WHEN o_custkey % 139 = 0 THEN concat('gone-', CAST(o_custkey AS STRING))
+            ELSE CAST(o_custkey AS STRING) END AS customer_id,
        CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN ' Shipped ' ELSE 'canceled' END AS order_status,
        CASE WHEN o_orderkey % 211 = 0 THEN 'not a date' ELSE CAST(o_orderdate AS STRING) END AS order_purchase_timestamp,
        CAST(o_orderdate AS STRING) AS order_approved_at,
@@ -49,17 +52,22 @@ SELECT CAST(o_orderkey AS STRING) AS order_id,
        CASE WHEN o_orderkey % 89 <> 0 THEN CAST(CAST(o_orderdate AS DATE) + 23 AS STRING) END AS order_estimated_delivery_date
 FROM {orders}""",
     "order_items": """
-SELECT CAST(l_orderkey AS STRING) AS order_id,
+SELECT CASE WHEN l_partkey % 167 = 0 THEN concat('lost-', CAST(l_orderkey AS STRING)) WHEN l_partkey % 173 = 0 THEN NULL
+            ELSE CAST(l_orderkey AS STRING) END AS order_id,
        CASE WHEN l_partkey % 3 = 0 THEN concat(CAST(l_linenumber AS STRING), '.0')
             ELSE CAST(l_linenumber AS STRING) END AS order_item_id,
-       CAST(l_partkey AS STRING) AS product_id,
-       CAST(l_suppkey AS STRING) AS seller_id,
+       CASE WHEN l_suppkey % 29 = 0 AND l_linenumber = 2 THEN concat('gone-', CAST(l_partkey AS STRING))
+            ELSE CAST(l_partkey AS STRING) END AS product_id,
+       CASE WHEN l_partkey % 127 = 0 THEN 'none' ELSE CAST(l_suppkey AS STRING) END AS seller_id,
        CAST(l_shipdate AS STRING) AS shipping_limit_date,
-       CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS STRING) AS price,
-       CAST(CAST(CAST(l_tax AS DECIMAL(4,2)) * CAST(l_extendedprice AS DECIMAL(12,2)) AS DECIMAL(12,2)) AS STRING) AS freight_value
+       CASE WHEN l_orderkey % 307 = 0 THEN '-1.00'
+            WHEN l_orderkey % 311 = 0 THEN CAST(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(40 AS DECIMAL(2,0)) AS DECIMAL(12,2)) AS STRING)
+            ELSE CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS STRING) END AS price,
+       CASE WHEN l_partkey % 113 = 0 THEN '-0.50' ELSE CAST(CAST(CAST(l_tax AS DECIMAL(4,2)) * CAST(l_extendedprice AS DECIMAL(12,2)) AS DECIMAL(12,2)) AS STRING) END AS freight_value
 FROM {lineitem}""",
     "order_payments": """
-SELECT CAST(l_orderkey AS STRING) AS order_id,
+SELECT CASE WHEN l_partkey % 179 = 0 THEN concat('lost-', CAST(l_orderkey AS STRING))
+            ELSE CAST(l_orderkey AS STRING) END AS order_id,
        CAST(l_linenumber AS STRING) AS payment_sequential,
        CASE WHEN l_linenumber <= 3 THEN 'credit_card' WHEN l_linenumber = 4 THEN 'boleto'
             WHEN l_linenumber = 5 THEN ' Voucher' WHEN l_linenumber = 6 THEN 'debit_card'
@@ -99,6 +107,12 @@ SELECT CAST((c.c_custkey * 1237) % 200000 AS STRING) AS geolocation_zip_code_pre
 FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey JOIN {nation} n ON c.c_nationkey = n.n_nationkey""",
 }
 
+#: rows that arrive twice, as repeated deliveries do
+REPEATED = {"customers": "c.c_custkey % 97 = 0", "sellers": "s.s_suppkey % 33 = 0", "orders": "o_orderkey % 499 = 0",
+            "products": "p_partkey % 89 = 0"}
+for _table, _again in REPEATED.items():
+    LANDING_SQL[_table] += f"\nUNION ALL{LANDING_SQL[_table]}\nWHERE {_again}"
+
 LANDING_INPUTS: dict[str, tuple[str, ...]] = {
     "customers": ("customer", "nation"),
     "sellers": ("supplier", "nation"),

@@ -1,6 +1,6 @@
 """Structured Streaming form of the landing load (incremental, exactly
 once, checkpointed)."""
 
-from .ingest import header_of, ingest_available, landing_stream, text_schema
+from .ingest import header_of, ingest_available, landing_stream
 
-__all__ = ["header_of", "ingest_available", "landing_stream", "text_schema"]
+__all__ = ["header_of", "ingest_available", "landing_stream"]

@@ -13,39 +13,21 @@ which fits a scheduled job.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions.columns import clean_header
-from ..sources.csv_text import LOADED_AT, PROVENANCE
-
-
-def text_schema(columns: list[str]) -> StructType:
-    """All-text schema for the given header names."""
-    return StructType([StructField(c, StringType(), True) for c in columns])
-
-
-def header_of(spark: SparkSession, path: str) -> list[str]:
-    """Column names from the header of the files under ``path``; only the
-    header line is read (no inference)."""
-    return spark.read.option("header", True).csv(path).columns
+from ..sources.csv_text import header_of, landed, text_reader
 
 
 def landing_stream(spark: SparkSession, landing_dir: str, columns: list[str],
                    multiline: bool = True, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming DataFrame over the CSV files of ``landing_dir``: text
-    columns with clean names, source file and load time."""
+    columns with clean names, source file and load time. A file whose header
+    differs from ``columns`` fails the query."""
     # files may sit in nested folders (one per delivery); pick them all up
-    reader = (spark.readStream.schema(text_schema(columns)).option("header", True)
-              .option("recursiveFileLookup", True)
-              .option("multiLine", multiline).option("escape", '"').option("encoding", "UTF-8"))
+    reader = text_reader(spark.readStream, columns, multiline).option("recursiveFileLookup", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.csv(landing_dir)
-    return df.select(*[F.col(f"`{c}`").alias(clean_header(c)) for c in columns],
-                     F.col("_metadata.file_path").alias(PROVENANCE),
-                     F.current_timestamp().alias(LOADED_AT))
+    return landed(reader.csv(landing_dir), columns)
 
 
 def ingest_available(spark: SparkSession, landing_dir: str, target_dir: str, checkpoint_dir: str,

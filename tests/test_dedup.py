@@ -41,7 +41,7 @@ def test_latest_valid_review_wins(spark):
             ("r2", "o1", "0", "2020-01-02", "2020-01-02 10:00:00")]
     b = spark.createDataFrame(rows, "review_id string, order_id string, review_score string, "
                                     "review_creation_date string, review_answer_timestamp string")
-    out = S.order_reviews(b).collect()
+    out = S.build("order_reviews", {"order_reviews": b}, {}).collect()
     assert [(r.review_id, r.review_score) for r in out] == [("r1", 5)]
 
 

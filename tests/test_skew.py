@@ -48,9 +48,10 @@ def _skewed(spark, n=30000):
 
 def test_hot_order_is_split_and_exact(spark):
     items, orders, reviews = _skewed(spark)
+    silver = {"order_items": items, "orders": orders, "order_reviews": reviews}
 
     def run():
-        fact = G.fact_order_items(items, orders, reviews)
+        fact = G.build("fact_order_items", silver, {}, spread_hot=True)
         per_part = fact.groupBy(F.spark_partition_id().alias("p")).agg(
             F.count_if(F.col("order_id") == "hot").alias("hot"), F.count(F.lit(1)).alias("n")).collect()
         cons = row_conservation(items, fact.withColumnRenamed("item_id", "order_item_id"),
@@ -91,3 +92,14 @@ def test_dedup_hot_key_partial_limit(spark):
     lines = plan.splitlines()
     exch = next(i for i, ln in enumerate(lines) if "Exchange hashpartitioning" in ln)
     assert any("WindowGroupLimit" in ln for ln in lines[exch + 1:])
+
+
+def test_orphans_of_a_hot_key_are_one_counted_row(spark):
+    from strata.operators.integrity import check_orphans
+    child = spark.range(30000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 3 == 1, F.lit(None))
+                                      .otherwise((F.col("id") % 90).cast("string")).alias("k"))
+    parent = spark.range(90).select(F.col("id").cast("string").alias("k"))
+    report = check_orphans(child, parent, "k", "c", "p")
+    assert report.first().violations == 20000
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftAnti") == 1 and "salt" not in plan

@@ -38,6 +38,9 @@ def test_write_read_roundtrip_keeps_blanks(spark):
 def test_manifest_and_provenance(spark, small_dir):
     missing = missing_files(spark, small_dir, ["orders.parquet", "nope.parquet"]).collect()
     assert [r.file_name for r in missing] == ["nope.parquet"]
+    folders = scratch_path(spark, "folders")
+    spark.range(3).write.parquet(os.path.join(folders, "part.parquet"))
+    assert missing_files(spark, folders, ["part.parquet"]).count() == 0
     root = scratch_path(spark, "prov")
     df = spark.range(10).select(F.col("id").cast("string").alias("id"))
     write_text_csv(df, os.path.join(root, "tbl"), files=2)
@@ -57,3 +60,19 @@ def test_ingest_all_manifest_load(spark):
         f.write("﻿k\n9\n")
     summary = ingest_all(spark, landing, {"ta": "a.csv", "tb": "b.csv"}, scratch_path(spark, "bronze"))
     assert sorted((r.table, r.rows, r.source) for r in summary.collect()) == [("ta", 2, "a.csv"), ("tb", 1, "b.csv")]
+
+
+def test_swapped_header_fails(spark):
+    """Files of one table whose headers differ must not land swapped."""
+    import pytest
+
+    from strata.streaming.ingest import ingest_available
+    landing = scratch_path(spark, "swapped")
+    os.makedirs(landing)
+    for name, text in (("a.csv", "id,name\n1,ann\n"), ("b.csv", "name,id\nbob,2\n")):
+        with open(os.path.join(landing, name), "w", encoding="utf-8") as f:
+            f.write(text)
+    with pytest.raises(Exception, match="header"):
+        read_text_csv(spark, landing).collect()
+    with pytest.raises(Exception, match="header"):
+        ingest_available(spark, landing, scratch_path(spark, "sw-t"), scratch_path(spark, "sw-c"), columns=["id", "name"])
