@@ -57,7 +57,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, encodi
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.repartitionByRange(partitions, F.col("doc_id").asc_nulls_first())
     rows = rows.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
-    options = {"compression": "zstd", "parquet.block.size": row_group_bytes, "parquet.page.size": page_bytes,
+    options = {"compression": "zstd", "parquet.compression.codec.zstd.level": 1, "parquet.block.size": row_group_bytes, "parquet.page.size": page_bytes,
                "parquet.page.row.count.limit": page_rows,
                "parquet.enable.dictionary": "true" if encoding == "dictionary" else "false",
                "parquet.writer.version": "v1" if encoding == "dictionary" else "v2"}

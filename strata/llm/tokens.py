@@ -8,6 +8,7 @@ joined, equal the ids of the whole text. Other kinds are encoded whole.
 
 from __future__ import annotations
 
+import contextlib
 import json
 import os
 import re
@@ -18,9 +19,10 @@ import numpy as np
 
 _WS = "\t-\r \x85\xa0  -     　"
 _LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
-_BEFORE_MARK = f"[{_LETTERS}]++(?=[.,!?;:%&$*#|])"
-_KEEP_SPACE = re.compile(f"[ ]?{_BEFORE_MARK}|[ ]?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]")
-_DROP_SPACE = re.compile(f"{_BEFORE_MARK}|[^{_WS}]+")
+# a word up to a following mark, or any other run up to white space
+_RUN = f"[{_LETTERS}]++(?:(?=[.,!?;:%&$*#|])|[^{_WS}]*+)|[^{_WS}]++"
+_KEEP_SPACE = re.compile(f"[ ]?(?:{_RUN})|[{_WS}]+(?![^{_WS}])|[{_WS}]")
+_DROP_SPACE = re.compile(_RUN)
 
 
 class Encoder:
@@ -95,7 +97,10 @@ class Encoder:
         split = [self.pieces.findall(t or "") for t in texts]
         flat = list(chain.from_iterable(split))
         coded = list(map(self.young.get, flat))
-        missing = [i for i, c in enumerate(coded) if c is None]
+        missing, i = [], -1
+        with contextlib.suppress(ValueError):  # no further piece is unknown
+            while True:
+                missing.append(i := coded.index(None, i + 1))
         if missing:
             self._learn({flat[i] for i in missing})
             for i in missing:
