@@ -165,47 +165,52 @@ def _matrix(rows: DataFrame, keys: np.ndarray):
     return y, r, np.concatenate(lists) if lists else np.zeros(0, np.int32)
 
 
-def _swaps(keys: np.ndarray, r: np.ndarray, c: np.ndarray, terms) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Counterfactual differences (a, b, weight): documents mentioning term
-    feature a get b instead (b = -1: no term); weight is their share."""
-    out = []
+def _swaps(keys: np.ndarray, r: np.ndarray, c: np.ndarray, terms):
+    """Counterfactual differences as (row, column, value, weight of each row):
+    the features of a mentioned term less those of the term put in its place
+    (or of none); a row weighs as many documents as mention the term."""
+    rows, cols, values, weights = [], [], [], []
     n = max(1, len(np.unique(r)))
     for group in terms:
-        h, _, _, _ = hash_words([t.encode() for t in group], ALNUM, True)
-        place = [int(np.searchsorted(keys, x)) for x in h]
-        for a in place:
-            seen = float(np.count_nonzero(c == a)) / n
-            out += [(a, b, seen) for b in [*place, -1] if b != a and seen > 0]
-    if not out:
-        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
-    a, b, w = zip(*out, strict=True)
-    return np.array(a), np.array(b), np.array(w)
+        raw = [t.encode() for t in group]
+        d, f = doc_features(raw)
+        mask, place = _known(f, keys)
+        own = [place[d[mask] == i] for i in range(len(group))]
+        word, _, _, _ = hash_words(raw, ALNUM, True)
+        for i in range(len(group)):
+            seen = float(np.count_nonzero(c == np.searchsorted(keys, word[i]))) / n
+            for j in range(-1, len(group)) if seen else ():
+                if i != j:
+                    gone, come = own[i], own[j] if j >= 0 else own[i][:0]
+                    rows += [len(weights)] * (len(gone) + len(come))
+                    cols += [*gone, *come]
+                    values += [1.0] * len(gone) + [-1.0] * len(come)
+                    weights.append(seen)
+    return np.array(rows, int), np.array(cols, int), np.array(values), np.array(weights)
 
 
 def _fit(y, r, c, size, swaps, l2, pairing, steps=400) -> tuple[np.ndarray, float]:
     """Minimise mean logistic loss + l2 |w|^2 / 2 + pairing * mean squared
     counterfactual change, by accelerated gradient steps."""
     n = len(y)
-    a, b, sw = swaps
+    sr, sc, sv, sw = swaps
     w, bias = np.zeros(size), float(np.log((y.sum() + 1) / (n - y.sum() + 1)))
     share = np.bincount(c, minlength=size) / n
     # per-coordinate step sizes from a diagonal bound on the curvature
     per_doc = np.bincount(r, minlength=n).max() if len(r) else 1
     step = 1 / (0.25 * np.maximum(share, 1 / n) * min(per_doc, 30) + l2 + 1e-9)
-    if len(a):
-        curve = np.zeros(size)
-        np.add.at(curve, a, 4 * pairing * sw)
-        np.add.at(curve, b[b >= 0], 4 * pairing * sw[b >= 0])
+    if len(sw):
+        size_of = np.bincount(sr, weights=np.abs(sv), minlength=len(sw))
+        curve = np.bincount(sc, weights=2 * pairing * (sw * size_of)[sr] * np.abs(sv), minlength=size)
         step = 1 / (1 / step + curve)
     v, vb, t, last = w.copy(), bias, 1.0, np.inf
     for _ in range(steps):
         logit = vb + np.bincount(r, weights=v[c], minlength=n)
         p = 1 / (1 + np.exp(-np.clip(logit, -40, 40)))
         g = np.bincount(c, weights=(p - y)[r], minlength=size) / n + l2 * v
-        if len(a):
-            change = 2 * pairing * sw * (v[a] - np.where(b >= 0, v[b], 0))
-            np.add.at(g, a, change)
-            np.add.at(g, b[b >= 0], -change[b >= 0])
+        if len(sw):
+            change = 2 * pairing * sw * np.bincount(sr, weights=sv * v[sc], minlength=len(sw))
+            g += np.bincount(sc, weights=sv * change[sr], minlength=size)
         loss = -np.mean(np.where(y > 0, np.log(p + 1e-12), np.log(1 - p + 1e-12))) + l2 * (v @ v) / 2
         w_new, bias_new = v - step * g, vb - 2.0 * float(np.mean(p - y))
         t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
