@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import decontaminate, near_dup, packing, secrets_scan, toxicity
 from strata.llm.common import stage, table
+from strata.llm.oracle import ORACLE_SQL as OPERATOR_SQL
 from strata.llm.queries import QUERIES as OPERATOR_QUERIES
 from strata.llm.tokens import tokenizer_path
 
@@ -66,4 +67,4 @@ QUERIES = {**OPERATOR_QUERIES, "pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {} if ORACLE_SQL is None else {"pipeline": ORACLE_SQL}
+    return OPERATOR_SQL | ({} if ORACLE_SQL is None else {"pipeline": ORACLE_SQL})

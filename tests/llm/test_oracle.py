@@ -1,0 +1,24 @@
+import os
+import sys
+
+import duckdb
+import pytest
+
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), "tools"))
+
+from check_oracle import TABLES, rows_of  # noqa: E402
+
+import __spark_entry__ as E  # noqa: E402
+from strata.llm.oracle import ORACLE_SQL  # noqa: E402
+
+
+@pytest.mark.parametrize("key", sorted(ORACLE_SQL))
+def test_query_matches_sql(spark, small_dir, key):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{small_dir}/{t}.parquet')")
+    df = E.queries()[key](spark, small_dir)
+    res = con.execute(E.oracle_sql()[key])
+    columns = [d[0] for d in res.description]
+    assert sorted(df.columns) == sorted(columns)
+    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(columns, res.fetchall())
