@@ -42,8 +42,8 @@ def _coarse(v: Column) -> Column:
 def _counts(df: DataFrame, values: Mapping[str, Column], group_by: Sequence[str]) -> DataFrame:
     key = F.struct(*[F.col(g) for g in group_by]) if group_by else F.lit(0)
     # adding 0.0 makes -0.0 and 0.0 one value
-    pairs = F.array(*[F.struct(F.lit(n).alias(_NAME), (c.cast("double") + F.lit(0.0)).alias(_V))
-                      for n, c in values.items()])
+    pairs = F.array(*[F.struct(F.lit(i).alias(_NAME), (c.cast("double") + F.lit(0.0)).alias(_V))
+                      for i, c in enumerate(values.values())])
     long = df.select(key.alias(_KEY), F.inline(pairs)).filter(F.col(_V).isNotNull())
     per_value = long.groupBy(_KEY, _NAME, _V).agg(F.count(F.lit(1)).alias(_N))
     return per_value.withColumn(_K, _coarse(F.col(_V)))
@@ -78,22 +78,23 @@ def quantile_stats(df: DataFrame, values: Mapping[str, Column], probs: Sequence[
     counts = _counts(df, values, group_by)
     buckets = counts.groupBy(_KEY, _NAME, _K).agg(
         F.sum(_N).alias(_N), F.min(_V).alias("lo"), F.max(_V).alias("hi"), F.sum(F.col(_V) * F.col(_N)).alias("sum"))
+    found = _long_quantiles(counts, buckets, probs)
+    # both kinds of result rows meet in one aggregate, so the counts behind them are one shuffle
+    empty = {c: F.lit(None).cast("double") for c in ("lo", "hi", "sum", "value")}
+    rows = buckets.select(_KEY, _NAME, _N, "lo", "hi", "sum", F.lit(-1).alias("p"), empty["value"].alias("value")).unionAll(
+        found.select(_KEY, _NAME, F.lit(0).cast("long").alias(_N), *[empty[c].alias(c) for c in ("lo", "hi", "sum")],
+                     "p", "value"))
     parts = []
-    for n in values:
-        mine = F.col(_NAME) == n
+    for i, n in enumerate(values):
+        mine = F.col(_NAME) == i
         parts += [F.coalesce(F.sum(F.when(mine, F.col(_N))), F.lit(0)).alias(f"{n}__n"),
                   F.min(F.when(mine, F.col("lo"))).alias(f"{n}__min"), F.max(F.when(mine, F.col("hi"))).alias(f"{n}__max"),
                   F.sum(F.when(mine, F.col("sum"))).alias(f"{n}__sum")]
-    found = _long_quantiles(counts, buckets, probs)
-    picks = [F.max(F.when((F.col(_NAME) == n) & (F.col("p") == i), F.col("value"))).alias(f"{n}__q{i}")
-             for n in values for i in range(len(probs))]
+        parts += [F.max(F.when(mine & (F.col("p") == j), F.col("value"))).alias(f"{n}__q{j}") for j in range(len(probs))]
     if not group_by:
-        q = found.agg(F.struct(*picks).alias("q")).scalar()
-        one = buckets.agg(*parts)
-        return one.select("*", *[q[f"{n}__q{i}"].alias(f"{n}__q{i}") for n in values for i in range(len(probs))])
-    moments, quant = buckets.groupBy(_KEY).agg(*parts), found.groupBy(F.col(_KEY).alias("__k")).agg(*picks)
-    return moments.join(quant, moments[_KEY].eqNullSafe(quant["__k"])).drop("__k").select(f"{_KEY}.*", *[
-        c for c in (*moments.columns, *quant.columns) if c not in (_KEY, "__k")])
+        return rows.agg(*parts)
+    names = [c for c in rows.groupBy(_KEY).agg(*parts).columns if c != _KEY]
+    return rows.groupBy(_KEY).agg(*parts).select(f"{_KEY}.*", *names)
 
 
 def quantiles(df: DataFrame, value: Column | str, probs: Sequence[float], group_by: Sequence[str] = (),
