@@ -1,14 +1,17 @@
 """Secret scan: a random forest removes false positives.
 
 Candidates are all character runs of at least ``min_length`` that could hold a
-credential. Each gets features of its length, its character transitions, how
+credential, and of a run with inner = or : also every piece of that length.
+What is assigned to a credential name, and the password of
+scheme://user:password@host, is a candidate whatever its symbols, from
+``short_length`` characters. Each gets features of its length, its character transitions, how
 much of it a dictionary covers, the path (the source) and the neighbouring
 words. A random forest learned from labelled findings scores every candidate;
 those under the threshold are false positives.
 
 ``weak_labels`` makes labelled findings where none are at hand: a well-known
 credential format, or an assignment to a credential name of something that
-isn't prose, is a secret; prose, addresses and checksums without one are not;
+isn't prose, or an address's password, is a secret; prose, addresses and checksums without one are not;
 the rest stays unlabelled. Learning uses at most ``max_rows`` findings of each
 label. Everything is DataFrame functions and the JVM's random forest; there is
 no Python on the executors.
@@ -33,6 +36,8 @@ from .common import stage
 #: labelled findings of each label to learn from, at most
 MAX_ROWS = 10_000
 MIN_LENGTH = 16
+#: the least length of a value assigned to a credential name, or of an address's password
+SHORT_LENGTH = 4
 #: Frequent words and word parts of English, French, German and Spanish, and of placeholders.
 DICTIONARY = (
     "the and ing tion ent her for tha nth int ere ver all are ation ble oun ould ess hea she "
@@ -46,33 +51,63 @@ _CHECKSUM = r"(?i)(sha\d*|md5|checksum|digest|commit|hash|uuid|guid|etag|integri
 _FORMAT = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|xox[abpr]-[A-Za-z0-9-]{10,}|sk[-_](live_|test_)?[A-Za-z0-9]{20,}|eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_.-]{10,}|AIza[A-Za-z0-9_-]{30,})$"
 _PATH = r"(?i)(test|spec|example|sample|mock|fixture|doc|readme)"
 _ASSIGN = r"""(=|:)["'` ]*$"""
+#: What is assigned to a credential name, whatever its symbols and length, and the password in scheme://user:password@host;
+#: both are put between marks, which no value holds.
+_MARKS = "\x01\x02"
+_NAMED = (r"""(?i)((?:token|secret|passw|passphrase|pwd|credential|api[_.-]?key|access[_.-]?key|private[_.-]?key"""
+          r"""|auth(?!or(?!iz))|bearer)[A-Za-z0-9_.\]-]{0,24}(?:\\?["'`])?[ \t]{0,8}(?:=>|:=|={1,3}|:)[ \t]{0,8}(?:\\?["'`])?)"""
+          r"""((?<=["'`])[^\s"'`\x01\x02]{LEAST,}+|[^\s"'`\x01\x02]{LEAST,}(?<![,;.)\]}>:]))""")
+_USERINFO = r"""(://[^\s/:@"'`\x01\x02]*+:)([^\s"'`/\x01\x02]{LEAST,})(?=@[A-Za-z0-9\[])"""
+_TOKEN = r"\x01[^\x02]*+\x02|[A-Za-z0-9+/_=:.@-]+"
+#: between a piece with the separators after it and the next piece
+_PIECES = r"(?<=[^A-Za-z0-9+/_.@-])(?=[A-Za-z0-9+/_.@-])"
 
 FEATURES = ["len", "digits", "uppers", "symbols", "hex", "distinct", "turns", "vowel_turns", "longest_letters",
-            "dictionary", "test_path", "credential", "checksum", "assigned", "address", "after_words"]
+            "dictionary", "test_path", "credential", "checksum", "assigned", "address", "after_words", "userinfo", "mixed"]
 
 
 def candidates(docs: DataFrame, min_length: int = MIN_LENGTH, id_col: str = "doc_id", text_col: str = "text",
-               path_col: str = "source") -> DataFrame:
+               path_col: str = "source", short_length: int = SHORT_LENGTH) -> DataFrame:
     """(doc_id, token, value, before, after, path): one row per candidate;
     ``token`` counts the text's tokens before it."""
     path = F.col(path_col).cast("string") if path_col in docs.columns else F.lit(None).cast("string")
+    text = F.translate(F.col(text_col), _MARKS, " " * len(_MARKS))
+    for place in (_USERINFO, _NAMED):
+        text = F.regexp_replace(text, place.replace("LEAST", str(short_length)), "$1\x01$2\x02")
     t = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(path, F.lit("")).alias("path"),
-                    F.split(F.col(text_col), r"[^A-Za-z0-9+/_=:.@-]+").alias("parts"))
-    places = F.filter(F.sequence(F.lit(0), F.size("parts") - 1),
-                      lambda i: F.length(F.get("parts", i)) >= min_length)
+                    F.regexp_extract_all(text, F.lit(_TOKEN), 0).alias("parts"))
+
+    def at(i: Column) -> Column:
+        return F.translate(F.get("parts", i), _MARKS, "")
+    places = F.filter(F.sequence(F.lit(0), F.size("parts") - 1), lambda i: (
+        F.length(F.get("parts", i)) >= min_length) | F.startswith(F.get("parts", i), F.lit("\x01")))
 
     def finding(i: Column) -> Column:
-        return F.struct(i.alias("token"), F.get("parts", i).alias("part"),
-                        F.concat_ws(" ", F.get("parts", i - 3), F.get("parts", i - 2), F.get("parts", i - 1)).alias("left"),
-                        F.concat_ws(" ", F.get("parts", i + 1), F.get("parts", i + 2)).alias("after"))
+        return F.struct(i.alias("token"), at(i).alias("part"),
+                        F.startswith(F.get("parts", i), F.lit("\x01")).alias("marked"),
+                        F.concat_ws(" ", at(i - 3), at(i - 2), at(i - 1)).alias("left"),
+                        F.concat_ws(" ", at(i + 1), at(i + 2)).alias("after"))
     t = t.where(F.size("parts") > 0).select("doc_id", "path", F.explode(F.transform(places, finding)).alias("c"))
-    # what precedes the last inner = or : of the run is context, as in key=value
-    part = F.col("c.part")
-    head = F.regexp_extract(part, r"^(.*[=:])[^=:]", 1)
-    value = F.regexp_replace(F.substring(part, F.length(head) + 1, F.length(part)), r"^[./@-]+|[.:/@-]+$", "")
-    t = t.select("doc_id", F.col("c.token").alias("token"), value.alias("value"),
-                 F.concat_ws(" ", "c.left", head).alias("before"), F.col("c.after").alias("after"), "path")
-    return t.where(F.length("value") >= min_length)
+    t = t.select("doc_id", "path", "c.*").withColumn("pieces", F.split("part", _PIECES))
+    last = F.size("pieces") - 1
+
+    def piece(x: Column, j: Column) -> Column:
+        ends = F.when(j < last, F.regexp_replace(x, r"[^A-Za-z0-9+_]+$", "")).otherwise(x)
+        # the pieces before it in its run are context, as in key=value
+        head = F.array_join(F.slice("pieces", F.greatest(F.lit(1), j - 3), F.least(j, F.lit(4))), "")
+        short = F.when(F.col("marked") & (j == 0), short_length).otherwise(min_length)
+        return F.struct(F.regexp_replace(ends, r"^[./@-]+|[.:/@-]+$", "").alias("value"),
+                        F.when(j > 0, head).alias("head"), short.alias("least"))
+    whole = F.struct(F.when(F.col("marked"), F.col("part")).otherwise(
+        F.regexp_replace("part", r"^[./@-]+|[.:/@-]+$", "")).alias("value"), F.lit(None).cast("string").alias("head"),
+        F.when(F.col("marked"), short_length).otherwise(min_length).alias("least"))
+    # user:password@host without a scheme: the password is a piece too
+    passwords = F.transform("pieces", lambda x, j: piece(F.when(j > 0, F.regexp_extract(x, "^(.+)@[A-Za-z0-9]", 1)), j))
+    found = F.array_distinct(F.concat(F.array(whole), F.transform("pieces", piece), passwords))
+    found = F.filter(found, lambda x: F.length(x["value"]) >= x["least"])
+    t = t.select("doc_id", "token", "left", "after", "path", F.explode(found).alias("f"))
+    return t.select("doc_id", "token", F.col("f.value").alias("value"),
+                    F.concat_ws(" ", "left", "f.head").alias("before"), "after", "path")
 
 
 def features(found: DataFrame) -> DataFrame:
@@ -101,16 +136,21 @@ def features(found: DataFrame) -> DataFrame:
         F.col("before").rlike(_CREDENTIAL).cast("double").alias("credential"),
         F.col("before").rlike(_CHECKSUM).cast("double").alias("checksum"),
         F.rtrim("before").rlike(_ASSIGN).cast("double").alias("assigned"),
-        v.rlike(r"(@|://|www\.|\.(com|org|net|html?)\b)").cast("double").alias("address"),
-        F.length(F.regexp_replace("after", "[^A-Za-z]", "")).cast("double").alias("after_words"))
+        v.rlike(r"(^[^@]*@[A-Za-z0-9-]+(\.|$|[:/])|://|www\.|\.(com|org|net|html?)\b)").cast("double").alias("address"),
+        F.length(F.regexp_replace("after", "[^A-Za-z]", "")).cast("double").alias("after_words"),
+        (F.col("before").rlike(r"://[^\s/@]*:$") & F.startswith("after", F.lit("@"))).cast("double").alias("userinfo"),
+        # symbols inside, unless it refers to a value
+        (v.rlike(r"[!#$%^&*~?|@][A-Za-z0-9!#$%^&*~?|@]") & ~v.rlike(r"^([$%][({A-Za-z_]|[{<\[])")).cast("double").alias("mixed"))
 
 
 def weak_labels(found: DataFrame) -> DataFrame:
     """``found`` (with features) with ``label``: 1.0, 0.0 or NULL."""
     named = (F.col("credential") == 1) & (F.col("assigned") == 1)
-    random = (F.col("digits") > 0.1) & (F.col("dictionary") < 0.5) & (F.col("address") == 0)
-    known = F.col("value").rlike(_FORMAT)
-    prose = (F.col("digits") == 0) | (F.col("address") == 1) | (F.col("dictionary") > 0.6)
+    # a short number alone is as often a count
+    number = (F.length("value") < MIN_LENGTH) & ~F.col("value").rlike("[^0-9.,]")
+    random = ((F.col("digits") > 0.1) | (F.col("mixed") == 1)) & (F.col("dictionary") < 0.5) & (F.col("address") == 0) & ~number
+    known = F.col("value").rlike(_FORMAT) | ((F.col("userinfo") == 1) & (F.col("dictionary") < 0.5))
+    prose = ((F.col("digits") == 0) & (F.col("mixed") == 0)) | (F.col("address") == 1) | (F.col("dictionary") > 0.6)
     other = (F.col("checksum") == 1) & (F.col("credential") == 0)
     return found.withColumn("label", F.when(known | (named & random), 1.0).when(prose | other, 0.0))
 

@@ -79,6 +79,36 @@ def test_edges(spark, docs, no_docs):
     assert sorted(twice) == sorted(2 * once) and {s for v in secrets.values() for s in v} <= set(once)
 
 
+def test_every_part_of_a_run_addresses_and_short_passwords(spark):
+    rng = random.Random(7)
+
+    def some(chars, n):
+        return "".join(rng.choice(chars) for _ in range(n))
+    alnum = HEX + "GHJKLMNPQRSTUVWXYZ"
+    rows, secrets = corpus(400, 4)
+    for i in range(400, 800):
+        aws, forty, gh, word = "AKIA" + some("ABCDEFGH2345", 16), some(alnum, 40), "ghp_" + some(alnum, 36), some(alnum, 6) + "7$k"
+        text, planted = [(f"token={gh}:x-oauth-basic", [gh]), (f"{aws}:us-east-1", [aws]), (f"use {aws}:{forty} now", [aws]),
+                         (f"api_key={forty}=foo", [forty]), (f"see postgres://admin:{forty}@host/db", [forty]),
+                         (f"postgres://admin:{word}@db.example.com/x", [word]), (f'password = "{word}"', [word]),
+                         (f"password: {word}!, and", [word])][i % 8]
+        rows.append((i, f"ther on {text} the er", "en", "x", 0))
+        secrets[i] = planted
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    cand = {}
+    for r in S.candidates(docs).collect():
+        cand.setdefault(r.doc_id, set()).add(r.value)
+    masked = {r.doc_id: r.text for r in S.redact(docs).collect()}
+    for i in range(400, 800):
+        for s in secrets[i]:
+            assert any(s in v for v in cand[i]) and s not in masked[i], (rows[i], cand[i], masked[i])
+    one = spark.createDataFrame([(1, "ftp admin:zq9f8e7d6c5b4a3f2e1d@host/db", "", "", 0)], DOCS)
+    assert "zq9f8e7d6c5b4a3f2e1d" in {r.value for r in S.candidates(one).collect()}
+    one = spark.createDataFrame([(1, "key=0123456789abcdef0123=foo", "", "", 0)], DOCS)
+    got = {r.value for r in S.candidates(one).collect()}
+    assert "0123456789abcdef0123" in got and "key=0123456789abcdef0123=foo" in got
+
+
 @pytest.mark.parametrize("query", ["op1_secrets"])
 def test_no_python_on_the_main_path(spark, small_dir, query):
     from strata.llm.queries import QUERIES
