@@ -19,7 +19,8 @@ no Python on the executors.
 Edge cases: NULL and empty texts have no candidates; a NULL source is an empty
 path; repeated rows and values are separate findings; with labelled findings
 of fewer than two kinds every candidate scores as its weak label says; no
-documents give no findings. Further columns of the documents are ignored, or
+documents give no findings; documents with a NULL id are scanned and masked
+like others, also where several share it. Further columns of the documents are ignored, or
 pass through ``redact``.
 """
 
@@ -31,7 +32,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import fresh, stage
 
 #: labelled findings of each label to learn from, at most
 MAX_ROWS = 10_000
@@ -199,13 +200,16 @@ def redact(docs: DataFrame, mask: str = "<SECRET>", id_col: str = "doc_id", text
            size_col: str | None = "n_chars", **options) -> DataFrame:
     """``docs`` with found secrets masked in the texts; ``size_col``, where
     there is such a column, is the masked text's length."""
-    found = scan(docs, id_col=id_col, text_col=text_col, **options)
+    # rows are told apart by id and text, so a NULL id has a key too; rows that share a key share their secrets
+    key = fresh(docs, "row_key")
+    keyed = docs.withColumn(key, F.xxhash64(id_col, text_col))
+    found = scan(keyed, id_col=key, text_col=text_col, **options)
     longest = F.array_sort(F.collect_set(F.struct((-F.length("value")).alias("n"), "value")))
     found = stage(found.groupBy(F.col("doc_id").alias("_finding")).agg(longest.alias("_secrets")), "secret-values")
     # a found value stands in the text as such; longer ones are masked first
     text = F.when(F.col("_secrets").isNull(), F.col(text_col)).otherwise(
         F.aggregate("_secrets", F.col(text_col), lambda s, x: F.replace(s, x["value"], F.lit(mask))))
-    out = docs.join(found, docs[id_col] == found["_finding"], "left").withColumn(text_col, text)
+    out = keyed.join(found, keyed[key] == found["_finding"], "left").withColumn(text_col, text)
     if size_col and size_col in docs.columns:
         size = F.when(F.col("_secrets").isNull(), F.col(size_col)).otherwise(F.length(text_col))
         out = out.withColumn(size_col, size.cast(docs.schema[size_col].dataType))

@@ -109,6 +109,19 @@ def test_every_part_of_a_run_addresses_and_short_passwords(spark):
     assert "0123456789abcdef0123" in got and "key=0123456789abcdef0123=foo" in got
 
 
+def test_null_and_shared_ids_are_masked(spark):
+    rows, secrets = corpus(300, 6)
+    plain = [(t, secrets.get(i, [])) for i, t, *_ in rows]
+    docs = spark.createDataFrame([(None if i % 2 else 3, t, "en", "s", 0) for i, (t, _) in enumerate(plain)], DOCS).repartition(3)
+    want = []
+    for text, values in plain:
+        for v in values:
+            text = text.replace(v, "<SECRET>")
+        want.append(text)
+    got = S.redact(docs).collect()
+    assert sorted(r.text for r in got) == sorted(want) and sum(r.doc_id is None for r in got) == 150
+
+
 @pytest.mark.parametrize("query", ["op1_secrets"])
 def test_no_python_on_the_main_path(spark, small_dir, query):
     from strata.llm.queries import QUERIES
