@@ -24,7 +24,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, the smallest id."""
+    """One document of each group of near duplicates stays, the smallest id;
+    repeated rows and NULL ids are documents of their group like others."""
     return near_dup.keep_one(docs)
 
 

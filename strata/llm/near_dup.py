@@ -24,7 +24,7 @@ Bayesian pruning with at most ``miss`` per batch.
 
 Edge cases: NULL or blank texts have an empty set and are linked with nothing;
 a text of fewer words than a shingle is one shingle; repeated rows stay
-repeated, and where rows share an id but not a text, links are confirmed on
+repeated (``keep_one`` keeps one), and where rows share an id but not a text, links are confirmed on
 the smallest text; a NULL id joins its class but never stands for it; empty
 input gives no rows; further columns pass through or are ignored.
 """
@@ -360,12 +360,28 @@ def components(docs: DataFrame, percent: int = 85, k: int = 5, miss: float = 1e-
         "doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with one document of each group of near duplicates."""
-    kept = components(docs, id_col=id_col, **options).where("doc_id <> component_id").select("doc_id")
-    drop = fresh(docs, "dropped_id")
-    kept = stage(kept.select(F.col("doc_id").alias(drop)).distinct(), "near-dropped")
-    return docs.join(kept, docs[id_col] == kept[drop], "left_anti")
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: the smallest id,
+    where ids repeat the smallest hash of id and text. Rows repeated in id and
+    text, rows that share only an id, and rows with a NULL id are told apart by
+    that hash; a NULL id stays only where the group has no other. Empty
+    shingle sets are linked with nothing, so all their rows stay."""
+    key, pick, size = (fresh(docs, c) for c in ("row_key", "picked_key", "group_rows"))
+    keyed = docs.withColumn(key, F.xxhash64(id_col, text_col))
+    groups = components(keyed, id_col=key, text_col=text_col, **options).where("n_shingles > 0").groupBy(
+        F.col("doc_id").alias(key)).agg(F.min("component_id").alias("component"), F.count("*").alias(size))
+    ids = keyed.groupBy(key).agg(F.min(id_col).alias("id"))
+    groups = stage(groups.join(ids, key), "near-row-groups")
+    first = groups.groupBy("component").agg(F.min(F.struct(F.col("id").isNull(), "id", key)).alias("x"))
+    first = stage(first.select(F.col(f"x.{key}").alias(pick)), "near-picked")
+    groups = groups.join(first, groups[key] == first[pick], "left").where(F.col(pick).isNull() | (F.col(size) > 1))
+    groups = stage(groups.select(key, pick), "near-dropped")
+    rest = keyed.join(groups.select(key), key, "left_anti").select(*docs.columns)
+    again = keyed.join(groups.where(F.col(pick).isNotNull()).select(key), key, "left_semi")
+    # grouped by a hash of the key: rows repeated very often meet as partial aggregates
+    one = again.groupBy(F.xxhash64(key).alias(pick), key).agg(
+        F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias(size))
+    return rest.unionByName(one.select(f"{size}.*"))
 
 
 def digest(docs: DataFrame) -> DataFrame:

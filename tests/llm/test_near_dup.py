@@ -84,6 +84,21 @@ def test_repeated_rows_and_keep_one(spark, docs):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 4, 5, 6, 9, 11]
 
 
+def test_keep_one_of_repeated_null_and_shared_ids(spark):
+    a, b, c, e = (" ".join(f"{x}{i}" for i in range(100)) for x in "abce")
+    rows = [(1, a, "x"), (1, a, "x"), (1, a, "y"), (9, a + " end", "x"),  # repeated rows, a near copy
+            (None, b, "x"), (None, b, "x"), (None, b + " end", "x"),  # only NULL ids
+            (None, c, "x"), (4, c, "x"), (5, c, "x"), (5, e, "x"),  # a shared id, of which one copies
+            (7, None, "x"), (7, None, "x"), (8, "", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    kept = N.keep_one(df)
+    assert kept.columns == df.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    null = [x for x in got if x[0] is None]
+    assert len(null) == 1 and null[0][1] in (b, b + " end")
+    assert [x for x in got if x[0] is not None] == sorted([(1, a), (4, c), (5, e), (7, None), (7, None), (8, "")], key=str)
+
+
 @pytest.mark.parametrize("rounds", [0, 1])
 def test_finishing_in_full(spark, monkeypatch, rounds):
     """Texts of all similarities around the threshold, decided in the blocks."""
