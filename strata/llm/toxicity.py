@@ -115,7 +115,9 @@ def sample(docs: DataFrame, labels: DataFrame, max_rows: int, seed: int, id_col:
     y = y.groupBy("_id").agg(F.max("toxic").alias("toxic"))
     y = y.orderBy(F.xxhash64(F.lit(seed), "_id"), "_id").limit(max_rows)
     t = docs.select(F.col(id_col).alias("_doc"), F.lower(text_col).alias("text"))
-    return t.join(F.broadcast(y), t["_doc"] == y["_id"]).select("text", "toxic")  # y: max_rows at most
+    t = t.join(F.broadcast(y), t["_doc"] == y["_id"])  # y: max_rows at most
+    # an id that repeats counts once, with its smallest text
+    return t.groupBy("_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")).select("text", "toxic")
 
 
 def _frequencies(rows: DataFrame, min_docs: int, max_features: int) -> list:

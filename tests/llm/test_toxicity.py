@@ -76,3 +76,12 @@ def test_sample_is_bounded_and_skips_held_out(spark, bound):
     s = T.sample(docs, labels.withColumn("toxic", F.lit(1)), bound, 11, "doc_id", "text")
     usable = sum(1 for i in range(600) if i % 4 and zlib.crc32(str(i).encode()) % 3 != 1)
     assert s.count() == min(bound, usable)
+
+
+def test_repeated_ids_are_sampled_once(spark):
+    docs, labels = frames(spark, corpus(60, 5))
+    labels = labels.withColumn("toxic", F.lit(1))
+    usable = [i for i in range(60) if i % 4 and zlib.crc32(str(i).encode()) % 3 != 1]
+    hot = docs.where(F.col("doc_id") == usable[0])
+    many = docs.unionByName(hot.crossJoin(spark.range(200)).withColumn("text", F.concat("text", F.col("id").cast("string"))).drop("id"))
+    assert T.sample(many, labels, 20_000, 11, "doc_id", "text").count() == len(usable)
