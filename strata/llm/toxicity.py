@@ -1,11 +1,15 @@
 """Toxicity classifier regularised by counterfactuals.
 
 A logistic regression over the presence of words and word beginnings is
-learned from a bounded sample of labelled documents. For every sampled
-sentence that mentions an identity term, counterfactuals swap the term for
-each other term of its list, or for none; the squared change of the score
-(before the logistic function) is penalised, so that which group a sentence
-mentions moves its score little and neutral mentions are not rejected.
+learned from a bounded sample of labelled documents. For every identity term
+that the sample mentions, counterfactuals swap it for each other term of its
+list, or for none; the squared change of the score (before the logistic
+function) is penalised, weighted by the share of sampled documents that
+mention the term, so that which group a sentence mentions moves its score
+little and neutral mentions are not rejected. The change is that of the terms'
+own features: no sentence is swapped, so words and beginnings that a sentence
+shares with a term are not taken into account. Where no term occurs there is
+no penalty.
 
 Scoring reads whole texts in one narrow pass; the model is two arrays of at
 most ``max_features`` values.
