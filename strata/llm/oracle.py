@@ -78,4 +78,27 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(cov.n, 0) AS n_hit,
        sha256(coalesce(j, '')) AS items_sha256,
        coalesce(cov.n, 0) > 0 AND 20 * coalesce(cov.n, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN cov ON cov.doc_id = d.doc_id LEFT JOIN its ON its.doc_id = d.doc_id""",
+    "op11_phrases": f"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')) AS s FROM d),
+w AS (SELECT lang, regexp_extract_all(s, '[^\\x20\\x09]+') AS w FROM p),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+            FROM w JOIN (VALUES (1), (2), (3), (4)) AS ks(k) ON len(w) >= k)),
+f AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS v, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 30),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+cuts AS (SELECT lang, phrase, a, v, k, unnest(range(1, k)) AS j FROM f WHERE k > 1),
+scored AS (SELECT c.lang, c.phrase, c.a, c.j, x.a AS l, y.a AS r,
+                  (CAST(2000000 AS HUGEINT) * c.a) // (CAST(x.a AS HUGEINT) + y.a) AS score
+           FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.v[:c.j], ' ')
+           JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.v[c.j + 1:], ' ')),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS o FROM scored) WHERE o = 1),
+inside AS (SELECT lang, array_to_string(v[i:i + m - 1], ' ') AS phrase, max(a) AS a
+           FROM (SELECT lang, v, a, m, unnest(range(1, k - m + 2)) AS i FROM f JOIN (VALUES (2), (3)) AS ms(m) ON m < k)
+           GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+         WHERE i.a IS NULL OR CAST(100 AS HUGEINT) * i.a < CAST(80 AS HUGEINT) * b.a)
+SELECT k.lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) k
+JOIN n ON n.lang = k.lang WHERE rank <= 2000""",
 }

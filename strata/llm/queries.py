@@ -64,4 +64,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op2_packing, op3_warc, op4_sharding, op5_toxicity, op6_near_duplicates, op7_substring_dedup, op8_token_files, op9_topk, op10_decontaminate)}
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import phrases
+    return phrases.digest(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_secrets, op2_packing, op3_warc, op4_sharding, op5_toxicity, op6_near_duplicates, op7_substring_dedup, op8_token_files, op9_topk, op10_decontaminate,
+                                 op11_phrases)}
