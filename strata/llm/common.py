@@ -19,11 +19,16 @@ from strata.session import scratch_path
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _MAX_BYTES = 1 << 20
+#: bytes of a batch sent to Python, where the session has Spark's default
+BATCH_BYTES = 4 << 20
+_BATCH, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 
 def ship(spark: SparkSession) -> None:
     """Make this package importable in Python workers (once per context), as
-    ``--py-files`` would."""
+    ``--py-files`` would, and bound the batches sent to them by bytes."""
+    if spark.conf.get(_BATCH, None) in (None, _BATCH_DEFAULT):
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
     sc = spark.sparkContext
     if getattr(sc, "_strata_shipped", False):
         return

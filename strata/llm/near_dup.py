@@ -3,21 +3,23 @@
 1. Every text becomes its set of 5-word shingle hashes, a MinHash signature and
    banded keys. Documents with equal sets form one class; only a class's
    smallest id goes on.
-2. Band buckets of two or more classes are compared inside tasks, in blocks of
-   bounded size. Signatures are compared a batch of values at a time; a pair is
-   dropped once the posterior probability that its similarity reaches the
-   threshold falls below the chosen miss probability.
+2. Band buckets of two or more classes give candidates. Signatures are
+   compared a batch of values at a time; a pair is dropped once the posterior
+   probability that its similarity reaches the threshold falls below the chosen
+   miss probability.
 3. Survivors are verified on the full shingle sets, recomputed from the texts.
 4. Components of the verified links.
 
 A group of m near copies must not become m^2 pairs, and no link between
-different texts may be lost. A round links each document only to its most
-similar surviving partner in a bucket, among documents not yet in its component
-and not yet tried; after verification, components are updated and buckets that
-lie in one component are closed. After ``forest_rounds`` such rounds, the open
-buckets are finished in full: the documents that still have a surviving partner
-in another component meet there with their texts, every such pair is verified
-inside the task, and only links that join components leave it.
+different texts may be lost. Star rounds come first: in every bucket that spans
+components, one document (the smallest id, later one drawn by a hash) meets all
+members outside its component, so a round costs a pair a member; the links
+join components, and buckets that lie in one are closed. After ``star_rounds``
+the buckets still open are finished in full: the members outside a bucket's
+largest component meet all others, in blocks bounded by documents and by
+shingles; those with a surviving partner in another component meet there again
+with their texts, every such pair is verified inside the task, and only links
+that join components leave it.
 
 Band keys miss a pair at the threshold (0.85) with a chance of about 1e-6, the
 Bayesian pruning with at most ``miss`` per batch.
@@ -43,8 +45,8 @@ HASHES, BANDS = 120, 24
 ROWS = HASHES // BANDS
 #: signature values compared before each pruning step
 STEPS = (16, 32, 56, 88, 120)
-#: members of a bucket compared at once
-CHUNK = 512
+#: documents, and shingles, of a bucket compared at once
+CHUNK, CHUNK_SHINGLES = 512, 400_000
 
 _rng = np.random.default_rng(1729)
 _MUL = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -122,69 +124,105 @@ def sketch(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
 
 
 def _buckets(reps: DataFrame) -> DataFrame:
-    """Written table (bucket, chunks, id) of the buckets with two or more
-    classes; buckets with the same members are kept once."""
-    keys = reps.select(F.col("rep").alias("id"), F.posexplode("bands").alias("band", "key")).select(
-        "id", F.xxhash64("band", "key").alias("bucket"))
+    """Written table (bucket, id, n) of the buckets with two or more classes;
+    buckets with the same members are kept once."""
+    keys = reps.select(F.col("rep").alias("id"), "n", F.posexplode("bands").alias("band", "key")).select(
+        "id", "n", F.xxhash64("band", "key").alias("bucket"))
     keys = stage(keys, "near-bands")
     shared = stage(keys.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1"), "near-shared")
     keys = stage(keys.join(shared, "bucket"), "near-members")
     same = keys.groupBy("bucket").agg(F.min("m").alias("m"), F.min("id").alias("lo"),
                                       F.bit_xor(F.xxhash64("id")).alias("x"),
                                       F.bit_xor(F.xxhash64(F.lit(7), "id")).alias("y"))
-    distinct = stage(same.groupBy("m", "x", "y", "lo").agg(F.min("bucket").alias("bucket")).select(
-        "bucket", F.ceil(F.col("m") / CHUNK).cast("int").alias("chunks")), "near-distinct")
-    return stage(keys.select("bucket", "id").join(distinct, "bucket"), "near-buckets")
+    distinct = stage(same.groupBy("m", "x", "y", "lo").agg(F.min("bucket").alias("bucket")).select("bucket"),
+                     "near-distinct")
+    return stage(keys.select("bucket", "id", "n").join(distinct, "bucket"), "near-buckets")
 
 
-def _blocks(buckets: DataFrame, state: DataFrame) -> DataFrame:
-    """Rows dealt to the block pairs of each still open bucket. A bucket of
-    more than one chunk is compared chunk against chunk, in its own tasks."""
-    m = buckets.join(state, "id")
+def _open_members(buckets: DataFrame, state: DataFrame) -> DataFrame:
+    """Written table (bucket, id, n, component) of the buckets that span
+    components."""
+    m = stage(buckets.join(state.select("id", "component"), "id"), "near-state")
     still = m.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     still = stage(still.where("lo < hi").select("bucket"), "near-open")
-    m = m.join(still, "bucket")
-    mine = F.when(F.col("chunks") > 1, F.pmod(F.xxhash64(F.lit(3), "id"), F.col("chunks"))).otherwise(0).cast("int")
-    m = m.withColumn("chunk", mine).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    return m.select(F.xxhash64("bucket", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("block"),
-                    (F.col("chunk") <= F.col("other")).alias("left"),
-                    (F.col("chunk") >= F.col("other")).alias("right"), "id", "component", "sig", "tried")
-
-
-def _survivors(sig, ids, comp, left, right, least: list[int]):
-    """(rows, rows, equal values) of the pairs of different components that no
-    step drops, the smaller id first."""
-    l, r = np.flatnonzero(left), np.flatnonzero(right)
-    ok = comp[l][:, None] != comp[r][None, :]
-    if len(l) == len(ids) and len(r) == len(ids):  # a chunk with itself
-        ok &= ids[l][:, None] < ids[r][None, :]
-    x, y = np.nonzero(ok)
-    x, y = l[x], r[y]
-    done, same = 0, np.zeros(len(x), dtype=np.int32)
-    for n, need in zip(STEPS, least, strict=True):
-        for a in range(0, len(x), 1 << 16):  # bounds the gathered signatures
-            part = slice(a, a + (1 << 16))
-            same[part] += (sig[x[part], done:n] == sig[y[part], done:n]).sum(axis=1, dtype=np.int32)
-        keep = same >= need
-        x, y, same, done = x[keep], y[keep], same[keep], n
-    swap = ids[x] > ids[y]
-    return np.where(swap, y, x), np.where(swap, x, y), same
-
-
-def _best_partners(t: pa.Table, least: list[int]) -> list[tuple[int, int]]:
-    """(a, b), a < b: for each document the most similar survivor before it
-    that it hasn't been tried with."""
-    ids, tried = t["id"].to_numpy(), t["tried"].to_pylist()
-    lo, hi, same = _survivors(_sig(t), ids, t["component"].to_numpy(), t["left"].to_numpy(), t["right"].to_numpy(), least)
-    order = np.lexsort((ids[lo], -same, ids[hi]))
-    past = {int(i): set(x) for i, x in zip(ids, tried, strict=True) if x}
-    out, last = [], None
-    for p, q in zip(ids[lo[order]].tolist(), ids[hi[order]].tolist(), strict=True):
-        if q != last and p not in past.get(q, ()):
-            out.append((p, q))
-            last = q
-    return out
+    return stage(m.join(still, "bucket"), "near-open-members")
+
+
+def _star_pairs(members: DataFrame, turn: int) -> DataFrame:
+    """Written table (a, b), a < b: in each bucket one document with all those
+    outside its component."""
+    rank = F.col("id") if turn == 0 else F.xxhash64(F.lit(turn), "id")
+    centre = stage(members.groupBy("bucket").agg(F.min(F.struct(rank.alias("rank"), "id", "component")).alias("c")).select(
+        "bucket", F.col("c.id").alias("_id"), F.col("c.component").alias("_component")), "near-centres")
+    pairs = members.join(centre, "bucket").where("component <> _component")
+    return stage(pairs.select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b")).distinct(), "near-stars")
+
+
+def _likely(pairs: DataFrame, signatures: DataFrame, least: list[int]) -> DataFrame:
+    """Written table of the pairs that no pruning step drops."""
+    one = signatures.select(F.col("id").alias("a"), F.col("sig").alias("sa"))
+    two = signatures.select(F.col("id").alias("b"), F.col("sig").alias("sb"))
+    rows = stage(pairs.join(one, "a"), "near-half").join(two, "b").select("a", "b", "sa", "sb")
+
+    def run(batches):
+        for t in batches:
+            x, y = (np.frombuffer(b"".join(t.column(c).to_pylist()), "<u2").reshape(-1, HASHES) for c in ("sa", "sb"))
+            keep, same, done = np.arange(len(x)), np.zeros(len(x), dtype=np.int64), 0
+            for n, need in zip(STEPS, least, strict=True):
+                same = same + (x[keep, done:n] == y[keep, done:n]).sum(axis=1)
+                keep, same, done = keep[same >= need], same[same >= need], n
+            yield t.select(["a", "b"]).take(pa.array(keep))
+
+    return stage(rows.mapInArrow(run, "a long, b long"), "near-likely")
+
+
+def _blocks(members: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Rows dealt to the blocks of each open bucket: a chunk of the documents
+    outside its largest component (``left``) against a chunk of all of them.
+    ``minor`` marks the former where they come as members of the second."""
+    size = members.groupBy("bucket", "component").agg(F.count("*").alias("m"), F.sum("n").alias("n"))
+    size = size.groupBy("bucket").agg(
+        F.max(F.struct("m", "component", "n")).alias("top"), F.sum("m").alias("m"), F.sum("n").alias("n"))
+
+    def chunks(m, n):
+        return F.greatest(F.lit(1), F.ceil(m / CHUNK), F.ceil(n / CHUNK_SHINGLES)).cast("int")
+    m, n = F.col("m"), F.col("n")
+    size = stage(size.select("bucket", F.col("top.component").alias("largest"), chunks(m, n).alias("all_chunks"),
+                             chunks(m - F.col("top.m"), n - F.col("top.n")).alias("left_chunks")), "near-sizes")
+    rows = members.join(size, "bucket").withColumn("minor", F.col("component") != F.col("largest"))
+    mine = F.xxhash64(F.lit(3), "id")
+    of_left, of_all = (F.pmod(mine, F.col(c)).cast("int") for c in ("left_chunks", "all_chunks"))
+    left = rows.where("minor").select("bucket", "id", "component", F.lit(True).alias("left"), F.lit(True).alias("minor"),
+                                      of_left.alias("l"), F.explode(F.sequence(F.lit(0), F.col("all_chunks") - 1)).alias("r"))
+    right = rows.select("bucket", "id", "component", F.lit(False).alias("left"), "minor",
+                        F.explode(F.sequence(F.lit(0), F.col("left_chunks") - 1)).alias("l"), of_all.alias("r"))
+    dealt = stage(left.unionByName(right), "near-dealt")
+    return stage(dealt.join(signatures, "id").select(F.xxhash64("bucket", "l", "r").alias("block"), "left", "minor", "id",
+                                                     "component", "sig"), "near-blocks")
+
+
+def _survivors(t: pa.Table, least: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the pairs of different components that no pruning step drops."""
+    ids, comp, sig = t["id"].to_numpy(), t["component"].to_numpy(), _sig(t)
+    left, minor = (t[c].to_numpy() for c in ("left", "minor"))
+    l, r = np.flatnonzero(left), np.flatnonzero(~left)
+    found = []
+    step = max(1, (1 << 16) // max(1, len(r)))  # bounds the gathered signatures
+    for a in range(0, len(l), step):
+        x = l[a:a + step]
+        ok = comp[x][:, None] != comp[r][None, :]
+        ok &= ~minor[r][None, :] | (ids[x][:, None] < ids[r][None, :])
+        x, y = np.nonzero(ok)
+        x, y = l[a:a + step][x], r[y]
+        done, same = 0, np.zeros(len(x), dtype=np.int32)
+        for n, need in zip(STEPS, least, strict=True):
+            same = same + (sig[x, done:n] == sig[y, done:n]).sum(axis=1, dtype=np.int32)
+            keep = same >= need
+            x, y, same, done = x[keep], y[keep], same[keep], n
+        found.append((x, y))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
 
 
 def _sig(t: pa.Table) -> np.ndarray:
@@ -193,9 +231,9 @@ def _sig(t: pa.Table) -> np.ndarray:
 
 def _undecided(t: pa.Table, least: list[int]) -> list[tuple[int, int]]:
     """(block, id) of the documents with a survivor in another component."""
-    ids = t["id"].to_numpy()
-    lo, hi, _ = _survivors(_sig(t), ids, t["component"].to_numpy(), t["left"].to_numpy(), t["right"].to_numpy(), least)
-    return [(t["block"][0].as_py(), int(i)) for i in ids[np.unique(np.concatenate([lo, hi]))]]
+    lo, hi = _survivors(t, least)
+    block = t["block"][0].as_py()
+    return [(block, i) for i in np.unique(t["id"].to_numpy()[np.concatenate([lo, hi])]).tolist()]
 
 
 def intersections(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -222,7 +260,7 @@ def intersections(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.nd
 def _joining_links(t: pa.Table, least: list[int], k: int, percent: int) -> list[tuple[int, int]]:
     """The verified links of a block, of those only a forest over components."""
     ids, comp = t["id"].to_numpy(), t["component"].to_numpy()
-    lo, hi, _ = _survivors(_sig(t), ids, comp, t["left"].to_numpy(), t["right"].to_numpy(), least)
+    lo, hi = _survivors(t, least)
     sets = shingle_sets(utf8(t["text"].combine_chunks()), k)
     size = np.array([len(s) for s in sets])
     both = intersections(sets, lo, hi)
@@ -244,12 +282,13 @@ def _joining_links(t: pa.Table, least: list[int], k: int, percent: int) -> list[
 
 def _per_block(rows: DataFrame, work, names: str) -> DataFrame:
     """``work`` on each block's rows, whole and sorted by id; it returns pairs
-    of longs called ``names``. A task holds one block at a time: two chunks."""
+    of longs called ``names``. A task holds one block at a time: two chunks of
+    at most about CHUNK documents and CHUNK_SHINGLES shingles."""
     rows = rows.repartition(F.col("block")).sortWithinPartitions("block", "id")
-    a, b = names.split()
+    first, second = names.split()
 
     def batch(out):
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=[a, b])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=[first, second])
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -271,7 +310,7 @@ def _per_block(rows: DataFrame, work, names: str) -> DataFrame:
         if held and (out := work(pa.Table.from_batches(held))):
             yield batch(out)
 
-    return rows.mapInArrow(run, f"{a} long, {b} long").distinct()
+    return rows.mapInArrow(run, f"{first} long, {second} long").distinct()
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int, per_group: int = 256) -> DataFrame:
@@ -307,15 +346,16 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int, per_grou
     return stage(rows.mapInArrow(run, "a long, b long, linked boolean"), "near-verified")
 
 
-def components(docs: DataFrame, percent: int = 85, k: int = 5, miss: float = 1e-6, forest_rounds: int = 2,
+def components(docs: DataFrame, percent: int = 85, k: int = 5, miss: float = 1e-6, star_rounds: int = 3,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id): components of the links between
     documents whose shingle sets have 100 * intersection >= percent * union."""
     least = least_matches(percent / 100, miss)
     sketches = sketch(docs, k, id_col, text_col)
     full = sketches.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
-    reps = stage(full.groupBy("set_key").agg(F.min(F.struct("doc_id", "sig", "bands")).alias("r")).select(
-        "set_key", F.col("r.doc_id").alias("rep"), "r.sig", "r.bands"), "near-reps")
+    reps = stage(full.groupBy("set_key").agg(
+        F.min(F.struct("doc_id", "sig", "bands", "n_shingles")).alias("r")).select(
+        "set_key", F.col("r.doc_id").alias("rep"), "r.sig", "r.bands", F.col("r.n_shingles").alias("n")), "near-reps")
     classes = reps.select("set_key", "rep")
     buckets = _buckets(reps)
     ids = stage(buckets.select("id").distinct(), "near-ids")
@@ -323,34 +363,26 @@ def components(docs: DataFrame, percent: int = 85, k: int = 5, miss: float = 1e-
     # the merge hint keeps the plan the same at every size
     texts = stage(known.hint("merge").join(ids, "id").groupBy("id").agg(F.min("text").alias("text")), "near-texts")
     signatures = stage(reps.select(F.col("rep").alias("id"), "sig").join(ids, "id"), "near-signatures")
-    tested: DataFrame | None = None
     links: DataFrame | None = None
     reach: DataFrame | None = None
-    for turn in range(forest_rounds + 1):
-        if reach is None:
-            state = signatures.withColumn("component", F.col("id")).withColumn("tried", F.lit(None).cast("array<long>"))
-        else:
-            past = tested.where(~F.col("linked")).groupBy(F.col("b").alias("id")).agg(
-                F.collect_set("a").alias("tried"))
-            state = signatures.join(reach, "id", "left").join(past, "id", "left").withColumn(
-                "component", F.coalesce("component", "id"))
-        blocks = _blocks(buckets, stage(state, "near-state"))
-        if turn < forest_rounds:
-            pairs = stage(_per_block(blocks, lambda t: _best_partners(t, least), "a b"), "near-pairs")
-            if pairs.isEmpty():
-                break
-            checked = _verified(pairs, texts, k, percent)
-            tested = checked if tested is None else stage(tested.unionByName(checked), "near-tested")
-            links = tested.where("linked").select("a", "b")
+    for turn in range(star_rounds + 1):
+        state = ids.withColumn("component", F.col("id")) if reach is None else ids.join(reach, "id", "left").select(
+            "id", F.coalesce("component", "id").alias("component"))
+        members = _open_members(buckets, state)
+        if members.isEmpty():
+            break
+        if turn < star_rounds:
+            checked = _verified(_likely(_star_pairs(members, turn), signatures, least), texts, k, percent)
+            new = checked.where("linked").select("a", "b")
         else:
-            blocks = stage(blocks, "near-blocks")
+            blocks = _blocks(members, signatures)
             rest = stage(_per_block(blocks, lambda t: _undecided(t, least), "block id"), "near-undecided")
             if rest.isEmpty():
                 break
-            rows = blocks.join(rest, ["block", "id"]).join(texts, "id").select(
-                "block", "left", "right", "id", "component", "sig", "text")
-            last = _per_block(rows, lambda t: _joining_links(t, least, k, percent), "a b")
-            links = stage(last if links is None else links.unionByName(last), "near-links")
+            rows = stage(blocks.join(rest, ["block", "id"]), "near-rest").join(texts, "id").select(
+                "block", "left", "minor", "id", "component", "sig", "text")
+            new = _per_block(rows, lambda t: _joining_links(t, least, k, percent), "a b")
+        links = stage(new if links is None else links.unionByName(new), "near-links")
         reach = connected(links)
     out = sketches.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
     if reach is None:

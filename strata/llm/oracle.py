@@ -101,4 +101,20 @@ kept AS (SELECT b.* FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phra
 SELECT k.lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
 FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) k
 JOIN n ON n.lang = k.lang WHERE rank <= 2000""",
+    "op12_suffix_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+win AS (SELECT doc_id, i, md5(substr(x, 2 * i + 1, 200)) AS g
+        FROM (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 99)) AS i FROM d WHERE len(x) >= 200)),
+hits AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS o FROM win) WHERE o > 1),
+runs AS (SELECT doc_id, i, sum(CASE WHEN i <= p + 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS k
+         FROM (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM hits)),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM runs GROUP BY doc_id, k),
+gaps AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z FROM spans),
+cut AS (SELECT g.doc_id, sum(b - a) AS gone, count(*) AS n, max(b) AS e,
+               string_agg(substr(x, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) AS front
+        FROM gaps g JOIN d ON d.doc_id = g.doc_id GROUP BY g.doc_id)
+SELECT d.doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed,
+       coalesce(n, 0) AS n_spans,
+       sha256(unhex(CASE WHEN n IS NULL THEN x ELSE front || substr(x, 2 * e + 1) END)) AS kept_sha256
+FROM d LEFT JOIN cut ON cut.doc_id = d.doc_id""",
 }

@@ -69,5 +69,16 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.digest(table(spark, sf_dir, "documents"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import suffix_dedup
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import align
+    return align.digest(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                        tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (op1_secrets, op2_packing, op3_warc, op4_sharding, op5_toxicity, op6_near_duplicates, op7_substring_dedup, op8_token_files, op9_topk, op10_decontaminate,
-                                 op11_phrases)}
+                                 op11_phrases, op12_suffix_dedup, op13_alignment)}

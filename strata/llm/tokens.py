@@ -1,8 +1,9 @@
 """Token ids of whole texts with a public tokenizer file.
 
-``Encoder`` encodes a text piecewise and remembers the ids of each distinct
-piece: the two supported tokenizer kinds split at white space (and between a
-letter and a following punctuation mark) before any merge, so ids of pieces,
+``Encoder`` (tokenizers library) and ``PieceEncoder`` (sentencepiece) encode a
+text piecewise and remember the ids of each distinct piece. The supported
+kinds split at white space and between a letter and a punctuation mark before
+any merge, or have no vocabulary entry across these places, so ids of pieces,
 joined, equal the ids of the whole text. Other kinds are encoded whole.
 """
 
@@ -17,6 +18,9 @@ from itertools import chain
 
 import numpy as np
 
+#: bound of each of an encoder's two generations of remembered pieces
+CACHE_BYTES = 48 << 20
+
 _WS = "\t-\r \x85\xa0  -     　"
 _LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 # a word up to a following mark, or any other run up to white space
@@ -25,23 +29,66 @@ _KEEP_SPACE = re.compile(f"[ ]?(?:{_RUN})|[{_WS}]+(?![^{_WS}])|[{_WS}]")
 _DROP_SPACE = re.compile(_RUN)
 
 
-class Encoder:
+class _Remembering:
+    """Ids of pieces, remembered in two generations of at most ``cache_bytes``
+    each: when the younger is full it becomes the older one, and pieces met
+    again move back."""
+
+    ENTRY = 160  # bytes of a piece, its ids and their place in a dict, without the characters
+
+    def __init__(self, cache_bytes: int):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.cache_bytes, self.size = cache_bytes, 0
+
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        raise NotImplementedError
+
+    def _learn(self, pieces: set[str]) -> None:
+        known = pieces & self.old.keys()
+        new = list(pieces - known)
+        if self.size > self.cache_bytes:
+            self.old, self.young, self.size = self.young, {}, 0
+        self.young.update((x, self.old[x]) for x in known if x in self.old)
+        new += [x for x in known if x not in self.young]  # of a generation that has just gone
+        self.young.update(zip(new, self._encode_pieces(new), strict=True))
+        self.size += self.ENTRY * len(pieces) + 2 * sum(map(len, pieces))
+
+    def joined(self, split: list[list[str]]) -> list[bytes]:
+        """Ids of texts given as their pieces."""
+        flat = list(chain.from_iterable(split))
+        coded = list(map(self.young.get, flat))
+        missing, i = [], -1
+        with contextlib.suppress(ValueError):  # no further piece is unknown
+            while True:
+                missing.append(i := coded.index(None, i + 1))
+        if missing:
+            self._learn({flat[i] for i in missing})
+            for i in missing:
+                coded[i] = self.young[flat[i]]
+        out, at = [], 0
+        for s in split:
+            out.append(b"".join(coded[at:at + len(s)]))
+            at += len(s)
+        return out
+
+
+class Encoder(_Remembering):
     """Encodes lists of texts to little-endian unsigned 32-bit ids.
 
-    The ids of pieces are remembered in two generations of at most
-    ``cache_entries`` each (about 200 bytes a piece): when the younger is full
-    it becomes the older one, and pieces met again move back. Special-token
-    strings in a text are ordinary text. NULL counts as the empty text.
+    A special token's string in a text is that token, as the library has it,
+    or ordinary text with ``special_as_text``. NULL counts as the empty text.
     """
 
-    def __init__(self, path: str, cache_entries: int = 300_000):
+    def __init__(self, path: str, special_as_text: bool = False, cache_bytes: int = CACHE_BYTES):
+        super().__init__(cache_bytes)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.cache_entries = cache_entries
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()
+                 if not (special_as_text and t.special)]
+        self.special = re.compile("|".join(map(re.escape, added))).search if added else None
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre, norm = spec.get("pre_tokenizer") or {}, spec.get("normalizer") or {}
@@ -77,49 +124,96 @@ class Encoder:
         raw = ids.tobytes()
         return [raw[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
 
-    def _learn(self, pieces: set[str]) -> None:
-        if len(self.young) > self.cache_entries:
-            self.old, self.young = self.young, {}
-        known = pieces & self.old.keys()
-        self.young.update((x, self.old[x]) for x in known)
-        words, others = [], []
-        for x in pieces - known:
-            (words if self.word(x) else others).append(x)
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        words = [x for x in pieces if self.word(x)]
+        coded = {}
         for i in range(0, len(words), 512):
-            self.young.update(zip(words[i:i + 512], self._encode_words(words[i:i + 512]), strict=True))
-        self.young.update(zip(others, self._encode(others), strict=True))
+            coded.update(zip(words[i:i + 512], self._encode_words(words[i:i + 512]), strict=True))
+        others = [x for x in pieces if x not in coded]
+        coded.update(zip(others, self._encode(others), strict=True))
+        return [coded[x] for x in pieces]
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
+        texts = [t or "" for t in texts]
         if self.pieces is None:
-            return self._encode([t or "" for t in texts])
+            return self._encode(texts)
+        whole = [i for i, t in enumerate(texts) if self.special(t)] if self.special else []
+        coded = dict(zip(whole, self._encode([texts[i] for i in whole]), strict=True))
         if self.lower:  # ASCII only: other letters are the tokenizer's business
-            texts = [(t or "").encode().lower().decode() for t in texts]
-        split = [self.pieces.findall(t or "") for t in texts]
-        flat = list(chain.from_iterable(split))
-        coded = list(map(self.young.get, flat))
-        missing, i = [], -1
-        with contextlib.suppress(ValueError):  # no further piece is unknown
-            while True:
-                missing.append(i := coded.index(None, i + 1))
-        if missing:
-            self._learn({flat[i] for i in missing})
-            for i in missing:
-                coded[i] = self.young[flat[i]]
-        out, at = [], 0
-        for s in split:
-            out.append(b"".join(coded[at:at + len(s)]))
-            at += len(s)
+            texts = [t.encode().lower().decode() for t in texts]
+        out = self.joined([[] if i in coded else self.pieces.findall(t) for i, t in enumerate(texts)])
+        for i, x in coded.items():
+            out[i] = x
         return out
 
+    def entries(self) -> list[bytes]:
+        """Bytes of every id of a byte-level tokenizer."""
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that are spelled as themselves
+        spelled = {chr(b): b for b in plain}
+        spelled |= {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(plain))}
+        out = [b""] * self.tokenizer.get_vocab_size(with_added_tokens=True)
+        for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            out[i] = bytes(spelled[c] for c in t)
+        return out
 
-_encoders: dict[str, Encoder] = {}
 
+class PieceEncoder(_Remembering):
+    """As ``Encoder`` for a sentencepiece model; control strings in a text are
+    ordinary text and the model's space before a text is added."""
+
+    SPACE = "\u2581"  # how the model spells a space
+
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
+        super().__init__(cache_bytes)
+        from sentencepiece import SentencePieceProcessor
+        self.model = SentencePieceProcessor(model_file=path)
+        size = self.model.vocab_size()
+        self.spelling = [self.model.id_to_piece(i) for i in range(size)]
+        entries = [p for i, p in enumerate(self.spelling) if not self.model.is_byte(i)]
+        letter = re.compile(f"[{_LETTERS}]").fullmatch
+        beside = {x if letter(y) else y for p in entries for x, y in zip(p, p[1:], strict=False) if letter(x) or letter(y)}
+        marks = re.escape("".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in beside))
+        self.pieces = re.compile(
+            f" *+(?:[{_LETTERS}]++(?=[{marks} \n]|$)|[{marks}]++(?=[{_LETTERS} \n]|$)|[^ \n]++)| ++|\n").findall
+        probe = self.model.encode("\n")
+        self.lead = len(probe)
+        # pieces are encoded after a line end, which must join with nothing
+        self.split = len(probe) == 2 and self.model.is_byte(probe[1]) and not any(
+            re.search(f"[^{self.SPACE}]{self.SPACE}|\n", p) for p in entries)
+
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        return [array("I", x[self.lead:]).tobytes() for x in self.model.encode(["\n" + p for p in pieces], num_threads=1)]
+
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        whole = {i for i, t in enumerate(texts) if t and (not self.split or self.SPACE in t)}
+        out = self.joined([self.pieces(" " + t) if t and i not in whole else [] for i, t in enumerate(texts)])
+        for i in whole:
+            out[i] = array("I", self.model.encode(texts[i])).tobytes()
+        return out
 
-def encoder(path: str) -> Encoder:
+    def entries(self) -> list[bytes]:
+        """Bytes of every id."""
+        return [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else
+                b"" if self.model.is_control(i) or self.model.is_unknown(i) else p.replace(self.SPACE, " ").encode()
+                for i, p in enumerate(self.spelling)]
+
+
+_encoders: dict[tuple, _Remembering] = {}
+
+
+def encoder(path: str, special_as_text: bool = False) -> Encoder:
     """The process's encoder for a tokenizer file (its cache outlives a task)."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    key = (path, special_as_text)
+    if key not in _encoders:
+        _encoders[key] = Encoder(path, special_as_text)
+    return _encoders[key]
+
+
+def piece_encoder(path: str) -> PieceEncoder:
+    """As ``encoder``, for a sentencepiece model."""
+    if (path,) not in _encoders:
+        _encoders[path,] = PieceEncoder(path)
+    return _encoders[path,]
 
 
 def tokenizer_path(name: str) -> str:

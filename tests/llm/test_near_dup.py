@@ -107,7 +107,7 @@ def test_finishing_in_full(spark, monkeypatch, rounds):
     rows = [(i * 7 % 1009, edited(rng, base, rng.randrange(8))) for i in range(120)]
     monkeypatch.setattr(N, "CHUNK", 32)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = N.components(df, forest_rounds=rounds).collect()
+    got = N.components(df, star_rounds=rounds).collect()
     want = brute(rows)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {d: v[:2] for d, v in want.items()}
 
