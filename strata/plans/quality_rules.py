@@ -46,15 +46,15 @@ def landing_rules() -> list[Rule]:
     c = F.col
     low, high = REVIEW_SCORE_RANGE
     return [
-        *[_repeats(t) for t in ("customers", "sellers", "products", "orders", "order_items")],
-        surplus_rule("uniqueness", "geolocation", "surplus rows by all columns", GEOLOCATION, UNUSED),
+        _repeats("orders"), _repeats("customers"), _repeats("products"), _repeats("sellers"), _repeats("order_items"),
         duplicate_keys_rule("uniqueness", "order_reviews", "order_id with several reviews", ["order_id"],
                             "newest valid review"),
-        _finding("completeness", "products", "product_category_name absent", lambda: c("product_category_name").isNull(),
-                 f"set to {UNKNOWN_CATEGORY}"),
+        surplus_rule("uniqueness", "geolocation", "surplus rows by all columns", GEOLOCATION, UNUSED),
         _finding("completeness", "orders", "delivered, order_delivered_customer_date absent",
                  lambda: (c("order_status") == "delivered") & c("order_delivered_customer_date").isNull(),
                  "no delivery measures"),
+        _finding("completeness", "products", "product_category_name absent", lambda: c("product_category_name").isNull(),
+                 f"set to {UNKNOWN_CATEGORY}"),
         _finding("completeness", "order_reviews", "review_comment_message absent",
                  lambda: c("review_comment_message").isNull(), KEEP),
         _finding("consistency", "orders", "order_purchase_timestamp unreadable",
@@ -67,16 +67,16 @@ def landing_rules() -> list[Rule]:
                  lambda: F.length(F.trim(c("customer_zip_code_prefix"))) != 5, "padded with zeros"),
         missing_reference_rule("consistency", "products", "product_category_name not in category_translation",
                                "product_category_name", "category_translation", "product_category_name", "original name"),
-        _finding("accuracy", "geolocation", "coordinates outside the box", _outside_box, UNUSED),
-        _finding("accuracy", "products", "product_weight_g is 0", lambda: to_double("product_weight_g") == 0,
-                 "set to NULL"),
         _finding("accuracy", "order_items", "price is 0 or less", lambda: to_double("price") <= 0, KEEP),
         _finding("accuracy", "order_items", "freight_value below 0", lambda: to_double("freight_value") < 0, KEEP),
+        _finding("accuracy", "order_reviews", f"review_score not within {low} to {high}",
+                 lambda: ~F.coalesce(to_int("review_score"), F.lit(0)).between(low, high), "row dropped"),
         _finding("accuracy", "order_payments", "payment_installments is 0", lambda: to_int("payment_installments") == 0,
                  f"raised to {MIN_INSTALLMENTS}"),
         _finding("accuracy", "order_payments", "payment_type is not_defined",
                  lambda: c("payment_type") == "not_defined", "left out of reports"),
-        _finding("accuracy", "order_reviews", f"review_score not within {low} to {high}",
-                 lambda: ~F.coalesce(to_int("review_score"), F.lit(0)).between(low, high), "row dropped"),
+        _finding("accuracy", "products", "product_weight_g is 0", lambda: to_double("product_weight_g") == 0,
+                 "set to NULL"),
+        _finding("accuracy", "geolocation", "coordinates outside the box", _outside_box, UNUSED),
         _fence("price"), _fence("freight_value"),
     ]

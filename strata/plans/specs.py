@@ -48,39 +48,69 @@ class Typed:
         return landed.select(*[READERS[f.kind](f.header).alias(f.name) for f in self.fields])
 
 
-def _fields(**kinds: str) -> tuple[Field, ...]:
-    """Fields by kind: ``text="a b"`` makes two; ``new<old`` renames."""
-    out = []
-    for kind, names in kinds.items():
-        for name in names.split():
-            new, _, old = name.partition("<")
-            out.append(Field(new, kind, old or None))
-    return tuple(out)
-
-
+# The columns of the landed files, in their order, and how each is read.
 SILVER = {
-    "orders": Typed(("order_id",), _fields(
-        text="order_id customer_id", lower="order_status",
-        time="order_estimated_delivery_date order_delivered_customer_date order_delivered_carrier_date "
-             "order_approved_at order_purchase_timestamp"), keyed=True),
-    "order_items": Typed(("order_id", "order_item_id"), _fields(
-        text="seller_id product_id order_id", int="order_item_id", amount="freight_value price",
-        time="shipping_limit_date")),
-    "order_payments": Typed(("order_id", "payment_sequential"), _fields(
-        text="order_id", int="payment_installments payment_sequential", amount="payment_value", lower="payment_type")),
-    "order_reviews": Typed(("order_id",), _fields(
-        text="order_id review_id", int="review_score", time="review_answer_timestamp review_creation_date")),
-    "customers": Typed(("customer_id",), _fields(
-        text="customer_id customer_unique_id", code="customer_zip_code_prefix", upper="customer_state",
-        lower="customer_city"), keyed=True),
-    "sellers": Typed(("seller_id",), _fields(
-        text="seller_id", code="seller_zip_code_prefix", upper="seller_state", lower="seller_city"), keyed=True),
-    "category_translation": Typed(("product_category_name",), _fields(
-        lower="product_category_name product_category_name_english")),
-    "products": Typed(("product_id",), _fields(
-        text="product_id", lower="product_category_name",
-        int="product_width_cm product_height_cm product_length_cm product_weight_g product_photos_qty "
-            "product_description_length<product_description_lenght product_name_length<product_name_lenght"), keyed=True),
+    "customers": Typed(("customer_id",), (
+        Field("customer_id", "text"),
+        Field("customer_unique_id", "text"),
+        Field("customer_zip_code_prefix", "code"),
+        Field("customer_city", "lower"),
+        Field("customer_state", "upper"),
+    ), keyed=True),
+    "sellers": Typed(("seller_id",), (
+        Field("seller_id", "text"),
+        Field("seller_zip_code_prefix", "code"),
+        Field("seller_city", "lower"),
+        Field("seller_state", "upper"),
+    ), keyed=True),
+    "orders": Typed(("order_id",), (
+        Field("order_id", "text"),
+        Field("customer_id", "text"),
+        Field("order_status", "lower"),
+        Field("order_purchase_timestamp", "time"),
+        Field("order_approved_at", "time"),
+        Field("order_delivered_carrier_date", "time"),
+        Field("order_delivered_customer_date", "time"),
+        Field("order_estimated_delivery_date", "time"),
+    ), keyed=True),
+    "order_items": Typed(("order_id", "order_item_id"), (
+        Field("order_id", "text"),
+        Field("order_item_id", "int"),
+        Field("product_id", "text"),
+        Field("seller_id", "text"),
+        Field("shipping_limit_date", "time"),
+        Field("price", "amount"),
+        Field("freight_value", "amount"),
+    )),
+    "order_payments": Typed(("order_id", "payment_sequential"), (
+        Field("order_id", "text"),
+        Field("payment_sequential", "int"),
+        Field("payment_type", "lower"),
+        Field("payment_installments", "int"),
+        Field("payment_value", "amount"),
+    )),
+    "order_reviews": Typed(("order_id",), (
+        Field("review_id", "text"),
+        Field("order_id", "text"),
+        Field("review_score", "int"),
+        Field("review_creation_date", "time"),
+        Field("review_answer_timestamp", "time"),
+    )),
+    "category_translation": Typed(("product_category_name",), (
+        Field("product_category_name", "lower"),
+        Field("product_category_name_english", "lower"),
+    )),
+    "products": Typed(("product_id",), (
+        Field("product_id", "text"),
+        Field("product_category_name", "lower"),
+        Field("product_name_length", "int", landed="product_name_lenght"),
+        Field("product_description_length", "int", landed="product_description_lenght"),
+        Field("product_photos_qty", "int"),
+        Field("product_weight_g", "int"),
+        Field("product_length_cm", "int"),
+        Field("product_height_cm", "int"),
+        Field("product_width_cm", "int"),
+    ), keyed=True),
 }
 
 
@@ -109,10 +139,10 @@ def derive(df: DataFrame, fields: tuple[Derived, ...], region_map=None) -> DataF
 
 
 def _place(of: str) -> tuple[Derived, ...]:
-    return (Derived("region", "region", (f"{of}_state",), f"region of the {of}'s state, empty for an unlisted state"),
-            Derived("state", "same", (f"{of}_state",), "state code"),
+    return (Derived("zip_prefix", "same", (f"{of}_zip_code_prefix",), "leading five digits of the postal code"),
             Derived("city", "same", (f"{of}_city",), "city"),
-            Derived("zip_prefix", "same", (f"{of}_zip_code_prefix",), "leading five digits of the postal code"))
+            Derived("state", "same", (f"{of}_state",), "state code"),
+            Derived("region", "region", (f"{of}_state",), f"region of the {of}'s state, empty for an unlisted state"))
 
 
 def _cm(*sides: str) -> tuple[Derived, ...]:
@@ -131,18 +161,18 @@ GOLD: dict[str, tuple[str, tuple[str, ...], tuple[Derived, ...]]] = {
         Derived("seller_id", "same", ("seller_id",), "key"), *_place("seller"))),
     "dim_product": ("a product", ("products", "category_translation"), (
         Derived("product_id", "same", ("product_id",), "key"),
-        Derived("category_en", "same", ("product_category_name_english",), "category in English, as landed where untranslated"),
         Derived("category", "same", ("product_category_name",), "category, never empty"),
-        Derived("weight_g", "same", ("product_weight_g",), "weight in grams, empty where not positive"),
+        Derived("category_en", "same", ("product_category_name_english",), "category in English, as landed where untranslated"),
         Derived("photos_qty", "same", ("product_photos_qty",), "photos in the listing"),
-        *_cm("width", "height", "length"))),
+        Derived("weight_g", "same", ("product_weight_g",), "weight in grams, empty where not positive"),
+        *_cm("length", "height", "width"))),
     "fact_order_items": ("an item of an order", ("order_items", "orders", "order_reviews"), (
         Derived("order_id", "same", ("order_id",), "key, with item_id"),
         Derived("item_id", "same", ("order_item_id",), "key, with order_id"),
         _WHEN,
-        Derived("seller_id", "same", ("seller_id",), "key of dim_seller"),
-        Derived("product_id", "same", ("product_id",), "key of dim_product"),
         Derived("customer_id", "same", ("customer_id",), "key of dim_customer"),
+        Derived("product_id", "same", ("product_id",), "key of dim_product"),
+        Derived("seller_id", "same", ("seller_id",), "key of dim_seller"),
         Derived("item_price", "same", ("price",), "price of the item"),
         Derived("freight_value", "same", ("freight_value",), "freight of the item"),
         Derived("item_total", "sum", ("price", "freight_value"), "price and freight"),
@@ -162,9 +192,9 @@ GOLD: dict[str, tuple[str, tuple[str, ...], tuple[Derived, ...]]] = {
         Derived("payment_seq", "same", ("payment_sequential",), "key, with order_id"),
         _WHEN,
         Derived("customer_id", "same", ("customer_id",), "key of dim_customer"),
-        Derived("payment_value", "same", ("payment_value",), "amount"),
         Derived("payment_type", "same", ("payment_type",), "means of payment"),
-        Derived("installments", "same", ("payment_installments",), "instalments, at least one"))),
+        Derived("installments", "same", ("payment_installments",), "instalments, at least one"),
+        Derived("payment_value", "same", ("payment_value",), "amount"))),
 }
 
 #: the calendar has no landed source; its fields by meaning
