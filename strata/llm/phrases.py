@@ -10,10 +10,12 @@ of phrases up to that length need.
 Phrases grow by one word a level: left by the BWT, then right by the reverse
 BWT, then left, both intervals kept in step. A level extends only intervals
 whose phrase is frequent in all shards together, since a phrase is at most as
-frequent as its parts. Shards send 64-bit phrase hashes with counts; the sums
-over shards decide who is extended (a collision lets one more through). The
-survivors are spelled from the index, and their counts are summed by the words
-themselves, so results are exact.
+frequent as its parts. A shard sends its phrases as 96-bit hashes with counts,
+sorted and cut by hash ranges into one compact row a range; a range's task sums
+the counts of all shards and answers every shard with one bit a phrase. Shards
+find their intervals again from the index and these bits, so no interval is
+ever moved. At last each frequent phrase is spelled by the first shard that
+holds it. Phrases are told apart by their 96-bit hashes.
 
 Edge cases: a NULL or empty text has no words, a NULL lang counts as ``und``;
 repeated rows count each time; tied scores rank by count, then by the bytes of
@@ -45,7 +47,8 @@ _MARKS = frozenset(b".,;:!?\n\x0b\x0c\r")
 _POWERS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(DEPTH + 1)], dtype=np.uint64)
 
 _INDEX = "shard long, langs array<string>, lang binary, words binary, counts binary, bwt binary, rbwt binary"
-_ROWS = "h long, shard long, at long, n int"
+_COUNTS = "range int, shard long, h binary, g binary, n binary"
+_BITS = "shard long, level int, range int, bits binary, first binary, total binary"
 
 
 class _Alphabet:
@@ -85,16 +88,26 @@ def _slices(text: bytes):
     yield text[at:]
 
 
+def _sorted(key: np.ndarray, most: int) -> np.ndarray:
+    """Order of the keys (at most ``most``), ties by place."""
+    bits = len(key).bit_length()
+    if most.bit_length() + bits > 64:
+        return np.argsort(key, kind="stable")
+    packed = np.sort(key.astype(np.uint64) << np.uint64(bits) | np.arange(len(key), dtype=np.uint64))
+    return (packed & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+
 def suffix_order(ids: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes in the order of their first ``depth`` symbols at least, by
     doubling the length that ranks stand for."""
     rank, known, n = ids.astype(np.int64), 1, len(ids)
-    order = np.argsort(rank, kind="stable") if depth == 1 else None
+    order = _sorted(rank, int(rank.max(initial=0))) if depth == 1 else None
     while known < depth:
         after = np.zeros(n, dtype=np.int64)
         after[:n - known] = rank[known:]
-        key = rank * (int(rank.max(initial=0)) + 1) + after
-        order = np.argsort(key, kind="stable")
+        base = int(rank.max(initial=0)) + 1
+        key = rank * base + after
+        order = _sorted(key, base * base)
         key = key[order]
         rank = np.empty(n, dtype=np.int64)
         rank[order] = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
@@ -127,7 +140,7 @@ class PhraseIndex:
     def _by_symbol(self, side: str) -> np.ndarray:
         """Row of the (k+1)-th symbol of the sorted column, in the BWT."""
         if side not in self.rows:
-            self.rows[side] = np.argsort(self.bwts[side], kind="stable")
+            self.rows[side] = _sorted(self.bwts[side], len(self.counts))
         return self.rows[side]
 
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -146,7 +159,7 @@ class PhraseIndex:
         given = np.zeros(len(text), dtype=bool)
         given[rows] = True
         symbol = text[rows].astype(np.int64)
-        order = np.argsort(owner * len(self.counts) + symbol, kind="stable")
+        order = _sorted(owner * len(self.counts) + symbol, len(size) * len(self.counts))
         rows, owner, symbol = rows[order], owner[order], symbol[order]
         new = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (symbol[1:] != symbol[:-1])])[:len(rows)])
         n = np.diff(np.append(new, len(rows)))
@@ -168,17 +181,16 @@ class PhraseIndex:
 
 
 def _word_hashes(langs: list[str], lang: np.ndarray, words: list[bytes]) -> np.ndarray:
+    """Two 64-bit hashes of each symbol."""
     names = [x.encode() + b"\0" for x in langs]
-    return np.array([0] + [xxhash.xxh3_64_intdigest(names[k] + w) for k, w in zip(lang.tolist(), words, strict=True)],
-                    dtype=np.uint64)
+    raw = b"".join([bytes(16), *(xxhash.xxh3_128_digest(names[k] + w) for k, w in zip(lang.tolist(), words, strict=True))])
+    return np.frombuffer(raw, "<u8").reshape(-1, 2).T.copy()
 
 
 def _grow(phrase: np.ndarray, word: np.ndarray, side: str, length: int) -> np.ndarray:
-    """Hash of a phrase of ``length`` words and one more: a polynomial of the
+    """Hashes of phrases of ``length`` words and one more: a polynomial of the
     word hashes, whatever the order in which the words came."""
-    phrase = phrase.view(np.uint64)
-    grown = word * _POWERS[length] + phrase if side == "left" else phrase * _POWERS[1] + word
-    return grown.view(np.int64)
+    return word * _POWERS[length] + phrase if side == "left" else phrase * _POWERS[1] + word
 
 
 def build_index(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -228,84 +240,157 @@ def _numbers(column: pa.ChunkedArray, k: int, kind) -> np.ndarray:
     return np.frombuffer(column[k].as_py(), dtype=kind)
 
 
-def _open(t, k: int, *sides: str) -> tuple[PhraseIndex, list[bytes], np.ndarray]:
-    text = {s: _numbers(t.column(c), k, np.int32) for s, c in (("left", "bwt"), ("right", "rbwt")) if s in sides}
-    words = t.column("words")[k].as_py()
-    return (PhraseIndex(_numbers(t.column("counts"), k, np.int64), text.get("left"), text.get("right")),
-            words.split(b"\n") if words else [], _numbers(t.column("lang"), k, np.int32))
-
-
-def _intervals(h: np.ndarray, shard: int, at: np.ndarray, rat: np.ndarray, n: np.ndarray) -> pa.Table:
-    return pa.table({"h": pa.array(h, pa.int64()), "shard": pa.array(np.full(len(n), shard, np.int64)),
-                     "at": pa.array((at << 32) | rat, pa.int64()), "n": pa.array(n.astype(np.int32))})
-
-
-def _words_of(index: DataFrame) -> DataFrame:
-    """Intervals of all words of all shards."""
-    def run(batches):
-        for b in batches:
-            for k in range(b.num_rows):
-                fm, words, lang = _open(b, k)
-                h = _word_hashes(b.column("langs")[k].as_py(), lang, words)[1:]
-                yield from _intervals(h.view(np.int64), b.column("shard")[k].as_py(), *fm.words()).to_batches(1 << 16)
-    return index.select("shard", "langs", "lang", "words", "counts").mapInArrow(run, _ROWS)
-
-
-def _longer(index: DataFrame, live: DataFrame, length: int, side: str) -> DataFrame:
-    """Intervals of length + 1 words of every shard, from its live ones."""
+def _sides(level: int) -> str:
+    """The side to which phrases of ``level`` words grow."""
+    return "right" if level == 2 else "left"
+
+
+class _Shard:
+    """A shard's intervals, level by level, each sorted by hash."""
+
+    def __init__(self, t: pa.Table, sides: set[str]):
+        text = {s: _numbers(t.column(c), 0, np.int32) for s, c in (("left", "bwt"), ("right", "rbwt")) if s in sides}
+        raw = t.column("words")[0].as_py()
+        self.words = raw.split(b"\n") if raw else []
+        self.langs, self.lang = t.column("langs")[0].as_py(), _numbers(t.column("lang"), 0, np.int32)
+        self.index = PhraseIndex(_numbers(t.column("counts"), 0, np.int64), text.get("left"), text.get("right"))
+        self.shard, self.level = t.column("shard")[0].as_py(), 1
+        self.hashes = _word_hashes(self.langs, self.lang, self.words)
+        self._hold(self.hashes[:, 1:], *self.index.words())
+
+    def _hold(self, h: np.ndarray, *interval: np.ndarray) -> None:
+        order = np.argsort(h[0])
+        self.h, self.interval = h[:, order], [x[order] for x in interval]
+
+    def cuts(self, ranges: int) -> np.ndarray:
+        """Where the phrases of each hash range begin."""
+        edges = np.array([-(-(r << 64) // ranges) for r in range(ranges)], dtype=np.uint64)
+        return np.append(np.searchsorted(self.h[0], edges), self.h.shape[1])
+
+    def chosen(self, answers: pa.Table, ranges: int, column: str = "bits"):
+        """The phrases marked by the answers of the ranges that had any."""
+        cuts, flags = self.cuts(ranges), np.zeros(self.h.shape[1], dtype=bool)
+        for r, x in zip(answers["range"].to_pylist(), answers["bits"].to_pylist(), strict=True):
+            size = cuts[r + 1] - cuts[r]
+            flags[cuts[r]:cuts[r + 1]] = np.unpackbits(np.frombuffer(x, np.uint8), count=size).astype(bool)
+        return np.flatnonzero(flags)
+
+    def grow(self, live: np.ndarray) -> None:
+        """From the live phrases to those a word longer."""
+        side = _sides(self.level)
+        *interval, owner = self.index.extend(side, *(x[live] for x in self.interval))
+        added = np.searchsorted(self.index.first, interval[0 if side == "left" else 1], side="right") - 1
+        h = _grow(self.h[:, live][:, owner], self.hashes[:, added], side, self.level)
+        self.level += 1
+        self._hold(h, *interval)
+
+
+def _at_level(index: pa.Table, answers: pa.Table, level: int, ranges: int, spell: bool = False):
+    """The shard at ``level``, or, to spell, at every level on the way."""
+    shard = _Shard(index, {_sides(k) for k in range(1, level)} | ({"left"} if spell else set()))
+    kinds = answers["level"].to_numpy()
+    while True:
+        if spell or shard.level == level:
+            yield shard
+        if shard.level == level:
+            return
+        shard.grow(shard.chosen(answers.filter(pa.array(kinds == shard.level)), ranges))
+
+
+def _index_columns(index: DataFrame, level: int, spell: bool = False) -> DataFrame:
+    sides = {_sides(k) for k in range(1, level)} | ({"left"} if spell else set())
+    return index.select("shard", "langs", "lang", "words", "counts",
+                        *[c for s, c in (("left", "bwt"), ("right", "rbwt")) if s in sides])
+
+
+def _counted(index: DataFrame, answers: DataFrame, level: int, ranges: int) -> DataFrame:
+    """One row a shard and hash range: hashes and counts of its phrases."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return _intervals(np.zeros(0, np.int64), 0, *[np.zeros(0, np.int64)] * 3)
-        fm, words, lang = _open(left, 0, side)
-        packed = right.column("at").to_numpy()
-        new_at, new_rat, new_n, owner = fm.extend(side, packed >> 32, packed & 0xFFFFFFFF,
-                                                  right.column("n").to_numpy().astype(np.int64))
-        added = np.searchsorted(fm.first, new_at if side == "left" else new_rat, side="right") - 1
-        hashes = _word_hashes(left.column("langs")[0].as_py(), lang, words)
-        h = _grow(right.column("h").to_numpy()[owner], hashes[added], side, length)
-        return _intervals(h, left.column("shard")[0].as_py(), new_at, new_rat, new_n)
-
-    bwt_col = "bwt" if side == "left" else "rbwt"
-    rows = index.select("shard", "langs", "lang", "words", "counts", bwt_col)
-    return rows.groupBy("shard").cogroup(live.groupBy("shard")).applyInArrow(run, _ROWS)
-
-
-def _frequent(rows: DataFrame, least: int, level: int) -> DataFrame:
-    """Intervals whose hash counts ``least`` or more over all shards. A hash
-    has one row a shard at most, so no group grows with a phrase's count."""
-    total = F.sum(F.col("n").cast("long")).over(Window.partitionBy("h"))
-    return stage(rows.withColumn("total", total).where(F.col("total") >= least).drop("total"), f"phrases-{level}")
-
-
-def _spelled(index: DataFrame, levels: list[DataFrame]) -> DataFrame:
-    """(lang, phrase, words, n) of every live interval of every shard."""
-    schema = "lang string, phrase binary, words int, n long"
-    live = None
-    for k, df in enumerate(levels, 1):
-        df = df.select("shard", "at", "n", F.lit(k).alias("words"))
-        live = df if live is None else live.unionByName(df)
-
+        rows = []
+        for shard in _at_level(left, right, level, ranges) if left.num_rows else ():
+            cuts, n = shard.cuts(ranges), shard.interval[2].astype("<u4")
+            delta = np.diff(shard.h[0], prepend=np.uint64(0)).astype("<u8")
+            low = (shard.h[1] >> np.uint64(32)).astype("<u4")
+            for r in np.flatnonzero(np.diff(cuts)).tolist():
+                i, j = int(cuts[r]), int(cuts[r + 1])
+                delta[i] = shard.h[0][i]
+                rows.append((r, shard.shard, _by_byte(delta[i:j]), low[i:j].tobytes(), _by_byte(n[i:j])))
+        cols = list(zip(*rows, strict=True)) if rows else [()] * 5
+        kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+        return pa.table([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["range", "shard", "h", "g", "n"])
+
+    rows = _index_columns(index, level).groupBy("shard").cogroup(answers.groupBy("shard"))
+    return rows.applyInArrow(run, _COUNTS)
+
+
+def _by_byte(x: np.ndarray) -> bytes:
+    """All first bytes, all second bytes, ...; without the bytes that are 0 in all."""
+    planes = x.view(np.uint8).reshape(len(x), x.itemsize).T
+    used = np.flatnonzero(planes.any(axis=1))
+    top = int(used[-1]) + 1 if len(used) else 1
+    return bytes([top]) + np.ascontiguousarray(planes[:top]).tobytes()
+
+
+def _from_bytes(raw: bytes, kind: str) -> np.ndarray:
+    top = raw[0]
+    planes = np.frombuffer(raw, np.uint8, offset=1).reshape(top, -1)
+    out = np.zeros((planes.shape[1], np.dtype(kind).itemsize), dtype=np.uint8)
+    out[:, :top] = planes.T
+    return out.reshape(-1).view(kind)
+
+
+def _answered(counted: DataFrame, level: int, least: int) -> DataFrame:
+    """Written table of the ranges' answers: which phrases of each shard are
+    frequent, and of those that it holds first of all shards the counts."""
+    def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by("shard")
+        h = [np.cumsum(_from_bytes(x, "<u8")) for x in t["h"].to_pylist()]
+        sizes = [len(x) for x in h]
+        h = np.concatenate(h)
+        g = np.frombuffer(b"".join(t["g"].to_pylist()), "<u4")
+        n = np.concatenate([_from_bytes(x, "<u4") for x in t["n"].to_pylist()]).astype(np.int64)
+        order = np.lexsort((g, h))
+        new = np.concatenate([[True], (np.diff(h[order]) != 0) | (np.diff(g[order]) != 0)])
+        total = np.add.reduceat(n[order], np.flatnonzero(new))
+        of = np.cumsum(new) - 1
+        flags, first, sums = np.zeros(len(h), bool), np.zeros(len(h), bool), np.zeros(len(h), np.int64)
+        flags[order] = total[of] >= least
+        first[order] = new & (total[of] >= least)
+        sums[order] = total[of]
+        out, at = [], 0
+        for size in sizes:
+            part = slice(at, at + size)
+            out.append((np.packbits(flags[part]).tobytes(), np.packbits(first[part]).tobytes(),
+                        sums[part][first[part]].astype("<i8").tobytes()))
+            at += size
+        bits, firsts, totals = zip(*out, strict=True)
+        return pa.table({"shard": t["shard"], "level": pa.array([level] * len(sizes), pa.int32()), "range": t["range"],
+                         "bits": pa.array(bits, pa.binary()), "first": pa.array(firsts, pa.binary()),
+                         "total": pa.array(totals, pa.binary())})
+
+    return stage(counted.groupBy("range").applyInArrow(run, _BITS), f"phrase-bits-{level}", {"compression": "zstd"})
+
+
+def _spelled(index: DataFrame, answers: DataFrame, ranges: int) -> DataFrame:
+    """(lang, phrase, words, a): every frequent phrase once."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        parts = []
-        if left.num_rows and right.num_rows:
-            fm, words, lang = _open(left, 0, "left")
-            langs = pa.array(left.column("langs")[0].as_py(), pa.string())
-            lengths = right.column("words").to_numpy()
-            at, n = right.column("at").to_numpy() >> 32, right.column("n").to_numpy()
-            for m in np.unique(lengths).tolist():
-                of = lengths == m
-                symbols = fm.spell(at[of], m) - 1
-                text = [b" ".join([words[s] for s in row]) for row in symbols.tolist()]
-                parts.append(pa.table({
-                    "lang": langs.take(pa.array(lang[symbols[:, 0]])), "phrase": pa.array(text, pa.binary()),
-                    "words": pa.array(np.full(len(text), m, np.int32)), "n": pa.array(n[of].astype(np.int64))}))
-        if parts:
-            return pa.concat_tables(parts)
-        return pa.table({"lang": pa.array([], pa.string()), "phrase": pa.array([], pa.binary()),
-                         "words": pa.array([], pa.int32()), "n": pa.array([], pa.int64())})
-
-    rows = index.select("shard", "langs", "lang", "words", "counts", "bwt")
-    return rows.groupBy("shard").cogroup(live.groupBy("shard")).applyInArrow(run, schema)
+        parts = [pa.table({"lang": pa.array([], pa.string()), "phrase": pa.array([], pa.binary()),
+                           "words": pa.array([], pa.int32()), "a": pa.array([], pa.int64())})]
+        levels = right["level"].to_numpy()
+        for shard in _at_level(left, right, DEPTH, ranges, spell=True) if left.num_rows else ():
+            mine = right.filter(pa.array(levels == shard.level))
+            mine = mine.set_column(mine.column_names.index("bits"), "bits", mine["first"]).sort_by("range")
+            which = shard.chosen(mine, ranges)
+            symbols = shard.index.spell(shard.interval[0][which], shard.level) - 1
+            text = [b" ".join([shard.words[s] for s in row]) for row in symbols.tolist()]
+            parts.append(pa.table({
+                "lang": pa.array(shard.langs, pa.string()).take(pa.array(shard.lang[symbols[:, 0]])),
+                "phrase": pa.array(text, pa.binary()), "words": pa.array(np.full(len(text), shard.level, np.int32)),
+                "a": pa.array(np.frombuffer(b"".join(mine["total"].to_pylist()), "<i8"))}))
+        return pa.concat_tables(parts)
+
+    rows = _index_columns(index, DEPTH, spell=True).groupBy("shard").cogroup(answers.groupBy("shard"))
+    return rows.applyInArrow(run, "lang string, phrase binary, words int, a long")
 
 
 def _lang_words(index: DataFrame) -> DataFrame:
@@ -328,13 +413,16 @@ def phrases(docs: DataFrame, least: int = 30, text_col: str = "text", lang_col:
             index: DataFrame | None = None) -> DataFrame:
     """Written table (lang, phrase, words, a) of all words and phrases of up to
     ``DEPTH`` words that occur ``least`` times or more in the lang."""
+    spark = docs.sparkSession
     index = build_index(docs, text_col, lang_col) if index is None else index
-    levels = [_frequent(_words_of(index), least, 1)]
-    for m in range(1, DEPTH):
-        levels.append(_frequent(_longer(index, levels[-1], m, "right" if m == 2 else "left"), least, m + 1))
-    found = _spelled(index, levels).groupBy("lang", "phrase", "words").agg(F.sum("n").alias("a"))
-    return stage(found.where(F.col("a") >= least).select("lang", F.col("phrase").cast("string").alias("phrase"), "words", "a"),
-                 "phrases")
+    # a range's task gets about as many phrases as a shard holds
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), index.count())
+    answers = spark.createDataFrame([], _BITS)
+    for level in range(1, DEPTH + 1):
+        bits = _answered(_counted(index, answers, level, ranges), level, least)
+        answers = bits if level == 1 else answers.unionByName(bits)
+    found = _spelled(index, answers, ranges).withColumn("phrase", F.col("phrase").cast("string"))
+    return stage(found, "phrases")
 
 
 def extensions(found: DataFrame) -> DataFrame:
