@@ -238,7 +238,7 @@ def multikey_order(columns: list[np.ndarray]) -> np.ndarray:
 
 
 def _compare(rows: DataFrame, spread: int, last: bool, name: str) -> DataFrame:
-    """Written table (doc, th, at, kind, bytes): MARK for suffixes that an
+    """(doc, th, at, part, kind, bytes) of a written table: MARK for suffixes that an
     equal one precedes, FINER for the earliest of each kind where the leading
     token has another kind too (none if ``last``)."""
     schema = "h1 long, h2 long, doc long, th long, at long, part long, kind int, bytes binary"
@@ -280,9 +280,9 @@ def _compare(rows: DataFrame, spread: int, last: bool, name: str) -> DataFrame:
     # two runs a bucket at most
     first = ends.groupBy("h1", "h2").agg(F.min(place).alias("first"))
     edge = ends.where(F.col("kind") == EDGE).join(F.broadcast(first), ["h1", "h2"]).select(
-        "doc", "th", "at", F.when(place == F.col("first"), F.lit(-1 if last else FINER)).otherwise(F.lit(MARK)).alias("kind"),
-        "bytes")
-    return told.where(F.col("kind").isin(MARK, FINER)).select("doc", "th", "at", "kind", "bytes").unionByName(
+        "doc", "th", "at", "part",
+        F.when(place == F.col("first"), F.lit(-1 if last else FINER)).otherwise(F.lit(MARK)).alias("kind"), "bytes")
+    return told.where(F.col("kind").isin(MARK, FINER)).drop("h1", "h2").unionByName(
         edge.where("kind >= 0"))
 
 
