@@ -33,11 +33,14 @@ from pyspark.sql import functions as F
 
 from .common import doc_groups, ship, stage
 from .tokens import Encoder, PieceEncoder, encoder, piece_encoder
+from .words import _Powers, mix
 
 #: a table of more pair counts than this is joined, not broadcast
 BROADCAST_PAIRS = 1 << 22
-#: windows remembered in each of two generations
-MEMO_WINDOWS = 200_000
+#: bound of each of the memo's two generations
+MEMO_BYTES = 32 << 20
+#: bytes of text aligned at a time
+GROUP_BYTES = 3 << 19
 
 
 def pair_bound(a: list[bytes], b: list[bytes]) -> int:
@@ -54,74 +57,151 @@ def pair_bound(a: list[bytes], b: list[bytes]) -> int:
 
 
 class Aligner:
-    """Aligns ids of ``a`` (byte-level) and ``b`` (sentencepiece)."""
+    """Aligns ids of ``a`` (byte-level) and ``b`` (sentencepiece), many
+    documents at a time."""
 
-    def __init__(self, a: Encoder, b: PieceEncoder, memo_windows: int = MEMO_WINDOWS):
+    def __init__(self, a: Encoder, b: PieceEncoder, memo_bytes: int = MEMO_BYTES):
         self.a, self.b = a, b
         self.bytes_a, self.bytes_b = a.entries(), b.entries()
         self.len_a, self.len_b = (np.array([len(x) for x in t], dtype=np.int64) for t in (self.bytes_a, self.bytes_b))
+        self.flat_a, self.flat_b = (np.frombuffer(b"".join(t), np.uint8) for t in (self.bytes_a, self.bytes_b))
+        rng = np.random.default_rng(20261204)
+        self.marks_a, self.marks_b = (rng.integers(1, 1 << 63, (2, len(t)), dtype=np.uint64)
+                                      for t in (self.bytes_a, self.bytes_b))
         self.space_a, self.space_b = (np.array([x[:1] == b" " for x in t]) for t in (self.bytes_a, self.bytes_b))
         self.width = len(self.bytes_b)
-        self.young: dict[tuple, tuple] = {}
-        self.old: dict[tuple, tuple] = {}
-        self.memo_windows = memo_windows
-
-    def _window(self, key: tuple[bytes, bytes]) -> tuple:
-        """(bytes or None where the two differ, groups as text, pair codes)"""
-        ids_a, ids_b = (np.frombuffer(x, "<u4").tolist() for x in key)
-        text = b"".join([self.bytes_a[i] for i in ids_a])
-        if text != b"".join([self.bytes_b[i] for i in ids_b]):
-            return None, b"", b""
-        groups, codes = [], []
-        i = j = end_a = end_b = 0
-        from_a = from_b = 0
-        while i < len(ids_a) or j < len(ids_b):
-            if j == len(ids_b) or (i < len(ids_a) and end_a <= end_b):
-                end_a += len(self.bytes_a[ids_a[i]])
-                i += 1
-            else:
-                end_b += len(self.bytes_b[ids_b[j]])
-                j += 1
-            if end_a == end_b:
-                groups.append(",".join(map(str, ids_a[from_a:i])) + "|" + ",".join(map(str, ids_b[from_b:j])))
-                codes.append(ids_a[i - 1] * self.width + ids_b[j - 1])
-                from_a, from_b = i, j
-        return text, ";".join(groups).encode(), np.array(codes, dtype="<i8").tobytes()
+        most = max(len(self.bytes_a), self.width)
+        text = np.array([str(i).encode() for i in range(most)])
+        self.digits = text.view(np.uint8).reshape(most, -1)
+        self.n_digits = (self.digits != 0).sum(axis=1)
+        self.young: dict[tuple[bytes, bytes], tuple[bytes, bytes]] = {}
+        self.old: dict[tuple[bytes, bytes], tuple[bytes, bytes]] = {}
+        self.memo_bytes, self.size = memo_bytes, 0
+
+    def _learn(self, keys: list[tuple[bytes, bytes]]) -> list[tuple[bytes, bytes]]:
+        """(groups as text, pair codes) of new windows."""
+        if not keys:
+            return []
+        ids_a, ids_b = (np.frombuffer(b"".join([k[side] for k in keys]), "<u4") for side in (0, 1))
+        ends = np.cumsum(self.len_a[ids_a])[np.cumsum([len(x) // 4 for x, _ in keys]) - 1]
+        return list(zip(*self._groups(ids_a, ids_b, ends), strict=True))
+
+    def _groups(self, ids_a: np.ndarray, ids_b: np.ndarray, window_ends: np.ndarray):
+        """Texts of the groups and pair codes of windows laid end to end."""
+        end_a, end_b = np.cumsum(self.len_a[ids_a]), np.cumsum(self.len_b[ids_b])
+        both = np.zeros(int(window_ends[-1]) + 1, dtype=np.int8)
+        both[end_a] = 1
+        both[end_b] |= 2
+        shared = np.cumsum(both == 3)
+        group_a, group_b = shared[end_a - 1], shared[end_b - 1]
+        last_a, last_b = both[end_a] == 3, both[end_b] == 3
+        codes = (ids_a[last_a].astype(np.int64) * self.width + ids_b[last_b]).astype("<i8").tobytes()
+        # every group's ids of a, then its ids of b, each with the mark after it
+        n_a, n_b = (np.bincount(g, minlength=shared[-1]) for g in (group_a, group_b))
+        at_a = np.arange(len(ids_a)) + (np.cumsum(n_b) - n_b)[group_a]
+        at_b = np.arange(len(ids_b)) + np.cumsum(n_a)[group_b]
+        ids = np.empty(len(ids_a) + len(ids_b), dtype=np.int64)
+        mark = np.full(len(ids), ord(","), dtype=np.uint8)
+        ids[at_a], ids[at_b] = ids_a, ids_b
+        mark[at_a[last_a]], mark[at_b[last_b]] = ord("|"), ord(";")
+        chars = np.concatenate([self.digits[ids], np.zeros((len(ids), 1), np.uint8)], axis=1)
+        size = self.n_digits[ids]
+        chars[np.arange(len(ids)), size] = mark
+        flat = chars[chars != 0].tobytes()
+        until = np.cumsum(size + 1)
+        groups = shared[window_ends]  # groups up to each window's end
+        ends = until[at_b[last_b][groups - 1]]
+        text = [flat[i:j - 1] for i, j in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+        return text, [codes[8 * i:8 * j] for i, j in zip([0, *groups[:-1].tolist()], groups.tolist(), strict=True)]
 
     def _remembered(self, keys: list[tuple[bytes, bytes]]) -> list[tuple]:
         found = list(map(self.young.get, keys))
-        for k, x in enumerate(found):
-            if x is None:
-                key = keys[k]
-                x = self.young.get(key) or self.old.get(key) or self._window(key)
-                if len(self.young) >= self.memo_windows:
-                    self.old, self.young = self.young, {}
-                self.young[key] = found[k] = x
+        missing = [k for k, x in enumerate(found) if x is None]
+        if missing:
+            again = {k: x for k in missing if (x := self.old.get(keys[k]))}
+            new = [k for k in missing if k not in again]
+            again.update(zip(new, self._learn([keys[k] for k in new]), strict=True))
+            if self.size > self.memo_bytes:
+                self.old, self.young, self.size = self.young, {}, 0
+            for k, x in again.items():
+                found[k] = self.young[keys[k]] = x
+                self.size += 450 + len(x[0]) + len(x[1])
         return found
 
-    def document(self, text: str, raw_a: bytes, raw_b: bytes) -> tuple[int, int, bytes, bytes] | None:
-        """(tokens of a, of b, groups as text, pair codes), or None where
-        either tokenizer's bytes are not the text's."""
-        ids_a, ids_b = np.frombuffer(raw_a, "<u4"), np.frombuffer(raw_b, "<u4")
+    def documents(self, texts: list[bytes], raw_a: list[bytes], raw_b: list[bytes]):
+        """For each text (with its leading space): (tokens of a, of b, groups
+        as text, pair codes), or None where the bytes of either tokenizer are
+        not the text's."""
+        out: list[tuple | None] = [None] * len(texts)
+        good = self._faithful(texts, ((raw_a, self.len_a, self.flat_a), (raw_b, self.len_b, self.flat_b)))
+        if not good:
+            return out
+        joined_a, joined_b = b"".join([raw_a[k] for k in good]), b"".join([raw_b[k] for k in good])
+        ids_a, ids_b = np.frombuffer(joined_a, "<u4"), np.frombuffer(joined_b, "<u4")
         size_a, size_b = self.len_a[ids_a], self.len_b[ids_b]
-        end_a, end_b = np.cumsum(size_a), np.cumsum(size_b)
-        want = b" " + text.encode()
-        if not (len(ids_a) and len(ids_b) and end_a[-1] == end_b[-1] == len(want)):
-            return None
-        begin_a, begin_b = end_a - size_a, end_b - size_b
-        at_a, at_b = np.flatnonzero(self.space_a[ids_a]), np.flatnonzero(self.space_b[ids_b])
-        both = np.zeros(len(want) + 1, dtype=np.int8)
-        both[begin_a[at_a]] += 1
-        both[begin_b[at_b]] += 1
-        both[0] = 0
-        cut_a = [0, *(4 * at_a[both[begin_a[at_a]] == 2]).tolist(), len(raw_a)]
-        cut_b = [0, *(4 * at_b[both[begin_b[at_b]] == 2]).tolist(), len(raw_b)]
-        keys = [(raw_a[i:j], raw_b[k:m]) for i, j, k, m in zip(cut_a, cut_a[1:], cut_b, cut_b[1:], strict=False)]
-        windows = self._remembered(keys)
-        parts = [w[0] for w in windows]
-        if None in parts or b"".join(parts) != want:
-            return None
-        return len(ids_a), len(ids_b), b";".join([w[1] for w in windows]), b"".join([w[2] for w in windows])
+        begin_a, begin_b = np.cumsum(size_a) - size_a, np.cumsum(size_b) - size_b
+        first = np.cumsum([0, *(len(texts[k]) for k in good)])
+        both = np.zeros(int(first[-1]) + 1, dtype=np.int8)
+        both[begin_a[self.space_a[ids_a]]] = 1
+        both[begin_b[self.space_b[ids_b]]] |= 2
+        both[first[:-1]] = 3  # a text's begin is shared
+        cut_a, cut_b = np.flatnonzero(both[begin_a] == 3), np.flatnonzero(both[begin_b] == 3)
+        cuts = np.searchsorted(begin_a[cut_a], first).tolist()
+        cut_a, cut_b = np.append(cut_a, len(ids_a)), np.append(cut_b, len(ids_b))
+        one, which = self._distinct(((ids_a, cut_a, self.marks_a), (ids_b, cut_b, self.marks_b)))
+        bounds = (4 * x for x in (cut_a[one], cut_a[one + 1], cut_b[one], cut_b[one + 1]))
+        known = self._remembered([(joined_a[i:j], joined_b[k:m])
+                                  for i, j, k, m in zip(*(x.tolist() for x in bounds), strict=True)])
+        text, codes = (list(map(list(x).__getitem__, which)) for x in zip(*known, strict=True))
+        for k, i, j in zip(good, cuts[:-1], cuts[1:], strict=True):
+            out[k] = (len(raw_a[k]) // 4, len(raw_b[k]) // 4, b";".join(text[i:j]), b"".join(codes[i:j]))
+        return out
+
+    @staticmethod
+    def _faithful(texts: list[bytes], tokenised) -> list[int]:
+        """The texts that all tokenizers give back byte by byte."""
+        want = np.array([len(t) for t in texts])
+        good = want > 0
+        for raw, length, flat in tokenised:
+            ids = np.frombuffer(b"".join(raw), "<u4")
+            size = length[ids]
+            ends = np.concatenate([[0], np.cumsum(size)])
+            got = np.diff(ends[np.cumsum([0, *(len(x) // 4 for x in raw)])])
+            good &= got == want
+            if (got == want).all():  # bytes of all texts at once
+                begin = np.cumsum(length) - length
+                at = np.arange(ends[-1]) + np.repeat(begin[ids] - ends[:-1], size)
+                same = flat[at] == np.frombuffer(b"".join(texts), np.uint8)
+                wrong = np.searchsorted(np.cumsum(want), np.flatnonzero(~same), side="right")
+                good[wrong] = False
+            else:
+                table = np.cumsum(length) - length
+                for k in np.flatnonzero(good).tolist():
+                    x = np.frombuffer(raw[k], "<u4")
+                    spelled = b"".join([flat[i:j].tobytes() for i, j in zip(table[x], table[x] + length[x], strict=True)])
+                    good[k] = spelled == texts[k]
+        return np.flatnonzero(good).tolist()
+
+    @staticmethod
+    def _distinct(sides) -> tuple[np.ndarray, list[int]]:
+        """One window of each kind, and every window's place among these.
+        Windows with equal 128-bit hashes of their ids are of one kind."""
+        hashes = []
+        for k in range(2):
+            h = np.uint64(k)
+            for ids, cut, marks in sides:
+                up, down = _Powers.of(len(ids) + 1)
+                sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(marks[k][ids] * up[:-1])])
+                h = mix(h + (sums[cut[1:]] - sums[cut[:-1]]) * down[cut[:-1]])
+            hashes.append(h)
+        order = np.argsort(hashes[0])
+        new, other = (np.concatenate([[True], np.diff(h[order]) != 0]) for h in hashes)
+        if (other & ~new).any():  # equal in the first hash alone
+            order = np.lexsort(hashes)
+            new = np.logical_or(*(np.concatenate([[True], np.diff(h[order]) != 0]) for h in hashes))
+        which = np.empty(len(order), dtype=np.int64)
+        which[order] = np.cumsum(new) - 1
+        return order[new], which.tolist()
 
 
 _aligners: dict[tuple, Aligner] = {}
@@ -147,10 +227,10 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
     def run(batches):
         one, row = aligner(path_a, path_b), TaskContext.get().partitionId() << 32
         for b in batches:
-            for i, j in doc_groups(b.column(0), texts := b.column(1).to_pylist()):
+            for i, j in doc_groups(b.column(0), texts := b.column(1).to_pylist(), GROUP_BYTES):
                 group = texts[i:j]
-                coded = zip(group, one.a([" " + t if t else None for t in group]), one.b(group), strict=True)
-                out = [one.document(t, x, y) if t else None for t, x, y in coded]
+                spaced = [" " + t if t else "" for t in group]
+                out = one.documents([t.encode() for t in spaced], one.a(spaced), one.b(group))
                 cols = {"row": pa.array(range(row, row + j - i), pa.int64()), "doc_id": b.column(0).slice(i, j - i)}
                 row += j - i
                 none = (0, 0, b"", b"")

@@ -19,7 +19,7 @@ from itertools import chain
 import numpy as np
 
 #: bound of each of an encoder's two generations of remembered pieces
-CACHE_BYTES = 48 << 20
+CACHE_BYTES = 24 << 20
 
 _WS = "\t-\r \x85\xa0  -     　"
 _LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
@@ -116,7 +116,7 @@ class Encoder(_Remembering):
     def _encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of single words, encoded together and cut where the ids show
         that a word begins or ends."""
-        ids = np.array(self.tokenizer.encode(self.glue.join(words), add_special_tokens=False).ids, dtype="<u4")
+        ids = np.frombuffer(self._encode([self.glue.join(words)])[0], dtype="<u4")
         cuts = np.flatnonzero(self.begins[ids]) if self.begins is not None else np.flatnonzero(self.ends[ids]) + 1
         at = [*(cuts * 4).tolist(), len(ids) * 4] if self.begins is not None else [0, *(cuts * 4).tolist()]
         if len(at) != len(words) + 1:
