@@ -47,13 +47,17 @@ BLOCK = 8
 PART = 1 << 19
 #: range partitions for each partition of the input
 SPREAD = 4
+#: texts, and of their suffixes rows, that the splitters are drawn from
+SAMPLE_TEXTS, SAMPLE_ROWS = 2_000, 1 << 16
 _PLACE = np.uint64((1 << 21) - 1)
 _LAST_ID = (1 << 63) - 1
 
 _rng = np.random.default_rng(20260712)
 _TABLES = _rng.integers(1, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: at: first window << 16 | distance to the suffix << 8 | windows
-_ROWS = "h1 long, h2 long, doc long, th long, at long, part long, bytes binary"
+_ROWS = "bucket int, h1 long, h2 long, doc long, th long, at long, part long, bytes binary"
+_NAMES = ["bucket", "h1", "h2", "doc", "th", "at", "part", "bytes"]
+_BY = ["h1", "h2", "doc", "place", "part"]
 MARK, FINER, EDGE, TAIL = 0, 1, 2, 3
 
 
@@ -125,7 +129,39 @@ def _pack(first: np.ndarray, to_place: np.ndarray, n: np.ndarray) -> np.ndarray:
     return first.astype(np.int64) << 16 | to_place << 8 | n
 
 
-def _first_rows(docs: DataFrame) -> DataFrame:
+def _bucket(splitters: list[np.ndarray], columns: list[np.ndarray]) -> np.ndarray:
+    """How many splitters are not above each row, column by column."""
+    low = np.searchsorted(splitters[0], columns[0], side="left")
+    high = np.searchsorted(splitters[0], columns[0], side="right")
+    if len(splitters) == 1:
+        return high
+    tied, out = np.flatnonzero(high > low), low.copy()
+    for k in np.unique(low[tied]).tolist():
+        rows = tied[low[tied] == k]
+        run = slice(k, high[rows[0]])
+        out[rows] = k + _bucket([x[run] for x in splitters[1:]], [c[rows] for c in columns[1:]])
+    return out
+
+
+def _batch(splitters, h1, h2, doc, th, at, part: int | np.ndarray, raw=None) -> pa.RecordBatch:
+    part = np.full(len(at), part, np.int64) if isinstance(part, int) else part
+    bucket = np.zeros(len(at), np.int32) if splitters is None else _bucket(splitters, [h1, h2, doc, at >> 16, part])
+    cols = [pa.array(bucket.astype(np.int32)), *(pa.array(x) for x in (h1, h2, doc, th, at, part)),
+            pa.nulls(len(at), pa.binary()) if raw is None else pa.array(raw, pa.binary())]
+    return pa.RecordBatch.from_arrays(cols, names=_NAMES)
+
+
+def _splitters(sample: DataFrame, buckets: int) -> list[np.ndarray]:
+    """Rows that cut a bounded sample into ``buckets`` runs of equal length."""
+    t = sample.select("h1", "h2", "doc", F.shiftright("at", 16).alias("place"), "part").orderBy(F.rand(11)).limit(
+        SAMPLE_ROWS).toArrow()
+    columns = [t.column(c).to_numpy() for c in _BY]
+    order = np.lexsort(columns[::-1])
+    cuts = order[np.unique(np.arange(1, buckets) * len(order) // buckets)] if len(order) else order
+    return [c[cuts] for c in columns]
+
+
+def _first_rows(docs: DataFrame, splitters: list[np.ndarray] | None = None) -> DataFrame:
     def run(batches):
         part = TaskContext.get().partitionId()
         for b in batches:
@@ -137,10 +173,7 @@ def _first_rows(docs: DataFrame) -> DataFrame:
                 text, first, place, n, h1, h2 = suffixes(buf, ends)
                 begin = offset[text] - np.concatenate([[0], ends])[text]
                 row = which[text]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h1), pa.array(h2), pa.array(doc[row]), pa.array(th[row]),
-                     pa.array(_pack(first + begin, place - first, n)), pa.array(np.full(len(n), part, np.int64)),
-                     pa.nulls(len(n), pa.binary())], names=["h1", "h2", "doc", "th", "at", "part", "bytes"])
+                yield _batch(splitters, h1, h2, doc[row], th[row], _pack(first + begin, place - first, n), part)
     return docs.select("doc", "th", "text").mapInArrow(run, _ROWS)
 
 
@@ -165,7 +198,7 @@ def _cut(buf: np.ndarray, begin: np.ndarray, at: np.ndarray, block: int):
     return owner, (at[owner] >> 16) + k, distance, size, h1, h2, start
 
 
-def _finer_rows(rows: DataFrame) -> DataFrame:
+def _finer_rows(rows: DataFrame, splitters: list[np.ndarray] | None = None) -> DataFrame:
     """Blocks of the suffixes listed (``cuts``) beside each text."""
     def run(batches):
         part = TaskContext.get().partitionId()
@@ -179,10 +212,7 @@ def _finer_rows(rows: DataFrame) -> DataFrame:
             owner, p, o, n, h1, h2, start = _cut(np.frombuffer(raw, np.uint8), begin, at, BLOCK)
             ctx = [raw[x:y] for x, y in zip(start.tolist(), (start + n - 1 + LENGTH).tolist(), strict=True)]
             doc, th = (np.array([x[k] for x in held], dtype=np.int64)[of[owner]] for k in (0, 1))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(h1), pa.array(h2), pa.array(doc), pa.array(th), pa.array(_pack(p, o, n)),
-                 pa.array(np.full(len(n), part, np.int64)), pa.array(ctx, pa.binary())],
-                names=["h1", "h2", "doc", "th", "at", "part", "bytes"])
+            return _batch(splitters, h1, h2, doc, th, _pack(p, o, n), part, ctx)
 
         for b in batches:
             held, size = [], 0
@@ -204,7 +234,7 @@ def _finer_rows(rows: DataFrame) -> DataFrame:
     return rows.select("doc", "th", "text", "cuts").mapInArrow(run, _ROWS)
 
 
-def _last_rows(rows: DataFrame) -> DataFrame:
+def _last_rows(rows: DataFrame, splitters: list[np.ndarray] | None = None) -> DataFrame:
     """Single windows of blocks, from the bytes these carry."""
     def run(batches):
         for b in batches:
@@ -215,10 +245,8 @@ def _last_rows(rows: DataFrame) -> DataFrame:
                 continue
             begin = np.concatenate([[0], ends[:-1]]).astype(np.int64)
             owner, p, o, n, h1, h2, _ = _cut(np.frombuffer(b"".join(raw), np.uint8), begin, at, 1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h1), pa.array(h2), *(pa.array(b.column(c).to_numpy()[owner]) for c in ("doc", "th")),
-                 pa.array(_pack(p, o, n)), pa.array(b.column("part").to_numpy()[owner]), pa.nulls(len(n), pa.binary())],
-                names=["h1", "h2", "doc", "th", "at", "part", "bytes"])
+            doc, th, part = (b.column(c).to_numpy()[owner] for c in ("doc", "th", "part"))
+            yield _batch(splitters, h1, h2, doc, th, _pack(p, o, n), part)
     return rows.select("doc", "th", "at", "part", "bytes").mapInArrow(run, _ROWS)
 
 
@@ -237,7 +265,7 @@ def multikey_order(columns: list[np.ndarray]) -> np.ndarray:
     return order
 
 
-def _compare(rows: DataFrame, spread: int, last: bool, name: str) -> DataFrame:
+def _compare(rows: DataFrame, buckets: int, last: bool, name: str) -> DataFrame:
     """(doc, th, at, part, kind, bytes) of a written table: MARK for suffixes that an
     equal one precedes, FINER for the earliest of each kind where the leading
     token has another kind too (none if ``last``)."""
@@ -263,7 +291,7 @@ def _compare(rows: DataFrame, spread: int, last: bool, name: str) -> DataFrame:
             several = np.bincount(token, new) > 1
             several[[0, -1]] = True  # the buckets beside may hold others
             kind[~later & several[token]] = FINER
-        kind[run_of == 0] = EDGE
+        kind[(run_of == 0) & ~later] = EDGE  # whether earlier ones exist the buckets before know
         out = np.flatnonzero(kind >= 0)
         kinds = kind[out]
         if run_of[-1] > 0:  # the earliest of the last run, for the buckets after
@@ -272,9 +300,8 @@ def _compare(rows: DataFrame, spread: int, last: bool, name: str) -> DataFrame:
         t = t.select(["h1", "h2", "doc", "th", "at", "part", "kind", "bytes"])
         yield from t.to_batches(1 << 14)
 
-    order = ["h1", "h2", "doc", F.shiftright("at", 16), "part"]
-    dealt = rows.repartitionByRange(spread, *order).mapInArrow(run, schema)
-    told = stage(dealt, name, {"compression": "zstd"})
+    told = stage(rows.repartitionById(buckets, "bucket").drop("bucket").mapInArrow(run, schema), name,
+                 {"compression": "zstd"})
     ends = told.where(F.col("kind").isin(EDGE, TAIL))
     place = F.struct("doc", F.shiftright("at", 16).alias("p"))
     # two runs a bucket at most
@@ -296,11 +323,15 @@ def repeated(docs: DataFrame) -> DataFrame:
     of each text that has any, as first window << 16 | ... | windows."""
     spark = docs.sparkSession
     ship(spark)
-    spread = max(int(spark.conf.get("spark.sql.shuffle.partitions")), SPREAD * docs.rdd.getNumPartitions())
-    coarse = _compare(_first_rows(docs), spread, False, "suffixes")
-    listed = _listed(coarse, FINER, "cuts")
-    blocks = _compare(_finer_rows(docs.join(listed, ["doc", "th"])), spread, False, "suffix-blocks")
-    single = _compare(_last_rows(blocks.where(F.col("kind") == FINER)), spread, True, "suffix-windows")
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), SPREAD * docs.rdd.getNumPartitions())
+    some = docs.where(F.rand(5) < SAMPLE_TEXTS / max(1, docs.count()))  # steers the splitters, never the result
+    coarse = _compare(_first_rows(docs, _splitters(_first_rows(some), buckets)), buckets, False, "suffixes")
+    listed = stage(_listed(coarse, FINER, "cuts"), "suffix-cuts")
+    finer = _splitters(_finer_rows(some.join(listed, ["doc", "th"])), buckets)
+    blocks = _compare(_finer_rows(docs.join(listed, ["doc", "th"]), finer), buckets, False, "suffix-blocks")
+    rest = blocks.where(F.col("kind") == FINER)
+    few = rest.where(F.rand(5) < SAMPLE_ROWS / max(1, rest.count()))
+    single = _compare(_last_rows(rest, _splitters(_last_rows(few), buckets)), buckets, True, "suffix-windows")
     marks = [x.where(F.col("kind") == MARK).select("doc", "th", "at", "kind") for x in (coarse, blocks, single)]
     return _listed(marks[0].unionByName(marks[1]).unionByName(marks[2]), MARK, "marks")
 

@@ -107,3 +107,11 @@ def test_equal_windows_choose_one_place():
             chosen.setdefault(bytes(buf[p:p + 100]), set()).add(int(q - p))
     assert all(len(x) == 1 for x in chosen.values())
     assert sum(n) == len(a) - 99 + len(b) - 99
+
+
+def test_buckets_keep_the_order_of_rows():
+    rng = np.random.default_rng(8)
+    rows = [rng.integers(0, 4, 400) for _ in range(5)]
+    cut = sorted({tuple(c[i] for c in rows) for i in range(0, 400, 5)})
+    got = S._bucket([np.array(c) for c in zip(*cut, strict=True)], rows)
+    assert got.tolist() == [sum(k <= r for k in cut) for r in zip(*rows, strict=True)]
