@@ -579,6 +579,71 @@ SELECT 'silver', COUNT(DISTINCT p.product_category_name)
 FROM s_products p LEFT JOIN s_translation t ON p.product_category_name = t.product_category_name
 WHERE p.product_category_name IS NOT NULL AND t.product_category_name IS NULL"""
 
+def _missing(column, view, key):
+    return f"{column} NOT IN (SELECT {key} FROM {view} WHERE {key} IS NOT NULL)"
+
+
+def _among(column, members):
+    return f"{column} NOT IN ({', '.join(_lit(x) for x in members)})"
+
+
+_STATES, _REGIONS = sorted(state_region_map()), sorted(set(state_region_map().values()))
+_ORDER_STATES = ["delivered", "shipped", "canceled", "unavailable", "invoiced", "processing", "created", "approved"]
+_PAY_TYPES = ["credit_card", "boleto", "voucher", "debit_card", "not_defined"]
+
+
+def _place_domains(key):
+    return [(key, "required", f"{key} IS NULL"),
+            ("zip_prefix", "like ^[0-9]{5}$", "NOT regexp_matches(zip_prefix, '^[0-9]{5}$')"),
+            ("state", "one of " + ", ".join(_STATES), _among("state", _STATES)),
+            ("region", "one of " + ", ".join(_REGIONS), _among("region", _REGIONS))]
+
+
+#: table -> (view, [(column, domain, when a row breaks it)])
+_DOMAINS = {
+    "dim_customer": ("g_dim_customer", _place_domains("customer_id")),
+    "dim_seller": ("g_dim_seller", _place_domains("seller_id")),
+    "dim_product": ("g_dim_product", [
+        ("product_id", "required", "product_id IS NULL"), ("category", "required", "category IS NULL"),
+        ("photos_qty", "at least 1", "photos_qty < 1"), ("weight_g", "above 0", "weight_g <= 0"),
+        ("length_cm", "above 0", "length_cm <= 0"), ("height_cm", "above 0", "height_cm <= 0"),
+        ("width_cm", "above 0", "width_cm <= 0")]),
+    "fact_order_items": ("g_fact_items", [
+        ("order_id", "required", "order_id IS NULL"),
+        ("item_id", "required, at least 1", "item_id IS NULL OR item_id < 1"),
+        ("purchase_date_key", "key of dim_date.date_key", _missing("purchase_date_key", "g_dim_date", "date_key")),
+        ("customer_id", "required, key of dim_customer.customer_id",
+         "customer_id IS NULL OR " + _missing("customer_id", "g_dim_customer", "customer_id")),
+        ("product_id", "required, key of dim_product.product_id",
+         "product_id IS NULL OR " + _missing("product_id", "g_dim_product", "product_id")),
+        ("seller_id", "required, key of dim_seller.seller_id",
+         "seller_id IS NULL OR " + _missing("seller_id", "g_dim_seller", "seller_id")),
+        ("item_price", "required, above 0", "item_price IS NULL OR item_price <= 0"),
+        ("freight_value", "required, at least 0", "freight_value IS NULL OR freight_value < 0"),
+        ("order_status", "one of " + ", ".join(_ORDER_STATES), _among("order_status", _ORDER_STATES)),
+        ("review_score", "1 to 5", "review_score < 1 OR review_score > 5"),
+        ("lead_time_days", "at least 0", "lead_time_days < 0")]),
+    "fact_payments": ("g_fact_payments", [
+        ("order_id", "required", "order_id IS NULL"),
+        ("payment_seq", "required, at least 1", "payment_seq IS NULL OR payment_seq < 1"),
+        ("purchase_date_key", "key of dim_date.date_key", _missing("purchase_date_key", "g_dim_date", "date_key")),
+        ("customer_id", "required, key of dim_customer.customer_id",
+         "customer_id IS NULL OR " + _missing("customer_id", "g_dim_customer", "customer_id")),
+        ("payment_type", "one of " + ", ".join(_PAY_TYPES), _among("payment_type", _PAY_TYPES)),
+        ("installments", "at least 1", "installments < 1"), ("payment_value", "at least 0", "payment_value < 0")]),
+    "dim_date": ("g_dim_date", [
+        ("date_key", "required", "date_key IS NULL"), ("month", "1 to 12", '"month" < 1 OR "month" > 12'),
+        ("quarter", "1 to 4", "quarter < 1 OR quarter > 4"), ("weekday", "1 to 7", "weekday < 1 OR weekday > 7")]),
+}
+Q["dictionary_domains"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", {_lit(text)} AS domain, COUNT(*) AS \"rows\", "
+    f"COUNT(*) FILTER (WHERE \"{c}\" IS NULL) AS empty, COUNT(*) FILTER (WHERE {broken}) AS violations FROM {view}"
+    for t, (view, of) in _DOMAINS.items() for c, text, broken in of)
+Q["domain_quarantine"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS \"table\", v AS violations, COUNT(*) AS \"rows\" FROM (SELECT concat_ws(',', "
+    + ", ".join(f"CASE WHEN {broken} THEN '{c}' END" for c, _, broken in sorted(of)) + f") AS v FROM {view}) q__ WHERE v <> '' GROUP BY v"
+    for t, (view, of) in _DOMAINS.items())
+
 # ---------------------------------------------------------------- sources and sinks
 
 Q["load_summary"] = "\nUNION ALL\n".join(f"SELECT '{t}' AS \"table\", COUNT(*) AS \"rows\" FROM {v}"
@@ -613,19 +678,19 @@ Q["sink_overwrite"] = "SELECT * FROM s_sellers"
 # the documented gold columns: table, position, column, type, comment
 _GOLD_COLUMNS = [
     ("dim_customer", 1, "customer_id", "string",
-     "Key. From bronze.customers.customer_id > silver.customers.customer_id (trimmed text)."),
+     "Key. Domain: required. From bronze.customers.customer_id > silver.customers.customer_id (trimmed text)."),
     ("dim_customer", 2, "customer_unique_id", "string",
      "The person, who may stand behind several keys. From bronze.customers.customer_unique_id > silver.customers.customer_unique_id (trimmed text)."),
-    ("dim_customer", 3, "region", "string",
-     "Region of the customer's state, empty for an unlisted state. Derived in gold: region. From bronze.customers.customer_state > silver.customers.customer_state (trimmed upper-case text)."),
-    ("dim_customer", 4, "state", "string",
-     "State code. From bronze.customers.customer_state > silver.customers.customer_state (trimmed upper-case text)."),
-    ("dim_customer", 5, "city", "string",
+    ("dim_customer", 3, "zip_prefix", "string",
+     "Leading five digits of the postal code. Domain: like ^[0-9]{5}$. From bronze.customers.customer_zip_code_prefix > silver.customers.customer_zip_code_prefix (zero-padded code)."),
+    ("dim_customer", 4, "city", "string",
      "City. From bronze.customers.customer_city > silver.customers.customer_city (trimmed lower-case text)."),
-    ("dim_customer", 6, "zip_prefix", "string",
-     "Leading five digits of the postal code. From bronze.customers.customer_zip_code_prefix > silver.customers.customer_zip_code_prefix (zero-padded code)."),
+    ("dim_customer", 5, "state", "string",
+     "State code. From bronze.customers.customer_state > silver.customers.customer_state (trimmed upper-case text)."),
+    ("dim_customer", 6, "region", "string",
+     "Region of the customer's state, empty for an unlisted state. Derived in gold: region. From bronze.customers.customer_state > silver.customers.customer_state (trimmed upper-case text)."),
     ("dim_date", 1, "date_key", "int",
-     "Key, year month day as one number."),
+     "Key, year month day as one number. Domain: required."),
     ("dim_date", 2, "date", "date",
      "The day."),
     ("dim_date", 3, "year_month", "string",
@@ -633,61 +698,61 @@ _GOLD_COLUMNS = [
     ("dim_date", 4, "year", "int",
      "Calendar year."),
     ("dim_date", 5, "month", "int",
-     "Month number."),
+     "Month number. Domain: 1 to 12."),
     ("dim_date", 6, "quarter", "int",
-     "Quarter number."),
+     "Quarter number. Domain: 1 to 4."),
     ("dim_date", 7, "weekday", "int",
-     "Day of the week, Sunday is 1."),
+     "Day of the week, Sunday is 1. Domain: 1 to 7."),
     ("dim_date", 8, "is_weekend", "boolean",
      "Whether Saturday or Sunday."),
     ("dim_product", 1, "product_id", "string",
-     "Key. From bronze.products.product_id > silver.products.product_id (trimmed text)."),
-    ("dim_product", 2, "category_en", "string",
+     "Key. Domain: required. From bronze.products.product_id > silver.products.product_id (trimmed text)."),
+    ("dim_product", 2, "category", "string",
+     "Category, never empty. Domain: required. From bronze.products.product_category_name > silver.products.product_category_name (trimmed lower-case text)."),
+    ("dim_product", 3, "category_en", "string",
      "Category in English, as landed where untranslated. From bronze.category_translation.product_category_name_english > silver.category_translation.product_category_name_english (trimmed lower-case text)."),
-    ("dim_product", 3, "category", "string",
-     "Category, never empty. From bronze.products.product_category_name > silver.products.product_category_name (trimmed lower-case text)."),
-    ("dim_product", 4, "weight_g", "int",
-     "Weight in grams, empty where not positive. From bronze.products.product_weight_g > silver.products.product_weight_g (whole number)."),
-    ("dim_product", 5, "photos_qty", "int",
-     "Photos in the listing. From bronze.products.product_photos_qty > silver.products.product_photos_qty (whole number)."),
-    ("dim_product", 6, "width_cm", "int",
-     "Package width in centimetres. From bronze.products.product_width_cm > silver.products.product_width_cm (whole number)."),
+    ("dim_product", 4, "photos_qty", "int",
+     "Photos in the listing. Domain: at least 1. From bronze.products.product_photos_qty > silver.products.product_photos_qty (whole number)."),
+    ("dim_product", 5, "weight_g", "int",
+     "Weight in grams, empty where not positive. Domain: above 0. From bronze.products.product_weight_g > silver.products.product_weight_g (whole number)."),
+    ("dim_product", 6, "length_cm", "int",
+     "Package length in centimetres. Domain: above 0. From bronze.products.product_length_cm > silver.products.product_length_cm (whole number)."),
     ("dim_product", 7, "height_cm", "int",
-     "Package height in centimetres. From bronze.products.product_height_cm > silver.products.product_height_cm (whole number)."),
-    ("dim_product", 8, "length_cm", "int",
-     "Package length in centimetres. From bronze.products.product_length_cm > silver.products.product_length_cm (whole number)."),
+     "Package height in centimetres. Domain: above 0. From bronze.products.product_height_cm > silver.products.product_height_cm (whole number)."),
+    ("dim_product", 8, "width_cm", "int",
+     "Package width in centimetres. Domain: above 0. From bronze.products.product_width_cm > silver.products.product_width_cm (whole number)."),
     ("dim_seller", 1, "seller_id", "string",
-     "Key. From bronze.sellers.seller_id > silver.sellers.seller_id (trimmed text)."),
-    ("dim_seller", 2, "region", "string",
-     "Region of the seller's state, empty for an unlisted state. Derived in gold: region. From bronze.sellers.seller_state > silver.sellers.seller_state (trimmed upper-case text)."),
-    ("dim_seller", 3, "state", "string",
-     "State code. From bronze.sellers.seller_state > silver.sellers.seller_state (trimmed upper-case text)."),
-    ("dim_seller", 4, "city", "string",
+     "Key. Domain: required. From bronze.sellers.seller_id > silver.sellers.seller_id (trimmed text)."),
+    ("dim_seller", 2, "zip_prefix", "string",
+     "Leading five digits of the postal code. Domain: like ^[0-9]{5}$. From bronze.sellers.seller_zip_code_prefix > silver.sellers.seller_zip_code_prefix (zero-padded code)."),
+    ("dim_seller", 3, "city", "string",
      "City. From bronze.sellers.seller_city > silver.sellers.seller_city (trimmed lower-case text)."),
-    ("dim_seller", 5, "zip_prefix", "string",
-     "Leading five digits of the postal code. From bronze.sellers.seller_zip_code_prefix > silver.sellers.seller_zip_code_prefix (zero-padded code)."),
+    ("dim_seller", 4, "state", "string",
+     "State code. From bronze.sellers.seller_state > silver.sellers.seller_state (trimmed upper-case text)."),
+    ("dim_seller", 5, "region", "string",
+     "Region of the seller's state, empty for an unlisted state. Derived in gold: region. From bronze.sellers.seller_state > silver.sellers.seller_state (trimmed upper-case text)."),
     ("fact_order_items", 1, "order_id", "string",
-     "Key, with item_id. From bronze.order_items.order_id > silver.order_items.order_id (trimmed text)."),
+     "Key, with item_id. Domain: required. From bronze.order_items.order_id > silver.order_items.order_id (trimmed text)."),
     ("fact_order_items", 2, "item_id", "int",
-     "Key, with order_id. From bronze.order_items.order_item_id > silver.order_items.order_item_id (whole number)."),
+     "Key, with order_id. Domain: required, at least 1. From bronze.order_items.order_item_id > silver.order_items.order_item_id (whole number)."),
     ("fact_order_items", 3, "purchase_date_key", "int",
-     "Day of purchase, key of dim_date. Derived in gold: day key. From bronze.orders.order_purchase_timestamp > silver.orders.order_purchase_timestamp (date and time)."),
-    ("fact_order_items", 4, "seller_id", "string",
-     "Key of dim_seller. From bronze.order_items.seller_id > silver.order_items.seller_id (trimmed text)."),
+     "Day of purchase. Domain: key of dim_date.date_key. Derived in gold: day key. From bronze.orders.order_purchase_timestamp > silver.orders.order_purchase_timestamp (date and time)."),
+    ("fact_order_items", 4, "customer_id", "string",
+     "Who bought. Domain: required, key of dim_customer.customer_id. From bronze.orders.customer_id > silver.orders.customer_id (trimmed text)."),
     ("fact_order_items", 5, "product_id", "string",
-     "Key of dim_product. From bronze.order_items.product_id > silver.order_items.product_id (trimmed text)."),
-    ("fact_order_items", 6, "customer_id", "string",
-     "Key of dim_customer. From bronze.orders.customer_id > silver.orders.customer_id (trimmed text)."),
+     "What was sold. Domain: required, key of dim_product.product_id. From bronze.order_items.product_id > silver.order_items.product_id (trimmed text)."),
+    ("fact_order_items", 6, "seller_id", "string",
+     "Who sold it. Domain: required, key of dim_seller.seller_id. From bronze.order_items.seller_id > silver.order_items.seller_id (trimmed text)."),
     ("fact_order_items", 7, "item_price", "decimal(12,2)",
-     "Price of the item. From bronze.order_items.price > silver.order_items.price (amount with two decimals)."),
+     "Price of the item. Domain: required, above 0. From bronze.order_items.price > silver.order_items.price (amount with two decimals)."),
     ("fact_order_items", 8, "freight_value", "decimal(12,2)",
-     "Freight of the item. From bronze.order_items.freight_value > silver.order_items.freight_value (amount with two decimals)."),
+     "Freight of the item. Domain: required, at least 0. From bronze.order_items.freight_value > silver.order_items.freight_value (amount with two decimals)."),
     ("fact_order_items", 9, "item_total", "decimal(13,2)",
      "Price and freight. Derived in gold: sum. From bronze.order_items.price > silver.order_items.price (amount with two decimals); bronze.order_items.freight_value > silver.order_items.freight_value (amount with two decimals)."),
     ("fact_order_items", 10, "order_status", "string",
-     "State the order is in. From bronze.orders.order_status > silver.orders.order_status (trimmed lower-case text)."),
+     "State the order is in. Domain: one of delivered, shipped, canceled, unavailable, invoiced, processing, created, approved. From bronze.orders.order_status > silver.orders.order_status (trimmed lower-case text)."),
     ("fact_order_items", 11, "review_score", "int",
-     "Score of the order's newest valid review. From bronze.order_reviews.review_score > silver.order_reviews.review_score (whole number)."),
+     "Score of the order's newest valid review. Domain: 1 to 5. From bronze.order_reviews.review_score > silver.order_reviews.review_score (whole number)."),
     ("fact_order_items", 12, "purchased_at", "timestamp_ntz",
      "Moment of purchase. From bronze.orders.order_purchase_timestamp > silver.orders.order_purchase_timestamp (date and time)."),
     ("fact_order_items", 13, "estimated_at", "timestamp_ntz",
@@ -695,25 +760,25 @@ _GOLD_COLUMNS = [
     ("fact_order_items", 14, "delivered_at", "timestamp_ntz",
      "Delivery as made, empty if before the purchase. From bronze.orders.order_delivered_customer_date > silver.orders.order_delivered_customer_date (date and time)."),
     ("fact_order_items", 15, "lead_time_days", "int",
-     "Days the customer waited. Derived in gold: days from. From bronze.orders.order_purchase_timestamp > silver.orders.order_purchase_timestamp (date and time); bronze.orders.order_delivered_customer_date > silver.orders.order_delivered_customer_date (date and time)."),
+     "Days the customer waited. Domain: at least 0. Derived in gold: days from. From bronze.orders.order_purchase_timestamp > silver.orders.order_purchase_timestamp (date and time); bronze.orders.order_delivered_customer_date > silver.orders.order_delivered_customer_date (date and time)."),
     ("fact_order_items", 16, "delay_days", "int",
      "Days past the promise, below zero when early. Derived in gold: days from. From bronze.orders.order_estimated_delivery_date > silver.orders.order_estimated_delivery_date (date and time); bronze.orders.order_delivered_customer_date > silver.orders.order_delivered_customer_date (date and time)."),
     ("fact_order_items", 17, "is_late", "boolean",
      "Whether it came after the promised day. Derived in gold: late. From bronze.orders.order_delivered_customer_date > silver.orders.order_delivered_customer_date (date and time); bronze.orders.order_estimated_delivery_date > silver.orders.order_estimated_delivery_date (date and time)."),
     ("fact_payments", 1, "order_id", "string",
-     "Key, with payment_seq. From bronze.order_payments.order_id > silver.order_payments.order_id (trimmed text)."),
+     "Key, with payment_seq. Domain: required. From bronze.order_payments.order_id > silver.order_payments.order_id (trimmed text)."),
     ("fact_payments", 2, "payment_seq", "int",
-     "Key, with order_id. From bronze.order_payments.payment_sequential > silver.order_payments.payment_sequential (whole number)."),
+     "Key, with order_id. Domain: required, at least 1. From bronze.order_payments.payment_sequential > silver.order_payments.payment_sequential (whole number)."),
     ("fact_payments", 3, "purchase_date_key", "int",
-     "Day of purchase, key of dim_date. Derived in gold: day key. From bronze.orders.order_purchase_timestamp > silver.orders.order_purchase_timestamp (date and time)."),
+     "Day of purchase. Domain: key of dim_date.date_key. Derived in gold: day key. From bronze.orders.order_purchase_timestamp > silver.orders.order_purchase_timestamp (date and time)."),
     ("fact_payments", 4, "customer_id", "string",
-     "Key of dim_customer. From bronze.orders.customer_id > silver.orders.customer_id (trimmed text)."),
-    ("fact_payments", 5, "payment_value", "decimal(12,2)",
-     "Amount. From bronze.order_payments.payment_value > silver.order_payments.payment_value (amount with two decimals)."),
-    ("fact_payments", 6, "payment_type", "string",
-     "Means of payment. From bronze.order_payments.payment_type > silver.order_payments.payment_type (trimmed lower-case text)."),
-    ("fact_payments", 7, "installments", "int",
-     "Instalments, at least one. From bronze.order_payments.payment_installments > silver.order_payments.payment_installments (whole number)."),
+     "Who bought. Domain: required, key of dim_customer.customer_id. From bronze.orders.customer_id > silver.orders.customer_id (trimmed text)."),
+    ("fact_payments", 5, "payment_type", "string",
+     "Means of payment. Domain: one of credit_card, boleto, voucher, debit_card, not_defined. From bronze.order_payments.payment_type > silver.order_payments.payment_type (trimmed lower-case text)."),
+    ("fact_payments", 6, "installments", "int",
+     "Instalments. Domain: at least 1. From bronze.order_payments.payment_installments > silver.order_payments.payment_installments (whole number)."),
+    ("fact_payments", 7, "payment_value", "decimal(12,2)",
+     "Amount. Domain: at least 0. From bronze.order_payments.payment_value > silver.order_payments.payment_value (amount with two decimals)."),
 ]
 Q["catalog_dictionary"] = "SELECT * FROM (VALUES " + ",\n".join(
     f"({_lit(t)}, {i}, {_lit(c)}, {_lit(k)}, {_lit(about)})" for t, i, c, k, about in _GOLD_COLUMNS
