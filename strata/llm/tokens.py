@@ -10,16 +10,18 @@ joined, equal the ids of the whole text. Other kinds are encoded whole.
 from __future__ import annotations
 
 import contextlib
+import gc
 import json
 import os
 import re
 from array import array
-from itertools import chain
+from collections.abc import Iterator
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 
 #: bound of each of an encoder's two generations of remembered pieces
-CACHE_BYTES = 24 << 20
+CACHE_BYTES = 48 << 20
 
 _WS = "\t-\r \x85\xa0  -     　"
 _LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
@@ -29,6 +31,19 @@ _KEEP_SPACE = re.compile(f"[ ]?(?:{_RUN})|[{_WS}]+(?![^{_WS}])|[{_WS}]")
 _DROP_SPACE = re.compile(_RUN)
 
 
+@contextlib.contextmanager
+def no_cycles() -> Iterator[None]:
+    """Without the cyclic collector, which would walk the remembered pieces
+    again and again; nothing here makes cycles."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 class _Remembering:
     """Ids of pieces, remembered in two generations of at most ``cache_bytes``
     each: when the younger is full it becomes the older one, and pieces met
@@ -54,9 +69,8 @@ class _Remembering:
         self.young.update(zip(new, self._encode_pieces(new), strict=True))
         self.size += self.ENTRY * len(pieces) + 2 * sum(map(len, pieces))
 
-    def joined(self, split: list[list[str]]) -> list[bytes]:
-        """Ids of texts given as their pieces."""
-        flat = list(chain.from_iterable(split))
+    def coded(self, flat: list[str]) -> list[bytes]:
+        """Ids of each piece."""
         coded = list(map(self.young.get, flat))
         missing, i = [], -1
         with contextlib.suppress(ValueError):  # no further piece is unknown
@@ -66,11 +80,12 @@ class _Remembering:
             self._learn({flat[i] for i in missing})
             for i in missing:
                 coded[i] = self.young[flat[i]]
-        out, at = [], 0
-        for s in split:
-            out.append(b"".join(coded[at:at + len(s)]))
-            at += len(s)
-        return out
+        return coded
+
+    def joined(self, split: list[list[str]]) -> list[bytes]:
+        """Ids of texts given as their pieces."""
+        coded = self.coded(list(chain.from_iterable(split)))
+        return [b"".join(coded[i:j]) for i, j in pairwise(accumulate(map(len, split), initial=0))]
 
 
 class Encoder(_Remembering):
@@ -177,6 +192,7 @@ class PieceEncoder(_Remembering):
             f" *+(?:[{_LETTERS}]++(?=[{marks} \n]|$)|[{marks}]++(?=[{_LETTERS} \n]|$)|[^ \n]++)| ++|\n").findall
         probe = self.model.encode("\n")
         self.lead = len(probe)
+        self.entries_of_text = entries
         # pieces are encoded after a line end, which must join with nothing
         self.split = len(probe) == 2 and self.model.is_byte(probe[1]) and not any(
             re.search(f"[^{self.SPACE}]{self.SPACE}|\n", p) for p in entries)
@@ -198,6 +214,40 @@ class PieceEncoder(_Remembering):
                 for i, p in enumerate(self.spelling)]
 
 
+class BothEncoder(_Remembering):
+    """Ids by two encoders at once, from one pass over each text's pieces: runs
+    up to a mark or white space, with the white space before them. Texts come
+    with the space that the second encoder would add."""
+
+    ENTRY = 330
+
+    def __init__(self, a: Encoder, b: PieceEncoder, cache_bytes: int = 3 * CACHE_BYTES // 2):
+        super().__init__(cache_bytes)
+        self.a, self.b = a, b
+        self.pieces = re.compile(f"[{_WS}]*+(?:{_RUN})|[{_WS}]++").findall
+        self.split = a.pieces is _KEEP_SPACE and a.special is None and b.split
+        # texts with white space that joins with something in the second vocabulary are encoded apart
+        joining = {c for p in b.entries_of_text if len(p) > 1 for c in p if re.match(f"[{_WS}]", c)}
+        self.apart = re.compile(f"[{b.SPACE}{re.escape(''.join(joining))}]").search
+
+    def _encode_pieces(self, pieces: list[str]) -> list[tuple[bytes, bytes]]:
+        return list(zip(self.a._encode_pieces(pieces), self.b._encode_pieces(pieces), strict=True))
+
+    def __call__(self, spaced: list[str]) -> tuple[list[bytes], list[bytes]]:
+        if not self.split:
+            return self.a(spaced), self.b([t[1:] for t in spaced])
+        apart = [i for i, t in enumerate(spaced) if self.apart(t)]
+        split = [self.pieces(t) for t in spaced]
+        for i in apart:
+            split[i] = []
+        flat = self.coded(list(chain.from_iterable(split)))
+        ends = list(accumulate(map(len, split), initial=0))
+        out = tuple([b"".join([x[k] for x in flat[i:j]]) for i, j in pairwise(ends)] for k in (0, 1))
+        for i in apart:
+            out[0][i], out[1][i] = self.a([spaced[i]])[0], self.b([spaced[i][1:]])[0]
+        return out
+
+
 _encoders: dict[tuple, _Remembering] = {}
 
 

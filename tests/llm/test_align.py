@@ -97,7 +97,7 @@ def test_pair_bound_holds(spark):
     rows = made(2)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     a, b = Encoder(PA, True).entries(), PieceEncoder(PB).entries()
-    pairs = A.pair_counts(A.align(df, PA, PB), len(b)).collect()
+    pairs = A.pair_counts(A.align(df, PA, PB), len(b), A.code_kind(len(a), len(b))).collect()
     for r in pairs:
         x, y = a[r.code // len(b)], b[r.code % len(b)]
         assert x.endswith(y) or y.endswith(x)
