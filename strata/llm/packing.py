@@ -2,10 +2,10 @@
 
 Pass one tokenizes each partition and keeps token totals; prefix sums over the
 partition totals give every document its global offset; pass two cuts the
-stream into windows of ``length`` ids. No token is shuffled: a document's
-pieces follow from its offset alone, and whole sequences are put together
-inside a partition, except the two boundary records a partition may share
-with its neighbours.
+stream into windows of ``length`` ids and writes them. Whole sequences are put
+together inside a task, so their tokens are not shuffled; only the boundary
+records, one or two where a task's stretch of the stream begins and ends, meet
+those of its neighbours. ``pieces`` are read back from the written sequences.
 
 Edge cases: a NULL text is an empty one (one end id); a NULL or repeated
 doc_id is packed like any other; no documents give no pieces; columns other
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import crc32_unsigned, doc_groups, prefix_sums, ship, stage
-from .tokens import encoder
+from .tokens import encoder, no_cycles
 
 #: totals of more partitions than this are joined without a broadcast
 BROADCAST_PARTITIONS = 1 << 20
@@ -40,16 +40,17 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id
 
     def run(batches):
         part, at, encode = TaskContext.get().partitionId(), 0, encoder(tokenizer)
-        for b in batches:
-            ids, texts = b.column(0), b.column(1).to_pylist()
-            for i, j in doc_groups(ids, texts):
-                coded = [x + end for x in encode(texts[i:j])]
-                n = np.array([len(x) // 4 for x in coded], dtype=np.int64)
-                starts = at + np.cumsum(n) - n
-                at += int(n.sum())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(j - i, part, np.int32)), pa.array(starts), ids.slice(i, j - i),
-                     pa.array(n), pa.array(coded, pa.binary())], schema=_TOKENS)
+        with no_cycles():
+            for b in batches:
+                ids, texts = b.column(0), b.column(1).to_pylist()
+                for i, j in doc_groups(ids, texts):
+                    coded = [x + end for x in encode(texts[i:j])]
+                    n = np.array([len(x) // 4 for x in coded], dtype=np.int64)
+                    starts = at + np.cumsum(n) - n
+                    at += int(n.sum())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(j - i, part, np.int32)), pa.array(starts), ids.slice(i, j - i),
+                         pa.array(n), pa.array(coded, pa.binary())], schema=_TOKENS)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
         run, "part int, at long, doc_id long, n long, ids binary")
@@ -65,82 +66,118 @@ def offsets(tokens: DataFrame) -> DataFrame:
     return tokens.join(base, "part").withColumn("begin", F.col("base") + F.col("at")).drop("base")
 
 
-def pieces(tokens: DataFrame, length: int = 1024) -> DataFrame:
-    """One row per piece: (doc_id, start, length, ids, doc_tokens,
-    sequence_id, offset); ``ids`` is binary as in ``tokenize``."""
-    n, g = F.col("n"), F.col("begin")
-    t = offsets(tokens)
+_PIECE = pa.struct([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()),
+                    ("offset", pa.int64())])
+_RECORDS = ("sequence_id long, first long, n long, ids binary, pieces array<struct<doc_id: long, start: long, "
+            "length: long, doc_tokens: long, offset: long>>")
+
+
+class _Stretch:
+    """A stretch of the stream that is being cut: its first global place, its
+    ids and, per document in it, (global begin, doc_id, ids in all)."""
+
+    def __init__(self, length: int):
+        self.length, self.at, self.raw = length, 0, b""
+        self.begin = self.total = np.zeros(0, np.int64)
+        self.doc = pa.array([], pa.int64())
+
+    def end(self) -> int:
+        return self.at + len(self.raw) // 4
+
+    def add(self, begin: np.ndarray, doc: pa.Array, total: np.ndarray, raw: list[bytes]) -> None:
+        """The documents that follow without a gap."""
+        if not self.raw:
+            self.at = int(begin[0])
+        self.raw = b"".join([self.raw, *raw])
+        self.begin, self.total = np.concatenate([self.begin, begin]), np.concatenate([self.total, total])
+        self.doc = pa.concat_arrays([self.doc, doc])
+
+    def cut(self, whole: bool) -> pa.RecordBatch | None:
+        """Records of all windows, or of those that are complete."""
+        until = self.end() if whole else self.end() // self.length * self.length
+        if until <= self.at:
+            return None
+        first = np.unique(np.concatenate([[self.at], np.arange(-(-self.at // self.length) * self.length, until, self.length)]))
+        last = np.append(first[1:], until)
+        place = np.unique(np.concatenate([first, self.begin[(self.begin >= self.at) & (self.begin < until)]]))
+        size = np.append(place[1:], until) - place
+        doc = np.searchsorted(self.begin, place, side="right") - 1
+        pieces = pa.StructArray.from_arrays(
+            [self.doc.take(pa.array(doc)), pa.array(place - self.begin[doc]), pa.array(size), pa.array(self.total[doc]),
+             pa.array(place % self.length)], fields=list(_PIECE))
+        lists = pa.ListArray.from_arrays(pa.array(np.append(np.searchsorted(place, first), len(place)).astype(np.int32)), pieces)
+        bounds = zip((4 * (first - self.at)).tolist(), (4 * (last - self.at)).tolist(), strict=True)
+        out = pa.RecordBatch.from_arrays(
+            [pa.array(first // self.length), pa.array(first % self.length), pa.array(last - first),
+             pa.array([self.raw[i:j] for i, j in bounds], pa.binary()), lists],
+            names=["sequence_id", "first", "n", "ids", "pieces"])
+        keep = int(np.searchsorted(self.begin, until, side="right")) - 1  # the document that goes on
+        self.raw, self.at = self.raw[4 * (until - self.at):], until
+        self.begin, self.total, self.doc = self.begin[keep:], self.total[keep:], self.doc.slice(keep)
+        return out
+
+
+def sequences(tokens: DataFrame, length: int = 1024, pad_id: int = 0) -> DataFrame:
+    """Written tables of (sequence_id, n_tokens, ids, pieces): ``ids`` binary as
+    in ``tokenize``; ``pieces`` (doc_id, start, length, doc_tokens, offset)
+    in order. Only the last sequence can be short; it is padded with ``pad_id``
+    to ``length`` unless its size is a power of two."""
 
-    def cut(s):
-        lo, hi = F.greatest(s * length, g), F.least((s + 1) * length, g + n)
-        return F.struct(s.alias("sequence_id"), (lo - s * length).alias("offset"), (lo - g).alias("start"),
-                        (hi - lo).alias("length"))
-    spans = F.transform(F.sequence(F.floor(g / length), F.floor((g + n - 1) / length)), cut)
-    one = F.col("piece")
-    return t.select("doc_id", F.col("n").alias("doc_tokens"), "ids", F.explode(spans).alias("piece")).select(
-        "doc_id", one["start"].alias("start"), one["length"].alias("length"),
-        F.substring("ids", (one["start"] * 4 + 1).cast("int"), (one["length"] * 4).cast("int")).alias("ids"),
-        "doc_tokens", one["sequence_id"].alias("sequence_id"), one["offset"].alias("offset"))
-
-
-def sequences(parts: DataFrame, length: int = 1024, pad_id: int = 0) -> DataFrame:
-    """(sequence_id, n_tokens, ids array<int>, doc_ids array<long>) of a
-    written table of ``pieces``. Only the last sequence can be short; it is
-    padded with ``pad_id`` to ``length`` unless its size is a power of two."""
-    ship(parts.sparkSession)
-    schema = "sequence_id long, offset long, n long, ids binary, doc_ids array<long>"
-    arrow = pa.schema([("sequence_id", pa.int64()), ("offset", pa.int64()), ("n", pa.int64()),
-                       ("ids", pa.binary()), ("doc_ids", pa.list_(pa.int64()))])
-
-    def combine(batches):
-        held: list | None = None  # [sequence, offset, n, ids, docs]
+    def run(batches):
+        held = _Stretch(length)
         for b in batches:
-            out = []
-            for r in b.to_pylist():
-                if held and held[0] == r["sequence_id"] and held[1] + held[2] == r["offset"]:
-                    held[2] += r["length"]
-                    held[3].append(r["ids"])
-                    held[4].append(r["doc_id"])
-                    continue
-                if held:
-                    out.append(held)
-                held = [r["sequence_id"], r["offset"], r["length"], [r["ids"]], [r["doc_id"]]]
-            if out:
-                yield _records(out)
-        if held:
-            yield _records([held])
-
-    def _records(rows):
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-             pa.array([r[2] for r in rows], pa.int64()), pa.array([b"".join(r[3]) for r in rows], pa.binary()),
-             pa.array([r[4] for r in rows], pa.list_(pa.int64()))], schema=arrow)
-
-    def to_list(batches):
+            begin, n = b.column(0).to_numpy(), b.column(2).to_numpy()
+            raw = b.column(3).to_pylist()
+            cuts = [0, *(np.flatnonzero(begin[1:] != begin[:-1] + n[:-1]) + 1).tolist(), len(begin)]
+            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+                if j > i:
+                    if held.raw and held.end() != begin[i]:  # another stretch of the stream
+                        yield held.cut(True)
+                        held = _Stretch(length)
+                    held.add(begin[i:j], b.column(1).slice(i, j - i), n[i:j], raw[i:j])
+                    if (out := held.cut(False)) is not None:
+                        yield out
+        if held.raw:
+            yield held.cut(True)
+
+    rows = offsets(tokens).select("begin", "doc_id", "n", "ids")
+    records = stage(rows.mapInArrow(run, _RECORDS), "sequence-records", {"compression": "zstd"})
+    parts = F.array_sort(F.collect_list(F.struct("first", "n", "ids", "pieces")))
+    rest = records.where(F.col("n") < length).groupBy("sequence_id").agg(parts.alias("r"))  # boundary records
+    n, ids = F.col("n_tokens"), F.col("ids")
+    pad = F.substring(F.lit(np.full(length, pad_id, "<u4").tobytes()), F.lit(1), ((length - n) * 4).cast("int"))
+    rest = rest.select(
+        "sequence_id", F.aggregate("r", F.lit(0).cast("long"), lambda s, x: s + x["n"]).alias("n_tokens"),
+        F.aggregate("r", F.lit(b""), lambda s, x: F.concat(s, x["ids"])).alias("ids"),
+        F.flatten(F.col("r.pieces")).alias("pieces"))
+    rest = stage(rest.withColumn("ids", F.when(n.bitwiseAND(n - 1) == 0, ids).otherwise(F.concat(ids, pad))), "sequence-ends")
+    whole = records.where(F.col("n") == length).select("sequence_id", F.col("n").alias("n_tokens"), "ids", "pieces")
+    return whole.unionByName(rest)
+
+
+def id_arrays(packed: DataFrame) -> DataFrame:
+    """``sequences`` with ``ids`` as array<int> and ``doc_ids``."""
+    def run(batches):
         for b in batches:
-            rows = b.to_pylist()
-            ids = []
-            for r in rows:
-                x = np.frombuffer(r["ids"], "<u4").astype(np.int32)
-                if len(x) & (len(x) - 1):
-                    x = np.pad(x, (0, length - len(x)), constant_values=pad_id)
-                ids.append(x)
+            raw = b.column(2).to_pylist()
+            values = pa.array(np.frombuffer(b"".join(raw), "<i4"))
+            at = np.cumsum([0, *(len(x) // 4 for x in raw)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(ids, pa.list_(pa.int32())), b.column(3)],
+                [b.column(0), b.column(1), pa.ListArray.from_arrays(pa.array(at), values), b.column(3)],
                 names=["sequence_id", "n_tokens", "ids", "doc_ids"])
+    ship(packed.sparkSession)
+    return packed.select("sequence_id", "n_tokens", "ids", F.col("pieces.doc_id").alias("doc_ids")).mapInArrow(
+        run, "sequence_id long, n_tokens long, ids array<int>, doc_ids array<long>")
 
-    order = ["sequence_id", "offset", "length", "ids", "doc_id"]
-    held = stage(parts.select(*order).mapInArrow(combine, schema), "sequence-records")
-    whole = held.where(F.col("n") == length)
-    runs = F.array_sort(F.collect_list(F.struct("offset", "n", "ids", "doc_ids")))
-    rest = held.where(F.col("n") < length).groupBy("sequence_id").agg(runs.alias("r"))  # boundary records
-    rest = rest.select(
-        "sequence_id", F.aggregate("r", F.lit(0).cast("long"), lambda s, x: s + x["n"]).alias("n"),
-        F.aggregate("r", F.lit(b""), lambda s, x: F.concat(s, x["ids"])).alias("ids"),
-        F.flatten(F.col("r.doc_ids")).alias("doc_ids"))
-    cols = ["sequence_id", "n", "ids", "doc_ids"]
-    return whole.select(*cols).unionByName(rest.select(*cols)).mapInArrow(
-        to_list, "sequence_id long, n_tokens long, ids array<int>, doc_ids array<long>")
+
+def pieces(packed: DataFrame) -> DataFrame:
+    """One row per piece of written sequences: (doc_id, start, length, ids,
+    doc_tokens, sequence_id, offset); ``ids`` is binary as in ``tokenize``."""
+    one = F.col("piece")
+    return packed.select("sequence_id", "ids", F.explode("pieces").alias("piece")).select(
+        one["doc_id"].alias("doc_id"), one["start"].alias("start"), one["length"].alias("length"),
+        F.substring("ids", (one["offset"] * 4 + 1).cast("int"), (one["length"] * 4).cast("int")).alias("ids"),
+        one["doc_tokens"].alias("doc_tokens"), "sequence_id", one["offset"].alias("offset"))
 
 
 def piece_digest(parts: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import packing
     tokens = packing.tokenize(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), 0)
-    return packing.piece_digest(packing.pieces(tokens, 1024))
+    return packing.piece_digest(packing.pieces(packing.sequences(tokens, 1024)))
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import _shuffles_removed, doc_groups, prefix_sums, ship
 from .packing import BROADCAST_PARTITIONS
-from .tokens import encoder
+from .tokens import encoder, no_cycles
 
 _SCHEMA = "part int, doc_id long, at long, n_tokens long, ids array<int>"
 _ARROW = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("at", pa.int64()),
@@ -41,18 +41,19 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, encodi
 
     def run(batches):
         part, at, encode = TaskContext.get().partitionId(), 0, encoder(tokenizer)
-        for b in batches:
-            ids, texts = b.column(0), b.column(1).to_pylist()
-            for i, j in doc_groups(ids, texts):
-                coded = [x + end for x in encode(texts[i:j])]
-                n = np.array([len(x) // 4 for x in coded], dtype=np.int64)
-                starts = at + np.cumsum(n) - n
-                at += int(n.sum())
-                values = pa.array(np.frombuffer(b"".join(coded), "<i4"))
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), values)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(j - i, part, np.int32)), ids.slice(i, j - i), pa.array(starts),
-                     pa.array(n), lists], schema=_ARROW)
+        with no_cycles():
+            for b in batches:
+                ids, texts = b.column(0), b.column(1).to_pylist()
+                for i, j in doc_groups(ids, texts):
+                    coded = [x + end for x in encode(texts[i:j])]
+                    n = np.array([len(x) // 4 for x in coded], dtype=np.int64)
+                    starts = at + np.cumsum(n) - n
+                    at += int(n.sum())
+                    values = pa.array(np.frombuffer(b"".join(coded), "<i4"))
+                    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), values)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(j - i, part, np.int32)), ids.slice(i, j - i), pa.array(starts),
+                         pa.array(n), lists], schema=_ARROW)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.repartitionByRange(partitions, F.col("doc_id").asc_nulls_first())

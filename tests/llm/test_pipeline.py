@@ -67,7 +67,7 @@ def test_stages_equal_brute_force(spark, corpus):
 def test_run_and_registration(spark, corpus):
     assert C.run(spark, corpus[0]).count() > 0
     assert [n for n, _ in C.STAGES] == ["toxicity", "near_duplicates", "decontamination", "secrets", "packing"]
-    assert "pipeline" in E.queries() and sum(k.startswith("op") for k in E.queries()) == 10
+    assert "pipeline" in E.queries() and sum(k.startswith("op") for k in E.queries()) == 13
 
 
 def test_empty_tables(spark, corpus):

@@ -10,9 +10,9 @@ from strata.session import scratch_path
 
 
 def whole(path, texts):
+    """Ids by the library as it is: special-token strings are their tokens."""
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     return [t.encode(x or "", add_special_tokens=False).ids for x in texts]
 
 
@@ -28,7 +28,7 @@ TEXTS = ["", " ", "  a", "a\n\nb", "don't, can't. we're;they'll", "x  \t y", "a
 def test_encoder_equals_whole_texts(name, spark):
     docs = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     path = tokenizer_path(name)
-    e = Encoder(path, cache_entries=5)
+    e = Encoder(path, cache_bytes=2000)
     assert [np.frombuffer(x, "<u4").tolist() for x in e(TEXTS + docs)] == whole(path, TEXTS + docs)
 
 
@@ -58,27 +58,29 @@ def test_packing(docs, no_docs):
     path = tokenizer_path("byte_bpe_50k.json")
     src = docs.collect()
     expect = {r.doc_id: i + [0] for r, i in zip(src, whole(path, [r.text for r in src]))}
-    parts = packing.pieces(packing.tokenize(docs, path, 0), 64)
-    check_pieces(packing.piece_digest(parts).collect(), expect, 64)
-    assert packing.piece_digest(packing.pieces(packing.tokenize(no_docs, path, 0), 64)).count() == 0
+    packed = packing.sequences(packing.tokenize(docs, path, 0), 64)
+    check_pieces(packing.piece_digest(packing.pieces(packed)).collect(), expect, 64)
+    assert packing.pieces(packing.sequences(packing.tokenize(no_docs, path, 0), 64)).count() == 0
 
 
-def test_sequences(docs, no_docs):
+@pytest.mark.parametrize("length", [1, 7, 64, 1 << 20])
+def test_sequences(spark, docs, no_docs, length):
+    """Sequences are the stream of all documents, cut; the last one is padded."""
     path = tokenizer_path("byte_bpe_50k.json")
-    parts = packing.stage(packing.pieces(packing.tokenize(docs, path, 0), 64), "test-pieces")
-    seqs = sorted(packing.sequences(parts, 64, pad_id=9).collect())
-    total = sum(s.n_tokens for s in seqs)
-    assert [s.sequence_id for s in seqs] == list(range(-(-total // 64)))
-    want = {}
-    for r in sorted(parts.collect(), key=lambda r: (r.sequence_id, r.offset)):
-        want.setdefault(r.sequence_id, []).append(r)
+    tokens = packing.tokenize(docs, path, 0)
+    packed = packing.sequences(tokens, length, pad_id=9)
+    seqs = sorted(packing.id_arrays(packed).collect())
+    stream = [int(x) for r in sorted(packing.offsets(tokens).collect(), key=lambda r: r.begin)
+              for x in np.frombuffer(r.ids, "<u4")]
+    assert [s.sequence_id for s in seqs] == list(range(-(-len(stream) // length)))
+    assert [x for s in seqs for x in s.ids[:s.n_tokens]] == stream
     for s in seqs:
-        ids = np.concatenate([np.frombuffer(r.ids, "<u4") for r in want[s.sequence_id]]).tolist()
-        assert s.ids[:s.n_tokens] == ids and s.doc_ids == [r.doc_id for r in want[s.sequence_id]]
-        assert len(s.ids) == 64 or len(s.ids) & (len(s.ids) - 1) == 0
-        assert all(x == 9 for x in s.ids[s.n_tokens:])
-    empty = packing.pieces(packing.tokenize(no_docs, path, 0), 64)
-    assert packing.sequences(empty, 64).count() == 0
+        assert len(s.ids) == length or (len(s.ids) == s.n_tokens and len(s.ids) & (len(s.ids) - 1) == 0)
+        assert all(x == 9 for x in s.ids[s.n_tokens:]) and (s is seqs[-1] or s.n_tokens == length)
+    if length == 64:
+        split = packing.sequences(tokens.repartition(5), length, pad_id=9)  # every document is a stretch
+        assert sorted(packing.id_arrays(split).collect()) == seqs
+    assert packing.sequences(packing.tokenize(no_docs, path, 0), length).count() == 0
 
 
 @pytest.mark.parametrize("encoding", ["delta", "dictionary"])
