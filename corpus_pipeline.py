@@ -40,8 +40,8 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of 1024 token ids, with the ids."""
-    return packing.pieces(packing.tokenize(docs, tokenizer_path("byte_bpe_50k.json"), 0), 1024)
+    """Pieces of written sequences of 1024 token ids, with the ids."""
+    return packing.pieces(packing.sequences(packing.tokenize(docs, tokenizer_path("byte_bpe_50k.json"), 0), 1024))
 
 
 STAGES = [("toxicity", drop_toxic), ("near_duplicates", drop_near_duplicates),
