@@ -41,6 +41,44 @@ def test_edges(spark):
     assert T.search(e, F.col("vec_id") == 0, k=2).count() == 2
 
 
+def test_components_of_any_size(spark):
+    """Nothing is left out for its size; scores a long can't hold are ranked
+    exactly and returned as the nearest long."""
+    big = [0.0, 1.0, 2.0 ** 45, 2.0 ** 46 + 3, -2.0 ** 50, 2.0 ** 60, 2.0 ** 60 * 1.5, -2.0 ** 70, 1e30, -1e30, 1e300]
+    rows = [(i, [x, 1.0, -0.5]) for i, x in enumerate(big)] + [(20, [1.0, 3.0, 0.25]), (40, [-2.0 ** 47, 7.0, 1.0])]
+    e = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    top = (1 << 63) - 1
+    want = [(q, r, v, max(-top, min(top, s))) for q, r, v, s in brute(rows)]
+    assert sorted(tuple(r) for r in T.digest(e).collect()) == want
+
+
+def test_clustered_vectors_are_pruned(spark, monkeypatch):
+    """Blocks that can't reach a query's limit don't meet it, pairs that can't
+    aren't multiplied out, and the results stay exact."""
+    import numpy as np
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(12, 48)) * 3
+    rows = [(i, (centres[i % 12] + rng.normal(size=48) * 0.4).tolist()) for i in range(1500)]
+    for name, n in (("QUERY_BLOCK", 16), ("CANDIDATE_BLOCK", 40), ("SAMPLE", 600)):
+        monkeypatch.setattr(T, name, n)
+    e = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    shares = []
+    got = sorted(tuple(r) for r in T.search(e, F.col("vec_id") % 20 == 0, shares=shares).collect())
+    assert got == brute(rows)
+    pairs, met, multiplied = shares
+    assert multiplied < 0.5 * pairs and met < 0.8 * pairs
+
+
+@pytest.mark.parametrize("segments", [1, 4])
+def test_envelopes_bound_products(segments):
+    import numpy as np
+    rng = np.random.default_rng(2)
+    x, c = rng.normal(size=(30, 20)), rng.normal(size=(40, 20)) + 1
+    least, most = T.envelope(T.statistics(c, segments))
+    bound = T.over_envelopes(T.statistics(x, segments), least[None], most[None])
+    assert (bound + 1e-9 >= (x @ c.T).max(axis=1)[:, None]).all()
+
+
 @pytest.mark.parametrize("segments", [1, 3, 64])
 def test_statistics_bound_products(segments):
     import numpy as np
