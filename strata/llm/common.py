@@ -5,6 +5,7 @@ components."""
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -151,5 +152,13 @@ def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return result
 
 
+def release() -> None:
+    """Give freed memory back to the system, so that a worker that is used
+    again doesn't keep the peak of a task it has done."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def crc32_unsigned(data: Column) -> Column:
     return F.crc32(data).cast("long")

@@ -36,10 +36,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship, stage, utf8
+from .common import release, ship, stage, utf8
 
 DEPTH = 4
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 1 << 20
 SLICE_BYTES = 1 << 22
 _TOKEN = re.compile(rb"[^\x20\x09.,;:!?\x0A-\x0D]+|[.,;:!?\x0A-\x0D]+")
 _MARK = re.compile(rb"[.,;:!?\x0A-\x0D]")
@@ -140,7 +140,7 @@ class PhraseIndex:
     def _by_symbol(self, side: str) -> np.ndarray:
         """Row of the (k+1)-th symbol of the sorted column, in the BWT."""
         if side not in self.rows:
-            self.rows[side] = _sorted(self.bwts[side], len(self.counts))
+            self.rows[side] = _sorted(self.bwts[side], len(self.counts)).astype(np.int32)
         return self.rows[side]
 
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -153,8 +153,8 @@ class PhraseIndex:
         given too; and which given one each extends."""
         here, there = (at, rat) if side == "left" else (rat, at)
         text, by = self.bwts[side], self._by_symbol(side)
-        to = np.empty(len(by), dtype=np.int64)
-        to[by] = np.arange(len(by))
+        to = np.empty(len(by), dtype=np.int32)
+        to[by] = np.arange(len(by), dtype=np.int32)
         rows, owner = _runs(here, size)
         given = np.zeros(len(text), dtype=bool)
         given[rows] = True
@@ -163,7 +163,7 @@ class PhraseIndex:
         rows, owner, symbol = rows[order], owner[order], symbol[order]
         new = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (symbol[1:] != symbol[:-1])])[:len(rows)])
         n = np.diff(np.append(new, len(rows)))
-        start = to[rows[new]]  # the first row with that symbol goes to the interval's first row
+        start = to[rows[new]].astype(np.int64)  # the first row with that symbol goes to the interval's first row
         owner_of = owner[new]
         begins = np.cumsum(size) - size
         other = there[owner_of] + new - begins[owner_of]  # smaller symbols come first on the other side
@@ -226,11 +226,14 @@ def build_index(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
                     if size >= SHARD_WORDS and s[-1] in _MARKS:
                         yield shard()
                         seq, alphabet, ids, size = seq + 1, _Alphabet(), [], 0
+                        release()
                 if size >= SHARD_WORDS:
                     yield shard()
                     seq, alphabet, ids, size = seq + 1, _Alphabet(), [], 0
+                    release()
         if size:
             yield shard()
+        release()
 
     return stage(docs.select(F.col(lang_col).cast("string"), F.col(text_col).cast("string")).mapInArrow(run, _INDEX),
                  "phrase-index", {"compression": "zstd"})
@@ -306,6 +309,7 @@ def _index_columns(index: DataFrame, level: int, spell: bool = False) -> DataFra
 def _counted(index: DataFrame, answers: DataFrame, level: int, ranges: int) -> DataFrame:
     """One row a shard and hash range: hashes and counts of its phrases."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        release()  # of the shard before
         rows = []
         for shard in _at_level(left, right, level, ranges) if left.num_rows else ():
             cuts, n = shard.cuts(ranges), shard.interval[2].astype("<u4")
@@ -374,6 +378,7 @@ def _answered(counted: DataFrame, level: int, least: int) -> DataFrame:
 def _spelled(index: DataFrame, answers: DataFrame, ranges: int) -> DataFrame:
     """(lang, phrase, words, a): every frequent phrase once."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        release()
         parts = [pa.table({"lang": pa.array([], pa.string()), "phrase": pa.array([], pa.binary()),
                            "words": pa.array([], pa.int32()), "a": pa.array([], pa.int64())})]
         levels = right["level"].to_numpy()

@@ -85,3 +85,63 @@ def test_repeated_ids_are_sampled_once(spark):
     hot = docs.where(F.col("doc_id") == usable[0])
     many = docs.unionByName(hot.crossJoin(spark.range(200)).withColumn("text", F.concat("text", F.col("id").cast("string"))).drop("id"))
     assert T.sample(many, labels, 20_000, 11, "doc_id", "text").count() == len(usable)
+
+
+def test_changes_are_those_of_the_swapped_text():
+    """Features that go and come, against features of the text with every
+    mention swapped."""
+    import numpy as np
+    rng = random.Random(6)
+    group = ("alphas", "alphabets", "betas", "gammarays")
+    vocab = [*group, "alphasoup", "gamma", "betamax", "other", "words"]
+    texts = [" ".join(rng.choice(vocab) for _ in range(rng.randrange(1, 9))).encode() for _ in range(60)]
+    keys = np.unique(T.doc_features([" ".join(vocab).encode()])[1])
+
+    def known(text):
+        return set(T._known(T.doc_features([text])[1], keys)[1].tolist())
+    swapper = T._Swapper((group,), keys, 5, 100)
+    for text in texts:
+        own = T._known(T.doc_features([text])[1], keys)[1]
+        got = sorted(tuple(np.frombuffer(x, "<i4").tolist()) for x in swapper.changes(text, own))
+        want = []
+        words = text.split()
+        for t in {w for w in words if w.decode() in group}:
+            for u in (None, *(g.encode() for g in group if g.encode() != t)):
+                swapped = b" ".join(u if w == t else w for w in words if not (w == t and u is None))
+                gone, come = known(text) - known(swapped), known(swapped) - known(text)
+                want.append(tuple(sorted([-1 - x for x in gone] + list(come))))
+        assert got == sorted(want)
+
+
+def test_penalty_acts_without_listed_terms(spark):
+    """No listed term occurs; words that labels don't depend on are found, and
+    their weights, which chance gave them, shrink."""
+    rows = corpus(1200, 8)
+    docs, labels = frames(spark, rows)
+    assert T.neutral_terms(T.sample(docs, labels, 20_000, 11, "doc_id", "text"), 20, 10)
+    plain, fair = T.fit(docs, labels, min_docs=4, pairing=1e-9), T.fit(docs, labels, min_docs=4, pairing=10.0)
+    texts = [f"word{i} word{i + 1}".encode() for i in range(0, 200, 2)]
+
+    def spread(m):
+        logits = [math.log(s / (1 - s)) for s in m.scores(texts)]
+        return max(logits) - min(logits)
+    assert spread(fair) < spread(plain) / 2 and (plain.keys == fair.keys).all()
+
+
+def test_fit_minimises_its_loss():
+    import numpy as np
+    rng = np.random.default_rng(3)
+    n, size = 300, 12
+    x = (rng.random((n, size)) < 0.3).astype(float)
+    y = (x[:, 0] + rng.random(n) > 0.9).astype(float)
+    r, c = np.nonzero(x)
+    swaps = (np.array([0, 0, 1]), np.array([0, 1, 2]), np.array([1.0, -1.0, 1.0]), np.array([0.7, 0.3]))
+
+    def loss(w, b):
+        p = 1 / (1 + np.exp(-(x @ w + b)))
+        return (-np.mean(y * np.log(p) + (1 - y) * np.log(1 - p)) + 0.01 * (w @ w) / 2
+                + 0.5 * (0.7 * (w[0] - w[1]) ** 2 + 0.3 * w[2] ** 2))
+    w, b = T._fit(y, r, c, size, swaps, 0.01, 0.5, steps=2000)
+    best = loss(w, b)
+    for k in range(200):
+        assert best <= loss(w + rng.normal(size=size) * 10.0 ** -(k % 5), b + rng.normal() * 0.1) + 1e-9
