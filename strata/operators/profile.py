@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import is_blank, round_half_up, to_double
@@ -24,6 +24,39 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+def _sketched_counts(df: DataFrame) -> DataFrame:
+    """(column, total_rows, null_or_blank, distinct_values) from one aggregate
+    of two counters and one sketch a column."""
+    exprs = [F.count(F.lit(1)).alias("__total")]
+    for i, c in enumerate(df.columns):
+        exprs += [F.count_if(is_blank(F.col(c).cast("string"))).alias(f"__n{i}"),
+                  F.hll_sketch_estimate(F.hll_sketch_agg(F.col(c).cast("string"))).alias(f"__d{i}")]
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"__n{i}").alias("null_or_blank"),
+                              F.col(f"__d{i}").cast("long").alias("distinct_values")) for i, c in enumerate(df.columns)])
+    return df.agg(*exprs).select(F.col("__total").alias("total_rows"), F.inline(rows))
+
+
+def _exact_counts(df: DataFrame) -> DataFrame:
+    """The same, exactly and from one scan: every row becomes one (column,
+    value) pair a column, counted within the tasks before anything moves, then
+    by value; the last step adds up the counts of a column. A frequent value
+    costs a counter a task, and a column of many values is spread by value."""
+    cells = F.array(*[F.struct(F.lit(i).alias("__c"), F.col(c).cast("string").alias("__v")) for i, c in enumerate(df.columns)])
+    values = df.select(F.inline(cells)).groupBy("__c", "__v").agg(F.count(F.lit(1)).alias("__n"))
+    n, v = F.col("__n"), F.col("__v")
+    parts = values.groupBy("__c").agg(F.sum(n).alias("total"), F.sum(F.when(is_blank(v), n).otherwise(0)).alias("blank"),
+                                      F.count(v).alias("distinct"))
+
+    def of(i: int, what: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("__c") == i, F.col(what))), F.lit(0)).cast("long")
+    one = parts.agg(*[of(i, what).alias(f"__{what}{i}") for i in range(len(df.columns))
+                      for what in ("total", "blank", "distinct")])
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"__total{i}").alias("total_rows"),
+                              F.col(f"__blank{i}").alias("null_or_blank"), F.col(f"__distinct{i}").alias("distinct_values"))
+                     for i, c in enumerate(df.columns)])
+    return one.select(F.inline(rows))
+
+
 def profile_table(df: DataFrame, table: str, exact: bool = False,
                   drop: Sequence[str] = ("_ingestion_ts", "_source_file")) -> DataFrame:
     """(table, column, total_rows, null_or_blank, pct_null, distinct_values).
@@ -32,26 +65,9 @@ def profile_table(df: DataFrame, table: str, exact: bool = False,
     share in percent (2 decimals, 0 for an empty table). Distinct counts are
     HyperLogLog sketches of 4,096 registers by default (fixed-size, mergeable,
     relative standard deviation 1.6 %); ``exact``
-    counts the values of each column with its own partial and final
-    aggregate, so no row is copied once per column."""
+    counts them. Either way the table is scanned once."""
     df = df.drop(*drop)
-    cols = df.columns
-    exprs = [F.count(F.lit(1)).alias("__total")]
-    for i, c in enumerate(cols):
-        exprs.append(F.count_if(is_blank(F.col(c).cast("string"))).alias(f"__n{i}"))
-        if not exact:
-            exprs.append(F.hll_sketch_estimate(F.hll_sketch_agg(F.col(c).cast("string"))).alias(f"__d{i}"))
-    one = df.agg(*exprs)
-    if exact:
-        distinct = [df.groupBy(F.col(c).alias("v")).agg(F.lit(1).alias("one")).agg(F.count("v").alias("n")).scalar()
-                    for c in cols]
-        one = one.select("*", *[d.alias(f"__d{i}") for i, d in enumerate(distinct)])
-    rows = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"__n{i}").alias("null_or_blank"),
-                 F.col(f"__d{i}").cast("long").alias("distinct_values"))
-        for i, c in enumerate(cols)
-    ])
-    out = one.select(F.col("__total").alias("total_rows"), F.inline(rows))
+    out = _exact_counts(df) if exact else _sketched_counts(df)
     pct = F.when(F.col("total_rows") > 0,
                  round_half_up(F.lit(100.0) * F.col("null_or_blank") / F.col("total_rows"), 2)
                  ).otherwise(F.lit(0.0))

@@ -7,7 +7,8 @@
    keys fail the job, orphans are reported;
 4. gold tables with the data dictionary, the measure summary and the row
    conservation check (fails when items of known orders are lost or doubled);
-5. the business reports.
+5. the value domains of the dictionary, counted, with the offending rows of
+   each gold table in a quarantine table, and the business reports.
 
 Every table is written below ``root`` (a shared folder) and registered in the
 session catalogue; the tables of a layer are written side by side. Each layer
@@ -24,18 +25,19 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.domains import domain_report, quarantine
 from ..operators.integrity import (IntegrityError, check_orphans, check_unique, enforce, integrity_report,
                                    row_conservation)
 from ..operators.profile import column_profile, numeric_distribution, numeric_summary
 from ..operators.quality import run_rules
-from ..sources.catalog import apply_dictionary, create_schema, overwrite_table
+from ..sources.catalog import apply_dictionary, create_schema, overwrite_table, table_location
 from ..sources.csv_text import LOADED_AT, PROVENANCE, read_manifest, row_counts
 from ..sources.landing import LANDING_TABLES
 from . import analyses as A
 from .dictionary import GOLD_DICTIONARY
 from .medallion import AUDIT_COLUMN, GOLD_TABLES, SILVER_TABLES, Medallion
 from .quality_rules import landing_rules
-from .specs import SILVER
+from .specs import SILVER, gold_domains
 
 UNIQUE_KEYS = {t: list(s.key) for t, s in SILVER.items() if t != "category_translation"}
 FOREIGN_KEYS = [("order_items", "orders", "order_id"), ("order_items", "products", "product_id"),
@@ -97,7 +99,8 @@ def run_medallion(spark: SparkSession, root: str, landed: Mapping[str, DataFrame
         def one(name: str) -> tuple[str, DataFrame]:
             place = os.path.join(root, layer, name)
             overwrite_table(frames[name], f"{prefix}{layer}.{name}", place, note(name) if note else None)
-            return f"{layer}.{name}", spark.read.parquet(place)
+            # by the version just written, so that what is read later can't change
+            return f"{layer}.{name}", spark.read.parquet(table_location(spark, f"{prefix}{layer}.{name}"))
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
             out.update(pool.map(one, list(frames)))
 
@@ -128,8 +131,11 @@ def run_medallion(spark: SparkSession, root: str, landed: Mapping[str, DataFrame
     gold = written("gold", GOLD_TABLES)
     apply_dictionary(spark, f"{prefix}gold", GOLD_DICTIONARY)
     _checked(conserved(silver["order_items"], silver["orders"], gold["fact_order_items"]))
+    domains = gold_domains(m.region_map)
     save("gold", {f"report_{n}": df for n, df in reports(gold, months).items()}
-         | {"measure_summary": numeric_summary(gold["fact_order_items"], MEASURES)})
+         | {"measure_summary": numeric_summary(gold["fact_order_items"], MEASURES),
+            "domain_report": domain_report(gold, domains)}
+         | {f"quarantine_{t}": quarantine(gold[t], of, gold) for t, of in domains.items()})
 
     layers = [("bronze", LANDING_TABLES), ("silver", SILVER_TABLES), ("gold", GOLD_TABLES)]
     out["summary"] = row_counts({f"{layer}.{n}": out[f"{layer}.{n}"] for layer, names in layers for n in names}, sources)

@@ -27,7 +27,7 @@ from .plans.quality_rules import landing_rules
 from .plans.specs import gold_domains
 from .session import ensure_checkpoint_dir, scratch_path
 from .sources.catalog import (apply_dictionary, create_schema, describe_dictionary, drop_schema, overwrite_table,
-                              table_comment)
+                              table_comment, table_location)
 from .sources.csv_text import PROVENANCE, read_text_csv, row_counts, source_name, write_text_csv
 from .sources.landing import LANDING_TABLES
 
@@ -424,7 +424,7 @@ def sink_overwrite(spark, d):
         overwrite_table(sellers.select("seller_id"), name, loc, "first version")
         overwrite_table(sellers, name, loc, "silver sellers, cleaned and deduplicated")
         assert table_comment(spark, name) == "silver sellers, cleaned and deduplicated"
-        return spark.read.parquet(loc)
+        return spark.read.parquet(table_location(spark, name))
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 

@@ -4,6 +4,7 @@ listing."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,16 +36,101 @@ def comment_table(spark: SparkSession, table: str, comment: str) -> None:
     spark.sql(f"COMMENT ON TABLE {table} IS {sql_string(comment)}")
 
 
-def overwrite_table(df: DataFrame, table: str, path: str | None = None, comment: str | None = None) -> DataFrame:
-    """Full overwrite of ``table`` (schema replaced). A parquet overwrite
-    drops the table comment, so it is applied again afterwards."""
-    w = df.write.mode("overwrite").format("parquet")
-    if path:
-        w = w.option("path", path)
-    w.saveAsTable(table)
+def _files(spark: SparkSession, path: str):
+    """(file system, path) of the store that holds ``path``."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def table_location(spark: SparkSession, table: str) -> str | None:
+    """Where the files of ``table`` are, None if there is no such table."""
+    if not spark.catalog.tableExists(table):
+        return None
+    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect():
+        if r["col_name"] == "Location":
+            return r["data_type"]
+    return None
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """The version folders below ``path``, oldest first."""
+    fs, root = _files(spark, path)
+    if not fs.exists(root):
+        return []
+    found = [s for s in fs.listStatus(root) if s.isDirectory() and s.getPath().getName().startswith(_VERSION)]
+    return [s.getPath().toString() for s in sorted(found, key=lambda s: (s.getModificationTime(), s.getPath().getName()))]
+
+
+def _default_path(spark: SparkSession, table: str) -> str:
+    name = table.split(".")
+    schema = name[-2] if len(name) > 1 else spark.catalog.currentDatabase()
+    return f"{spark.catalog.getDatabase(schema).locationUri.rstrip('/')}/{name[-1]}"
+
+
+def overwrite_table(df: DataFrame, table: str, path: str | None = None, comment: str | None = None,
+                    keep: int = 1) -> DataFrame:
+    """Replace ``table``, its schema included, all at once.
+
+    The rows go to a fresh version folder below ``path`` (the table's place in
+    its schema where not given); only when all are written does the catalogue
+    entry change over to it. A write that fails, or a job that is killed, leaves
+    the table as it was, and who reads the old version reads on: the ``keep``
+    versions before the new one stay, older ones and those that failed writes
+    left behind go. An entry with the same columns changes its location in one
+    step; for other columns the entry is made anew, which moves no data, and
+    the old one is restored if that fails."""
+    spark = df.sparkSession
+    path = (path or _default_path(spark, table)).rstrip("/")
+    new = f"{path}/{_VERSION}{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(new)
+    old = table_location(spark, table)
+    columns = [(f.name, f.dataType.simpleString()) for f in df.schema]
+    same = old is not None and [(c.name, c.dataType) for c in spark.catalog.listColumns(table)] == columns
+    if same and _versioned(old):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {sql_string(new)}")
+    else:
+        _point(spark, table, old, new)
     if comment:
-        comment_table(df.sparkSession, table, comment)
-    return df.sparkSession.table(table)
+        comment_table(spark, table, comment)
+    _drop_old(spark, path, [x for x in (old, new) if x], keep)
+    return spark.table(table)
+
+
+_VERSION = "version-"
+
+
+def _versioned(location: str) -> bool:
+    return location.rstrip("/").rsplit("/", 1)[-1].startswith(_VERSION)
+
+
+def _point(spark: SparkSession, table: str, old: str | None, new: str) -> None:
+    """Make the catalogue entry of ``table`` anew, for the files at ``new``."""
+    if old is not None:
+        # a table that this function didn't write owns its files: they would go with its entry
+        kept = old if _versioned(old) else None
+        if kept is None:
+            external = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Type' AND data_type = 'EXTERNAL'")
+            kept = old if not external.isEmpty() else None
+        spark.sql(f"DROP TABLE {table}")
+    try:
+        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION {sql_string(new)}")
+    except Exception:
+        if old is not None and kept is not None:
+            spark.sql(f"CREATE TABLE {table} USING parquet LOCATION {sql_string(kept)}")
+        raise
+
+
+def _drop_old(spark: SparkSession, path: str, named: list[str], keep: int) -> None:
+    """Remove version folders but the current one and ``keep`` before it."""
+    def tail(x: str) -> str:
+        return x.rstrip("/").rsplit("/", 1)[-1]
+    current = tail(named[-1])
+    before = [v for v in versions(spark, path) if tail(v) != current]
+    # the version read until now is the last to go
+    before.sort(key=lambda v: tail(v) in {tail(x) for x in named})
+    for v in before[:max(0, len(before) - keep)]:
+        fs, where = _files(spark, v)
+        fs.delete(where, True)
 
 
 def apply_dictionary(spark: SparkSession, schema: str, spec: Mapping[str, Mapping[str, str]]) -> None:
@@ -77,6 +163,12 @@ def table_comment(spark: SparkSession, table: str) -> str | None:
     return None
 
 
+def list_schemas(spark: SparkSession) -> DataFrame:
+    """(schema, comment, location) of the current catalogue's schemas."""
+    rows = [(d.name, d.description, d.locationUri) for d in spark.catalog.listDatabases()]
+    return spark.createDataFrame(sorted(rows), "schema string, comment string, location string")
+
+
 def list_tables(spark: SparkSession, schema: str) -> DataFrame:
     """Tables of ``schema`` (SHOW TABLES)."""
     return spark.sql(f"SHOW TABLES IN {schema}")

@@ -50,3 +50,36 @@ def test_materialize_with_landing_layer(spark, small_dir):
     assert "lineitem" not in plan                      # landing read back from its written copy
     assert out.silver["order_items"].count() == m.silver["order_items"].count()
     assert out.gold["fact_payments"].count() == m.gold["fact_payments"].count()
+
+
+def test_failed_overwrite_leaves_the_table(spark):
+    """A write that dies midway: the old rows, schema and comment stay, a
+    later write succeeds and clears what the failed one left."""
+    import pytest
+    from pyspark.sql import functions as F
+
+    from strata.sources.catalog import table_location, versions
+    create_schema(spark, "strata_unit3")
+    name, loc = "strata_unit3.t", scratch_path(spark, "cat3")
+    old = spark.range(100).withColumn("v", F.lit("old"))
+    overwrite_table(old, name, loc, "kept")
+    first = table_location(spark, name)
+    dies = spark.range(0, 1000, 1, 8).withColumn("v", F.when(F.col("id") == 900, F.raise_error(F.lit("killed"))).otherwise(F.lit("new")))
+    with pytest.raises(Exception, match="killed"):
+        overwrite_table(dies, name, loc, "never")
+    assert table_location(spark, name) == first and table_comment(spark, name) == "kept"
+    assert spark.table(name).groupBy("v").count().collect() == [("old", 100)]
+    reader = spark.table(name)
+    overwrite_table(spark.range(5).withColumn("v", F.lit("new")), name, loc, "next")   # same columns: a change of location
+    assert reader.count() == 100                       # who had opened the old version reads on
+    assert spark.table(name).count() == 5 and table_comment(spark, name) == "next"
+    overwrite_table(spark.range(7).toDF("other"), name, loc)                           # other columns: a new entry
+    assert spark.table(name).columns == ["other"] and spark.table(name).count() == 7
+    assert len(versions(spark, loc)) == 2              # the current one and the one before
+
+
+def test_schemas_are_listed(spark):
+    from strata.sources.catalog import list_schemas
+    create_schema(spark, "strata_unit4", "unit test layer")
+    rows = {r.schema: r.comment for r in list_schemas(spark).collect()}
+    assert rows["strata_unit4"] == "unit test layer" and "default" in rows

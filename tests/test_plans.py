@@ -90,3 +90,12 @@ def test_monthly_top_reuses_the_fact_aggregate(gold):
     df = A.monthly_top_categories(gold["fact_order_items"], gold["dim_product"], gold["dim_date"])
     df.collect()                     # AQE final plan of this execution
     assert "ReusedExchange" in physical(df)
+
+
+@pytest.mark.parametrize("exact", [False, True])
+def test_profile_scans_a_table_once(gold, exact):
+    from strata.operators.profile import column_profile
+    df = column_profile({"fact_payments": gold["fact_payments"]}, exact=exact)
+    df.collect()
+    final = physical(df).split("+- == Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1 and "Subquery" not in final
