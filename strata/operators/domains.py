@@ -16,6 +16,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: at most this many lacking keys of a table are broadcast
+BROADCAST_KEYS = 1 << 20
 REPORT_COLUMNS = ["table", "column", "domain", "rows", "empty", "violations"]
 
 
@@ -126,35 +128,81 @@ def _references(df: DataFrame, table: str, column: str, domain: Domain, parent:
     return one.select(F.inline(F.array(_row(table, column, domain, F.col("__rows"), F.col("__e"), F.col("__v")))))
 
 
-def domain_report(tables: Mapping[str, DataFrame], domains: Mapping[str, Domains]) -> DataFrame:
-    """(table, column, domain, rows, empty, violations), a row a domain."""
+def broken_references(tables: Mapping[str, DataFrame], domains: Mapping[str, Domains]) -> DataFrame:
+    """(table, column, key, rows): the keys that their parent lacks, as text,
+    with the rows that hold them. Written, it saves ``domain_report`` and
+    ``quarantine`` the joins with the parents."""
+    out = None
+    for table, of in domains.items():
+        for c, d in of.items():
+            if d.reference is not None:
+                per_key = tables[table].where(F.col(c).isNotNull()).groupBy(F.col(c).alias("__k")).agg(
+                    F.count(F.lit(1)).alias("rows"))
+                keys = tables[d.reference[0]].select(F.col(d.reference[1]).alias("__k")).distinct()
+                one = per_key.join(keys, "__k", "left_anti").select(
+                    F.lit(table).alias("table"), F.lit(c).alias("column"), F.col("__k").cast("string").alias("key"), "rows")
+                out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _of_reference(broken: DataFrame, table: str, column: str) -> DataFrame:
+    return broken.where((F.col("table") == table) & (F.col("column") == column))
+
+
+def _counted_references(df: DataFrame, table: str, domains: Domains, broken: DataFrame) -> list[DataFrame]:
+    """As ``_references``, from the broken ones: one pass counts the empty."""
+    items = list(domains.items())
+    one = df.agg(F.count(F.lit(1)).alias("__rows"),
+                 *[F.count_if(F.col(c).isNull()).alias(f"__e{i}") for i, (c, _) in enumerate(items)])
+    for i, (c, _) in enumerate(items):
+        one = one.crossJoin(_of_reference(broken, table, c).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias(f"__v{i}")))
+    rows = [_row(table, c, d, F.col("__rows"), F.col(f"__e{i}"),
+                 F.col(f"__v{i}") + (F.col(f"__e{i}") if d.required else F.lit(0))) for i, (c, d) in enumerate(items)]
+    return [one.select(F.inline(F.array(*rows)))]
+
+
+def domain_report(tables: Mapping[str, DataFrame], domains: Mapping[str, Domains],
+                  broken: DataFrame | None = None) -> DataFrame:
+    """(table, column, domain, rows, empty, violations), a row a domain.
+    ``broken`` are the ``broken_references``, where known."""
     out = None
     for table, of in domains.items():
         own = {c: d for c, d in of.items() if d.reference is None and d != ANYTHING}
         frames = [_own_values(tables[table], table, own)] if own else []
-        frames += [_references(tables[table], table, c, d, tables[d.reference[0]])
-                   for c, d in of.items() if d.reference is not None]
+        keyed = {c: d for c, d in of.items() if d.reference is not None}
+        if broken is not None and keyed:
+            frames += _counted_references(tables[table], table, keyed, broken)
+        else:
+            frames += [_references(tables[table], table, c, d, tables[d.reference[0]]) for c, d in keyed.items()]
         for f in frames:
             out = f if out is None else out.unionByName(f)
     return out.select(*REPORT_COLUMNS)
 
 
 def quarantine(df: DataFrame, domains: Domains, tables: Mapping[str, DataFrame],
-               name: str = "_violations") -> DataFrame:
+               name: str = "_violations", broken: DataFrame | None = None, table: str | None = None) -> DataFrame:
     """The rows of ``df`` that break a domain, with the sorted columns that do
-    in ``name``. A parent is reduced to distinct keys, so no row is doubled."""
+    in ``name``. A parent is reduced to distinct keys, so no row is doubled.
+    With the ``broken_references`` the rows of ``table`` meet the lacking keys
+    alone, broadcast up to ``BROADCAST_KEYS``; that counts them at once."""
+    few = broken is not None and broken.where(F.col("table") == table).limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
     flags, joined = [], df
     for i, (c, d) in enumerate(sorted(domains.items())):
-        if d.reference is not None:
+        if d.reference is not None and broken is not None:
+            lost = _of_reference(broken, table, c).select(F.col("key").alias(f"__key{i}"), F.lit(True).alias(f"__lost{i}"))
+            lost = F.broadcast(lost) if few else lost
+            joined = joined.join(lost, F.col(c).cast("string") == F.col(f"__key{i}"), "left")
+            broke = F.when(F.col(c).isNull(), F.lit(d.required)).otherwise(F.col(f"__lost{i}").isNotNull())
+        elif d.reference is not None:
             known = f"__known{i}"
             keys = tables[d.reference[0]].select(F.col(d.reference[1]).alias(f"__key{i}"), F.lit(True).alias(known)).distinct()
             joined = joined.join(keys, joined[c] == keys[f"__key{i}"], "left").drop(f"__key{i}")
-            broken = F.when(F.col(c).isNull(), F.lit(d.required)).otherwise(F.col(known).isNull())
+            broke = F.when(F.col(c).isNull(), F.lit(d.required)).otherwise(F.col(known).isNull())
         elif d != ANYTHING:
-            broken = d.broken(c)
+            broke = d.broken(c)
         else:
             continue
-        flags.append(F.when(broken, F.lit(c)))
+        flags.append(F.when(broke, F.lit(c)))
     if not flags:
         return df.withColumn(name, F.array().cast("array<string>")).where(F.lit(False))
     return joined.withColumn(name, F.array_compact(F.array(*flags))).where(F.size(name) > 0).select(*df.columns, name)
@@ -169,5 +217,5 @@ def with_members(domains: Mapping[str, Domains], columns: Sequence[tuple[str, st
     return out
 
 
-__all__ = ["ANYTHING", "Domain", "above", "at_least", "between", "domain_report", "key_of", "like", "one_of", "quarantine",
+__all__ = ["ANYTHING", "Domain", "above", "at_least", "between", "broken_references", "domain_report", "key_of", "like", "one_of", "quarantine",
            "with_members"]

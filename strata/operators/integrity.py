@@ -61,17 +61,18 @@ def enforce(report: DataFrame) -> None:
         raise IntegrityError("; ".join(f"{r['table']}: {r['violations']} violations of {r['check']}" for r in bad))
 
 
-def row_conservation(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
+def row_conservation(before: DataFrame, after: DataFrame, keys: Sequence[str], never_null: Sequence[str] = ()) -> DataFrame:
     """Compare two tables that must hold the same key multiset.
 
     One row: rows_before, rows_after, missing (key occurrences lost) and
     extra (key occurrences gained). Counting alone would let one lost row
     and one fanned-out row cancel out; comparing per-key counts does not.
-    Each side is pre-aggregated per key before the (null-safe) full join."""
+    Each side is pre-aggregated per key before the full join, which is null-safe
+    but for the keys ``never_null``: tables in buckets of these need no shuffle."""
     keys = list(keys)
     b = before.groupBy(*keys).agg(F.count(F.lit(1)).alias("__nb"))
     a = after.groupBy(*[F.col(k).alias(f"__a_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("__na"))
-    cond = all_of([F.col(k).eqNullSafe(F.col(f"__a_{k}")) for k in keys])
+    cond = all_of([F.col(k) == F.col(f"__a_{k}") if k in never_null else F.col(k).eqNullSafe(F.col(f"__a_{k}")) for k in keys])
     j = b.join(a, cond, "full_outer")
     nb, na = F.coalesce(F.col("__nb"), F.lit(0)), F.coalesce(F.col("__na"), F.lit(0))
     return j.agg(F.sum(nb).cast("long").alias("rows_before"), F.sum(na).cast("long").alias("rows_after"),

@@ -52,13 +52,15 @@ class LazyFrames(Mapping):
 class Medallion:
     """``bronze``, ``silver`` or ``gold`` frames may be given; layers that are
     not are derived, the landing layer from the tables of ``data_dir``.
-    ``spread_hot`` salts orders with a large share of the items (see ``gold``)."""
+    ``spread_hot`` salts orders with a large share of the items (see ``gold``);
+    ``buckets`` deals the silver tables of orders over partitions by order."""
 
     def __init__(self, spark: SparkSession, data_dir: str | None = None, region_map=None,
                  bronze: Mapping | None = None, silver: Mapping | None = None, gold: Mapping | None = None,
-                 spread_hot: bool = False):
+                 spread_hot: bool = False, buckets: int | None = None):
         self.spark = spark
         self.spread_hot = spread_hot
+        self.buckets = buckets
         self.tables = TableSet(spark, data_dir) if data_dir else None
         self.region_map = region_map if region_map is not None else state_region_map()
         self.bronze: Mapping[str, DataFrame] = bronze if bronze is not None else LazyFrames(
@@ -67,7 +69,7 @@ class Medallion:
         self.gold: Mapping[str, DataFrame] = gold if gold is not None else self._gold()
 
     def _silver(self) -> LazyFrames:
-        s: LazyFrames = LazyFrames({t: (lambda t=t: S.build(t, self.bronze, s)) for t in SILVER_TABLES})
+        s: LazyFrames = LazyFrames({t: (lambda t=t: S.build(t, self.bronze, s, self.buckets)) for t in SILVER_TABLES})
         return s
 
     def _gold(self) -> LazyFrames:

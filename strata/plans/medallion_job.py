@@ -14,18 +14,25 @@ Every table is written below ``root`` (a shared folder) and registered in the
 session catalogue; the tables of a layer are written side by side. Each layer
 is built from the written copy of the one before, so a lost executor restarts
 from the last written layer.
+
+The tables that meet by order are written in buckets of the order, so a row of
+theirs is shuffled once, when its silver table is made; the checks, the facts
+and the reports by order that follow read the buckets. ``spread_hot`` is for
+orders that would be too large for one task: these tables are then written
+without buckets and joined with the large orders salted.
 """
 
 from __future__ import annotations
 
+import contextlib
 import os
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.domains import domain_report, quarantine
+from ..operators.domains import broken_references, domain_report, quarantine
 from ..operators.integrity import (IntegrityError, check_orphans, check_unique, enforce, integrity_report,
                                    row_conservation)
 from ..operators.profile import column_profile, numeric_distribution, numeric_summary
@@ -37,6 +44,8 @@ from . import analyses as A
 from .dictionary import GOLD_DICTIONARY
 from .medallion import AUDIT_COLUMN, GOLD_TABLES, SILVER_TABLES, Medallion
 from .quality_rules import landing_rules
+from .silver import BUCKET_BY
+from .silver import BUCKETED as SILVER_BUCKETED
 from .specs import SILVER, gold_domains
 
 UNIQUE_KEYS = {t: list(s.key) for t, s in SILVER.items() if t != "category_translation"}
@@ -48,6 +57,9 @@ LAYER_COMMENTS = {
     "silver": "Cleaned, typed and deduplicated tables",
     "gold": "Star schema (facts and dimensions) and reports",
 }
+BUCKETED = {*SILVER_BUCKETED, "fact_order_items", "fact_payments"}
+#: landed rows of the largest table in a bucket: some 50 MB in a task
+BUCKET_ROWS = 1 << 18
 MEASURES = ["lead_time_days", "delay_days", "item_price", "freight_value", "review_score"]
 DISTRIBUTIONS = [("order_items", "price"), ("order_items", "freight_value"), ("order_payments", "payment_value"),
                  ("order_reviews", "review_score")]
@@ -56,7 +68,19 @@ DISTRIBUTIONS = [("order_items", "price"), ("order_items", "freight_value"), ("o
 def conserved(items: DataFrame, orders: DataFrame, fact: DataFrame) -> DataFrame:
     """Row conservation of the item fact against the items of known orders."""
     known = items.join(orders.select("order_id"), "order_id", "left_semi")
-    return row_conservation(known, fact.withColumnRenamed("item_id", "order_item_id"), ["order_id", "order_item_id"])
+    return row_conservation(known, fact.withColumnRenamed("item_id", "order_item_id"), ["order_id", "order_item_id"],
+                            never_null=["order_id"])  # known items have one
+
+
+@contextlib.contextmanager
+def _setting(spark: SparkSession, name: str, value: str | None) -> Iterator[None]:
+    """The session with another setting; None leaves it as it is."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, before if value is None else value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def _checked(cons: DataFrame) -> None:
@@ -93,19 +117,24 @@ def run_medallion(spark: SparkSession, root: str, landed: Mapping[str, DataFrame
     for layer, comment in LAYER_COMMENTS.items():
         create_schema(spark, prefix + layer, comment, os.path.join(root, "schemas", layer))
     out: dict[str, DataFrame] = {}
+    bucketed: dict[str, DataFrame] = {}
+    buckets = None
 
     def save(layer: str, frames: Mapping[str, DataFrame], note: Callable[[str], str] | None = None) -> None:
         """The tables of one step, written side by side."""
         def one(name: str) -> tuple[str, DataFrame]:
-            place = os.path.join(root, layer, name)
-            overwrite_table(frames[name], f"{prefix}{layer}.{name}", place, note(name) if note else None)
+            table, dealt = f"{prefix}{layer}.{name}", buckets if name in BUCKETED else None
+            made = overwrite_table(frames[name], table, os.path.join(root, layer, name), note(name) if note else None,
+                                   buckets=dealt, bucket_by=[BUCKET_BY])
+            if dealt:
+                bucketed[f"{layer}.{name}"] = made
             # by the version just written, so that what is read later can't change
-            return f"{layer}.{name}", spark.read.parquet(table_location(spark, f"{prefix}{layer}.{name}"))
+            return f"{layer}.{name}", spark.read.parquet(table_location(spark, table))
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
             out.update(pool.map(one, list(frames)))
 
     def written(layer: str, names, *without: str) -> dict[str, DataFrame]:
-        return {n: out[f"{layer}.{n}"].drop(*without) for n in names}
+        return {n: bucketed.get(f"{layer}.{n}", out[f"{layer}.{n}"]).drop(*without) for n in names}
 
     def stamped(df: DataFrame) -> DataFrame:
         return df if LOADED_AT in df.columns else df.withColumn(LOADED_AT, F.current_timestamp())
@@ -117,9 +146,13 @@ def run_medallion(spark: SparkSession, root: str, landed: Mapping[str, DataFrame
         "dq_distribution": numeric_distribution([(c, bronze[t], c) for t, c in DISTRIBUTIONS]),
         "dq_domains": A.domain_frequency(bronze["orders"], bronze["order_payments"], bronze["customers"])})
 
-    m = Medallion(spark, region_map=region_map, bronze=bronze)
-    save("silver", {n: m.silver[n].withColumn(AUDIT_COLUMN, F.current_timestamp()) for n in SILVER_TABLES},
-         lambda n: f"Silver {n}: cleaned, typed, deduplicated")
+    if not spread_hot:
+        rows = max(out["bronze.order_items"].count(), out["bronze.order_payments"].count(), out["bronze.order_reviews"].count())
+        buckets = -(-max(rows, 1) // BUCKET_ROWS)
+    m = Medallion(spark, region_map=region_map, bronze=bronze, buckets=buckets)
+    with _setting(spark, "spark.sql.shuffle.partitions", str(buckets) if buckets else None):
+        save("silver", {n: m.silver[n].withColumn(AUDIT_COLUMN, F.current_timestamp()) for n in SILVER_TABLES},
+             lambda n: f"Silver {n}: cleaned, typed, deduplicated")
     silver = written("silver", SILVER_TABLES, AUDIT_COLUMN)
     save("silver", {"integrity": integrity_report(
         [check_unique(silver[t], k, t) for t, k in UNIQUE_KEYS.items()]
@@ -130,12 +163,15 @@ def run_medallion(spark: SparkSession, root: str, landed: Mapping[str, DataFrame
     save("gold", {n: m.gold[n] for n in GOLD_TABLES})
     gold = written("gold", GOLD_TABLES)
     apply_dictionary(spark, f"{prefix}gold", GOLD_DICTIONARY)
-    _checked(conserved(silver["order_items"], silver["orders"], gold["fact_order_items"]))
+    with _setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):  # buckets of order_id will do
+        _checked(conserved(silver["order_items"], silver["orders"], gold["fact_order_items"]))
     domains = gold_domains(m.region_map)
+    save("gold", {"broken_references": broken_references(gold, domains)})
+    broken = out["gold.broken_references"]
     save("gold", {f"report_{n}": df for n, df in reports(gold, months).items()}
          | {"measure_summary": numeric_summary(gold["fact_order_items"], MEASURES),
-            "domain_report": domain_report(gold, domains)}
-         | {f"quarantine_{t}": quarantine(gold[t], of, gold) for t, of in domains.items()})
+            "domain_report": domain_report(gold, domains, broken)}
+         | {f"quarantine_{t}": quarantine(gold[t], of, gold, broken=broken, table=t) for t, of in domains.items()})
 
     layers = [("bronze", LANDING_TABLES), ("silver", SILVER_TABLES), ("gold", GOLD_TABLES)]
     out["summary"] = row_counts({f"{layer}.{n}": out[f"{layer}.{n}"] for layer, names in layers for n in names}, sources)

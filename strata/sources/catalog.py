@@ -5,7 +5,7 @@ listing."""
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,7 +68,7 @@ def _default_path(spark: SparkSession, table: str) -> str:
 
 
 def overwrite_table(df: DataFrame, table: str, path: str | None = None, comment: str | None = None,
-                    keep: int = 1) -> DataFrame:
+                    keep: int = 1, buckets: int | None = None, bucket_by: Sequence[str] = ()) -> DataFrame:
     """Replace ``table``, its schema included, all at once.
 
     The rows go to a fresh version folder below ``path`` (the table's place in
@@ -78,18 +78,30 @@ def overwrite_table(df: DataFrame, table: str, path: str | None = None, comment:
     versions before the new one stay, older ones and those that failed writes
     left behind go. An entry with the same columns changes its location in one
     step; for other columns the entry is made anew, which moves no data, and
-    the old one is restored if that fails."""
+    the old one is restored if that fails.
+
+    With ``buckets`` the rows are dealt over that many buckets by ``bucket_by``,
+    and the entry says so: joins and groupings by these columns need no shuffle.
+    Rows that are already partitioned so make one file a bucket."""
     spark = df.sparkSession
     path = (path or _default_path(spark, table)).rstrip("/")
     new = f"{path}/{_VERSION}{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(new)
+    if buckets:
+        staging = f"{table}_{uuid.uuid4().hex}"  # only a table can be written in buckets; its files stay
+        df.write.format("parquet").options(**_PARQUET).option("path", new).bucketBy(buckets, *bucket_by).sortBy(
+            *bucket_by).saveAsTable(staging)
+        spark.sql(f"DROP TABLE {staging}")
+    else:
+        df.write.mode("error").options(**_PARQUET).parquet(new)
     old = table_location(spark, table)
     columns = [(f.name, f.dataType.simpleString()) for f in df.schema]
     same = old is not None and [(c.name, c.dataType) for c in spark.catalog.listColumns(table)] == columns
-    if same and _versioned(old):
+    layout = _layout(spark, table) if old is not None else ""
+    wanted = _bucket_clause(buckets, bucket_by) if buckets else ""
+    if same and _versioned(old) and layout == wanted:
         spark.sql(f"ALTER TABLE {table} SET LOCATION {sql_string(new)}")
     else:
-        _point(spark, table, old, new)
+        _point(spark, table, old, new, columns, layout, wanted)
     if comment:
         comment_table(spark, table, comment)
     _drop_old(spark, path, [x for x in (old, new) if x], keep)
@@ -97,14 +109,39 @@ def overwrite_table(df: DataFrame, table: str, path: str | None = None, comment:
 
 
 _VERSION = "version-"
+# written tables: small files, and delta encodings where a dictionary grows too large
+_PARQUET = {"compression": "zstd", "parquet.writer.version": "v2"}
+
+
+def _bucket_clause(buckets: int, by: Sequence[str]) -> str:
+    names = ", ".join(f"`{c}`" for c in by)
+    return f"CLUSTERED BY ({names}) SORTED BY ({names}) INTO {buckets} BUCKETS"
+
+
+def _layout(spark: SparkSession, table: str) -> str:
+    """How the rows of ``table`` are dealt over buckets, as a clause."""
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    if not told.get("Num Buckets"):
+        return ""
+    by = [c.strip().strip("`") for c in told["Bucket Columns"].strip("[]").split(",")]
+    return _bucket_clause(int(told["Num Buckets"]), by)
 
 
 def _versioned(location: str) -> bool:
     return location.rstrip("/").rsplit("/", 1)[-1].startswith(_VERSION)
 
 
-def _point(spark: SparkSession, table: str, old: str | None, new: str) -> None:
-    """Make the catalogue entry of ``table`` anew, for the files at ``new``."""
+def _entry(spark: SparkSession, table: str, columns: Sequence[tuple[str, str]], layout: str, place: str) -> None:
+    # only an entry in buckets needs its columns named
+    named = "(" + ", ".join(f"`{c}` {t}" for c, t in columns) + ") " if layout else ""
+    spark.sql(f"CREATE TABLE {table} {named}USING parquet {layout} LOCATION {sql_string(place)}")
+
+
+def _point(spark: SparkSession, table: str, old: str | None, new: str, columns: Sequence[tuple[str, str]] = (),
+           layout: str = "", wanted: str = "") -> None:
+    """Make the catalogue entry of ``table`` anew, for the files at ``new``, in
+    the buckets ``wanted``; those of the old files are in ``layout``."""
+    before = [(c.name, c.dataType) for c in spark.catalog.listColumns(table)] if old is not None and layout else []
     if old is not None:
         # a table that this function didn't write owns its files: they would go with its entry
         kept = old if _versioned(old) else None
@@ -113,10 +150,10 @@ def _point(spark: SparkSession, table: str, old: str | None, new: str) -> None:
             kept = old if not external.isEmpty() else None
         spark.sql(f"DROP TABLE {table}")
     try:
-        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION {sql_string(new)}")
+        _entry(spark, table, columns, wanted, new)
     except Exception:
         if old is not None and kept is not None:
-            spark.sql(f"CREATE TABLE {table} USING parquet LOCATION {sql_string(kept)}")
+            _entry(spark, table, before, layout, kept)
         raise
 
 

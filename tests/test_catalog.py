@@ -1,5 +1,5 @@
 from strata.session import scratch_path
-from strata.sources.catalog import (apply_dictionary, create_schema, describe_dictionary, overwrite_table,
+from strata.sources.catalog import (apply_dictionary, create_schema, describe_dictionary, drop_schema, overwrite_table,
                                     sql_string, table_comment)
 
 
@@ -83,3 +83,18 @@ def test_schemas_are_listed(spark):
     create_schema(spark, "strata_unit4", "unit test layer")
     rows = {r.schema: r.comment for r in list_schemas(spark).collect()}
     assert rows["strata_unit4"] == "unit test layer" and "default" in rows
+
+
+def test_overwrite_in_and_out_of_buckets(spark):
+    from strata.sources.catalog import _layout
+    name, loc = "strata_unit_buckets.t", scratch_path(spark, "cat-buckets")
+    create_schema(spark, "strata_unit_buckets")
+    df = spark.range(50).selectExpr("id", "id % 7 AS k", "cast(id AS string) AS s")
+    try:
+        for buckets in (3, 3, 5, None, 4):
+            got = overwrite_table(df, name, loc, buckets=buckets, bucket_by=["k"])
+            assert sorted(got.collect()) == sorted(df.collect())
+            assert _layout(spark, name) == (f"CLUSTERED BY (`k`) SORTED BY (`k`) INTO {buckets} BUCKETS" if buckets else "")
+        assert [r.tableName for r in spark.sql("SHOW TABLES IN strata_unit_buckets").collect()] == ["t"]
+    finally:
+        drop_schema(spark, "strata_unit_buckets")

@@ -1,7 +1,7 @@
 import pytest
 
-from strata.operators.domains import (ANYTHING, above, at_least, between, domain_report, key_of, like, one_of,
-                                      quarantine, with_members)
+from strata.operators.domains import (ANYTHING, above, at_least, between, broken_references, domain_report, key_of, like,
+                                      one_of, quarantine, with_members)
 
 
 @pytest.fixture(scope="module")
@@ -51,3 +51,14 @@ def test_a_broken_domain_is_found_in_gold(spark, small_dir):
     m = Medallion(spark, small_dir)
     report = domain_report(m.gold, gold_domains(m.region_map)).where("violations > 0").collect()
     assert {("fact_order_items", "item_price"), ("fact_order_items", "lead_time_days")} & {(r["table"], r["column"]) for r in report}
+
+
+def test_broken_references_stand_for_the_parents(tables, monkeypatch):
+    from strata.operators import domains as D
+    broken = broken_references(tables, DOMAINS)
+    assert [tuple(r) for r in broken.collect()] == [("item", "product", "p9", 1)]
+    assert sorted(domain_report(tables, DOMAINS, broken).collect()) == sorted(domain_report(tables, DOMAINS).collect())
+    for most in (D.BROADCAST_KEYS, 0):
+        monkeypatch.setattr(D, "BROADCAST_KEYS", most)
+        rows = {r.n: r["_violations"] for r in quarantine(tables["item"], DOMAINS["item"], {}, broken=broken, table="item").collect()}
+        assert rows == {2: ["price", "product"], 3: ["price", "product"], 0: ["kind", "n", "price"]}

@@ -55,3 +55,34 @@ def test_job_stops_on_repeated_keys(spark):
     fact = spark.createDataFrame([("a", 1), ("a", 1)], "order_id string, item_id int")
     with pytest.raises(IntegrityError, match="not conserved"):
         _checked(conserved(items, orders, fact))
+
+
+def _moved(df):
+    """Shuffles by a key in the plan of ``df``."""
+    return df._jdf.queryExecution().executedPlan().toString().count("hashpartitioning")
+
+
+def test_order_tables_meet_without_a_shuffle(spark, small_dir, monkeypatch):
+    from strata.plans import analyses, medallion_job
+    monkeypatch.setattr(medallion_job, "BUCKET_ROWS", 2000)
+    landed = Medallion(spark, small_dir).bronze
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    run = medallion_job.run_medallion
+    out = run(spark, scratch_path(spark, "job-buckets"), landed=landed, prefix="tb_")
+    plain = run(spark, scratch_path(spark, "job-plain"), landed=landed, prefix="tp_", spread_hot=True)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    for t in ("silver.integrity", "silver.order_reviews", "gold.fact_order_items", "gold.fact_payments", "gold.domain_report",
+              "gold.quarantine_fact_order_items", "gold.measure_summary", "gold.report_monthly_top_categories"):
+        drop = [c for c in out[t].columns if c == "_silver_ts"]
+        assert sorted(map(str, out[t].drop(*drop).collect())) == sorted(map(str, plain[t].drop(*drop).collect())), t
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        items, orders, fact = (spark.table(f"tb_{t}") for t in ("silver.order_items", "silver.orders", "gold.fact_order_items"))
+        assert len(items.inputFiles()) == 3  # one a bucket
+        assert _moved(check_unique(items, ["order_id", "order_item_id"], "t")) == 0
+        assert _moved(items.join(orders, "order_id")) == 0
+        assert _moved(analyses.instalments_by_value_band(spark.table("tb_gold.fact_payments"))) <= 1
+        with medallion_job._setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+            assert _moved(conserved(items, orders, fact)) == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

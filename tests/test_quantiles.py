@@ -59,3 +59,13 @@ def test_summaries_on_empty_and_all_null_input(spark):
     nulls = spark.createDataFrame([(None, None)], "x double, t string")
     d = numeric_distribution([("t", nulls, "t")]).first()
     assert (d.min_value, d.median_value, d.mean_value, d.max_value) == (None, None, None, None)
+
+
+def test_whole_table_quantiles_move_no_values(spark):
+    """The first pass counts buckets, the second only values of the wanted ones."""
+    df = spark.range(200_000).selectExpr("double(pmod(xxhash64(id), 10000000)) / 7 + 1000 as v").repartition(4)
+    vals = [r.v for r in df.collect()]
+    got = quantile_stats(df, {"v": F.col("v")}, [0.25, 0.5])
+    assert tuple(got.first())[0:1] + tuple(got.first())[4:] == (200_000, lower_quantile(vals, 0.25), lower_quantile(vals, 0.5))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("broadcast") == 1 and plan.count("Union") == 0
