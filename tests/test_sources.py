@@ -76,3 +76,12 @@ def test_swapped_header_fails(spark):
         read_text_csv(spark, landing).collect()
     with pytest.raises(Exception, match="[ab].csv"):
         ingest_available(spark, landing, scratch_path(spark, "sw-t"), scratch_path(spark, "sw-c"), columns=["id", "name"])
+
+
+def test_written_csv_is_compressed(spark):
+    path = scratch_path(spark, "csv-gz")
+    df = spark.range(20_000).selectExpr("concat('order ', id) AS a", "concat('two', chr(10), 'lines') AS b")
+    write_text_csv(df, path, files=1)
+    parts = [os.path.join(path, f) for f in os.listdir(path) if f.startswith("part")]
+    assert sum(map(os.path.getsize, parts)) * 3 < 20_000 * 25
+    assert read_text_csv(spark, path).select("a", "b").exceptAll(df).count() == 0
