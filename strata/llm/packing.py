@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import crc32_unsigned, doc_groups, prefix_sums, ship, stage
-from .tokens import encoder, no_cycles
+from .tokens import GROUP_BYTES, encoder, no_cycles
 
 #: totals of more partitions than this are joined without a broadcast
 BROADCAST_PARTITIONS = 1 << 20
@@ -43,7 +43,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id
         with no_cycles():
             for b in batches:
                 ids, texts = b.column(0), b.column(1).to_pylist()
-                for i, j in doc_groups(ids, texts):
+                for i, j in doc_groups(ids, texts, GROUP_BYTES):
                     coded = [x + end for x in encode(texts[i:j])]
                     n = np.array([len(x) // 4 for x in coded], dtype=np.int64)
                     starts = at + np.cumsum(n) - n

@@ -5,6 +5,12 @@ text piecewise and remember the ids of each distinct piece. The supported
 kinds split at white space and between a letter and a punctuation mark before
 any merge, or have no vocabulary entry across these places, so ids of pieces,
 joined, equal the ids of the whole text. Other kinds are encoded whole.
+
+Texts are first cut at every space, by Arrow: a unit is a space and what follows
+it. A piece never reaches over a space that no other space follows, so the ids
+of units, joined, are those of the text too. Only the distinct units of a batch
+are cut into pieces, only the distinct pieces looked up; Arrow puts their ids
+back in the places of the text.
 """
 
 from __future__ import annotations
@@ -19,16 +25,34 @@ from collections.abc import Iterator
 from itertools import accumulate, chain, pairwise
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: bound of each of an encoder's two generations of remembered pieces
 CACHE_BYTES = 48 << 20
+#: texts that are encoded at once, so that a piece is looked up once for many uses
+GROUP_BYTES = 8 << 20
 
 _WS = "\t-\r \x85\xa0  -     　"
 _LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 # a word up to a following mark, or any other run up to white space
 _RUN = f"[{_LETTERS}]++(?:(?=[.,!?;:%&$*#|])|[^{_WS}]*+)|[^{_WS}]++"
 _KEEP_SPACE = re.compile(f"[ ]?(?:{_RUN})|[{_WS}]+(?![^{_WS}])|[{_WS}]")
-_DROP_SPACE = re.compile(_RUN)
+_DROP_SPACE = re.compile(f"[ ](?:{_RUN})?|{_RUN}")
+
+
+def _listed(texts: pa.Array) -> list[str]:
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
+def _spans(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... of each span, one after another."""
+    return np.repeat(begin - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+
+
+def _spaced(piece: str) -> bool:
+    """Whether the piece is a space and something that isn't."""
+    return piece[:1] == " " and piece[1:2] != "" and not piece[1:2].isspace()
 
 
 @contextlib.contextmanager
@@ -112,10 +136,10 @@ class Encoder(_Remembering):
         self.lower = "Lowercase" in steps
         self.pieces = self.word = None
         if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not norm:
-            self.pieces, self.word, self.glue = _KEEP_SPACE, re.compile(f" [{_LETTERS}]+").fullmatch, ""
+            self.pieces, self.word, self.glue = _KEEP_SPACE, _spaced, ""
             self.begins, self.ends = self._ids(lambda t: t.startswith("\u0120")), None  # a space, as this kind spells it
         elif split.get("type") == "Split" and split.get("behavior") == "Removed" and split.get("invert"):
-            self.pieces, self.word, self.glue = _DROP_SPACE, re.compile(f"[{_LETTERS}]+").fullmatch, " "
+            self.pieces, self.word, self.glue = _DROP_SPACE, re.compile(f" ?[{_LETTERS}]+").fullmatch, " "
             suffix = spec["model"].get("end_of_word_suffix") or ""
             self.begins, self.ends = None, self._ids(lambda t: bool(suffix) and t.endswith(suffix))
 
@@ -131,7 +155,8 @@ class Encoder(_Remembering):
     def _encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of single words, encoded together and cut where the ids show
         that a word begins or ends."""
-        ids = np.frombuffer(self._encode([self.glue.join(words)])[0], dtype="<u4")
+        joined = self.glue.join([w.lstrip(" ") for w in words]) if self.glue else "".join(words)
+        ids = np.frombuffer(self._encode([joined])[0], dtype="<u4")
         cuts = np.flatnonzero(self.begins[ids]) if self.begins is not None else np.flatnonzero(self.ends[ids]) + 1
         at = [*(cuts * 4).tolist(), len(ids) * 4] if self.begins is not None else [0, *(cuts * 4).tolist()]
         if len(at) != len(words) + 1:
@@ -156,11 +181,50 @@ class Encoder(_Remembering):
         coded = dict(zip(whole, self._encode([texts[i] for i in whole]), strict=True))
         if self.lower:  # ASCII only: other letters are the tokenizer's business
             texts = [t.encode().lower().decode() for t in texts]
-        out = self.joined([[] if i in coded else self.pieces.findall(t) for i, t in enumerate(texts)])
+        if not self.glue:  # spaces in a row can be one piece
+            wide = [i for i, t in enumerate(texts) if "  " in t and i not in coded]
+            coded |= zip(wide, self.joined([self.pieces.findall(texts[i]) for i in wide]), strict=True)
+        out = self._by_units(["" if i in coded else t for i, t in enumerate(texts)])
         for i, x in coded.items():
             out[i] = x
         return out
 
+    def _cut(self, units: pa.Array) -> tuple[list[str], np.ndarray]:
+        """The pieces of units, and where those of each unit begin (and end)."""
+        # a unit that begins with white space could join with the one before
+        if len(units) and not pc.any(pc.match_substring_regex(units, f"^(?:$|[{_WS}])")).as_py():
+            whole = pa.ListArray.from_arrays(pa.array([0, len(units)], pa.int32()), units)
+            flat = self.pieces.findall(" " + pc.binary_join(whole, pa.scalar(" ", units.type))[0].as_py())
+            begins = np.flatnonzero(pc.starts_with(pa.array(flat, pa.large_string()), " ").to_numpy(zero_copy_only=False))
+            if len(begins) == len(units):
+                return flat, np.append(begins, len(flat))
+        split = [self.pieces.findall(" " + x) for x in _listed(units)]
+        return list(chain.from_iterable(split)), np.cumsum([0, *map(len, split)])
+
+    def _by_units(self, texts: list[str]) -> list[bytes]:
+        if not texts:
+            return []
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        ends = split.offsets.to_numpy()
+        coded = split.values.dictionary_encode()
+        pieces, at = self._cut(coded.dictionary)
+        places = coded.indices.to_numpy().astype(np.int64)
+        if not self.glue:  # no space before the first
+            first = [self.pieces.findall(t.partition(" ")[0]) for t in texts]
+            places[ends[:-1]] = np.arange(len(at) - 1, len(at) - 1 + len(texts))
+            at = np.append(at, at[-1] + np.cumsum([len(x) for x in first]))
+            pieces += chain.from_iterable(first)
+        distinct = pa.array(pieces, pa.large_string()).dictionary_encode()
+        ids = pa.array(self.coded(_listed(distinct.dictionary)), pa.large_binary())
+        size = np.diff(at)[places]
+        found = ids.take(pa.array(distinct.indices.to_numpy()[_spans(at[places], size)]))
+        if not len(found):
+            return [b""] * len(texts)
+        upto = np.frombuffer(found.buffers()[1], dtype="<i8")
+        upto = upto[np.append(0, np.cumsum(size))[ends]].tolist()
+        raw = memoryview(found.buffers()[2] or b"")
+        return [bytes(raw[i:j]) for i, j in pairwise(upto)]
+
     def entries(self) -> list[bytes]:
         """Bytes of every id of a byte-level tokenizer."""
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that are spelled as themselves

@@ -105,3 +105,18 @@ def test_token_files(spark, docs, no_docs, encoding):
     assert ("DELTA_BINARY_PACKED" in column.encodings) == (encoding == "delta")
     empty = token_files.write_tokens(no_docs, scratch_path(spark, "tf"), path, 2)
     assert token_files.token_digest(spark, empty).count() == 0
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_units_between_spaces(name):
+    """White space at the ends of units, runs of spaces, and each distinct piece looked up once."""
+    from tokenizers import Tokenizer
+    e, whole = Encoder(tokenizer_path(name)), Tokenizer.from_file(tokenizer_path(name))
+    texts = ["", " ", "  ", "a", " a", "a ", "a  b", "a \n b", "a \n\n b", "a\n b", "a \n \n b", "\n", " \n", "a \t", "\xa0 a \xa0b",
+             "it's 3.5 (or so)!!  x", "a   b c", "one,\ntwo.\n", "Ġa bĠ", "\x1c a \x1cb"]
+    for group in (texts, [t for t in texts if t and not t[0].isspace()], *([t] for t in texts)):
+        assert e(group) == [np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in group]
+    seen, coded = [], e.coded
+    e.coded = lambda flat: seen.extend(flat) or coded(flat)
+    e(["first " + "same words, again " * 200] * 5)
+    assert len(seen) < 20
