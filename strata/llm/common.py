@@ -19,6 +19,7 @@ from pyspark.sql.window import Window
 from strata.session import scratch_path
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_READ = "spark.sql.parquet.columnarReaderBatchSize"
 _MAX_BYTES = 1 << 20
 #: bytes of a batch sent to Python, where the session has Spark's default
 BATCH_BYTES = 4 << 20
@@ -46,29 +47,38 @@ def ship(spark: SparkSession) -> None:
 
 
 @contextlib.contextmanager
-def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Inside, a query's shuffle files go when it ends (its result is a
-    written table, so nothing reads them again)."""
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """Inside, ``key`` of the session is ``value``."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         if before is None:
-            spark.conf.unset(_CLEANUP)
+            spark.conf.unset(key)
         else:
-            spark.conf.set(_CLEANUP, before)
+            spark.conf.set(key, before)
+
+
+def _shuffles_removed(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
+    """Inside, a query's shuffle files go when it ends (its result is a
+    written table, so nothing reads them again)."""
+    return _setting(spark, _CLEANUP, "true")
 
 
 def stage(df: DataFrame, name: str, options: dict | None = None,
-          partition_by: list[str] | None = None) -> DataFrame:
+          partition_by: list[str] | None = None, batch_rows: int | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: cuts the
     lineage, so a lost executor recomputes from here, and later joins start
-    from fresh shuffles that adaptive execution can split."""
+    from fresh shuffles that adaptive execution can split. ``batch_rows`` bounds
+    the rows that a task holds of a Parquet input, for long rows."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     schema = df.schema
-    with _shuffles_removed(spark):
+    with contextlib.ExitStack() as inside:
+        inside.enter_context(_shuffles_removed(spark))
+        if batch_rows:
+            inside.enter_context(_setting(spark, _READ, str(batch_rows)))
         w = df.write.mode("error").options(**(options or {}))
         if partition_by:
             w = w.partitionBy(*partition_by)

@@ -20,16 +20,38 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc32_unsigned, doc_groups, prefix_sums, ship, stage
+from .common import crc32_unsigned, doc_groups, prefix_sums, release, ship, stage
 from .tokens import GROUP_BYTES, encoder, no_cycles
 
 #: totals of more partitions than this are joined without a broadcast
 BROADCAST_PARTITIONS = 1 << 20
+#: bound of each generation of remembered pieces: the workers share the memory of their executor
+CACHE_BYTES = 32 << 20
+#: rows that are read at once: texts and ids are long
+READ_ROWS = 512
+#: of tables that hold ids: small row groups, as they are held until they are full
+_WRITE = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1", "parquet.block.size": str(16 << 20),
+          "parquet.enable.dictionary#ids": "false"}
 
 _TOKENS = pa.schema([("part", pa.int32()), ("at", pa.int64()), ("doc_id", pa.int64()),
                      ("n", pa.int64()), ("ids", pa.binary())])
 
 
+def _coded(batches, part: int, encode, end: bytes):
+    """Batches of ``_TOKENS`` for batches of (id, text) of a partition."""
+    at = 0
+    for b in batches:
+        ids, texts = b.column(0), b.column(1).to_pylist()
+        for i, j in doc_groups(ids, texts, GROUP_BYTES):
+            coded = [x + end for x in encode(texts[i:j])]
+            n = np.array([len(x) // 4 for x in coded], dtype=np.int64)
+            starts = at + np.cumsum(n) - n
+            at += int(n.sum())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(j - i, part, np.int32)), pa.array(starts), ids.slice(i, j - i),
+                 pa.array(n), pa.array(coded, pa.binary())], schema=_TOKENS)
+
+
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """Written table (part, at, doc_id, n, ids): ids as little-endian unsigned
@@ -39,22 +61,12 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches):
-        part, at, encode = TaskContext.get().partitionId(), 0, encoder(tokenizer)
         with no_cycles():
-            for b in batches:
-                ids, texts = b.column(0), b.column(1).to_pylist()
-                for i, j in doc_groups(ids, texts, GROUP_BYTES):
-                    coded = [x + end for x in encode(texts[i:j])]
-                    n = np.array([len(x) // 4 for x in coded], dtype=np.int64)
-                    starts = at + np.cumsum(n) - n
-                    at += int(n.sum())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(j - i, part, np.int32)), pa.array(starts), ids.slice(i, j - i),
-                         pa.array(n), pa.array(coded, pa.binary())], schema=_TOKENS)
+            yield from _coded(batches, TaskContext.get().partitionId(), encoder(tokenizer, cache_bytes=CACHE_BYTES), end)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
         run, "part int, at long, doc_id long, n long, ids binary")
-    return stage(rows, "tokens", {"compression": "zstd"})
+    return stage(rows, "tokens", _WRITE, batch_rows=READ_ROWS)
 
 
 def offsets(tokens: DataFrame) -> DataFrame:
@@ -124,6 +136,7 @@ def sequences(tokens: DataFrame, length: int = 1024, pad_id: int = 0) -> DataFra
     to ``length`` unless its size is a power of two."""
 
     def run(batches):
+        release()  # what encoding has left in a worker that is used again
         held = _Stretch(length)
         for b in batches:
             begin, n = b.column(0).to_numpy(), b.column(2).to_numpy()
@@ -141,7 +154,7 @@ def sequences(tokens: DataFrame, length: int = 1024, pad_id: int = 0) -> DataFra
             yield held.cut(True)
 
     rows = offsets(tokens).select("begin", "doc_id", "n", "ids")
-    records = stage(rows.mapInArrow(run, _RECORDS), "sequence-records", {"compression": "zstd"})
+    records = stage(rows.mapInArrow(run, _RECORDS), "sequence-records", _WRITE, batch_rows=READ_ROWS)
     parts = F.array_sort(F.collect_list(F.struct("first", "n", "ids", "pieces")))
     rest = records.where(F.col("n") < length).groupBy("sequence_id").agg(parts.alias("r"))  # boundary records
     n, ids = F.col("n_tokens"), F.col("ids")

@@ -315,11 +315,11 @@ class BothEncoder(_Remembering):
 _encoders: dict[tuple, _Remembering] = {}
 
 
-def encoder(path: str, special_as_text: bool = False) -> Encoder:
+def encoder(path: str, special_as_text: bool = False, cache_bytes: int = CACHE_BYTES) -> Encoder:
     """The process's encoder for a tokenizer file (its cache outlives a task)."""
-    key = (path, special_as_text)
+    key = (path, special_as_text, cache_bytes)
     if key not in _encoders:
-        _encoders[key] = Encoder(path, special_as_text)
+        _encoders[key] = Encoder(path, special_as_text, cache_bytes)
     return _encoders[key]
 
 

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
@@ -120,3 +121,27 @@ def test_units_between_spaces(name):
     e.coded = lambda flat: seen.extend(flat) or coded(flat)
     e(["first " + "same words, again " * 200] * 5)
     assert len(seen) < 20
+
+
+def test_packing_holds_little(spark, docs):
+    """Places go on over groups and batches, few rows are read at once, ids are
+    written without a dictionary, and the session is as before."""
+    batch = pa.RecordBatch.from_arrays([pa.array(range(60)), pa.array(["x" * 200_000] * 60)], names=["doc_id", "text"])
+    sizes = []
+
+    def encode(texts):
+        sizes.append(sum(map(len, texts)))
+        return [np.array([len(t)], "<u4").tobytes() for t in texts]
+
+    out = pa.Table.from_batches(packing._coded([batch, batch], 3, encode, b"\0" * 4))
+    assert sum(sizes) == 24_000_000 and max(sizes) <= 8 << 20
+    assert out["at"].to_pylist() == list(range(0, 240, 2)) and out["doc_id"].to_pylist() == [*range(60)] * 2
+    key, seen = "spark.sql.parquet.columnarReaderBatchSize", []
+    before, put = spark.conf.get(key), type(spark.conf).set
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(type(spark.conf), "set", lambda self, k, v: (seen.append((k, v)), put(self, k, v))[1])
+        tokens = packing.tokenize(docs, tokenizer_path("byte_bpe_50k.json"), 0)
+    assert (key, "512") in seen and spark.conf.get(key) == before
+    files = [pq.ParquetFile(f.removeprefix("file://").removeprefix("file:")).metadata for f in tokens.inputFiles()]
+    columns = [f.row_group(g).column(4) for f in files for g in range(f.num_row_groups)]
+    assert columns and all(c.path_in_schema == "ids" and not c.has_dictionary_page for c in columns)
