@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import doc_groups, fresh, ship, stage, utf8
+from .common import doc_groups, fresh, release, ship, stage, utf8
 from .words import ALNUM, covered, hash_words, windows
 
 SLICE_BYTES = 16 << 20
@@ -140,6 +140,7 @@ def annotate(docs: DataFrame, benchmark: DataFrame, n: int = 13, slice_bytes: in
                     yield pa.RecordBatch.from_arrays(
                         [c.slice(i, j - i) for c in b.columns[:-1]] + [pa.array(rows, arrow)],
                         names=[*columns, name])
+            release()
         out = (stage(out, "decontaminate") if k else out).mapInArrow(run, schema)
     return out, name
 
