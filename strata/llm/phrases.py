@@ -14,8 +14,10 @@ frequent as its parts. A shard sends its phrases as 96-bit hashes with counts,
 sorted and cut by hash ranges into one compact row a range; a range's task sums
 the counts of all shards and answers every shard with one bit a phrase. Shards
 find their intervals again from the index and these bits, so no interval is
-ever moved. At last each frequent phrase is spelled by the first shard that
-holds it. Phrases are told apart by their 96-bit hashes.
+ever moved. At last each frequent phrase is spelled by one of the shards that
+hold it, which its hash chooses. Phrases are told apart by their 96-bit hashes.
+An index is written and moved in parts of about ``PART_BYTES``, read ``_ROWS``
+at a time, so what the JVM holds of it does not grow with the shards.
 
 Edge cases: a NULL or empty text has no words, a NULL lang counts as ``und``;
 repeated rows count each time; tied scores rank by count, then by the bytes of
@@ -27,7 +29,6 @@ one whole piece between two marks.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -41,12 +42,18 @@ from .common import release, ship, stage, utf8
 DEPTH = 4
 SHARD_WORDS = 1 << 20
 SLICE_BYTES = 1 << 22
+#: a shard's index is moved in rows of about so many bytes, that the JVM holds few of at once
+PART_BYTES = 1 << 17
+_ROWS = 32
 _TOKEN = re.compile(rb"[^\x20\x09.,;:!?\x0A-\x0D]+|[.,;:!?\x0A-\x0D]+")
 _MARK = re.compile(rb"[.,;:!?\x0A-\x0D]")
 _MARKS = frozenset(b".,;:!?\n\x0b\x0c\r")
 _POWERS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(DEPTH + 1)], dtype=np.uint64)
 
-_INDEX = "shard long, langs array<string>, lang binary, words binary, counts binary, bwt binary, rbwt binary"
+_INDEX = ("shard long, part int, langs array<string>, totals array<long>, lang binary, words binary, counts binary, "
+          "bwt binary, rbwt binary")
+_WRITE = {"compression": "zstd", "parquet.block.size": str(16 << 20), "parquet.block.size.row.check.min": str(_ROWS),
+          "parquet.page.row.count.limit": "8", "parquet.enable.dictionary": "false"}
 _COUNTS = "range int, shard long, h binary, g binary, n binary"
 _BITS = "shard long, level int, range int, bits binary, first binary, total binary"
 
@@ -194,7 +201,8 @@ def _grow(phrase: np.ndarray, word: np.ndarray, side: str, length: int) -> np.nd
 
 
 def build_index(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Written table of shard indexes (one row a shard)."""
+    """Written table of shard indexes: a row for each part of a shard; the first
+    has its langs and their words."""
     ship(docs.sparkSession)
 
     def run(batches):
@@ -204,14 +212,20 @@ def build_index(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
         def shard():
             t = np.concatenate([np.zeros(1, np.int32), *ids])
             counts = np.bincount(t, minlength=len(alphabet.words) + 1).astype(np.int64)
-            return pa.RecordBatch.from_pydict({
-                "shard": pa.array([(part << 32) + seq], pa.int64()),
-                "langs": pa.array([list(alphabet.langs)], pa.list_(pa.string())),
-                "lang": pa.array([np.array(alphabet.lang, np.int32).tobytes()], pa.binary()),
-                "words": pa.array([b"\n".join(alphabet.words)], pa.binary()),
-                "counts": pa.array([counts.tobytes()], pa.binary()),
-                "bwt": pa.array([bwt(t).tobytes()], pa.binary()),
-                "rbwt": pa.array([bwt(t[::-1]).tobytes()], pa.binary())})
+            lang = np.array(alphabet.lang, np.int32)
+            totals = np.bincount(lang, counts[1:], len(alphabet.langs)).astype(np.int64)
+            whole = {"lang": lang.tobytes(), "words": b"\n".join(alphabet.words), "counts": counts.tobytes(),
+                     "bwt": bwt(t).tobytes(), "rbwt": bwt(t[::-1]).tobytes()}
+            parts = -(-sum(map(len, whole.values())) // PART_BYTES)
+            for k in range(0, parts, _ROWS):
+                some = range(k, min(k + _ROWS, parts))
+                once = [None] * (len(some) - (k == 0))
+                yield pa.RecordBatch.from_pydict({
+                    "shard": pa.array([(part << 32) + seq] * len(some), pa.int64()), "part": pa.array(some, pa.int32()),
+                    "langs": pa.array([list(alphabet.langs)][k:] + once, pa.list_(pa.string())),
+                    "totals": pa.array([totals.tolist()][k:] + once, pa.list_(pa.int64()))}
+                    | {c: pa.array([x[len(x) * p // parts:len(x) * (p + 1) // parts] for p in some], pa.binary())
+                       for c, x in whole.items()})
 
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), utf8(b.column(1)), strict=True):
@@ -224,23 +238,29 @@ def build_index(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
                     ids.append(np.zeros(1, np.int32))
                     size += len(tokens)
                     if size >= SHARD_WORDS and s[-1] in _MARKS:
-                        yield shard()
+                        yield from shard()
                         seq, alphabet, ids, size = seq + 1, _Alphabet(), [], 0
                         release()
                 if size >= SHARD_WORDS:
-                    yield shard()
+                    yield from shard()
                     seq, alphabet, ids, size = seq + 1, _Alphabet(), [], 0
                     release()
         if size:
-            yield shard()
+            yield from shard()
         release()
 
     return stage(docs.select(F.col(lang_col).cast("string"), F.col(text_col).cast("string")).mapInArrow(run, _INDEX),
-                 "phrase-index", {"compression": "zstd"})
+                 "phrase-index", _WRITE)
 
 
-def _numbers(column: pa.ChunkedArray, k: int, kind) -> np.ndarray:
-    return np.frombuffer(column[k].as_py(), dtype=kind)
+def _whole(t: pa.Table, column: str) -> bytes:
+    """A shard's column, of its parts."""
+    parts = t[column]
+    return b"".join([parts[k].as_buffer() for k in np.argsort(t["part"].to_numpy()).tolist()])
+
+
+def _numbers(t: pa.Table, column: str, kind) -> np.ndarray:
+    return np.frombuffer(_whole(t, column), dtype=kind)
 
 
 def _sides(level: int) -> str:
@@ -252,11 +272,11 @@ class _Shard:
     """A shard's intervals, level by level, each sorted by hash."""
 
     def __init__(self, t: pa.Table, sides: set[str]):
-        text = {s: _numbers(t.column(c), 0, np.int32) for s, c in (("left", "bwt"), ("right", "rbwt")) if s in sides}
-        raw = t.column("words")[0].as_py()
+        text = {s: _numbers(t, c, np.int32) for s, c in (("left", "bwt"), ("right", "rbwt")) if s in sides}
+        raw = _whole(t, "words")
         self.words = raw.split(b"\n") if raw else []
-        self.langs, self.lang = t.column("langs")[0].as_py(), _numbers(t.column("lang"), 0, np.int32)
-        self.index = PhraseIndex(_numbers(t.column("counts"), 0, np.int64), text.get("left"), text.get("right"))
+        self.langs, self.lang = t["langs"].drop_null()[0].as_py(), _numbers(t, "lang", np.int32)
+        self.index = PhraseIndex(_numbers(t, "counts", np.int64), text.get("left"), text.get("right"))
         self.shard, self.level = t.column("shard")[0].as_py(), 1
         self.hashes = _word_hashes(self.langs, self.lang, self.words)
         self._hold(self.hashes[:, 1:], *self.index.words())
@@ -302,7 +322,7 @@ def _at_level(index: pa.Table, answers: pa.Table, level: int, ranges: int, spell
 
 def _index_columns(index: DataFrame, level: int, spell: bool = False) -> DataFrame:
     sides = {_sides(k) for k in range(1, level)} | ({"left"} if spell else set())
-    return index.select("shard", "langs", "lang", "words", "counts",
+    return index.select("shard", "part", "langs", "lang", "words", "counts",
                         *[c for s, c in (("left", "bwt"), ("right", "rbwt")) if s in sides])
 
 
@@ -345,7 +365,8 @@ def _from_bytes(raw: bytes, kind: str) -> np.ndarray:
 
 def _answered(counted: DataFrame, level: int, least: int) -> DataFrame:
     """Written table of the ranges' answers: which phrases of each shard are
-    frequent, and of those that it holds first of all shards the counts."""
+    frequent, and the counts of those that it is to spell. Of the shards that
+    hold a phrase its hash chooses one, so that none spells many more than others."""
     def run(t: pa.Table) -> pa.Table:
         t = t.sort_by("shard")
         h = [np.cumsum(_from_bytes(x, "<u8")) for x in t["h"].to_pylist()]
@@ -355,11 +376,14 @@ def _answered(counted: DataFrame, level: int, least: int) -> DataFrame:
         n = np.concatenate([_from_bytes(x, "<u4") for x in t["n"].to_pylist()]).astype(np.int64)
         order = np.lexsort((g, h))
         new = np.concatenate([[True], (np.diff(h[order]) != 0) | (np.diff(g[order]) != 0)])
-        total = np.add.reduceat(n[order], np.flatnonzero(new))
+        begins = np.flatnonzero(new)
+        total = np.add.reduceat(n[order], begins)
         of = np.cumsum(new) - 1
         flags, first, sums = np.zeros(len(h), bool), np.zeros(len(h), bool), np.zeros(len(h), np.int64)
         flags[order] = total[of] >= least
-        first[order] = new & (total[of] >= least)
+        holders = np.diff(begins, append=len(h))
+        chosen = order[begins + (g[order[begins]] % holders)]
+        first[chosen] = total >= least
         sums[order] = total[of]
         out, at = [], 0
         for size in sizes:
@@ -372,7 +396,8 @@ def _answered(counted: DataFrame, level: int, least: int) -> DataFrame:
                          "bits": pa.array(bits, pa.binary()), "first": pa.array(firsts, pa.binary()),
                          "total": pa.array(totals, pa.binary())})
 
-    return stage(counted.groupBy("range").applyInArrow(run, _BITS), f"phrase-bits-{level}", {"compression": "zstd"})
+    return stage(counted.groupBy("range").applyInArrow(run, _BITS), f"phrase-bits-{level}", {"compression": "zstd"},
+                 batch_rows=_ROWS)
 
 
 def _spelled(index: DataFrame, answers: DataFrame, ranges: int) -> DataFrame:
@@ -400,18 +425,8 @@ def _spelled(index: DataFrame, answers: DataFrame, ranges: int) -> DataFrame:
 
 def _lang_words(index: DataFrame) -> DataFrame:
     """(lang, n): all word occurrences."""
-    def run(batches):
-        total: dict[str, int] = defaultdict(int)
-        for b in batches:
-            for k in range(b.num_rows):
-                counts, lang = _numbers(b.column("counts"), k, np.int64)[1:], _numbers(b.column("lang"), k, np.int32)
-                names = b.column("langs")[k].as_py()
-                for name, n in zip(names, np.bincount(lang, counts, len(names)).tolist(), strict=True):
-                    total[name] += int(n)
-        yield pa.RecordBatch.from_pydict({"lang": pa.array(list(total), pa.string()),
-                                          "n": pa.array(list(total.values()), pa.int64())})
-    rows = index.select("langs", "lang", "counts").mapInArrow(run, "lang string, n long")
-    return rows.groupBy("lang").agg(F.sum("n").alias("n"))
+    each = index.where("part = 0").select(F.explode(F.arrays_zip("langs", "totals")).alias("x"))
+    return each.groupBy(F.col("x.langs").alias("lang")).agg(F.sum("x.totals").alias("n"))
 
 
 def phrases(docs: DataFrame, least: int = 30, text_col: str = "text", lang_col: str = "lang",
@@ -421,13 +436,13 @@ def phrases(docs: DataFrame, least: int = 30, text_col: str = "text", lang_col:
     spark = docs.sparkSession
     index = build_index(docs, text_col, lang_col) if index is None else index
     # a range's task gets about as many phrases as a shard holds
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), index.count())
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), index.where("part = 0").count())
     answers = spark.createDataFrame([], _BITS)
     for level in range(1, DEPTH + 1):
         bits = _answered(_counted(index, answers, level, ranges), level, least)
         answers = bits if level == 1 else answers.unionByName(bits)
     found = _spelled(index, answers, ranges).withColumn("phrase", F.col("phrase").cast("string"))
-    return stage(found, "phrases")
+    return stage(found, "phrases", batch_rows=_ROWS)
 
 
 def extensions(found: DataFrame) -> DataFrame:

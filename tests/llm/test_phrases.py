@@ -107,3 +107,28 @@ def test_index_intervals(seed):
         back = P.PhraseIndex(counts, P.bwt(t[::-1]), P.bwt(t))
         assert (back.spell(rat, m)[:, ::-1] == words).all()
         assert all(scan(w) == c for w, c in zip(words.tolist()[:5], n.tolist()[:5]))
+
+
+def test_index_moves_in_small_rows(spark):
+    """A shard of megabytes is many rows of a bounded size, whole again in Python."""
+    rng = random.Random(7)
+    text = " ".join(f"w{rng.randrange(90_000)}" for _ in range(300_000))
+    index = P.build_index(spark.createDataFrame([(text, "en")], "text string, lang string"))
+    sizes = [sum(len(x) for x in r if isinstance(x, (bytes, bytearray))) for r in index.collect()]
+    assert sum(sizes) > 3_000_000 and max(sizes) <= 2 * P.PART_BYTES
+    t = index.toArrow()
+    assert P._Shard(t, {"left", "right"}).index.counts.sum() == 300_000 + 2  # with the marks at both ends
+    assert [tuple(r) for r in P._lang_words(index).collect()] == [("en", 300_000)]
+
+
+def test_spelling_is_spread_over_shards(spark, monkeypatch):
+    """What all shards hold is not left to the first of them."""
+    monkeypatch.setattr(P, "SHARD_WORDS", 200)
+    words = " ".join(f"w{i}" for i in range(200)) + "."
+    index = P.build_index(spark.createDataFrame([(words, "en")] * 8, "text string, lang string").coalesce(1))
+    none = spark.createDataFrame([], P._BITS)
+    bits = P._answered(P._counted(index, none, 1, 8), 1, 8).collect()
+    spelled = Counter()
+    for r in bits:
+        spelled[r.shard] += len(r.total) // 8
+    assert len(spelled) == 8 and sum(spelled.values()) == 200 and max(spelled.values()) < 60
