@@ -18,6 +18,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import setting, written
 from ..sources.landing import LANDING_TABLES, landing_table, state_region_map
 from ..sources.tables import TableSet
 from . import gold as G
@@ -26,9 +27,17 @@ from . import silver as S
 SILVER_TABLES = ("customers", "sellers", "orders", "order_items", "order_payments", "order_reviews",
                  "category_translation", "products")
 AUDIT_COLUMN = "_silver_ts"
+#: landed rows of the largest table in a bucket: some 50 MB in a task
+BUCKET_ROWS = 1 << 18
 GOLD_TABLES = ("dim_customer", "dim_seller", "dim_product", "dim_date", "fact_order_items", "fact_payments")
 
 
+def buckets_for(bronze: Mapping[str, DataFrame], bucket_rows: int = BUCKET_ROWS) -> int:
+    """Over how many buckets by order the tables of orders are dealt."""
+    rows = max(bronze[t].count() for t in ("order_items", "order_payments", "order_reviews"))
+    return -(-max(rows, 1) // bucket_rows)
+
+
 class LazyFrames(Mapping):
     """name -> DataFrame, each built on first access only, so a report
     that needs two tables does not pay for analysing all of them."""
@@ -111,3 +120,16 @@ class Medallion:
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
             written = dict(pool.map(write, frames.items()))
         return {name: self.spark.read.parquet(written[name]) for name in frames}
+
+
+def checked_gold(m: Medallion, columns: Mapping[str, list[str]]) -> dict[str, DataFrame]:
+    """The given columns of the gold tables of ``m``, written one after the
+    other: the shuffles of one are gone before the next, each table of orders
+    is dealt by order once, and what follows reads files."""
+    buckets = buckets_for(m.bronze)
+    dealt = Medallion(m.spark, region_map=m.region_map, bronze=m.bronze, buckets=buckets)
+    with setting(m.spark, "spark.sql.shuffle.partitions", str(buckets)):
+        silver = {t: dealt.silver[t] for t in SILVER_TABLES} | {"orders": written(dealt.silver["orders"], "silver-orders")}
+        gold = Medallion(m.spark, region_map=m.region_map, bronze=m.bronze, silver=silver, spread_hot=m.spread_hot).gold
+        facts_first = sorted(columns, key=lambda t: not t.startswith("fact_"))  # little is written when most is shuffled
+        return {t: written(gold[t].select(*columns[t]), f"gold-{t}") for t in facts_first}

@@ -24,9 +24,8 @@ without buckets and joined with the large orders salted.
 
 from __future__ import annotations
 
-import contextlib
 import os
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,12 +36,13 @@ from ..operators.integrity import (IntegrityError, check_orphans, check_unique,
                                    row_conservation)
 from ..operators.profile import column_profile, numeric_distribution, numeric_summary
 from ..operators.quality import run_rules
+from ..session import setting as _setting
 from ..sources.catalog import apply_dictionary, create_schema, overwrite_table, table_location
 from ..sources.csv_text import LOADED_AT, PROVENANCE, read_manifest, row_counts
 from ..sources.landing import LANDING_TABLES
 from . import analyses as A
 from .dictionary import GOLD_DICTIONARY
-from .medallion import AUDIT_COLUMN, GOLD_TABLES, SILVER_TABLES, Medallion
+from .medallion import AUDIT_COLUMN, BUCKET_ROWS, GOLD_TABLES, SILVER_TABLES, Medallion, buckets_for
 from .quality_rules import landing_rules
 from .silver import BUCKET_BY
 from .silver import BUCKETED as SILVER_BUCKETED
@@ -58,8 +58,6 @@ LAYER_COMMENTS = {
     "gold": "Star schema (facts and dimensions) and reports",
 }
 BUCKETED = {*SILVER_BUCKETED, "fact_order_items", "fact_payments"}
-#: landed rows of the largest table in a bucket: some 50 MB in a task
-BUCKET_ROWS = 1 << 18
 MEASURES = ["lead_time_days", "delay_days", "item_price", "freight_value", "review_score"]
 DISTRIBUTIONS = [("order_items", "price"), ("order_items", "freight_value"), ("order_payments", "payment_value"),
                  ("order_reviews", "review_score")]
@@ -72,17 +70,6 @@ def conserved(items: DataFrame, orders: DataFrame, fact: DataFrame) -> DataFrame
                             never_null=["order_id"])  # known items have one
 
 
-@contextlib.contextmanager
-def _setting(spark: SparkSession, name: str, value: str | None) -> Iterator[None]:
-    """The session with another setting; None leaves it as it is."""
-    before = spark.conf.get(name)
-    spark.conf.set(name, before if value is None else value)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def _checked(cons: DataFrame) -> None:
     bad = cons.filter((F.col("missing") > 0) | (F.col("extra") > 0)).collect()  # one row
     if bad:
@@ -147,8 +134,7 @@ def run_medallion(spark: SparkSession, root: str, landed: Mapping[str, DataFrame
         "dq_domains": A.domain_frequency(bronze["orders"], bronze["order_payments"], bronze["customers"])})
 
     if not spread_hot:
-        rows = max(out["bronze.order_items"].count(), out["bronze.order_payments"].count(), out["bronze.order_reviews"].count())
-        buckets = -(-max(rows, 1) // BUCKET_ROWS)
+        buckets = buckets_for(bronze, BUCKET_ROWS)
     m = Medallion(spark, region_map=region_map, bronze=bronze, buckets=buckets)
     with _setting(spark, "spark.sql.shuffle.partitions", str(buckets) if buckets else None):
         save("silver", {n: m.silver[n].withColumn(AUDIT_COLUMN, F.current_timestamp()) for n in SILVER_TABLES},

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .functions.columns import (clean_text, lower_text, map_lookup, null_nonpositive,
                                 pad_code, to_decimal, to_int, to_timestamp, upper_text)
 from .operators.dedup import dedup
-from .operators.domains import domain_report, quarantine
+from .operators.domains import broken_references, domain_report, quarantine
 from .operators.integrity import check_orphans, check_unique, integrity_report, row_conservation
 from .operators.profile import column_profile, numeric_distribution, numeric_summary
 from .operators.quality import (duplicate_keys, duplicate_surplus_modes, iqr_report, missing_reference,
@@ -22,10 +22,10 @@ from .operators.quality import (duplicate_keys, duplicate_surplus_modes, iqr_rep
 from .plans import analyses as A
 from .plans import silver as S
 from .plans.dictionary import GOLD_DICTIONARY
-from .plans.medallion import GOLD_TABLES, Medallion
+from .plans.medallion import GOLD_TABLES, Medallion, checked_gold
 from .plans.quality_rules import landing_rules
 from .plans.specs import gold_domains
-from .session import ensure_checkpoint_dir, scratch_path
+from .session import ensure_checkpoint_dir, scratch_path, written
 from .sources.catalog import (apply_dictionary, create_schema, describe_dictionary, drop_schema, overwrite_table,
                               table_comment, table_location)
 from .sources.csv_text import PROVENANCE, read_text_csv, row_counts, source_name, write_text_csv
@@ -316,11 +316,16 @@ def dictionary_domains(spark, d):
 
 
 def domain_quarantine(spark, d):
-    """Rows of each gold table that break a domain, by the columns that do."""
+    """Rows of each gold table that break a domain, by the columns that do. The
+    columns with domains are written first, then the keys that parents lack;
+    the rows meet these keys alone."""
     m = _m(spark, d)
+    domains = gold_domains(m.region_map)
+    gold = checked_gold(m, {t: list(of) for t, of in domains.items()})
+    broken = written(broken_references(gold, domains), "broken-references")
     out = None
-    for table, domains in gold_domains(m.region_map).items():
-        one = quarantine(m.gold[table], domains, m.gold).groupBy(
+    for table, of in domains.items():
+        one = quarantine(gold[table], of, gold, broken=broken, table=table).groupBy(
             F.lit(table).alias("table"), F.array_join("_violations", ",").alias("violations")).agg(
             F.count(F.lit(1)).alias("rows"))
         out = one if out is None else out.unionByName(one)

@@ -3,11 +3,13 @@ shared scratch folder used to cut lineage or stage files."""
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. Timestamps are naive wall-clock values
 # (TIMESTAMP_NTZ), so results do not depend on the cluster time zone; the
@@ -23,6 +25,10 @@ JOB_CONF = {
 }
 
 
+# written tables: small files, and delta encodings where a dictionary grows too large
+PARQUET = {"compression": "zstd", "parquet.writer.version": "v2"}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "strata", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -70,3 +76,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), "strata", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@contextlib.contextmanager
+def setting(spark: SparkSession, name: str, value: str | None) -> Iterator[None]:
+    """The session with another setting; None leaves it as it is."""
+    before = spark.conf.get(name, None)
+    if value is not None:
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared scratch folder: its lineage is cut there,
+    and the shuffle files of what led to it go when it is written."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.mode("error").options(**PARQUET).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

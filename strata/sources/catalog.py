@@ -9,6 +9,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import PARQUET
+
 TABLE_KEY = "_table"
 
 
@@ -88,11 +90,11 @@ def overwrite_table(df: DataFrame, table: str, path: str | None = None, comment:
     new = f"{path}/{_VERSION}{uuid.uuid4().hex}"
     if buckets:
         staging = f"{table}_{uuid.uuid4().hex}"  # only a table can be written in buckets; its files stay
-        df.write.format("parquet").options(**_PARQUET).option("path", new).bucketBy(buckets, *bucket_by).sortBy(
+        df.write.format("parquet").options(**PARQUET).option("path", new).bucketBy(buckets, *bucket_by).sortBy(
             *bucket_by).saveAsTable(staging)
         spark.sql(f"DROP TABLE {staging}")
     else:
-        df.write.mode("error").options(**_PARQUET).parquet(new)
+        df.write.mode("error").options(**PARQUET).parquet(new)
     old = table_location(spark, table)
     columns = [(f.name, f.dataType.simpleString()) for f in df.schema]
     same = old is not None and [(c.name, c.dataType) for c in spark.catalog.listColumns(table)] == columns
@@ -109,8 +111,6 @@ def overwrite_table(df: DataFrame, table: str, path: str | None = None, comment:
 
 
 _VERSION = "version-"
-# written tables: small files, and delta encodings where a dictionary grows too large
-_PARQUET = {"compression": "zstd", "parquet.writer.version": "v2"}
 
 
 def _bucket_clause(buckets: int, by: Sequence[str]) -> str:
