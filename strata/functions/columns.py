@@ -112,8 +112,10 @@ def map_lookup(c: ColumnOrName, mapping: Mapping[str, str]) -> Column:
 
 
 def date_key(c: ColumnOrName) -> Column:
-    """Surrogate day key yyyyMMdd as int."""
-    return F.date_format(_c(c), "yyyyMMdd").cast("int")
+    """Surrogate day key yyyyMMdd as int, by arithmetic for the years 1 to 9999."""
+    day, year = F.to_date(_c(c)), F.year(_c(c))
+    return F.when(year.between(1, 9999), year * 10000 + F.month(day) * 100 + F.dayofmonth(day)) \
+            .otherwise(F.date_format(_c(c), "yyyyMMdd").cast("int"))
 
 
 def days_between(end: ColumnOrName, start: ColumnOrName) -> Column:

@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -186,7 +188,7 @@ def quarantine(df: DataFrame, domains: Domains, tables: Mapping[str, DataFrame],
     With the ``broken_references`` the rows of ``table`` meet the lacking keys
     alone, broadcast up to ``BROADCAST_KEYS``; that counts them at once."""
     few = broken is not None and broken.where(F.col("table") == table).limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
-    flags, joined = [], df
+    breaks, joined = {}, df
     for i, (c, d) in enumerate(sorted(domains.items())):
         if d.reference is not None and broken is not None:
             lost = _of_reference(broken, table, c).select(F.col("key").alias(f"__key{i}"), F.lit(True).alias(f"__lost{i}"))
@@ -202,10 +204,12 @@ def quarantine(df: DataFrame, domains: Domains, tables: Mapping[str, DataFrame],
             broke = d.broken(c)
         else:
             continue
-        flags.append(F.when(broke, F.lit(c)))
-    if not flags:
+        breaks[c] = broke
+    if not breaks:
         return df.withColumn(name, F.array().cast("array<string>")).where(F.lit(False))
-    return joined.withColumn(name, F.array_compact(F.array(*flags))).where(F.size(name) > 0).select(*df.columns, name)
+    # no test is NULL; only the rows that fail one get an array
+    named = F.array_compact(F.array(*[F.when(broke, F.lit(c)) for c, broke in breaks.items()]))
+    return joined.where(reduce(or_, breaks.values())).select(*df.columns, named.alias(name))
 
 
 def with_members(domains: Mapping[str, Domains], columns: Sequence[tuple[str, str]],

@@ -90,3 +90,13 @@ def test_safe_corr(spark):
 def test_clean_header():
     assert clean_header("\ufeffcustomer_id ") == "customer_id"
     assert clean_header(" price") == "price"
+
+
+def test_date_key_is_as_formatted(spark):
+    from strata.functions.columns import date_key
+    days = ["0001-01-01", "0999-12-31", "1996-02-29", "2024-10-05 23:59:59.999999", "9999-12-31", None]
+    df = spark.createDataFrame([(d,) for d in days], "d string").select(F.col("d").cast("timestamp_ntz").alias("d"))
+    rows = df.select(date_key("d"), F.date_format("d", "yyyyMMdd").cast("int")).collect()
+    assert [r[0] for r in rows] == [r[1] for r in rows] == [10101, 9991231, 19960229, 20241005, 99991231, None]
+    far = spark.sql("SELECT make_date(12345, 6, 7) AS d")
+    assert far.select(date_key("d")).first()[0] == far.select(F.date_format("d", "yyyyMMdd").cast("int")).first()[0]
