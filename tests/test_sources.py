@@ -85,3 +85,16 @@ def test_written_csv_is_compressed(spark):
     parts = [os.path.join(path, f) for f in os.listdir(path) if f.startswith("part")]
     assert sum(map(os.path.getsize, parts)) * 3 < 20_000 * 25
     assert read_text_csv(spark, path).select("a", "b").exceptAll(df).count() == 0
+
+
+def test_landing_files_are_gzipped_quickly(spark, tmp_path):
+    import glob
+    import gzip
+    import zlib
+
+    df = spark.range(20_000).selectExpr("concat('name ', id * 7919 % 9973) AS a", "cast(id as string) AS b")
+    write_text_csv(df.coalesce(1), str(tmp_path / "t.csv"))
+    packed = open(glob.glob(str(tmp_path / "t.csv/part-*.gz"))[0], "rb").read()
+    raw = gzip.decompress(packed)
+    quick, usual = (len(zlib.compress(raw, level)) for level in (4, 6))
+    assert raw.count(b"\n") == 20_001 and quick > usual and abs(len(packed) - quick) < abs(len(packed) - usual)
